@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -37,15 +37,11 @@ def oracle_sql() -> dict[str, str]:
     return dict(_SQL)
 
 
-def rounded(c: Column | str, digits: int = 10) -> Column:
-    """Rounded, with negative zero turned into zero."""
-    return F.round(F.col(c) if isinstance(c, str) else c, digits) + F.lit(0.0)
-
-
 def round_columns(df: DataFrame, names: Sequence[str], digits: int = 10) -> DataFrame:
+    """Round the named columns and turn negative zero into zero."""
     chosen = set(names)
-    return df.select(
-        *[rounded(c, digits).alias(c) if c in chosen else F.col(c) for c in df.columns]
+    return df.selectExpr(
+        *[f"round(`{c}`, {digits}) + 0D as `{c}`" if c in chosen else f"`{c}`" for c in df.columns]
     )
 
 

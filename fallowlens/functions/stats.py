@@ -1,53 +1,54 @@
-"""Statistics of sorted arrays, and the group collection they work on.
+"""Median, mean and deviation of many features from one gathered array.
 
-Small groups of known size are gathered once as an array of structs. Each
-feature's median, mean and deviation then come from one sorted array, which
-costs one object per group instead of one value map per feature and group.
+Small groups of known size are gathered once, as an array with one array of
+feature values per row. All features then share one expression, so plans stay
+short however many features there are, and a group costs one buffer instead of
+one value map per feature.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def sorted_values(values: Column) -> Column:
-    """Ascending, without missing values."""
-    return F.array_sort(F.filter(values, lambda v: v.isNotNull()))
-
-
-def array_median(s: Column) -> Column:
-    """Median of a sorted array; NULL when empty."""
-    n = F.size(s)
-    return (F.get(s, F.shiftright(n - 1, 1)) + F.get(s, F.shiftright(n, 1))) / 2
-
-
-def array_mean(s: Column) -> Column:
-    return F.aggregate(s, F.lit(0.0), lambda a, v: a + v) / F.nullif(F.size(s), F.lit(0))
+def gather(columns: Sequence[str], condition: Column | None = None) -> Column:
+    """Aggregate: feature values of all rows of a group that meet the condition."""
+    values = F.array(*columns)
+    return F.collect_list(values if condition is None else F.when(condition, values))
 
 
-def array_std(s: Column, mean: Column, ddof: int) -> Column:
-    """Standard deviation; NULL with ``ddof`` values or fewer."""
-    squares = F.aggregate(s, F.lit(0.0), lambda a, v: a + (v - mean) * (v - mean))
-    return F.when(F.size(s) > ddof, F.sqrt(squares / (F.size(s) - ddof)))
+def median_sql(s: str) -> str:
+    """Median of the sorted array ``s``; NULL when empty."""
+    return f"(get({s}, shiftright(size({s}) - 1, 1)) + get({s}, shiftright(size({s}), 1))) / 2"
 
 
-def collected_stats(
-    grouped: DataFrame, rows: str, fields: dict[str, tuple[str, str, str]], ddof: int
+def gathered_stats(
+    grouped: DataFrame, rows: str, names: Sequence[tuple[str, str, str]], ddof: int
 ) -> DataFrame:
-    """Median, mean and deviation of each field of the struct array ``rows``.
+    """Replace the gathered ``rows`` by three columns per feature.
 
-    ``fields`` maps a field to the names of its three outputs. The array is
-    dropped; every other column is kept.
+    ``names`` gives the median, mean and deviation column of each feature in the
+    order they were gathered. Missing values are skipped; a deviation needs more
+    than ``ddof`` values.
     """
-    kept = [c for c in grouped.columns if c != rows]
-    df = grouped.select(*kept, *[sorted_values(F.col(rows)[f]).alias(f) for f in fields])
-    df = df.select("*", *[array_mean(F.col(f)).alias(names[1]) for f, names in fields.items()])
-    out: list[Column] = []
-    for f, (median, mean, std) in fields.items():
-        out += [
-            array_median(F.col(f)).alias(median),
-            F.col(mean),
-            array_std(F.col(f), F.col(mean), ddof).alias(std),
-        ]
-    return df.select(*kept, *out)
+    kept = [f"`{c}`" for c in grouped.columns if c != rows]
+    column = f"transform({rows}, r -> r[i])"
+    present = f"sort_array(filter({column}, v -> v is not null))"
+    mean = "aggregate(s, 0D, (a, v) -> a + v) / nullif(size(s), 0)"
+    squares = "aggregate(e.s, 0D, (a, v) -> a + (v - e.mean) * (v - e.mean))"
+    std = f"if(size(e.s) > {ddof}, sqrt({squares} / nullif(size(e.s) - {ddof}, 0)), null)"
+    stats = f"named_struct('median', {median_sql('e.s')}, 'mean', e.mean, 'std', {std})"
+    df = grouped.selectExpr(*kept, f"transform(sequence(0, {len(names) - 1}), i -> {present}) as _s")
+    df = df.selectExpr(*kept, f"transform(_s, s -> named_struct('s', s, 'mean', {mean})) as _s")
+    df = df.selectExpr(*kept, f"transform(_s, e -> {stats}) as _s")
+    return df.selectExpr(
+        *kept,
+        *[
+            f"_s[{i}].{field} as `{name}`"
+            for i, triple in enumerate(names)
+            for field, name in zip(("median", "mean", "std"), triple)
+        ],
+    )

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fallowlens.functions.stats import collected_stats
+from fallowlens.functions.stats import gather, gathered_stats
 from fallowlens.schemas import BANDS, INDICES, STATS
 
 
@@ -30,21 +30,24 @@ def pixel_statistics(
     Expects one row per pixel and day (``last_of_day``), so a group holds no more
     rows than the run has days. Deviation of a single observation is NULL.
     """
-    gathered = bare.groupBy(*keys).agg(F.collect_list(F.struct(*targets)).alias("_obs"))
+    gathered = bare.groupBy(*keys).agg(gather(targets).alias("_obs"))
     gathered = gathered.withColumn("n_obs_baresoil", F.size("_obs").cast("long"))
-    fields = {c: tuple(f"{c}_{s}_bs" for s in STATS) for c in targets}
-    stats = collected_stats(gathered, "_obs", fields, ddof=1)
-    features = [name for names in fields.values() for name in names]
-    return stats.select(*keys, *features, "n_obs_baresoil")
+    names = [tuple(f"{c}_{s}_bs" for s in STATS) for c in targets]
+    stats = gathered_stats(gathered, "_obs", names, ddof=1)
+    return stats.select(*keys, *[n for triple in names for n in triple], "n_obs_baresoil")
 
 
-def mask_min_obs(df: DataFrame, min_obs: int, keys: Sequence[str], mask_n_obs: bool = False) -> DataFrame:
+def mask_min_obs(
+    df: DataFrame, min_obs: int, keys: Sequence[str], mask_n_obs: bool = False
+) -> DataFrame:
     """NULL out the features of pixels with too few observations; rows stay.
 
     ``mask_n_obs`` also blanks the count itself, as the single-point form does.
     """
     spared = set(keys) if mask_n_obs else {*keys, "n_obs_baresoil"}
-    enough = F.col("n_obs_baresoil") >= min_obs
-    return df.select(
-        *[F.col(c) if c in spared else F.when(enough, F.col(c)).alias(c) for c in df.columns]
+    return df.selectExpr(
+        *[
+            f"`{c}`" if c in spared else f"if(n_obs_baresoil >= {min_obs}, `{c}`, null) as `{c}`"
+            for c in df.columns
+        ]
     )

@@ -33,35 +33,33 @@ def grids(
     lines = cells.groupBy("seed_id", "row").agg(
         F.map_from_entries(F.collect_list(F.struct("col", "v"))).alias("_m")
     )
-    lines = lines.select(
+    lines = _spread(lines, width).select(
         "seed_id",
         "row",
-        F.struct(
-            *[
-                _filled("_m", width, k, filler).alias(k)
-                for k, (_, filler) in values.items()
-            ]
-        ).alias("v"),
+        F.struct(*[_filled(k, filler).alias(k) for k, (_, filler) in values.items()]).alias("v"),
     )
     sheets = lines.groupBy("seed_id").agg(
         F.map_from_entries(F.collect_list(F.struct("row", "v"))).alias("_m")
     )
     if seeds is not None:
         sheets = seeds.select("seed_id").join(sheets, "seed_id", "left")
-    return sheets.select(
+    return _spread(sheets, height).select(
         "seed_id",
         *[
-            _filled("_m", height, k, F.array_repeat(filler, width)).alias(k)
+            _filled(k, F.array_repeat(filler, width)).alias(k)
             for k, (_, filler) in values.items()
         ],
     )
 
 
-def _filled(entries: str, n: int, field: str, filler: Column) -> Column:
-    def at(i: Column) -> Column:
-        return F.coalesce(F.try_element_at(F.col(entries), i)[field], filler)
+def _spread(df: DataFrame, n: int) -> DataFrame:
+    """Array ``_a`` of the entries 0..n-1 of the map ``_m``, NULL where absent."""
+    places = F.sequence(F.lit(0), F.lit(n - 1))
+    return df.withColumn("_a", F.transform(places, lambda i: F.try_element_at("_m", i)))
 
-    return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), at)
+
+def _filled(field: str, filler: Column) -> Column:
+    return F.transform("_a", lambda v: F.coalesce(v[field], filler))
 
 
 def composite_grids(

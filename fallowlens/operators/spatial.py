@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fallowlens.functions.stats import array_median, collected_stats, sorted_values
+from fallowlens.functions.stats import gather, gathered_stats, median_sql
 from fallowlens.operators.quantiles import grouped_quantiles, is_large
 from fallowlens.schemas import STATS
 from fallowlens.session import materialize
@@ -67,13 +67,11 @@ def seed_statistics(
 
     gathered = pixels.groupBy("seed_id").agg(
         *counts,
-        F.collect_list(F.when(valid, F.struct(*feats))).alias("_px"),
-        F.collect_list(F.when(inside, F.col("n_obs_baresoil"))).alias("_n"),
+        gather(feats, valid).alias("_px"),
+        F.sort_array(F.collect_list(F.when(inside, F.col("n_obs_baresoil")))).alias("_n"),
     )
-    gathered = gathered.withColumn(
-        "median_n_obs_baresoil", array_median(sorted_values(F.col("_n"))).cast("double")
-    ).drop("_n")
-    return collected_stats(gathered, "_px", names, ddof=0).select(*order)
+    gathered = gathered.withColumn("median_n_obs_baresoil", F.expr(median_sql("_n"))).drop("_n")
+    return gathered_stats(gathered, "_px", list(names.values()), ddof=0).select(*order)
 
 
 def _large_grid_statistics(pixels, valid, counts, names) -> DataFrame:

@@ -14,8 +14,8 @@ def window_join(obs: DataFrame, windows: DataFrame, cell: float) -> DataFrame:
 
     An equi-join on grid cells replaces the nested-loop join a range condition
     alone would get. With ``cell`` near the window size a window covers at most
-    four cells. Only distinct windows take part; seeds that share one are
-    attached afterwards, so copies of a point do not multiply the range join.
+    four cells. A cell that draws much of the data is split by Spark's skew-join
+    handling, since both sides are shuffled on the cell.
     """
     edges = ["minx", "miny", "maxx", "maxy"]
     kept = [c for c in obs.columns if c != "seed_id"]
@@ -23,11 +23,8 @@ def window_join(obs: DataFrame, windows: DataFrame, cell: float) -> DataFrame:
     def covered(lo: str, hi: str):
         return F.explode(F.sequence(cell_of(F.col(lo), cell), cell_of(F.col(hi), cell)))
 
-    cells = (
-        windows.select(*edges)
-        .distinct()
-        .select(*edges, covered("minx", "maxx").alias("_cx"))
-        .select("*", covered("miny", "maxy").alias("_cy"))
+    cells = windows.select("seed_id", *edges, covered("minx", "maxx").alias("_cx")).select(
+        "*", covered("miny", "maxy").alias("_cy")
     )
     placed = obs.select(
         *kept,
@@ -35,5 +32,4 @@ def window_join(obs: DataFrame, windows: DataFrame, cell: float) -> DataFrame:
         cell_of(F.col("y"), cell).alias("_cy"),
     )
     box = in_box(F.col("x"), F.col("y"), *[F.col(e) for e in edges])
-    hits = placed.join(cells, ["_cx", "_cy"]).filter(box)
-    return hits.join(windows.select("seed_id", *edges), edges).select("seed_id", *kept)
+    return placed.join(cells, ["_cx", "_cy"]).filter(box).select("seed_id", *kept)

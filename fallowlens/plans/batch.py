@@ -94,7 +94,7 @@ def consolidate(
 ) -> SeedRun:
     """Seed rows from pixel rows. ``observed`` holds the ids of seeds with data."""
     points = seeds.select("seed_id", "lat", "lon")
-    stats = seed_statistics(pixels.repartition("seed_id"), params.min_obs, params.size)
+    stats = seed_statistics(pixels, params.min_obs, params.size)
     errors = error_table(
         points,
         [

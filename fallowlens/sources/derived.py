@@ -134,11 +134,12 @@ def tiles(spark: SparkSession, sf_dir: str, size: tuple[int, int] = (10, 10)) ->
             F.collect_list(F.struct((F.col("row") * width + F.col("col")).alias("i"), pixel.alias("p")))
         ).alias("m")
     )
+    places = F.sequence(F.lit(0), F.lit(width * height - 1))
+    held = held.withColumn("cells", F.transform(places, lambda i: F.try_element_at("m", i)))
     zero = F.lit(0.0).cast("float")
 
     def plane(b: str) -> Column:
-        cells = F.sequence(F.lit(0), F.lit(width * height - 1))
-        return F.transform(cells, lambda i: F.coalesce(F.try_element_at("m", i)[b], zero))
+        return F.transform("cells", lambda p: F.coalesce(p[b], zero))
 
     return (
         held.select(
