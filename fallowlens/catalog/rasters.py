@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from fallowlens.catalog import fragments as q
 from fallowlens.catalog.registry import query, round_columns, sql_rounded
+from fallowlens.functions.indices import add_indices
 from fallowlens.operators import grids, quality
 from fallowlens.operators import tiles as t
-from fallowlens.plans import batch
+from fallowlens.operators.bare_soil import flag_bare_soil
+from fallowlens.plans import batch, stacks
 from fallowlens.schemas import BANDS, Params
 from fallowlens.sources import derived
 
@@ -79,9 +81,6 @@ def acquisition_dates(spark: SparkSession, sf: str) -> DataFrame:
 )
 def stack_to_pixels(spark: SparkSession, sf: str) -> DataFrame:
     """Stacked raster to flagged pixel rows, under the first tile's geometry."""
-    from fallowlens.functions.indices import add_indices
-    from fallowlens.operators.bare_soil import flag_bare_soil
-
     per_date = t.with_first_transform(t.unstack_dates(derived.stacked_tiles(spark, sf), BANDS))
     df = flag_bare_soil(add_indices(t.explode_pixels(per_date, BANDS)), 0.2)
     return round_columns(
@@ -264,3 +263,29 @@ def qa_grids(spark: SparkSession, sf: str) -> DataFrame:
     cells = grids.grid_cells(maps, ["ndvi", "ndmi", "n_obs"])
     wide = cells.withColumns({c: F.col(c).cast("double") for c in ("ndvi", "ndmi")})
     return round_columns(wide, ["ndvi", "ndmi"], 5)
+
+
+_FROM_STACKS = ["B04_median_bs_space_median", "B12_std_bs_space_mean", "NDVI_mean_bs_space_std", "EVI_median_bs_space_mean"]
+
+
+@query(
+    "seed_features_from_stacks",
+    q.with_(
+        q.OBS, q.SEEDS, q.daily(), _CELLS, q.indexed("cells"), q.pixels(-0.45), q.seed_stats(2),
+    )
+    + "select s.seed_id, lat, lon, coalesce(n_pixels, 0) as n_pixels, "
+    "coalesce(n_pixels_with_min_obs, 0) as n_pixels_with_min_obs, mean_n_obs_baresoil, median_n_obs_baresoil, "
+    + ", ".join(sql_rounded(f'"{c}"', c) for c in _FROM_STACKS)
+    + " from seeds s left join stats t on s.seed_id = t.seed_id "
+    "where s.seed_id in (select seed_id from cells)",
+)
+def seed_features_from_stacks(spark: SparkSession, sf: str) -> DataFrame:
+    """From stacked rasters; the low threshold leaves seeds without a bare pixel."""
+    params = Params(ndvi_threshold=-0.45)
+    stacked = derived.stacked_tiles(spark, sf)
+    run = stacks.seed_features(stacked, derived.seeds(spark, sf), params)
+    df = run.features.select(
+        "seed_id", "lat", "lon", "n_pixels", "n_pixels_with_min_obs",
+        "mean_n_obs_baresoil", "median_n_obs_baresoil", *_FROM_STACKS,
+    )
+    return round_columns(df, _FROM_STACKS)

@@ -5,6 +5,8 @@ Missing values are NULL throughout, never NaN: Spark aggregates skip NULL only.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,9 +44,9 @@ def evi(nir: Column, red: Column, blue: Column) -> Column:
     return safe_ratio(2.5 * (nir - red), nir + 6 * red - 7.5 * blue + 1)
 
 
-def index_columns() -> dict[str, Column]:
-    """The six indices over the six band columns, keyed by output name."""
-    blue, green, red, nir, swir1, swir2 = (F.col(b).cast("double") for b in BANDS)
+def index_columns(band: Callable[[str], Column] = F.col) -> dict[str, Column]:
+    """The six indices, keyed by output name. ``band`` gives the column of a band."""
+    blue, green, red, nir, swir1, swir2 = (band(b).cast("double") for b in BANDS)
     return {
         "NDVI": normalized_difference(nir, red),
         "NDMI": normalized_difference(nir, swir1),
@@ -55,8 +57,8 @@ def index_columns() -> dict[str, Column]:
     }
 
 
-def ndvi() -> Column:
-    return index_columns()["NDVI"]
+def ndvi(band: Callable[[str], Column] = F.col) -> Column:
+    return normalized_difference(band("B08").cast("double"), band("B04").cast("double"))
 
 
 def add_indices(df: DataFrame) -> DataFrame:

@@ -16,6 +16,7 @@ from fallowlens.schemas import BANDS
 REASONS = (
     "missing coordinates",
     "duplicate seed_id",
+    "duplicate stack",
     "acquisition dates missing",
     "band count mismatch",
     "no tiles",
@@ -42,27 +43,31 @@ def _reason(ids: DataFrame, reason: str) -> DataFrame:
 
 
 def coordinate_errors(seeds: DataFrame) -> DataFrame:
-    return _reason(seeds.filter(F.col("lat").isNull() | F.col("lon").isNull()), REASONS[0])
+    return _reason(seeds.filter(F.col("lat").isNull() | F.col("lon").isNull()), "missing coordinates")
 
 
 def duplicate_errors(seeds: DataFrame) -> DataFrame:
     counted = seeds.groupBy("seed_id").agg(F.count("*").alias("n"))
-    return _reason(counted.filter(F.col("n") > 1), REASONS[1])
+    return _reason(counted.filter(F.col("n") > 1), "duplicate seed_id")
+
+
+def duplicate_stack_errors(stacked: DataFrame) -> DataFrame:
+    return _reason(duplicate_keys(stacked, "seed_id"), "duplicate stack")
 
 
 def stack_errors(stacked: DataFrame, n_bands: int) -> DataFrame:
     """Stacks without dates or with a raster count other than dates x bands."""
     dated = with_dates(stacked)
     empty = F.coalesce(F.size("dates") <= 0, F.lit(True))
-    return _reason(dated.filter(empty), REASONS[2]).unionByName(
-        _reason(dated.filter(~empty & ~band_count_ok(n_bands)), REASONS[3])
+    return _reason(dated.filter(empty), "acquisition dates missing").unionByName(
+        _reason(dated.filter(~empty & ~band_count_ok(n_bands)), "band count mismatch")
     )
 
 
 def missing_errors(seeds: DataFrame, data: DataFrame) -> DataFrame:
     """Seeds without any row in ``data``."""
     present = data.select("seed_id").distinct()
-    return _reason(seeds.join(present, "seed_id", "left_anti"), REASONS[4])
+    return _reason(seeds.join(present, "seed_id", "left_anti"), "no tiles")
 
 
 def shape_errors(tiles: DataFrame) -> DataFrame:
@@ -75,12 +80,12 @@ def shape_errors(tiles: DataFrame) -> DataFrame:
     shaped = tiles.groupBy("seed_id").agg(
         (reduce(lambda a, b: a | b, spread) | broken).alias("mixed")
     )
-    return _reason(shaped.filter(F.col("mixed")), REASONS[5])
+    return _reason(shaped.filter(F.col("mixed")), "shape mismatch")
 
 
 def grid_errors(stats: DataFrame) -> DataFrame:
     """Seeds with pixels outside the declared grid, see ``seed_statistics``."""
-    return _reason(stats.filter(~F.col("in_grid")), REASONS[5])
+    return _reason(stats.filter(~F.col("in_grid")), "shape mismatch")
 
 
 def error_table(seeds: DataFrame, found: Sequence[DataFrame]) -> DataFrame:

@@ -38,6 +38,9 @@ def seed_statistics(
     """One row per seed: pixel counts, and median, mean and population deviation
     of each feature over the pixels with at least ``min_obs`` observations.
 
+    A pixel whose count is NULL was seen but never bare. It makes its seed appear
+    and enters no statistic.
+
     ``size`` (width, height) bounds the pixels of a seed. ``in_grid`` is false
     for a seed with a pixel outside it: such a seed fails, like one whose rasters
     differ in shape, and only its pixels inside the grid were gathered.
@@ -47,7 +50,7 @@ def seed_statistics(
     inside = F.col("row").between(0, height - 1) & F.col("col").between(0, width - 1)
     valid = inside & (F.col("n_obs_baresoil") >= min_obs)
     counts = [
-        F.count("*").alias("n_pixels"),
+        F.count("n_obs_baresoil").alias("n_pixels"),
         F.count_if(F.col("n_obs_baresoil") >= min_obs).alias("n_pixels_with_min_obs"),
         F.avg("n_obs_baresoil").alias("mean_n_obs_baresoil"),
         F.bool_and(inside).alias("in_grid"),

@@ -36,36 +36,61 @@ def band_count_ok(n_bands: int) -> Column:
     return F.coalesce(F.size("data") == expected, F.lit(False))
 
 
+def _with_winners(stacked: DataFrame, n_bands: int) -> DataFrame:
+    """Sound stacks with ``_w``: date and number of each day's last acquisition."""
+    last = lambda d: F.size("dates") - F.array_position(F.reverse("dates"), d)
+    numbered = F.transform("dates", lambda d, i: F.struct(d.alias("date"), i.alias("i")))
+    winners = F.filter(numbered, lambda s: last(s["date"]) == s["i"])
+    sound = with_dates(stacked).filter(band_count_ok(n_bands))
+    return sound.select("seed_id", "width", "height", "transform", "data", winners.alias("_w"))
+
+
 def unstack_dates(stacked: DataFrame, bands: Sequence[str]) -> DataFrame:
     """One tile per seed and day; the last acquisition of a day wins.
 
     Date ``i`` owns rasters ``[i * n, i * n + n)``. Rows failing the band-count
     check are left out here and reported by ``quality.stack_errors``.
     """
-    n = len(bands)
-    pixels = n * F.col("width") * F.col("height")
-    last = lambda d: F.size("dates") - F.array_position(F.reverse("dates"), d)
-    winners = F.filter(
-        F.transform("dates", lambda d, i: F.struct(d.alias("date"), i.alias("i"))),
-        lambda s: last(s["date"]) == s["i"],
-    )
-    cut = F.transform(
-        winners,
-        lambda s: F.struct(
-            s["date"].alias("date"),
-            F.slice("data", s["i"] * pixels + 1, pixels).alias("data"),
-        ),
-    )
-    ok = with_dates(stacked).filter(band_count_ok(n))
-    return ok.select("seed_id", "width", "height", "transform", F.inline(cut)).select(
+    shape = ["width", "height", "transform"]
+    values = len(bands) * F.col("width") * F.col("height")
+    # `slice` stays outside lambdas: there it would copy the whole array each time
+    dated = _with_winners(stacked, len(bands)).select("seed_id", *shape, "data", F.inline("_w"))
+    return dated.select(
         "seed_id",
         "date",
-        "width",
-        "height",
-        "transform",
+        *shape,
         F.array(*[F.lit(b) for b in bands]).alias("bands"),
-        "data",
+        F.slice("data", F.col("i") * values + 1, values).alias("data"),
+    )
+
+
+def stack_series(stacked: DataFrame, bands: Sequence[str]) -> DataFrame:
+    """One row per pixel with its whole ``series``, one entry per day.
+
+    The series is read out of the stack's own row, so no pixel is shuffled to
+    meet its other dates. Meant for seed windows; a large raster is better
+    unstacked and exploded date by date.
+    """
+    n = len(bands)
+    plane = F.col("width") * F.col("height")
+
+    def value(w: Column, p: Column, b: int) -> Column:
+        v = F.get("data", (w["i"] * n + b) * plane + p).cast("double")
+        return F.nullif(v, F.lit(float("nan")))
+
+    def entry(w: Column, p: Column) -> Column:
+        named = [value(w, p, b).alias(name) for b, name in enumerate(bands)]
+        return F.struct(w["date"].alias("date"), *named)
+
+    pixels = F.transform(
+        F.sequence(F.lit(0), plane - 1),
+        lambda p: F.struct(
+            F.floor(p / F.col("width")).cast("int").alias("row"),
+            (p % F.col("width")).cast("int").alias("col"),
+            F.transform("_w", lambda w: entry(w, p)).alias("series"),
+        ),
     )
+    return _with_winners(stacked, n).select("seed_id", F.inline(pixels))
 
 
 def last_of_day_tiles(tiles: DataFrame, order: str = "scene_idx") -> DataFrame:

@@ -131,3 +131,38 @@ def test_grids_fill_gaps(spark):
     assert len(qa) == 1 and qa[0]["n_obs"] == [[0, 3], [1, 0], [0, 0]]
     assert qa[0]["ndvi"][0] == [None, pytest.approx(0.1)] and qa[0]["ndvi"][1] == [None, None]
     assert grids.grid_cells(grids.qa_grids(df, (2, 3)), ["n_obs"]).count() == 6
+
+
+def test_series_comes_out_of_the_stack_row(spark):
+    data = [float(v) for v in range(12)]
+    stamps = ["2024-06-01T10:00:00Z", "2024-06-04T10:00:00Z", "2024-06-01T12:00:00Z"]
+    got = t.stack_series(stack(spark, stamps, data), ["B04", "B08"]).orderBy("col").collect()
+    assert [(r["row"], r["col"]) for r in got] == [(0, 0), (0, 1)]
+    series = [[(str(s["date"]), s["B04"], s["B08"]) for s in r["series"]] for r in got]
+    assert series[0] == [("2024-06-04", 4.0, 6.0), ("2024-06-01", 8.0, 10.0)]
+    assert series[1] == [("2024-06-04", 5.0, 7.0), ("2024-06-01", 9.0, 11.0)]
+
+
+def test_stack_plan_reports_and_agrees_with_exploded_pixels(spark, monkeypatch):
+    from fallowlens.plans import stacks
+    from fallowlens.schemas import Params
+    from fallowlens.sources import derived
+
+    sf = "/root/testdata/sf0.001"
+    stored = derived.stacked_tiles(spark, sf)
+    twin = stored.filter(F.col("seed_id") == "seed_0001")
+    bad = stored.withColumn("data", F.when(F.col("seed_id") == "seed_0002", F.slice("data", 1, 7)).otherwise(F.col("data")))
+    given = bad.unionByName(twin)
+    params = Params(ndvi_threshold=-0.5)
+    run = stacks.seed_features(given, derived.seeds(spark, sf), params)
+    errors = {r["seed_id"]: r["error"] for r in run.errors.collect()}
+    assert errors == {"seed_0001": "duplicate stack", "seed_0002": "band count mismatch"}
+    rows = {r["seed_id"]: r for r in run.features.collect()}
+    assert len(rows) == 8 and min(r["n_pixels"] for r in rows.values()) == 0
+    monkeypatch.setattr(stacks, "MAX_GATHERED_PIXELS", 10)
+    exploded = stacks.seed_features(given, derived.seeds(spark, sf), params).features.collect()
+    assert len(exploded) == len(rows)
+    for r in exploded:
+        for name in r.__fields__:
+            want = rows[r["seed_id"]][name]
+            assert r[name] == (pytest.approx(want) if isinstance(want, float) else want), name
