@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fallowlens.functions.stats import gather, gathered_stats
@@ -24,14 +24,19 @@ def pixel_statistics(
     bare: DataFrame,
     keys: Sequence[str],
     targets: Sequence[str] = BANDS + INDICES,
+    condition: Column | None = None,
 ) -> DataFrame:
     """Median, mean and sample deviation of each target, and ``n_obs_baresoil``.
 
+    With a ``condition`` only rows meeting it are observations; a pixel without
+    any keeps its row and has a NULL count.
+
     Expects one row per pixel and day (``last_of_day``), so a group holds no more
     rows than the run has days. Deviation of a single observation is NULL.
     """
-    gathered = bare.groupBy(*keys).agg(gather(targets).alias("_obs"))
-    gathered = gathered.withColumn("n_obs_baresoil", F.size("_obs").cast("long"))
+    gathered = bare.groupBy(*keys).agg(gather(targets, condition).alias("_obs"))
+    count = F.nullif(F.size("_obs"), F.lit(0)).cast("long")
+    gathered = gathered.withColumn("n_obs_baresoil", count)
     names = [tuple(f"{c}_{s}_bs" for s in STATS) for c in targets]
     stats = gathered_stats(gathered, "_obs", names, ddof=1)
     return stats.select(*keys, *[n for triple in names for n in triple], "n_obs_baresoil")

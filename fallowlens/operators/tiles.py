@@ -64,35 +64,6 @@ def unstack_dates(stacked: DataFrame, bands: Sequence[str]) -> DataFrame:
     )
 
 
-def stack_series(stacked: DataFrame, bands: Sequence[str]) -> DataFrame:
-    """One row per pixel with its whole ``series``, one entry per day.
-
-    The series is read out of the stack's own row, so no pixel is shuffled to
-    meet its other dates. Meant for seed windows; a large raster is better
-    unstacked and exploded date by date.
-    """
-    n = len(bands)
-    plane = F.col("width") * F.col("height")
-
-    def value(w: Column, p: Column, b: int) -> Column:
-        v = F.get("data", (w["i"] * n + b) * plane + p).cast("double")
-        return F.nullif(v, F.lit(float("nan")))
-
-    def entry(w: Column, p: Column) -> Column:
-        named = [value(w, p, b).alias(name) for b, name in enumerate(bands)]
-        return F.struct(w["date"].alias("date"), *named)
-
-    pixels = F.transform(
-        F.sequence(F.lit(0), plane - 1),
-        lambda p: F.struct(
-            F.floor(p / F.col("width")).cast("int").alias("row"),
-            (p % F.col("width")).cast("int").alias("col"),
-            F.transform("_w", lambda w: entry(w, p)).alias("series"),
-        ),
-    )
-    return _with_winners(stacked, n).select("seed_id", F.inline(pixels))
-
-
 def last_of_day_tiles(tiles: DataFrame, order: str = "scene_idx") -> DataFrame:
     """Keep the highest scene of each seed and day, without aggregating rasters."""
     winners = tiles.groupBy("seed_id", "date").agg(F.max(order).alias(order))

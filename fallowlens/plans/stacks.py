@@ -1,16 +1,16 @@
 """Seed features straight from stacked rasters.
 
-A stack row holds every date of its window, so pixels are summarised over time
-inside the row. Only pixel statistics are shuffled, once, to their seed.
+Unstacking, same-day overwrite and exploding stay inside a stack's row. The bare
+observations are then shuffled once, to their seed: with one stack per seed that
+is a bounded group, the window's pixels times its dates.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fallowlens.functions.indices import add_indices, index_columns, ndvi
-from fallowlens.functions.stats import gathered_stats
+from fallowlens.functions.indices import add_indices, ndvi
 from fallowlens.operators.bare_soil import pixel_statistics
 from fallowlens.operators.quality import (
     coordinate_errors,
@@ -26,43 +26,29 @@ from fallowlens.operators.quality import (
 )
 from fallowlens.operators.quantiles import is_large
 from fallowlens.operators.spatial import MAX_GATHERED_PIXELS, seed_statistics
-from fallowlens.operators.tiles import explode_pixels, stack_series, unstack_dates
+from fallowlens.operators.tiles import explode_pixels, unstack_dates
 from fallowlens.plans.batch import SeedRun, with_run_metadata
-from fallowlens.schemas import PIXEL_KEYS, STATS, Params, seed_columns
+from fallowlens.schemas import PIXEL_KEYS, Params, seed_columns
 
 
 def pixel_stats(stacked: DataFrame, params: Params) -> DataFrame:
-    """Statistics of every pixel over its bare days; NULL count where it had none.
+    """Statistics of pixels over their bare days. Expects one stack per seed.
 
-    Expects one stack per seed. Windows too large for one row's arrays are
-    exploded and grouped by pixel instead.
+    The corner pixel is kept even if it was never bare (its count is NULL then),
+    so that a seed without bare soil still shows up.
     """
     require_bands(params.bands)
-    if is_large(params.size, MAX_GATHERED_PIXELS):
-        return _exploded_stats(stacked, params)
-
-    def targets(o: Column) -> Column:
-        return F.array(*[o[b] for b in params.bands], *index_columns(lambda b: o[b]).values())
-
-    bare = F.filter("series", lambda o: ndvi(lambda b: o[b]) < params.ndvi_threshold)
-    rows = stack_series(stacked, params.bands).select(
-        *PIXEL_KEYS, F.transform(bare, targets).alias("_obs")
-    )
-    rows = rows.withColumn("n_obs_baresoil", F.nullif(F.size("_obs"), F.lit(0)).cast("long"))
-    names = [tuple(f"{c}_{s}_bs" for s in STATS) for c in params.targets]
-    stats = gathered_stats(rows, "_obs", names, ddof=1)
-    return stats.select(*PIXEL_KEYS, *[n for t in names for n in t], "n_obs_baresoil")
-
-
-def _exploded_stats(stacked: DataFrame, params: Params) -> DataFrame:
     pixels = explode_pixels(unstack_dates(stacked, params.bands), params.bands)
-    bare = pixels.filter(ndvi() < params.ndvi_threshold).select(*PIXEL_KEYS, *params.bands)
-    stats = pixel_statistics(add_indices(bare.repartition(*PIXEL_KEYS)), PIXEL_KEYS, params.targets)
-    # the corner pixel stands for seeds without any bare pixel
-    seen = unstack_dates(stacked, params.bands).select("seed_id").distinct()
-    corner = seen.withColumns({"row": F.lit(0), "col": F.lit(0)})
-    never_bare = corner.join(stats.select(*PIXEL_KEYS), list(PIXEL_KEYS), "left_anti")
-    return stats.unionByName(never_bare, allowMissingColumns=True)
+    bare = F.coalesce(ndvi() < params.ndvi_threshold, F.lit(False))
+    corner = (F.col("row") == 0) & (F.col("col") == 0)
+    kept = pixels.select(*PIXEL_KEYS, *params.bands, bare.alias("_bare")).filter(
+        F.col("_bare") | corner
+    )
+    # Seed windows go to one place each, which also serves the statistics per
+    # seed. A large raster is spread by pixel instead.
+    large = is_large(params.size, MAX_GATHERED_PIXELS)
+    spread = kept.repartition(*(PIXEL_KEYS if large else ["seed_id"]))
+    return pixel_statistics(add_indices(spread), PIXEL_KEYS, params.targets, F.col("_bare"))
 
 
 def seed_features(stacked: DataFrame, seeds: DataFrame, params: Params) -> SeedRun:

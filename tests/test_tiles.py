@@ -133,16 +133,6 @@ def test_grids_fill_gaps(spark):
     assert grids.grid_cells(grids.qa_grids(df, (2, 3)), ["n_obs"]).count() == 6
 
 
-def test_series_comes_out_of_the_stack_row(spark):
-    data = [float(v) for v in range(12)]
-    stamps = ["2024-06-01T10:00:00Z", "2024-06-04T10:00:00Z", "2024-06-01T12:00:00Z"]
-    got = t.stack_series(stack(spark, stamps, data), ["B04", "B08"]).orderBy("col").collect()
-    assert [(r["row"], r["col"]) for r in got] == [(0, 0), (0, 1)]
-    series = [[(str(s["date"]), s["B04"], s["B08"]) for s in r["series"]] for r in got]
-    assert series[0] == [("2024-06-04", 4.0, 6.0), ("2024-06-01", 8.0, 10.0)]
-    assert series[1] == [("2024-06-04", 5.0, 7.0), ("2024-06-01", 9.0, 11.0)]
-
-
 def test_stack_plan_reports_and_agrees_with_exploded_pixels(spark, monkeypatch):
     from fallowlens.plans import stacks
     from fallowlens.schemas import Params
