@@ -12,6 +12,7 @@ from fallowlens.operators import grids, quality
 from fallowlens.operators import tiles as t
 from fallowlens.operators.bare_soil import flag_bare_soil
 from fallowlens.plans import batch, stacks
+from fallowlens.plans import tiles as tile_plans
 from fallowlens.schemas import BANDS, Params
 from fallowlens.sources import derived
 
@@ -265,27 +266,43 @@ def qa_grids(spark: SparkSession, sf: str) -> DataFrame:
     return round_columns(wide, ["ndvi", "ndmi"], 5)
 
 
-_FROM_STACKS = ["B04_median_bs_space_median", "B12_std_bs_space_mean", "NDVI_mean_bs_space_std", "EVI_median_bs_space_mean"]
+_SHOWN = [
+    "B04_median_bs_space_median",
+    "B12_std_bs_space_mean",
+    "NDVI_mean_bs_space_std",
+    "EVI_median_bs_space_mean",
+]
+
+
+def _from_cells_sql(threshold: float) -> str:
+    return (
+        q.with_(
+            q.OBS, q.SEEDS, q.daily(), _CELLS, q.indexed("cells"), q.pixels(threshold), q.seed_stats(2)
+        )
+        + "select s.seed_id, lat, lon, coalesce(n_pixels, 0) as n_pixels, "
+        "coalesce(n_pixels_with_min_obs, 0) as n_pixels_with_min_obs, "
+        "mean_n_obs_baresoil, median_n_obs_baresoil, "
+        + ", ".join(sql_rounded(f'"{c}"', c) for c in _SHOWN)
+        + " from seeds s left join stats t on s.seed_id = t.seed_id "
+        "where s.seed_id in (select seed_id from cells)"
+    )
 
 
-@query(
-    "seed_features_from_stacks",
-    q.with_(
-        q.OBS, q.SEEDS, q.daily(), _CELLS, q.indexed("cells"), q.pixels(-0.45), q.seed_stats(2),
-    )
-    + "select s.seed_id, lat, lon, coalesce(n_pixels, 0) as n_pixels, "
-    "coalesce(n_pixels_with_min_obs, 0) as n_pixels_with_min_obs, mean_n_obs_baresoil, median_n_obs_baresoil, "
-    + ", ".join(sql_rounded(f'"{c}"', c) for c in _FROM_STACKS)
-    + " from seeds s left join stats t on s.seed_id = t.seed_id "
-    "where s.seed_id in (select seed_id from cells)",
-)
+def _shown(features: DataFrame) -> DataFrame:
+    counts = ["n_pixels", "n_pixels_with_min_obs", "mean_n_obs_baresoil", "median_n_obs_baresoil"]
+    return round_columns(features.select("seed_id", "lat", "lon", *counts, *_SHOWN), _SHOWN)
+
+
+@query("seed_features_from_stacks", _from_cells_sql(-0.45))
 def seed_features_from_stacks(spark: SparkSession, sf: str) -> DataFrame:
     """From stacked rasters; the low threshold leaves seeds without a bare pixel."""
-    params = Params(ndvi_threshold=-0.45)
     stacked = derived.stacked_tiles(spark, sf)
-    run = stacks.seed_features(stacked, derived.seeds(spark, sf), params)
-    df = run.features.select(
-        "seed_id", "lat", "lon", "n_pixels", "n_pixels_with_min_obs",
-        "mean_n_obs_baresoil", "median_n_obs_baresoil", *_FROM_STACKS,
-    )
-    return round_columns(df, _FROM_STACKS)
+    params = Params(ndvi_threshold=-0.45)
+    return _shown(stacks.seed_features(stacked, derived.seeds(spark, sf), params).features)
+
+
+@query("seed_features_from_tiles", _from_cells_sql(0.2))
+def seed_features_from_tiles(spark: SparkSession, sf: str) -> DataFrame:
+    """From per-date rasters."""
+    tiles = derived.tiles(spark, sf)
+    return _shown(tile_plans.seed_features(tiles, derived.seeds(spark, sf), PARAMS).features)

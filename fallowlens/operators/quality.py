@@ -70,16 +70,17 @@ def missing_errors(seeds: DataFrame, data: DataFrame) -> DataFrame:
     return _reason(seeds.join(present, "seed_id", "left_anti"), "no tiles")
 
 
-def shape_errors(tiles: DataFrame) -> DataFrame:
-    """Seeds whose tiles differ in bands, height or width, or contradict their data."""
+def shape_errors(tiles: DataFrame, with_data: bool = True) -> DataFrame:
+    """Seeds whose tiles differ in bands, height or width.
+
+    ``with_data`` also compares each raster's length with its shape, for which
+    the rasters have to be read.
+    """
     n = F.size("bands")
-    spread = [
-        F.min(c) != F.max(c) for c in (F.col("width"), F.col("height"), n)
-    ]
-    broken = F.bool_or(F.size("data") != n * F.col("width") * F.col("height"))
-    shaped = tiles.groupBy("seed_id").agg(
-        (reduce(lambda a, b: a | b, spread) | broken).alias("mixed")
-    )
+    mixed = [F.min(c) != F.max(c) for c in (F.col("width"), F.col("height"), n)]
+    if with_data:
+        mixed.append(F.bool_or(F.size("data") != n * F.col("width") * F.col("height")))
+    shaped = tiles.groupBy("seed_id").agg(reduce(lambda a, b: a | b, mixed).alias("mixed"))
     return _reason(shaped.filter(F.col("mixed")), "shape mismatch")
 
 

@@ -8,6 +8,7 @@ a seed at most one row per cell of its grid.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -83,16 +84,25 @@ def with_run_metadata(df: DataFrame, params: Params) -> DataFrame:
 
 @dataclass(frozen=True)
 class SeedRun:
-    """The two outcomes of a batch: a seed is in exactly one of them."""
+    """The two outcomes of a batch: a seed is in exactly one of them.
+
+    ``processed`` are the points behind the features, for cheap emptiness checks.
+    """
 
     features: DataFrame
     errors: DataFrame
+    processed: DataFrame
 
 
 def consolidate(
-    pixels: DataFrame, seeds: DataFrame, observed: DataFrame, params: Params
+    pixels: DataFrame,
+    seeds: DataFrame,
+    observed: DataFrame,
+    params: Params,
+    failed: Sequence[DataFrame] = (),
 ) -> SeedRun:
-    """Seed rows from pixel rows. ``observed`` holds the ids of seeds with data."""
+    """Seed rows from pixel rows. ``observed`` holds the ids of seeds with data,
+    ``failed`` the findings of further checks."""
     points = seeds.select("seed_id", "lat", "lon")
     stats = seed_statistics(pixels, params.min_obs, params.size)
     errors = error_table(
@@ -102,13 +112,17 @@ def consolidate(
             duplicate_errors(points),
             missing_errors(points, observed),
             grid_errors(stats.select("seed_id", "in_grid")),
+            *failed,
         ],
     )
     # The same rules again as filters: the features must not wait for the errors.
     located = points.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull())
     sound = without_errors(located, duplicate_errors(points)).join(observed, "seed_id", "left_semi")
+    for found in failed:
+        sound = without_errors(sound, found)
     rows = attach_to_seeds(sound, stats).filter(F.coalesce(F.col("in_grid"), F.lit(True)))
-    return SeedRun(with_run_metadata(rows, params).select(*seed_columns(params.bands)), errors)
+    features = with_run_metadata(rows, params).select(*seed_columns(params.bands))
+    return SeedRun(features, errors, sound)
 
 
 def seed_features(obs: DataFrame, seeds: DataFrame, params: Params) -> SeedRun:
@@ -149,6 +163,6 @@ def run_batch(obs: DataFrame, seeds: DataFrame, params: Params, out: str) -> dic
     stored = spark.read.parquet(f"{out}/pixel_features").drop("seed_lat", "seed_lon", "x", "y")
     run = consolidate(stored, seeds, series.select("seed_id").distinct(), params)
     return {
-        "features": sinks.write_seed_features(run.features, f"{out}/seed_features"),
+        "features": sinks.write_seed_features(run.features, f"{out}/seed_features", run.processed),
         "errors": sinks.write_errors(run.errors, f"{out}/errors"),
     }

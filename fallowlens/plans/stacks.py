@@ -77,4 +77,5 @@ def seed_features(stacked: DataFrame, seeds: DataFrame, params: Params) -> SeedR
     located = points.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull())
     sound = without_errors(located, duplicate_errors(points))
     rows = sound.join(stats.filter("in_grid"), "seed_id")
-    return SeedRun(with_run_metadata(rows, params).select(*seed_columns(params.bands)), errors)
+    features = with_run_metadata(rows, params).select(*seed_columns(params.bands))
+    return SeedRun(features, errors, sound.join(single.select("seed_id"), "seed_id", "left_semi"))

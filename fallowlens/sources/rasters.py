@@ -9,11 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fallowlens.functions.naming import point_name
 from fallowlens.schemas import TILES
 
 # Fixed value: acquisition day in front of the extension, e.g. 2024-06-01.tif
 DATE_IN_NAME = r"(\d{4}-\d{2}-\d{2})\.[^.]+$"
 
+# Fixed value: folder of a survey point above its files
+POINT_IN_PATH = r"/(point_[^/]+)/"
+
 RASTERS = T.StructType(
     [T.StructField("path", T.StringType()), T.StructField("date", T.DateType())]
     + [TILES[f] for f in ("width", "height", "transform", "bands", "data")]
@@ -60,3 +64,13 @@ def read_rasters(
 
     files = _files(spark, path, glob).select("path", file_date().alias("date"), "content")
     return files.mapInPandas(decode, RASTERS)
+
+
+def attach_seeds(rasters: DataFrame, seeds: DataFrame) -> DataFrame:
+    """Give each raster the ``seed_id`` of the points its folder is named after.
+
+    Seeds at one point share the files and get a row each.
+    """
+    named = rasters.withColumn("_point", F.regexp_extract("path", POINT_IN_PATH, 1))
+    points = seeds.select("seed_id", point_name(F.col("lat"), F.col("lon")).alias("_point"))
+    return named.join(points, "_point").select("seed_id", *rasters.columns)

@@ -31,9 +31,15 @@ def write_pixel_features(df: DataFrame, path: str, mode: str = "overwrite") -> N
     _parquet(df, path, mode=mode)
 
 
-def write_seed_features(df: DataFrame, path: str, mode: str = "overwrite") -> bool:
-    """One consolidated table, only if there is any row; tells whether it wrote."""
-    if df.isEmpty():
+def write_seed_features(
+    df: DataFrame, path: str, processed: DataFrame | None = None, mode: str = "overwrite"
+) -> bool:
+    """One consolidated table, only if there is any row; tells whether it wrote.
+
+    ``processed`` lists the seeds behind the rows, so that the check need not
+    compute the features.
+    """
+    if (df if processed is None else processed).isEmpty():
         return False
     _parquet(df, path, mode=mode)
     return True
@@ -41,10 +47,14 @@ def write_seed_features(df: DataFrame, path: str, mode: str = "overwrite") -> bo
 
 def write_errors(df: DataFrame, path: str, mode: str = "overwrite") -> bool:
     """CSV of failed seeds, only if there is any."""
-    if df.isEmpty():
-        return False
-    df.write.mode(mode).option("header", True).csv(path)
-    return True
+    held = df.persist()
+    try:
+        if held.isEmpty():
+            return False
+        held.write.mode(mode).option("header", True).csv(path)
+        return True
+    finally:
+        held.unpersist()
 
 
 def write_survey(df: DataFrame, csv_path: str, parquet_path: str) -> None:

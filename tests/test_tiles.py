@@ -4,11 +4,12 @@ import struct
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fallowlens.operators import grids
 from fallowlens.operators import tiles as t
 from fallowlens.schemas import STACKED_TILES, TILES
-from fallowlens.sources.rasters import discover, first_file, read_rasters
+from fallowlens.sources.rasters import attach_seeds, discover, first_file, read_rasters
 
 T0 = [10.0, 0.0, 500000.0, 0.0, -10.0, 4970000.0]
 
@@ -108,6 +109,15 @@ def test_files_are_found_dated_and_decoded(spark, tmp_path):
     for name in ("deep/2024-06-02.tif", "2024-06-01.tif", "other.tif", "notes.txt"):
         (tmp_path / name).write_bytes(body)
     files = discover(spark, str(tmp_path))
+    point = tmp_path / "point_45p500000_9p250000" / "per_date"
+    point.mkdir(parents=True)
+    (point / "2024-06-03.tif").write_bytes(body)
+    seeds = spark.createDataFrame(
+        [("a", 45.5, 9.25), ("twin", 45.5, 9.25), ("b", 1.0, 2.0)], "seed_id string, lat double, lon double"
+    )
+    owned = attach_seeds(read_rasters(spark, str(point.parent), decode), seeds)
+    assert sorted(r["seed_id"] for r in owned.collect()) == ["a", "twin"]
+    (point / "2024-06-03.tif").unlink()
     assert sorted(str(r["date"]) for r in files.collect()) == ["2024-06-01", "2024-06-02", "None"]
     assert first_file(files).first()["path"].endswith("/2024-06-01.tif")
     tiles = read_rasters(spark, str(tmp_path), decode)
@@ -156,3 +166,30 @@ def test_stack_plan_reports_and_agrees_with_exploded_pixels(spark, monkeypatch):
         for name in r.__fields__:
             want = rows[r["seed_id"]][name]
             assert r[name] == (pytest.approx(want) if isinstance(want, float) else want), name
+
+
+def test_tile_plan_orders_scenes_and_sets_mixed_shapes_apart(spark):
+    from fallowlens.plans import tiles as plan
+    from fallowlens.schemas import BANDS, Params
+
+    bare, green = (0.05, 0.07, 0.10, 0.14, 0.25, 0.20), (0.05, 0.07, 0.10, 0.40, 0.25, 0.20)
+    names = list(BANDS)
+
+    def flat(values, n=1):
+        return [v for v in values for _ in range(n)]
+
+    rows = [
+        ("a", dt.date(2024, 6, 1), 1, 1, T0, names, flat(bare), 1),
+        ("a", dt.date(2024, 6, 2), 1, 1, T0, names, flat(bare), 1),
+        ("a", dt.date(2024, 6, 2), 1, 1, T0, names, flat(green), 2),
+        ("a", dt.date(2024, 7, 1), 1, 1, T0, names, flat(bare), 1),
+        ("b", dt.date(2024, 6, 1), 1, 1, T0, names, flat(bare), 1),
+        ("b", dt.date(2024, 6, 2), 2, 1, T0, names, flat(bare, 2), 1),
+    ]
+    schema = T.StructType(TILES.fields + [T.StructField("scene_idx", T.LongType())])
+    tiles = spark.createDataFrame(rows, schema)
+    seeds = spark.createDataFrame([("a", 45.0, 9.0), ("b", 45.0, 9.0)], "seed_id string, lat double, lon double")
+    run = plan.seed_features(tiles, seeds, Params(min_obs=1), order="scene_idx")
+    got = run.features.collect()
+    assert [(r["seed_id"], r["n_pixels"], r["mean_n_obs_baresoil"]) for r in got] == [("a", 1, 1.0)]
+    assert [(r["seed_id"], r["error"]) for r in run.errors.collect()] == [("b", "shape mismatch")]
