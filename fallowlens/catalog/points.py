@@ -143,12 +143,12 @@ def mosaic_names(spark: SparkSession, sf: str) -> DataFrame:
     q.with_(q.SEEDS)
     + "select seed_id, lat, lon from seeds where (lat, lon) not in ("
     "select 44 + (s_suppkey % 100) / 1e2, 8 + (s_suppkey % 50) / 25e0 from supplier "
-    "where s_acctbal > 0 and s_nationkey <> 0)",
+    "where s_acctbal > 8000 and s_nationkey <> 0)",
 )
 def skip_done_query(spark: SparkSession, sf: str) -> DataFrame:
     """Seeds whose point has no finished extraction yet.
 
-    The manifest counts tiles by account balance; nation 0 lacks its band list.
+    The manifest has a tile per unit of balance above 8000; nation 0 lacks its bands.
     """
     supplier = derived.table(spark, sf, "supplier")
     k = F.col("s_suppkey")
@@ -156,7 +156,7 @@ def skip_done_query(spark: SparkSession, sf: str) -> DataFrame:
         derived.seed_name(k).alias("seed_id"),
         (44 + (k % 100) / F.lit(1e2)).alias("lat"),
         (8 + (k % 50) / F.lit(25.0)).alias("lon"),
-        F.ceil("s_acctbal").alias("n_tiles"),
+        F.ceil(F.greatest(F.col("s_acctbal") - 8000, F.lit(0))).alias("n_tiles"),
         F.when(F.col("s_nationkey") != 0, F.lit("B02")).alias("bands"),
     )
     manifest = with_work_key(points, Params())

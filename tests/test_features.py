@@ -215,3 +215,23 @@ def test_single_seed_run_equals_batch(spark):
     got = one.features.first()
     for name in got.__fields__:
         assert got[name] == (pytest.approx(want[name]) if isinstance(want[name], float) else want[name])
+
+
+def test_single_point_layouts(spark):
+    from fallowlens.plans import single_point as sp
+
+    data = obs(
+        spark,
+        [("a", 0, 0, 1, 1, 10, BARE), ("a", 0, 0, 2, 1, 10, BARE), ("a", 0, 1, 1, 1, 10, BARE)],
+    )
+    params = Params(size=(2, 1))
+    run = sp.aggregate_point(batch.daily_pixels(data, params), seeds(spark, "a"), params)
+    assert len(run.series.columns) == 17 and run.series.count() == 3
+    assert run.pixels.columns == pixel_columns()
+    assert [r["n_obs_baresoil"] for r in run.pixels.orderBy("col").collect()] == [2, None]
+    grids = {r["band"]: r["grid"] for r in run.composite.collect()}
+    assert grids["B04"] == [[pytest.approx(0.10), 0.0]]
+    assert run.maps.first()["n_obs"] == [[2, 0]]
+    row = sp.point_row(batch.seed_features(data, seeds(spark, "a"), params).features, params)
+    assert row.columns[:6] == ["lat", "lon", "window_m", "start_date", "end_date", "min_obs_baresoil"]
+    assert len(row.columns) == 118 and row.first()["n_pixels"] == 2
