@@ -13,7 +13,7 @@ counted as (
     cast(l_quantity as int) as q
   from lineitem),
 obs as (
-  select concat('seed_', lpad(cast(l_suppkey as varchar), 4, '0')) as seed_id,
+  select printf('seed_%04d', l_suppkey) as seed_id,
     cast(l_partkey % 10 as int) as "row", cast((l_partkey // 10) % 10 as int) as col,
     date '2024-06-01' + cast(date_diff('day', date '1992-01-01', cast(l_shipdate as date)) % 30 as int) as acq_date,
     (((l_orderkey * 8 + l_linenumber) * 64 + case when nod then 0 else q end) * 16
@@ -31,8 +31,8 @@ obs as (
 
 SEEDS = """
 seeds as (
-  select concat('seed_', lpad(cast(s_suppkey as varchar), 4, '0')) as seed_id,
-    44 + (s_suppkey % 100) / 1e2 as lat, 8 + (s_suppkey % 50) / 25e0 as lon, s_suppkey as k
+  select printf('seed_%04d', s_suppkey) as seed_id,
+    44 + (s_suppkey % 100) / 1e2 as lat, 8 + (s_suppkey % 50) / 25e0 as lon, s_acctbal as balance
   from supplier)"""
 
 NDVI = "case when B08 + B04 <> 0 then (B08 - B04) / (B08 + B04) end"

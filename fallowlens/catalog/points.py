@@ -73,7 +73,7 @@ def utm_window_next_zone(spark: SparkSession, sf: str) -> DataFrame:
 _WINDOWS = """
 windows as (
   select seed_id, cx - 35 as minx, cy - 35 as miny, cx + 35 as maxx, cy + 35 as maxy from (
-    select concat('seed_', lpad(cast(s_suppkey as varchar), 4, '0')) as seed_id,
+    select printf('seed_%04d', s_suppkey) as seed_id,
       500050e0 + 1000 * (s_suppkey - s_suppkey % 4) + 20 * (s_suppkey % 3) as cx,
       4969950e0 - 20 * (s_suppkey % 2) as cy
     from supplier))"""

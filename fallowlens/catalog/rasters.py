@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fallowlens.catalog import fragments as q
@@ -137,29 +137,45 @@ def band_order(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-_BROKEN = """
-supplied as (
-  select s.*, k % 3 as k3, k % 5 as k5, k % 7 as k7 from seeds s)"""
+# Faults are placed by account balance of the seed's supplier.
+NO_PLACE = (-10000.0, 600.0)
+NO_DATES = (1500.0, 2000.0)
+CUT_DATA = (1900.0, 3100.0)
+UNEVEN = (4000.0, 5000.0)
+TWICE = (6000.0, 7000.0)
+
+
+def _within(band: tuple[float, float]) -> Column:
+    return (F.col("balance") >= band[0]) & (F.col("balance") < band[1])
+
+
+def _sql_within(band: tuple[float, float]) -> str:
+    return f"(balance >= {band[0]} and balance < {band[1]})"
+
+
+def _balances(spark: SparkSession, sf: str) -> DataFrame:
+    return derived.table(spark, sf, "supplier").select(
+        derived.seed_name(F.col("s_suppkey")).alias("seed_id"), F.col("s_acctbal").alias("balance")
+    )
 
 
 def _broken_stacks(spark: SparkSession, sf: str) -> DataFrame:
     """Stacks of which some lost their dates and some a part of their rasters."""
-    k = F.regexp_extract("seed_id", r"(\d+)$", 1).cast("bigint")
-    stacks = derived.stacked_tiles(spark, sf)
+    stacks = derived.stacked_tiles(spark, sf).join(_balances(spark, sf), "seed_id")
     return stacks.withColumns(
         {
-            "userdata": F.when(k % 3 == 0, F.lit("{}")).otherwise(F.col("userdata")),
-            "data": F.when(k % 5 == 0, F.slice("data", 1, 100)).otherwise(F.col("data")),
+            "userdata": F.when(_within(NO_DATES), F.lit("{}")).otherwise(F.col("userdata")),
+            "data": F.when(_within(CUT_DATA), F.slice("data", 1, 100)).otherwise(F.col("data")),
         }
-    )
+    ).drop("balance")
 
 
 @query(
     "stack_validation",
-    q.with_(q.OBS, q.SEEDS, _BROKEN)
-    + "select seed_id, lat, lon, case when k3 = 0 then 'acquisition dates missing' "
-    "else 'band count mismatch' end as error "
-    "from supplied where seed_id in (select seed_id from obs) and (k3 = 0 or k5 = 0)",
+    q.with_(q.OBS, q.SEEDS)
+    + f"select seed_id, lat, lon, case when {_sql_within(NO_DATES)} then 'acquisition dates missing' "
+    "else 'band count mismatch' end as error from seeds "
+    f"where seed_id in (select seed_id from obs) and ({_sql_within(NO_DATES)} or {_sql_within(CUT_DATA)})",
 )
 def stack_validation(spark: SparkSession, sf: str) -> DataFrame:
     found = quality.stack_errors(_broken_stacks(spark, sf), len(BANDS))
@@ -168,46 +184,40 @@ def stack_validation(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "error_quarantine",
-    q.with_(q.OBS, q.SEEDS, _BROKEN)
-    + """, listed as (
-  select seed_id, case when k7 = 0 then null else lat end as lat, lon, k3, k5 from supplied
-  union all select concat('seed_n', cast(n_nationkey as varchar)), 40 + n_nationkey / 1e1, 9e0, 1, 1 from nation
-  union all select seed_id, lat, lon, k3, k5 from supplied where k5 = 1),
-counted_ids as (select seed_id, count(*) as n, count(*) filter (lat is null) as n_null from listed group by seed_id),
+    q.with_(q.OBS, q.SEEDS)
+    + f""", listed as (
+  select seed_id, case when {_sql_within(NO_PLACE)} then null else lat end as lat, lon, balance from seeds
+  union all select concat('seed_n', cast(n_nationkey as varchar)), 40 + n_nationkey / 1e1, 9e0, null from nation
+  union all select seed_id, lat, lon, balance from seeds where {_sql_within(TWICE)}),
+ids as (select seed_id, count(*) as n, count(*) filter (lat is null) as n_null from listed group by seed_id),
 reasons as (
-  select seed_id, case
+  select l.seed_id, l.lat, l.lon, case
     when n_null > 0 then 'missing coordinates'
     when n > 1 then 'duplicate seed_id'
-    when seed_id not in (select seed_id from obs) then 'no tiles'
-    end as plain
-  from counted_ids)
-select l.seed_id, l.lat, l.lon, case
-    when plain in ('missing coordinates', 'duplicate seed_id') then plain
-    when plain = 'no tiles' then plain
-    when k3 = 0 then 'acquisition dates missing'
-    when k5 = 0 then 'band count mismatch'
-    when k5 = 2 then 'shape mismatch' end as error
-from listed l join reasons r on l.seed_id = r.seed_id
-where plain is not null or k3 = 0 or k5 = 0 or k5 = 2""",
+    when l.seed_id not in (select seed_id from obs) then 'no tiles'
+    when {_sql_within(NO_DATES)} then 'acquisition dates missing'
+    when {_sql_within(CUT_DATA)} then 'band count mismatch'
+    when {_sql_within(UNEVEN)} then 'shape mismatch' end as error
+  from listed l join ids i on l.seed_id = i.seed_id)
+select seed_id, lat, lon, error from reasons where error is not null""",
 )
 def error_quarantine(spark: SparkSession, sf: str) -> DataFrame:
     """All reasons together; each failing seed row carries its first one."""
-    k = F.regexp_extract("seed_id", r"(\d+)$", 1).cast("bigint")
-    base = derived.seeds(spark, sf).select("seed_id", "lat", "lon")
+    base = derived.seeds(spark, sf).join(_balances(spark, sf), "seed_id").drop("transform")
     extra = derived.table(spark, sf, "nation").select(
         F.concat(F.lit("seed_n"), F.col("n_nationkey").cast("string")).alias("seed_id"),
         (40 + F.col("n_nationkey") / F.lit(10.0)).alias("lat"),
         F.lit(9.0).alias("lon"),
+        F.lit(None).cast("double").alias("balance"),
     )
     seeds = (
-        base.withColumn("lat", F.when(k % 7 != 0, F.col("lat")))
+        base.withColumn("lat", F.when(~_within(NO_PLACE), F.col("lat")))
         .unionByName(extra)
-        .unionByName(base.filter(k % 5 == 1))
-    )
-    tiles = derived.tiles(spark, sf)
-    uneven = tiles.withColumn(
-        "height", F.when((k % 5 == 2) & (F.dayofmonth("date") > 15), 9).otherwise(F.col("height"))
+        .unionByName(base.filter(_within(TWICE)))
     )
+    tiles = derived.tiles(spark, sf).join(_balances(spark, sf), "seed_id")
+    late = _within(UNEVEN) & (F.dayofmonth("date") > 15)
+    uneven = tiles.withColumn("height", F.when(late, 9).otherwise(F.col("height")))
     found = [
         quality.coordinate_errors(seeds),
         quality.duplicate_errors(seeds),

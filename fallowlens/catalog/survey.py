@@ -147,15 +147,13 @@ def lookup_describe(spark: SparkSession, sf: str) -> DataFrame:
     + ", "
     + sql_rounded('"NDVI_mean_bs_space_std"', "NDVI_mean_bs_space_std")
     + ", OC, NUTS from seeds s left join stats t on s.seed_id = t.seed_id "
-    "join joined j on s.seed_id = concat('seed_', lpad(j.POINT_ID, 4, '0')) "
-    "where s.seed_id in (select seed_id from chosen) and length(j.POINT_ID) <= 4",
+    "join joined j on s.seed_id = printf('seed_%04d', cast(j.POINT_ID as bigint)) "
+    "where s.seed_id in (select seed_id from chosen)",
 )
 def training(spark: SparkSession, sf: str) -> DataFrame:
     """Seed features with laboratory values; survey point n belongs to seed n."""
     survey = prepare_seeds(derived.survey_values(spark, sf), derived.survey_coords(spark, sf))
-    survey = survey.filter(F.length("POINT_ID") <= 4).withColumn(
-        "seed_id", derived.seed_name(F.col("POINT_ID"))
-    )
+    survey = survey.withColumn("seed_id", derived.seed_name(F.col("POINT_ID")))
     run = batch.seed_features(derived.scene_obs(spark, sf), derived.seeds(spark, sf), PARAMS)
     names = ["B04_median_bs_space_median", "NDVI_mean_bs_space_std"]
     table = training_table(run.features.select("seed_id", "lat", "lon", "n_pixels", *names), survey)

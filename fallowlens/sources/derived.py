@@ -17,7 +17,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def seed_name(key: Column) -> Column:
-    return F.concat(F.lit("seed_"), F.lpad(key.cast("string"), 4, "0"))
+    """``seed_0007``; longer keys keep all their digits."""
+    digits = key.cast("string")
+    return F.concat(F.lit("seed_"), F.lpad(digits, F.greatest(F.length(digits), F.lit(4)), F.lit("0")))
 
 
 def scene_obs(spark: SparkSession, sf_dir: str) -> DataFrame:
