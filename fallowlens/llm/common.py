@@ -57,6 +57,11 @@ def words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "replace").split() if text else []
 
 
+def lowered_words(text: str | None) -> list[bytes]:
+    """The words of a text after A-Z are lower-cased."""
+    return text.encode("utf-8", "replace").lower().split() if text else []
+
+
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """The batch's texts; null becomes the empty text."""
     return [t or "" for t in batch.column(column).to_pylist()]

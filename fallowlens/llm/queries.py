@@ -63,6 +63,39 @@ def _op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+REPEATS_SQL = """
+with pieces as (
+  select doc_id, unnest(str_split(regexp_replace(text, '([.!?] |\\n)', '\\1' || chr(1), 'g'), chr(1))) as piece,
+         generate_subscripts(str_split(regexp_replace(text, '([.!?] |\\n)', '\\1' || chr(1), 'g'), chr(1)), 1) as k
+  from documents where text is not null and doc_id is not null
+), placed as (
+  select *, coalesce(sum(length(piece)) over (partition by doc_id order by k rows between unbounded preceding and 1 preceding), 0) as start,
+    trim(regexp_replace(translate(piece, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \\t\\n\\r\\v\\f]+', ' ', 'g'), ' ') as unit
+  from pieces
+), units as (
+  select *, row_number() over (partition by doc_id order by k) as idx, length(unit) - length(replace(unit, ' ', '')) + 1 as words,
+    row_number() over (partition by unit order by doc_id, k) as occurrence,
+    first_value(doc_id) over (partition by unit order by doc_id, k) as kept_doc_id,
+    first_value(start) over (partition by unit order by doc_id, k) as kept_start
+  from placed where unit <> ''
+), repeated as (
+  select *, idx - row_number() over (partition by doc_id order by idx) as run from units where occurrence > 1
+), runs as (
+  select *, sum(words) over (partition by doc_id, run) as run_words from repeated
+)
+select doc_id, start::bigint as unit_start, (start + length(piece))::bigint as unit_end, words::bigint as n_words, kept_doc_id,
+  kept_start::bigint as kept_start
+from runs where run_words >= 20
+"""
+
+
+@query("op3_repeated_units", REPEATS_SQL)
+def _op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fallowlens.llm import repeats
+
+    return repeats.repeated_units(table(spark, sf_dir, "documents"))
+
+
 @query("op4_token_counts")
 def _op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
@@ -87,6 +120,13 @@ def _op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_id(table(spark, sf_dir, "documents"))
 
 
+@query("op9_near_duplicates")
+def _op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fallowlens.llm import near_dedup
+
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), params=near_dedup.Params(percent=85))
+
+
 MIXING_SQL = """
 with sizes as (
   select source, sum(coalesce(octet_length(encode(text)), 0)) as bytes from documents group by source
