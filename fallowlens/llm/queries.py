@@ -63,6 +63,13 @@ def _op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@query("op2_toxicity")
+def _op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fallowlens.llm import toxicity
+
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 REPEATS_SQL = """
 with pieces as (
   select doc_id, unnest(str_split(regexp_replace(text, '([.!?] |\\n)', '\\1' || chr(1), 'g'), chr(1))) as piece,
@@ -120,6 +127,13 @@ def _op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_id(table(spark, sf_dir, "documents"))
 
 
+@query("op8_language_model")
+def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fallowlens.llm import language_model
+
+    return language_model.score_texts(table(spark, sf_dir, "documents"))
+
+
 @query("op9_near_duplicates")
 def _op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fallowlens.llm import near_dedup
