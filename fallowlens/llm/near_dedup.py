@@ -314,7 +314,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     blocks = F.ceil(F.greatest(F.col("n") / params.group_block, F.col("total") / params.block_shingles))
     sized = members.join(load.select("gid", blocks.alias("parts")), "gid").select("id", "gid", "parts")
     texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
-    groups = blocked(texts.join(sized, "id").select("gid", "parts", "id", "text"), "gid", F.col("parts"))
+    # members grow with the documents, so they are joined alike at every size, never broadcast
+    groups = blocked(texts.join(sized.hint("merge"), "id").select("gid", "parts", "id", "text"), "gid", F.col("parts"))
     linked = components(confirmed_edges(groups, params).distinct())
     labelled = classes.join(linked, classes["cid"] == linked["id"], "left").select(
         F.col("digest").alias("d"), F.coalesce("label", "cid").alias("label")
@@ -333,4 +334,4 @@ def keep_one_each(docs: DataFrame, params: Params | None = None) -> DataFrame:
     Rows with a null id stay all; of rows that share an id, all stay if it is kept.
     """
     gone = near_duplicates(docs, params=params).where("not kept").select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["gone_id"], "left_anti")
+    return docs.join(gone.hint("merge"), docs["doc_id"] == gone["gone_id"], "left_anti")

@@ -112,6 +112,13 @@ def _op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query("op5_benchmark_contamination")
+def _op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fallowlens.llm import decontaminate
+
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op6_quality_rules")
 def _op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fallowlens.llm import quality
