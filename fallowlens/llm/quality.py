@@ -18,8 +18,9 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fallowlens.llm.common import maybe_broadcast, rows, stored, texts_of
@@ -153,6 +154,26 @@ def cutoffs(measured: DataFrame, labels: DataFrame, label_id: str, good: str, pa
     )
 
 
+def limits(measured: DataFrame, labels: DataFrame, label_id: str, good: str, params: Params) -> DataFrame:
+    """(stratum, limits): each stratum's cutoffs as a map by rule."""
+    chosen = cutoffs(measured, labels, label_id, good, params)
+    entries = F.map_from_entries(F.collect_list(F.struct("rule", "cutoff")))
+    return maybe_broadcast(stored(chosen.groupBy("stratum").agg(entries.alias("limits")), "quality-limits"))
+
+
+def base_failed(params: Params) -> Column:
+    return (F.col("n_words") < params.min_words) | (
+        100 * F.col("n_repeat_words") > params.max_repeat_percent * F.col("n_words")
+    )
+
+
+def failed_rules(params: Params) -> Column:
+    """Names of the rules whose cutoff in ``limits`` the row's signals reach."""
+    reached = [F.floor(F.col(r) * params.bins) / params.bins >= F.element_at("limits", r) for r in RULES]
+    names = F.array(*(F.when(x, F.lit(r)) for r, x in zip(RULES, reached)))
+    return F.coalesce(F.array_compact(names), F.array().cast("array<string>"))
+
+
 def quality_rules(
     docs: DataFrame,
     labels: DataFrame,
@@ -172,31 +193,34 @@ def quality_rules(
     """
     params = params or Params()
     measured = stored(features(docs, doc_id, text, stratum), "quality-features")
-    chosen = cutoffs(measured, labels, label_id, good, params)
-    per_stratum = maybe_broadcast(
-        stored(chosen.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "cutoff"))).alias("limits")),
-               "quality-limits")
-    )
-    failed = F.array(*(
-        F.when(F.floor(F.col(r) * params.bins) / params.bins >= F.element_at("limits", r), F.lit(r)) for r in RULES
-    ))
-    base = (F.col("n_words") < params.min_words) | (
-        100 * F.col("n_repeat_words") > params.max_repeat_percent * F.col("n_words")
-    )
     return (
-        measured.join(per_stratum, "stratum", "left")
-        .select("id", *COUNTS, base.alias("base_failed"),
-                F.coalesce(F.array_compact(failed), F.array().cast("array<string>")).alias("failed_rules"))
+        measured.join(limits(measured, labels, label_id, good, params), "stratum", "left")
+        .select("id", *COUNTS, base_failed(params).alias("base_failed"), failed_rules(params).alias("failed_rules"))
         .select(F.col("id").alias(doc_id), *COUNTS, "base_failed",
                 (~F.col("base_failed") & (F.size("failed_rules") == 0)).alias("kept"), "failed_rules")
     )
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, params: Params | None = None) -> DataFrame:
-    """The documents that pass, with their own columns. See ``quality_rules``.
+def keep_good(
+    docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", stratum: str = "lang", params: Params | None = None
+) -> DataFrame:
+    """The documents that pass, with their own columns; every row is judged by itself.
 
-    Verdicts are joined by doc_id; rows that share an id are kept if one of them
-    passes, and rows with a null id, which no verdict can name, are judged as one.
+    Only measures are gathered for the cutoffs. The texts are measured again where they
+    are filtered, which is cheaper than moving them to their verdicts.
     """
-    verdicts = quality_rules(docs, labels, params=params).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(verdicts, docs["doc_id"].eqNullSafe(verdicts["kept_id"]), "left_semi")
+    params = params or Params()
+    measured = stored(features(docs, doc_id, text, stratum), "quality-features")
+    per_stratum = limits(measured, labels, "doc_id", "quality", params)
+    ddl = ", ".join([*(f"{n} long" for n in COUNTS), *(f"{n} double" for n in RULES)])
+
+    @F.pandas_udf(f"struct<{ddl.replace(' ', ':').replace(',:', ', ')}>")
+    def measures(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([measure(t or "") for t in texts], columns=[*COUNTS, *RULES])
+
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    packed = docs.select(
+        row, F.coalesce(F.col(stratum).cast("string"), F.lit("-")).alias("own_stratum"), measures(F.col(text)).alias("m")
+    ).select("row", "own_stratum", "m.*")
+    judged = packed.join(per_stratum, packed["own_stratum"] == per_stratum["stratum"], "left")
+    return judged.where(~base_failed(params) & (F.size(failed_rules(params)) == 0)).select("row.*")

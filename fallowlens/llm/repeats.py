@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fallowlens.llm.common import rows, texts_of
+from fallowlens.llm.common import rows, stored, texts_of
 
 _ENDS = re.compile(r"(?<=[.!?] )|(?<=\n)")
 
@@ -80,18 +80,20 @@ def repeated_units(
     params = params or Params()
     found = _unit_rows(docs, doc_id, text)
     fresh = ~F.col("again")
-    kept = (
+    # stored, so that the join deals both sides anew and Spark can split a digest that is common
+    kept = stored(
         found.groupBy("digest")
         .agg(F.min("id").alias("kept_doc_id"),
              F.min_by(F.when(fresh, F.col("start")), F.when(fresh, F.col("id"))).alias("kept_start"),
              F.count(F.lit(1)).alias("n"))
-        .where("n > 1").drop("n")
+        .where("n > 1").drop("n"),
+        "repeated-units",
     )
     own = ["id", "text_key"]
     order = Window.partitionBy(*own).orderBy("idx")
     run = Window.partitionBy(*own, "run")
     repeated = (
-        found.join(kept, "digest").where(F.col("again") | (F.col("id") > F.col("kept_doc_id")))
+        found.join(kept.hint("merge"), "digest").where(F.col("again") | (F.col("id") > F.col("kept_doc_id")))
         .drop("digest", "again")
         .repartition(*own).distinct()
         .withColumn("run", F.col("idx") - F.row_number().over(order))
@@ -121,7 +123,7 @@ def remove_repeats(
     packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
     own_text = F.col(f"row.`{text}`")
     joined = packed.join(
-        spans, (F.col(f"row.`{doc_id}`") == F.col("span_id")) & (F.xxhash64(own_text) == F.col("span_key")), "left"
+        spans.hint("merge"), (F.col(f"row.`{doc_id}`") == F.col("span_id")) & (F.xxhash64(own_text) == F.col("span_key")), "left"
     )
     starts = F.concat(F.array(F.lit(0).cast("long")), F.transform("spans", lambda s: s["unit_end"]))
     ends = F.concat(F.transform("spans", lambda s: s["unit_start"]), F.array(F.length(own_text).cast("long")))
