@@ -1,0 +1,112 @@
+"""Nulls, empty and long texts, repeated rows, clashing extra columns and empty tables."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from fallowlens.llm import (
+    decontaminate, language_id, language_model, mixing, near_dedup, quality, repeats, token_counts, toxicity, warc,
+)
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id string, row int, label double, n int, copy string, m int"
+
+
+def rows():
+    long = " ".join(f"word{i % 977} of the long text number {i}." for i in range(20_000))
+    some = "The quick brown fox jumps over the lazy dog near the river bank. " * 3
+    plain = [
+        (1, some, "en", "a"), (1, some, "en", "a"), (2, None, "en", "a"), (3, "", None, None), (None, some, None, "b"),
+        (None, None, None, None), (4, long, "en", "a"), (5, "...!!", "de", "b"), (6, "eins zwei drei vier", "de", "b"),
+        (7, "\n\n \t", "de", "b"), (8, "eins zwei drei vier", "de", None), (-9, "Größe 日本語 \x01   end", "fr", "c"),
+    ]
+    return [(*r, len(r[1] or ""), "x", 1, 0.5, 2, "c", 3) for r in plain]
+
+
+def tables(spark, kind):
+    docs = spark.createDataFrame(rows() if kind == "odd" else [], SCHEMA)
+    labels = spark.createDataFrame(
+        [(1, 1, 0), (1, 0, 1), (None, 1, 1), (4, None, None), (99, 1, 0)] if kind == "odd" else [], "doc_id long, quality int, toxic int"
+    )
+    bench = spark.createDataFrame(
+        [(1, rows()[0][1]), (1, rows()[0][1]), (2, None), (None, "a b"), (3, "")] if kind == "odd" else [], "item_id long, text string"
+    )
+    return docs, labels, bench
+
+
+def tokenizer():
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+ROW_FOR_ROW = {
+    "tokens": lambda d, l, b: token_counts.token_counts(d, tokenizer()),
+    "quality": lambda d, l, b: quality.quality_rules(d, l),
+    "language": lambda d, l, b: language_id.language_id(d),
+    "model": lambda d, l, b: language_model.score_texts(d),
+    "near": lambda d, l, b: near_dedup.near_duplicates(d),
+    "toxicity": lambda d, l, b: toxicity.toxicity(d, l),
+    "warc": lambda d, l, b: warc.page_records(d, "doc_id", "lang", "text"),
+}
+OTHERS = {
+    "repeats": lambda d, l, b: repeats.repeated_units(d),
+    "contaminated": lambda d, l, b: decontaminate.contaminated(d, b),
+    "mixing": lambda d, l, b: mixing.mix_sources(d),
+}
+STAGES = {
+    "keep_good": lambda d, l, b: quality.keep_good(d, l),
+    "keep_one_each": lambda d, l, b: near_dedup.keep_one_each(d),
+    "remove_repeats": lambda d, l, b: repeats.remove_repeats(d),
+    "keep_clean": lambda d, l, b: decontaminate.keep_clean(d, b),
+}
+
+
+@pytest.mark.parametrize("name", ROW_FOR_ROW)
+@pytest.mark.parametrize("kind", ["odd", "empty"])
+def test_a_row_for_every_row(spark, name, kind):
+    tables_ = tables(spark, kind)
+    out = ROW_FOR_ROW[name](*tables_).collect()
+    assert sorted(str(r.doc_id) for r in out) == sorted(str(r.doc_id) for r in tables_[0].collect())
+    by_id = {}
+    for r in out:
+        by_id.setdefault(r.doc_id, []).append(r)
+    if kind == "odd" and name != "warc":
+        assert by_id[1][0] == by_id[1][1]
+
+
+@pytest.mark.parametrize("name", [*OTHERS, *STAGES])
+@pytest.mark.parametrize("kind", ["odd", "empty"])
+def test_odd_tables_do_not_crash(spark, name, kind):
+    out = (OTHERS | STAGES)[name](*tables(spark, kind))
+    found = out.collect()
+    if name in STAGES:
+        assert out.columns == tables(spark, kind)[0].columns
+    if kind == "empty":
+        assert found == []
+
+
+def test_defined_results(spark):
+    docs, labels, bench = tables(spark, "odd")
+    get = lambda df: {r.doc_id: r for r in df.collect()}
+    tokens = get(ROW_FOR_ROW["tokens"](docs, labels, bench))
+    assert (tokens[2].n_tokens, tokens[2].n_bytes, tokens[3].n_tokens) == (0, 0, 0) and tokens[4].over_limit
+    judged = get(ROW_FOR_ROW["quality"](docs, labels, bench))
+    assert not judged[2].kept and judged[2].base_failed and judged[3].n_words == 0
+    langs = get(ROW_FOR_ROW["language"](docs, labels, bench))
+    assert {langs[i].lang_pred for i in (2, 3, 5, 7)} == {"und"}
+    scored = get(ROW_FOR_ROW["model"](docs, labels, bench))
+    assert scored[2].n_tokens == scored[3].n_tokens == 1 and scored[2].score == scored[3].score < 0
+    near = get(ROW_FOR_ROW["near"](docs, labels, bench))
+    assert near[8].component_id == 6 and not near[8].kept and near[2].n_shingles == 0 and near[2].kept and near[None].kept
+    toxic = get(ROW_FOR_ROW["toxicity"](docs, labels, bench))
+    assert toxic[2].score == toxic[3].score and toxic[2].predicted == int(toxic[2].score >= 0.5)
+    hit = OTHERS["contaminated"](docs, labels, bench).collect()
+    assert sorted(str(r.doc_id) for r in hit) == ["1", "1", "None"] and {r.item_id for r in hit} == {1}
+    assert OTHERS["repeats"](docs, labels, bench).where("doc_id is null").count() == 0
+    kept = STAGES["keep_clean"](docs, labels, bench)
+    assert kept.count() == docs.count() - 3
+
+
+def test_sources_without_bytes_are_left_out(spark):
+    docs, *_ = tables(spark, "odd")
+    mixed = OTHERS["mixing"](docs.withColumn("source", F.lit("s")).where("coalesce(text, '') = ''"), None, None)
+    assert mixed.count() == 0 and mixed.columns[-1] == "copy"
