@@ -24,7 +24,7 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 def _canonical(df: pd.DataFrame) -> list[tuple]:
     def text(v) -> str:
-        if v is None or v is pd.NaT or (isinstance(v, float) and v != v):
+        if v is None or v is pd.NaT or v is pd.NA or (isinstance(v, float) and v != v):
             return "NULL"
         if hasattr(v, "isoformat"):
             return v.isoformat()[:10]
