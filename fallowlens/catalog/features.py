@@ -11,7 +11,7 @@ from fallowlens.functions.indices import add_indices
 from fallowlens.operators.bare_soil import bare_soil_only, flag_bare_soil
 from fallowlens.operators.quality import error_table, missing_errors
 from fallowlens.operators.spatial import pixel_coverage, seed_statistics
-from fallowlens.plans import batch
+from fallowlens.plans import batch, points, single_point
 from fallowlens.schemas import (
     BANDS,
     INDICES,
@@ -24,7 +24,7 @@ from fallowlens.schemas import (
 from fallowlens.sources import derived
 from fallowlens.streaming.incremental import merge_runs
 
-PARAMS = Params()
+PARAMS = Params(size=(10, 10))
 SPARSE = Params(ndvi_threshold=-0.5)
 
 _TEMPORAL = temporal_names()
@@ -142,7 +142,7 @@ def _seed_sql(params: Params) -> str:
         q.with_(
             q.OBS,
             q.SEEDS,
-            q.selected(params.max_cloud),
+            q.selected(params.max_cloud, params.start_date, params.end_date),
             q.daily("chosen"),
             q.indexed(),
             q.pixels(params.ndvi_threshold),
@@ -163,42 +163,6 @@ def seed_features_empty_seed(spark: SparkSession, sf: str) -> DataFrame:
     return round_columns(_seed_run(spark, sf, SPARSE).features, _SPATIAL + _COUNT_STATS)
 
 
-@query(
-    "single_point_features",
-    q.with_(
-        q.OBS,
-        q.SEEDS,
-        q.selected(PARAMS.max_cloud),
-        q.daily("chosen"),
-        q.indexed(),
-        q.pixels(0.2),
-        q.seed_stats(2),
-    )
-    + "select s.seed_id, n_pixels, n_pixels_with_min_obs, "
-    + sql_rounded('"NDVI_median_bs_space_mean"', "ndvi_mean")
-    + " from stats t join seeds s on s.seed_id = t.seed_id "
-    + "where s.seed_id = (select min(seed_id) from seeds)",
-)
-def single_point_features(spark: SparkSession, sf: str) -> DataFrame:
-    """One seed through the single-seed run: the first one by id."""
-    first = derived.seeds(spark, sf).orderBy("seed_id").first()
-    run = batch.run_one_seed(
-        derived.scene_obs(spark, sf),
-        first["seed_id"],
-        first["lat"],
-        first["lon"],
-        first["transform"],
-        PARAMS,
-    )
-    df = run.features.select(
-        "seed_id",
-        "n_pixels",
-        "n_pixels_with_min_obs",
-        F.col("NDVI_median_bs_space_mean").alias("ndvi_mean"),
-    )
-    return round_columns(df, ["ndvi_mean"])
-
-
 @query(
     "pixel_coverage",
     q.with_(
@@ -218,24 +182,100 @@ def coverage(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+JUNE = (Params(end_date="2024-06-15"), Params(start_date="2024-06-16", ndvi_threshold=0.1))
+
+
 @query(
     "merged_runs",
-    q.with_(q.OBS)
-    + "select seed_id, count(*) as n_obs, max(B08) as max_b08, cast(null as double) as max_b11 "
-    "from obs where cloud_cover <= 20 group by seed_id union all "
-    "select seed_id, count(*), null, max(B11) from obs where cloud_cover > 20 group by seed_id",
+    " union all ".join(f"select * from ({_seed_sql(p)})" for p in JUNE),
 )
 def merged_runs(spark: SparkSession, sf: str) -> DataFrame:
-    """Results of two runs with different columns, aligned by name."""
-    obs = derived.scene_obs(spark, sf)
-    runs = [
-        obs.filter(keep).groupBy("seed_id").agg(F.count("*").alias("n_obs"), F.max(b).alias(name))
-        for keep, b, name in (
-            (F.col("cloud_cover") <= 20, "B08", "max_b08"),
-            (F.col("cloud_cover") > 20, "B11", "max_b11"),
-        )
-    ]
-    return merge_runs(*runs)
+    """Features of two runs over the halves of a month."""
+    merged = merge_runs(*[_seed_run(spark, sf, p).features for p in JUNE])
+    return round_columns(merged, _SPATIAL + _COUNT_STATS)
+
+
+_ONE = "(select min(seed_id) from seeds)"
+_POINT_CTES = (
+    q.OBS, q.SEEDS, q.selected(PARAMS.max_cloud), q.daily("chosen"), q.indexed(), q.pixels(0.2), q.seed_stats(2),
+)
+
+
+def _point(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Selected observations and the row of the seed with the smallest id."""
+    seeds = derived.seeds(spark, sf)
+    one = seeds.join(seeds.agg(F.min("seed_id").alias("seed_id")), "seed_id", "left_semi")
+    return derived.scene_obs(spark, sf).join(one.select("seed_id"), "seed_id", "left_semi"), one
+
+
+def _point_run(spark: SparkSession, sf: str) -> single_point.PointRun:
+    obs, one = _point(spark, sf)
+    return single_point.aggregate_point(batch.daily_pixels(obs, PARAMS), one, PARAMS)
+
+
+@query(
+    "single_point_series",
+    q.with_(*_POINT_CTES)
+    + f'select acq_date as date, "row", col, x, y, {", ".join(BANDS)}, {_INDEX_COLS} '
+    + f"from indexed where seed_id = {_ONE}",
+    date="date",
+)
+def single_point_series(spark: SparkSession, sf: str) -> DataFrame:
+    """The 17-column series of one point."""
+    return round_columns(_point_run(spark, sf).series, INDICES)
+
+
+@query(
+    "single_point_pixels",
+    _pixel_sql(True).replace("select p.seed_id, lat as seed_lat, lon as seed_lon, ", "select ")
+    + f" where p.seed_id = {_ONE}",
+)
+def single_point_pixels(spark: SparkSession, sf: str) -> DataFrame:
+    """Pixel features of one point; under-observed pixels lose their count too."""
+    df = round_columns(_point_run(spark, sf).pixels, _TEMPORAL)
+    return df.withColumn("n_obs_baresoil", F.col("n_obs_baresoil").cast("double"))
+
+
+@query(
+    "single_point_row",
+    q.with_(*_POINT_CTES)
+    + "select lat, lon, cast(100 as double) as window_m, '2024-06-01' as start_date, '2024-06-30' as end_date, "
+    "2 as min_obs_baresoil, coalesce(n_pixels, 0) as n_pixels, "
+    "coalesce(n_pixels_with_min_obs, 0) as n_pixels_with_min_obs, "
+    + ", ".join(sql_rounded(f'"{c}"', c) for c in _COUNT_STATS + _SPATIAL)
+    + f" from seeds s left join stats t on s.seed_id = t.seed_id where s.seed_id = {_ONE}",
+)
+def single_point_row(spark: SparkSession, sf: str) -> DataFrame:
+    """The 118-column row of one point."""
+    run = batch.seed_features(*_point(spark, sf), PARAMS)
+    return round_columns(single_point.point_row(run.features, PARAMS), _COUNT_STATS + _SPATIAL)
+
+
+# Windows start three columns and two rows inside each raster, between pixel borders.
+_WINDOWS = """
+windows as (
+  select *, 500000 + 1000 * cast(substr(seed_id, 6) as bigint) + 33e0 as minx, 4970000 - 22e0 as maxy from seeds),
+cut as (
+  select o.* replace (w.seed_id as seed_id, cast(floor((w.maxy - y) / 10) as int) as "row",
+    cast(floor((x - w.minx) / 10) as int) as col)
+  from obs o join windows w on x > w.minx and x < w.minx + 100 and y < w.maxy and y > w.maxy - 100)"""
+
+
+@query(
+    "seed_features_from_windows",
+    _seed_sql(PARAMS)
+    .replace("chosen as (\n  select * from obs", _WINDOWS.strip() + ",\nchosen as (\n  select * from cut"),
+)
+def seed_features_from_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """From scenes without seeds: windows are cut, gridded and summarised in one plan."""
+    k = F.regexp_extract("seed_id", r"(\d+)$", 1).cast("bigint")
+    windows = derived.seeds(spark, sf).select(
+        "seed_id", "lat", "lon", (500000 + 1000 * k + F.lit(33.0)).alias("minx"), F.lit(4970000 - 122.0).alias("miny"),
+        (500000 + 1000 * k + F.lit(133.0)).alias("maxx"), F.lit(4970000 - 22.0).alias("maxy"),
+    )
+    scenes = derived.placed_obs(spark, sf).drop("seed_id", "row", "col")
+    run = points.features_from_windows(scenes, windows, PARAMS)
+    return round_columns(run.features, _SPATIAL + _COUNT_STATS)
 
 
 @query(

@@ -13,10 +13,10 @@ from fallowlens.operators import tiles as t
 from fallowlens.operators.bare_soil import flag_bare_soil
 from fallowlens.plans import batch, stacks
 from fallowlens.plans import tiles as tile_plans
-from fallowlens.schemas import BANDS, Params
+from fallowlens.schemas import BANDS, Params, spatial_names, temporal_names
 from fallowlens.sources import derived
 
-PARAMS = Params()
+PARAMS = Params(size=(10, 10))
 
 # Every cell of every tile; observed values at tile precision, zero elsewhere.
 _CELLS = f"""
@@ -82,7 +82,8 @@ def acquisition_dates(spark: SparkSession, sf: str) -> DataFrame:
 )
 def stack_to_pixels(spark: SparkSession, sf: str) -> DataFrame:
     """Stacked raster to flagged pixel rows, under the first tile's geometry."""
-    per_date = t.with_first_transform(t.unstack_dates(derived.stacked_tiles(spark, sf), BANDS))
+    # a stack has one transform, which unstacking hands to all its dates
+    per_date = t.unstack_dates(derived.stacked_tiles(spark, sf), BANDS)
     df = flag_bare_soil(add_indices(t.explode_pixels(per_date, BANDS)), 0.2)
     return round_columns(
         df.select("seed_id", "date", "row", "col", "x", "y", "NDVI", "is_baresoil"), ["NDVI"]
@@ -260,6 +261,41 @@ def composite_grid(spark: SparkSession, sf: str) -> DataFrame:
     return round_columns(cells.withColumn("value", F.col("value").cast("double")), ["value"], 5)
 
 
+_OWN_GRID = _FULL_GRID.replace("range(0, 10) a(r) cross join range(0, 10) b(c)", "range(0, 13) a(r) cross join range(0, 12) b(c)").replace(
+    "where", "where r < 10 + cast(substr(seed_id, 6) as bigint) % 4 and c < 10 + cast(substr(seed_id, 6) as bigint) % 3 and"
+)
+
+
+@query(
+    "qa_grids_any_size",
+    q.with_(*_GRID_CTES[:-1], _OWN_GRID)
+    + "select g.seed_id, g.\"row\", g.col, cast(coalesce(n_obs_baresoil, 0) as int) as n_obs "
+    'from grid g left join pixels p on g.seed_id = p.seed_id and g."row" = p."row" and g.col = p.col',
+)
+def qa_grids_any_size(spark: SparkSession, sf: str) -> DataFrame:
+    """Grids as large as each seed's own raster."""
+    pixels = _pixel_features(spark, sf)
+    number = F.regexp_extract("seed_id", r"(\d+)$", 1).cast("bigint")
+    shapes = pixels.select("seed_id").distinct().select(
+        "seed_id", (10 + number % 3).cast("int").alias("width"), (10 + number % 4).cast("int").alias("height")
+    )
+    return grids.grid_cells(grids.qa_grids(pixels, seeds=shapes), ["n_obs"]).select("seed_id", "row", "col", "n_obs")
+
+
+@query(
+    "tile_explode_first_transform",
+    q.with_(q.OBS, q.daily(), _CELLS) + f'select seed_id, date, "row", col, x, y, {_BANDS} from cells',
+    date="date",
+)
+def tile_explode_first_transform(spark: SparkSession, sf: str) -> DataFrame:
+    """Later tiles with another corner take that of their seed's first tile."""
+    tiles = derived.tiles(spark, sf)
+    first = tiles.groupBy("seed_id").agg(F.min("date").alias("first"))
+    moved = F.transform("transform", lambda v: F.when(F.col("date") > F.col("first"), v + 500.0).otherwise(v))
+    shifted = tiles.join(first, "seed_id").withColumn("transform", moved).drop("first")
+    return t.explode_pixels(t.with_first_transform(shifted), BANDS)
+
+
 @query(
     "qa_grids",
     q.with_(*_GRID_CTES)
@@ -276,12 +312,7 @@ def qa_grids(spark: SparkSession, sf: str) -> DataFrame:
     return round_columns(wide, ["ndvi", "ndmi"], 5)
 
 
-_SHOWN = [
-    "B04_median_bs_space_median",
-    "B12_std_bs_space_mean",
-    "NDVI_mean_bs_space_std",
-    "EVI_median_bs_space_mean",
-]
+_SHOWN = spatial_names(temporal_names())
 
 
 def _from_cells_sql(threshold: float) -> str:
@@ -316,3 +347,11 @@ def seed_features_from_tiles(spark: SparkSession, sf: str) -> DataFrame:
     """From per-date rasters."""
     tiles = derived.tiles(spark, sf)
     return _shown(tile_plans.seed_features(tiles, derived.seeds(spark, sf), PARAMS).features)
+
+
+@query("seed_features_any_size", _from_cells_sql(0.2))
+def seed_features_any_size(spark: SparkSession, sf: str) -> DataFrame:
+    """Rasters of two sizes. The larger ones' further pixels hold no data."""
+    odd = F.regexp_extract("seed_id", r"(\d+)$", 1).cast("bigint") % 2 == 1
+    tiles = derived.tiles(spark, sf).filter(odd).unionByName(derived.tiles(spark, sf, (13, 11)).filter(~odd))
+    return _shown(tile_plans.seed_features(tiles, derived.seeds(spark, sf), Params()).features)

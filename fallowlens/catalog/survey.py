@@ -12,8 +12,11 @@ from fallowlens.operators import survey as s
 from fallowlens.plans import batch
 from fallowlens.plans.seeds import prepare_seeds
 from fallowlens.plans.training import training_table
+from fallowlens.schemas import spatial_names, temporal_names
 from fallowlens.sources import derived
 
+_STATS = spatial_names(temporal_names())
+
 COORDS = """
 coords as (
   select o_orderkey as seq,
@@ -42,6 +45,18 @@ joined as (
 SURVEY = (COORDS, CLEAN, LOOKUP, JOINED)
 
 
+@query(
+    "latitude_range_of_texts",
+    q.with_(COORDS)
+    + "select min(GPS_LAT) as lat_min, max(GPS_LAT) as lat_max from coords where seq % 5 <> 0",
+)
+def latitude_range_of_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """Extent of latitudes given as text, among texts that are no finite number."""
+    coords = derived.survey_coords(spark, sf)
+    text = F.when(F.col("seq") % 10 == 0, F.lit("nan")).when(F.col("seq") % 5 == 0, F.lit("?"))
+    return s.latitude_range(coords.withColumn("GPS_LAT", F.coalesce(text, F.col("GPS_LAT").cast("string"))))
+
+
 def _lookup(spark: SparkSession, sf: str) -> DataFrame:
     return s.coord_lookup(s.clean_ids(derived.survey_coords(spark, sf)))
 
@@ -143,9 +158,7 @@ def lookup_describe(spark: SparkSession, sf: str) -> DataFrame:
         q.seed_stats(2), *SURVEY,
     )
     + "select s.seed_id, s.lat, s.lon, coalesce(n_pixels, 0) as n_pixels, "
-    + sql_rounded('"B04_median_bs_space_median"', "B04_median_bs_space_median")
-    + ", "
-    + sql_rounded('"NDVI_mean_bs_space_std"', "NDVI_mean_bs_space_std")
+    + ", ".join(sql_rounded(f'"{c}"', c) for c in _STATS)
     + ", OC, NUTS from seeds s left join stats t on s.seed_id = t.seed_id "
     "join joined j on s.seed_id = printf('seed_%04d', cast(j.POINT_ID as bigint)) "
     "where s.seed_id in (select seed_id from chosen)",
@@ -155,6 +168,5 @@ def training(spark: SparkSession, sf: str) -> DataFrame:
     survey = prepare_seeds(derived.survey_values(spark, sf), derived.survey_coords(spark, sf))
     survey = survey.withColumn("seed_id", derived.seed_name(F.col("POINT_ID")))
     run = batch.seed_features(derived.scene_obs(spark, sf), derived.seeds(spark, sf), PARAMS)
-    names = ["B04_median_bs_space_median", "NDVI_mean_bs_space_std"]
-    table = training_table(run.features.select("seed_id", "lat", "lon", "n_pixels", *names), survey)
-    return round_columns(table.drop("POINT_ID"), names)
+    table = training_table(run.features.select("seed_id", "lat", "lon", "n_pixels", *_STATS), survey)
+    return round_columns(table.drop("POINT_ID"), _STATS)

@@ -8,38 +8,45 @@ from pyspark.sql import functions as F
 from fallowlens.catalog import fragments as q
 from fallowlens.catalog.registry import query, round_columns, sql_rounded
 from fallowlens.operators import quality
+from fallowlens.schemas import BANDS
 from fallowlens.sources import derived
 
-_PROFILED = ("row", "col", "cloud_cover", "B04", "B08", "B12")
+# A column's numbers, and how its smallest and largest value are written.
+_NUMBERS = ("row", "col", "scene_idx", "cloud_cover", *BANDS)
+
+
+def _profile_sql(c: str) -> str:
+    number = c in _NUMBERS
+    fact = lambda expr, name: sql_rounded(expr, name, 3) if number else f"cast(null as double) as {name}"
+    value = f'cast("{c}" as double)'
+    return (
+        f"select '{c}' as \"column\", count(*) as n_rows, count(*) - count(\"{c}\") as nulls, "
+        + f'count(distinct "{c}") as "distinct", '
+        + ", ".join(
+            fact(e, n)
+            for e, n in (
+                (f"min({value})", "low"), (f"max({value})", "high"), (f"avg({value})", "mean"),
+                (f"stddev_samp({value})", "std"), (f"median({value})", "median"),
+            )
+        )
+        + (", null" if number else f', cast(min("{c}") as varchar) || \' to \' || cast(max("{c}") as varchar)')
+        + " as extent from obs"
+    )
 
 
 @query(
     "table_profile",
-    q.with_(q.OBS)
-    + " union all ".join(
-        f"select '{c}' as \"column\", count(*) as n_rows, count(*) - count(\"{c}\") as nulls, "
-        + sql_rounded(f'min(cast("{c}" as double))', "low")
-        + ", "
-        + sql_rounded(f'max(cast("{c}" as double))', "high")
-        + ", "
-        + sql_rounded(f'avg("{c}")', "mean")
-        + ", "
-        + sql_rounded(f'stddev_samp("{c}")', "std")
-        + " from obs"
-        for c in _PROFILED
-    ),
+    q.with_(q.OBS) + " union all ".join(_profile_sql(c) for c in ("seed_id", "acq_date", *_NUMBERS)),
 )
 def table_profile(spark: SparkSession, sf: str) -> DataFrame:
-    """Exact facts of the observation table's number columns."""
-    df = quality.table_profile(derived.scene_obs(spark, sf).select(*_PROFILED), approximate=False)
-    typed = df.drop("type").withColumns({c: F.col(c).cast("double") for c in ("low", "high")})
-    return round_columns(typed, ["low", "high", "mean", "std"])
-
-
-@query("table_profile_sketches")
-def table_profile_sketches(spark: SparkSession, sf: str) -> DataFrame:
-    """Profile of a whole source table with sketched distinct counts and medians."""
-    return quality.table_profile(derived.table(spark, sf, "lineitem"))
+    """Exact facts of all columns of the observation table."""
+    obs = derived.scene_obs(spark, sf)
+    facts = quality.table_profile(obs, approximate=False).drop("type").join(quality.exact_profile(obs), "column")
+    number = F.col("column").isin(*_NUMBERS)
+    typed = facts.withColumn(
+        "extent", F.when(~number, F.concat_ws(" to ", "low", "high"))
+    ).withColumns({c: F.when(number, F.col(c).try_cast("double")) for c in ("low", "high")})
+    return round_columns(typed, ["low", "high", "mean", "std", "median"], 3)
 
 
 @query(

@@ -66,4 +66,4 @@ def add_indices(df: DataFrame) -> DataFrame:
     missing = [b for b in BANDS if b not in df.columns]
     if missing:
         raise ValueError(f"indices need bands {list(BANDS)}, missing {missing}")
-    return df.withColumns(index_columns())
+    return df.withColumns({name: nan_to_null(c) for name, c in index_columns().items()})

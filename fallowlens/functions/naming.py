@@ -34,7 +34,3 @@ def mosaic_name(
         parts.append(F.nullif(suffix, F.lit("")))
     return F.concat_ws("_", *parts)
 
-
-def day_of(timestamp: Column) -> Column:
-    """Date of an ISO timestamp string, by its first ten characters."""
-    return F.to_date(F.substring(timestamp, 1, 10))

@@ -1,7 +1,9 @@
 """Per-seed maps as two-dimensional arrays.
 
 Only observed pixels are shuffled. Gaps are filled while a grid row is built, so
-the work in one group is bounded by the grid's width and height.
+the work in one group is bounded by the grid's width and height. A grid is as large as
+the seed's raster: ``width, height`` of the seed table, else a declared size, else the
+pixels' extent. A pixel outside its grid ends the job; it is never left out.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from fallowlens.schemas import BANDS
 def grids(
     pixels: DataFrame,
     values: Mapping[str, tuple[Column, Column]],
-    size: tuple[int, int],
+    size: tuple[int, int] | None = None,
     seeds: DataFrame | None = None,
 ) -> DataFrame:
     """One row per seed with a height x width array per entry of ``values``.
@@ -25,46 +27,44 @@ def grids(
     ``values`` maps an output to its value and its filler for absent pixels. With
     ``seeds`` every listed seed gets grids, also one without any pixel.
     """
-    width, height = size
-    inside = F.col("row").between(0, height - 1) & F.col("col").between(0, width - 1)
-    cells = pixels.filter(inside).select(
+    cells = pixels.select(
         "seed_id", "row", "col", F.struct(*[v.alias(k) for k, (v, _) in values.items()]).alias("v")
     )
     lines = cells.groupBy("seed_id", "row").agg(
-        F.map_from_entries(F.collect_list(F.struct("col", "v"))).alias("_m")
-    )
-    lines = _spread(lines, width).select(
-        "seed_id",
-        "row",
-        F.struct(*[_filled(k, filler).alias(k) for k, (_, filler) in values.items()]).alias("v"),
+        F.map_from_entries(F.collect_list(F.struct("col", "v"))).alias("_m"),
+        F.min("col").alias("_first"),
+        F.max("col").alias("_last"),
     )
     sheets = lines.groupBy("seed_id").agg(
-        F.map_from_entries(F.collect_list(F.struct("row", "v"))).alias("_m")
+        F.map_from_entries(F.collect_list(F.struct("row", "_m"))).alias("_m"),
+        F.least(F.min("row"), F.min("_first")).alias("_least"),
+        (F.max("row") + 1).alias("_rows"),
+        (F.max("_last") + 1).alias("_cols"),
     )
+    shaped = seeds is not None and {"width", "height"} <= set(seeds.columns)
     if seeds is not None:
-        sheets = seeds.select("seed_id").join(sheets, "seed_id", "left")
-    return _spread(sheets, height).select(
-        "seed_id",
-        *[
-            _filled(k, F.array_repeat(filler, width)).alias(k)
-            for k, (_, filler) in values.items()
-        ],
-    )
-
-
-def _spread(df: DataFrame, n: int) -> DataFrame:
-    """Array ``_a`` of the entries 0..n-1 of the map ``_m``, NULL where absent."""
-    places = F.sequence(F.lit(0), F.lit(n - 1))
-    return df.withColumn("_a", F.transform(places, lambda i: F.try_element_at("_m", i)))
+        listed = seeds.select("seed_id", *(["width", "height"] if shaped else [])).distinct()
+        sheets = listed.join(sheets, "seed_id", "left")
+    if not shaped:
+        width, height = (F.lit(size[0]), F.lit(size[1])) if size else (F.col("_cols"), F.col("_rows"))
+        sheets = sheets.withColumns({"width": F.coalesce(width, F.lit(0)), "height": F.coalesce(height, F.lit(0))})
+    outside = (F.col("_least") < 0) | (F.col("_rows") > F.col("height")) | (F.col("_cols") > F.col("width"))
+    told = F.raise_error(F.concat(F.lit("pixel outside the grid of "), F.col("seed_id")))
+    sheets = sheets.withColumn("_m", F.when(outside, told).otherwise(F.col("_m")))
+    places = lambda n: F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+    rows, cols = places(F.col("height")), places(F.col("width"))
 
+    def grid(k: str, filler: Column) -> Column:
+        line = lambda r: F.try_element_at("_m", r)
+        value = lambda r, c: F.try_element_at(line(r), c)[k]
+        return F.transform(rows, lambda r: F.transform(cols, lambda c: F.coalesce(value(r, c), filler)))
 
-def _filled(field: str, filler: Column) -> Column:
-    return F.transform("_a", lambda v: F.coalesce(v[field], filler))
+    return sheets.select("seed_id", *[grid(k, filler).alias(k) for k, (_, filler) in values.items()])
 
 
 def composite_grids(
     pixels: DataFrame,
-    size: tuple[int, int],
+    size: tuple[int, int] | None = None,
     bands: Sequence[str] = BANDS,
     seeds: DataFrame | None = None,
 ) -> DataFrame:
@@ -79,7 +79,7 @@ def composite_grids(
 
 
 def qa_grids(
-    pixels: DataFrame, size: tuple[int, int], seeds: DataFrame | None = None
+    pixels: DataFrame, size: tuple[int, int] | None = None, seeds: DataFrame | None = None
 ) -> DataFrame:
     """NDVI and NDMI medians (gaps stay missing) and observation counts (gaps are 0)."""
     missing = F.lit(None).cast("float")

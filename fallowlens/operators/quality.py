@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fallowlens.operators.tiles import band_count_ok, with_dates
+from fallowlens.operators.quantiles import grouped_quantiles
+from fallowlens.operators.tiles import band_count_ok, dates_ok, with_dates
 from fallowlens.schemas import BANDS
 
 # Reasons in the order a run meets them: the first one that applies is reported.
@@ -19,6 +20,9 @@ REASONS = (
     "duplicate stack",
     "acquisition dates missing",
     "band count mismatch",
+    "corrupt raster",
+    "bands missing",
+    "scene order missing",
     "no tiles",
     "shape mismatch",
 )
@@ -58,12 +62,29 @@ def duplicate_stack_errors(stacked: DataFrame) -> DataFrame:
 def stack_errors(stacked: DataFrame, n_bands: int) -> DataFrame:
     """Stacks without dates or with a raster count other than dates x bands."""
     dated = with_dates(stacked)
-    empty = F.coalesce(F.size("dates") <= 0, F.lit(True))
-    return _reason(dated.filter(empty), "acquisition dates missing").unionByName(
-        _reason(dated.filter(~empty & ~band_count_ok(n_bands)), "band count mismatch")
+    return _reason(dated.filter(~dates_ok()), "acquisition dates missing").unionByName(
+        _reason(dated.filter(dates_ok() & ~band_count_ok(n_bands)), "band count mismatch")
     )
 
 
+def raster_errors(tiles: DataFrame) -> DataFrame:
+    """Seeds with a file that could not be decoded, or whose name holds no date."""
+    bad = F.col("error").isNotNull() | F.col("date").isNull()
+    return _reason(tiles.filter(bad), "corrupt raster")
+
+
+def band_errors(tiles: DataFrame, bands: Sequence[str]) -> DataFrame:
+    """Seeds with a tile that lacks a band."""
+    wanted = F.array(*[F.lit(b) for b in bands])
+    lacking = F.coalesce(F.size(F.array_except(wanted, "bands")) > 0, F.lit(True))
+    return _reason(tiles.filter(lacking), "bands missing")
+
+
+def order_errors(observed: DataFrame) -> DataFrame:
+    """Seeds with an observation whose place among its day's acquisitions is unknown."""
+    return _reason(observed.filter("unordered"), "scene order missing")
+
+
 def missing_errors(seeds: DataFrame, data: DataFrame) -> DataFrame:
     """Seeds without any row in ``data``."""
     present = data.select("seed_id").distinct()
@@ -102,6 +123,13 @@ def error_table(seeds: DataFrame, found: Sequence[DataFrame]) -> DataFrame:
     )
 
 
+def unique_points(seeds: DataFrame) -> DataFrame:
+    """Seeds listed once, or with equal rows: those that no join can multiply."""
+    first = F.first(F.struct(*seeds.columns)).alias("_s")
+    listed = seeds.distinct().groupBy("seed_id").agg(F.count("*").alias("_n"), first)
+    return listed.filter(F.col("_n") == 1).select("_s.*")
+
+
 def without_errors(df: DataFrame, errors: DataFrame) -> DataFrame:
     return df.join(errors.select("seed_id").distinct(), "seed_id", "left_anti")
 
@@ -155,6 +183,30 @@ def table_profile(df: DataFrame, approximate: bool = True) -> DataFrame:
     return wide.select(F.inline(rows))
 
 
+def exact_profile(df: DataFrame) -> DataFrame:
+    """``column, distinct, median`` of every column, exactly.
+
+    Values are counted before anything is gathered, so that each task holds a part of
+    the distinct values. Medians are those of the numbers.
+    """
+    numeric = lambda f: isinstance(f.dataType, T.NumericType)
+    cells = F.array(*[
+        F.struct(
+            F.lit(f.name).alias("column"),
+            F.col(f"`{f.name}`").cast("string").alias("text"),
+            (F.col(f"`{f.name}`") if numeric(f) else F.lit(None)).cast("double").alias("number"),
+        )
+        for f in df.schema
+    ])
+    values = df.select(F.inline(cells))
+    distinct = (
+        values.groupBy("column", "text").agg(F.count("*").alias("n"))
+        .groupBy("column").agg(F.count("text").alias("distinct"))
+    )
+    medians = grouped_quantiles(values, ["column"], {"number": {"median": 0.5}})
+    return distinct.join(medians, "column")
+
+
 def top_values(df: DataFrame, column: str, k: int) -> DataFrame:
     """The ``k`` most frequent values; smaller values first among equals."""
     counted = df.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))

@@ -8,7 +8,6 @@ the map side, so a group may hold any share of the rows.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -140,6 +139,3 @@ def _same(keys: Sequence[str]):
         condition = condition & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
     return condition
 
-
-def is_large(size: tuple[int, int], limit: int) -> bool:
-    return math.prod(size) > limit

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fallowlens.functions.indices import clean_bands
 from fallowlens.operators.quantiles import grouped_quantiles
 from fallowlens.schemas import BANDS, PIXEL_KEYS
 
@@ -114,6 +115,7 @@ def median_mosaic(
     are bounded whatever the number of rows. Use ``quantised=False`` for bands
     of any value; it finds the same medians without holding a group in one task.
     """
+    df = clean_bands(df, bands)
     if quantised:
         return df.groupBy(*keys).agg(*[F.median(b).alias(b) for b in bands])
     return grouped_quantiles(df, keys, {b: {b: 0.5} for b in bands})
@@ -129,7 +131,7 @@ def least_cloud_mosaic(
     """Values of the clearest acquisition; the latest one among equals."""
     recency = F.when(F.col(ts).isNotNull(), -F.unix_micros(F.col(ts).cast("timestamp")))
     order = F.struct(F.col("cloud_cover"), recency.alias("recency"), (-F.col(scene)).alias("s"))
-    best = df.groupBy(*keys).agg(
+    best = clean_bands(df, bands).groupBy(*keys).agg(
         F.min_by(F.struct("cloud_cover", ts, *bands), order).alias("best")
     )
     return best.select(*keys, "best.*")

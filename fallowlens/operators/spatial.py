@@ -4,17 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fallowlens.functions.stats import gather, gathered_stats, median_sql
-from fallowlens.operators.quantiles import grouped_quantiles, is_large
+from fallowlens.operators.quantiles import grouped_quantiles
 from fallowlens.schemas import STATS
-from fallowlens.session import materialize
-
-# Largest pixel grid gathered as one array per seed.
-MAX_GATHERED_PIXELS = 65536
 
 _NOT_FEATURES = {"seed_id", "seed_lat", "seed_lon", "row", "col", "x", "y", "n_obs_baresoil"}
 
@@ -31,9 +27,9 @@ def feature_columns(df: DataFrame) -> list[str]:
 def seed_statistics(
     pixels: DataFrame,
     min_obs: int,
-    size: tuple[int, int],
+    size: tuple[int, int] | None = None,
     features: Sequence[str] | None = None,
-    gather_limit: int = MAX_GATHERED_PIXELS,
+    spread: bool = False,
 ) -> DataFrame:
     """One row per seed: pixel counts, and median, mean and population deviation
     of each feature over the pixels with at least ``min_obs`` observations.
@@ -41,13 +37,15 @@ def seed_statistics(
     A pixel whose count is NULL was seen but never bare. It makes its seed appear
     and enters no statistic.
 
-    ``size`` (width, height) bounds the pixels of a seed. ``in_grid`` is false
-    for a seed with a pixel outside it: such a seed fails, like one whose rasters
-    differ in shape, and only its pixels inside the grid were gathered.
+    ``in_grid`` is false for a seed with a pixel outside a declared ``size`` (width,
+    height): such a seed fails, like one whose rasters differ in shape.
+
+    A seed's pixels meet in one array, as many as its raster has. ``spread`` finds the
+    same statistics without gathering them, for rasters of any size; it reads
+    ``pixels`` twice, so hand in a stored table.
     """
     feats = list(features) if features is not None else feature_columns(pixels)
-    width, height = size
-    inside = F.col("row").between(0, height - 1) & F.col("col").between(0, width - 1)
+    inside = _inside(size)
     valid = inside & (F.col("n_obs_baresoil") >= min_obs)
     counts = [
         F.count("n_obs_baresoil").alias("n_pixels"),
@@ -65,8 +63,8 @@ def seed_statistics(
         *[n for triple in names.values() for n in triple],
         "in_grid",
     ]
-    if is_large(size, gather_limit):
-        return _large_grid_statistics(pixels, valid, counts, names).select(*order)
+    if spread:
+        return _spread_statistics(pixels, valid, counts, names).select(*order)
 
     gathered = pixels.groupBy("seed_id").agg(
         *counts,
@@ -77,16 +75,21 @@ def seed_statistics(
     return gathered_stats(gathered, "_px", list(names.values()), ddof=0).select(*order)
 
 
-def _large_grid_statistics(pixels, valid, counts, names) -> DataFrame:
+def _inside(size: tuple[int, int] | None) -> Column:
+    if size is None:
+        return F.lit(True)
+    width, height = size
+    return F.col("row").between(0, height - 1) & F.col("col").between(0, width - 1)
+
+
+def _spread_statistics(pixels, valid, counts, names) -> DataFrame:
     """The same columns without gathering a seed's pixels anywhere."""
-    masked = materialize(
-        pixels.select(
-            "seed_id",
-            "row",
-            "col",
-            "n_obs_baresoil",
-            *[F.when(valid, F.col(f)).alias(f) for f in names],
-        )
+    masked = pixels.select(
+        "seed_id",
+        "row",
+        "col",
+        "n_obs_baresoil",
+        *[F.when(valid, F.col(f)).alias(f) for f in names],
     )
     moments = masked.groupBy("seed_id").agg(
         *counts,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fallowlens.functions.indices import nan_to_null
 from fallowlens.operators.quantiles import grouped_quantiles
 
 # Id texts that stand for a missing id.
@@ -56,7 +57,7 @@ def id_counts(coords: DataFrame) -> DataFrame:
 
 def latitude_range(lookup: DataFrame) -> DataFrame:
     """Extent of the latitudes; texts that are no numbers are skipped."""
-    lat = F.col("GPS_LAT").try_cast("double")
+    lat = nan_to_null(F.col("GPS_LAT").try_cast("double"))
     return lookup.agg(F.min(lat).alias("lat_min"), F.max(lat).alias("lat_max"))
 
 

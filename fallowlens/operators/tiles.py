@@ -16,9 +16,9 @@ from fallowlens.functions.indices import nan_to_null
 
 
 def acquisition_dates(userdata: Column) -> Column:
-    """Days of the doubly encoded ``acquisition_dates`` list, as dates."""
+    """Days of the doubly encoded ``acquisition_dates`` list; NULL for a stamp that is no date."""
     stamps = F.from_json(F.get_json_object(userdata, "$.acquisition_dates"), "array<string>")
-    return F.transform(stamps, lambda s: F.to_date(F.substring(s, 1, 10)))
+    return F.transform(stamps, lambda s: F.substring(s, 1, 10).try_cast("date"))
 
 
 def band_order(metadata: Column) -> Column:
@@ -36,25 +36,38 @@ def band_count_ok(n_bands: int) -> Column:
     return F.coalesce(F.size("data") == expected, F.lit(False))
 
 
-def _with_winners(stacked: DataFrame, n_bands: int) -> DataFrame:
-    """Sound stacks with ``_w``: date and number of each day's last acquisition."""
+def dates_ok() -> Column:
+    """Whether a stack names its dates, and all of them are dates."""
+    return F.coalesce((F.size("dates") > 0) & ~F.exists("dates", lambda d: d.isNull()), F.lit(False))
+
+
+def in_interval(d: Column, start: str | None, end: str | None) -> Column:
+    after = F.lit(True) if start is None else d >= F.lit(start).cast("date")
+    return after if end is None else after & (d <= F.lit(end).cast("date"))
+
+
+def _with_winners(stacked: DataFrame, n_bands: int, start: str | None, end: str | None) -> DataFrame:
+    """Sound stacks with ``_w``: date and number of each day's last acquisition in the interval."""
     last = lambda d: F.size("dates") - F.array_position(F.reverse("dates"), d)
     numbered = F.transform("dates", lambda d, i: F.struct(d.alias("date"), i.alias("i")))
-    winners = F.filter(numbered, lambda s: last(s["date"]) == s["i"])
-    sound = with_dates(stacked).filter(band_count_ok(n_bands))
+    winners = F.filter(numbered, lambda s: (last(s["date"]) == s["i"]) & in_interval(s["date"], start, end))
+    sound = with_dates(stacked).filter(dates_ok() & band_count_ok(n_bands))
     return sound.select("seed_id", "width", "height", "transform", "data", winners.alias("_w"))
 
 
-def unstack_dates(stacked: DataFrame, bands: Sequence[str]) -> DataFrame:
+def unstack_dates(
+    stacked: DataFrame, bands: Sequence[str], start: str | None = None, end: str | None = None
+) -> DataFrame:
     """One tile per seed and day; the last acquisition of a day wins.
 
-    Date ``i`` owns rasters ``[i * n, i * n + n)``. Rows failing the band-count
-    check are left out here and reported by ``quality.stack_errors``.
+    Date ``i`` owns rasters ``[i * n, i * n + n)``. Days outside ``start`` to ``end``
+    are not taken. Rows failing the date or band-count check are left out here and
+    reported by ``quality.stack_errors``; a direct caller should run it too.
     """
     shape = ["width", "height", "transform"]
     values = len(bands) * F.col("width") * F.col("height")
     # `slice` stays outside lambdas: there it would copy the whole array each time
-    dated = _with_winners(stacked, len(bands)).select("seed_id", *shape, "data", F.inline("_w"))
+    dated = _with_winners(stacked, len(bands), start, end).select("seed_id", *shape, "data", F.inline("_w"))
     return dated.select(
         "seed_id",
         "date",

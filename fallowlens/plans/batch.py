@@ -23,7 +23,9 @@ from fallowlens.operators.quality import (
     error_table,
     grid_errors,
     missing_errors,
+    order_errors,
     require_bands,
+    unique_points,
     without_errors,
 )
 from fallowlens.operators.scenes import last_of_day, select_scenes
@@ -41,7 +43,7 @@ def daily_pixels(obs: DataFrame, params: Params) -> DataFrame:
 
 def pixel_timeseries(daily: DataFrame, seeds: DataFrame, params: Params) -> DataFrame:
     """The 21-column time series. ``seeds`` brings ``lat, lon, transform``."""
-    placed = daily.join(seeds, "seed_id").withColumnsRenamed(
+    placed = daily.join(unique_points(seeds), "seed_id").withColumnsRenamed(
         {"lat": "seed_lat", "lon": "seed_lon", "acq_date": "date"}
     )
     flagged = flag_bare_soil(add_indices(with_pixel_centres(placed)), params.ndvi_threshold)
@@ -64,7 +66,7 @@ def pixel_features(
 ) -> DataFrame:
     """The 44-column pixel table: seed keys, pixel keys, statistics, count."""
     masked = mask_min_obs(pixel_stats(daily, params), params.min_obs, PIXEL_KEYS, mask_n_obs)
-    placed = with_pixel_centres(masked.join(seeds, "seed_id"))
+    placed = with_pixel_centres(masked.join(unique_points(seeds), "seed_id"))
     return placed.withColumnsRenamed({"lat": "seed_lat", "lon": "seed_lon"}).select(
         "seed_id", "seed_lat", "seed_lon", *pixel_columns(params.bands)
     )
@@ -102,8 +104,11 @@ def consolidate(
     failed: Sequence[DataFrame] = (),
 ) -> SeedRun:
     """Seed rows from pixel rows. ``observed`` holds the ids of seeds with data,
-    ``failed`` the findings of further checks."""
-    points = seeds.select("seed_id", "lat", "lon")
+    ``failed`` the findings of further checks.
+
+    Equal rows of one seed count once; a seed listed with different rows is an error.
+    """
+    points = seeds.select("seed_id", "lat", "lon").distinct()
     stats = seed_statistics(pixels, params.min_obs, params.size)
     errors = error_table(
         points,
@@ -128,8 +133,18 @@ def consolidate(
 def seed_features(obs: DataFrame, seeds: DataFrame, params: Params) -> SeedRun:
     """Features and errors of all seeds, straight from observations."""
     chosen = select_scenes(obs, params.start_date, params.end_date, params.max_cloud)
-    observed = chosen.select("seed_id").distinct()
-    return consolidate(pixel_stats(daily_pixels(obs, params), params), seeds, observed, params)
+    unordered = F.bool_or(F.col("scene_idx").isNull()).alias("unordered")
+    observed = chosen.groupBy("seed_id").agg(unordered)
+    pixels = pixel_stats(daily_pixels(obs, params), params)
+    return consolidate(pixels, seeds, observed, params, [order_errors(observed)])
+
+
+def store_run(run: SeedRun, out: str) -> dict[str, bool]:
+    """Write both outcomes below ``out``; tells which of them had rows."""
+    return {
+        "features": sinks.write_seed_features(run.features, f"{out}/seed_features", run.processed),
+        "errors": sinks.write_errors(run.errors, f"{out}/errors"),
+    }
 
 
 def run_one_seed(
@@ -154,15 +169,18 @@ def run_batch(obs: DataFrame, seeds: DataFrame, params: Params, out: str) -> dic
     sinks.write_timeseries(
         pixel_timeseries(daily_pixels(obs, params), seeds, params), f"{out}/pixel_timeseries", params
     )
-    series = spark.read.parquet(f"{out}/pixel_timeseries").filter(
-        (F.col("start_date") == params.start_date) & (F.col("end_date") == params.end_date)
-    )
+    series = sinks.of_run(spark.read.parquet(f"{out}/pixel_timeseries"), params)
     sinks.write_pixel_features(
-        pixel_features(series, seeds, params), f"{out}/pixel_features"
+        pixel_features(series, seeds, params), f"{out}/pixel_features", params
     )
-    stored = spark.read.parquet(f"{out}/pixel_features").drop("seed_lat", "seed_lon", "x", "y")
-    run = consolidate(stored, seeds, series.select("seed_id").distinct(), params)
-    return {
-        "features": sinks.write_seed_features(run.features, f"{out}/seed_features", run.processed),
-        "errors": sinks.write_errors(run.errors, f"{out}/errors"),
-    }
+    stored = sinks.of_run(spark.read.parquet(f"{out}/pixel_features"), params)
+    chosen = select_scenes(obs, params.start_date, params.end_date, params.max_cloud)
+    unordered = chosen.filter(F.col("scene_idx").isNull()).select("seed_id", F.lit(True).alias("unordered")).distinct()
+    run = consolidate(
+        stored.select(*PIXEL_KEYS, *pixel_columns(params.bands)[4:]),
+        seeds,
+        series.select("seed_id").distinct(),
+        params,
+        [order_errors(unordered)],
+    )
+    return store_run(run, out)

@@ -15,7 +15,6 @@ from fallowlens.operators.bare_soil import pixel_statistics
 from fallowlens.operators.quality import (
     coordinate_errors,
     duplicate_errors,
-    duplicate_keys,
     duplicate_stack_errors,
     error_table,
     grid_errors,
@@ -24,45 +23,48 @@ from fallowlens.operators.quality import (
     stack_errors,
     without_errors,
 )
-from fallowlens.operators.quantiles import is_large
-from fallowlens.operators.spatial import MAX_GATHERED_PIXELS, seed_statistics
-from fallowlens.operators.tiles import explode_pixels, unstack_dates
+from fallowlens.operators.spatial import seed_statistics
+from fallowlens.operators.tiles import explode_pixels, in_interval, unstack_dates, with_dates
 from fallowlens.plans.batch import SeedRun, with_run_metadata
 from fallowlens.schemas import PIXEL_KEYS, Params, seed_columns
 
 
-def pixel_stats(stacked: DataFrame, params: Params) -> DataFrame:
-    """Statistics of pixels over their bare days. Expects one stack per seed.
+def pixel_stats(stacked: DataFrame, params: Params, spread: bool = False) -> DataFrame:
+    """Statistics of pixels over their bare days in the interval. Expects one stack per seed.
+
+    A seed's bare observations go to one place, which also serves the statistics per
+    seed; ``spread`` deals rasters that are too large for that out by pixel.
 
     The corner pixel is kept even if it was never bare (its count is NULL then),
     so that a seed without bare soil still shows up.
     """
     require_bands(params.bands)
-    pixels = explode_pixels(unstack_dates(stacked, params.bands), params.bands)
+    pixels = explode_pixels(
+        unstack_dates(stacked, params.bands, params.start_date, params.end_date), params.bands
+    )
     bare = F.coalesce(ndvi() < params.ndvi_threshold, F.lit(False))
     corner = (F.col("row") == 0) & (F.col("col") == 0)
     kept = pixels.select(*PIXEL_KEYS, *params.bands, bare.alias("_bare")).filter(
         F.col("_bare") | corner
     )
-    # Seed windows go to one place each, which also serves the statistics per
-    # seed. A large raster is spread by pixel instead.
-    large = is_large(params.size, MAX_GATHERED_PIXELS)
-    spread = kept.repartition(*(PIXEL_KEYS if large else ["seed_id"]))
-    return pixel_statistics(add_indices(spread), PIXEL_KEYS, params.targets, F.col("_bare"))
+    dealt = kept.repartition(*(PIXEL_KEYS if spread else ["seed_id"]))
+    return pixel_statistics(add_indices(dealt), PIXEL_KEYS, params.targets, F.col("_bare"))
 
 
-def seed_features(stacked: DataFrame, seeds: DataFrame, params: Params) -> SeedRun:
-    """Features and errors of all seeds. Scene selection was done by the extraction.
+def seed_features(
+    stacked: DataFrame, seeds: DataFrame, params: Params, spread: bool = False
+) -> SeedRun:
+    """Features and errors of all seeds; days outside the run's interval are not used.
 
     Seeds with several stacks are errors. Looking for them reads the id column
-    alone, and stacks are shuffled to drop them only if there are any.
+    alone, and their rows are dropped after the statistics, so no raster is shuffled.
     """
-    points = seeds.select("seed_id", "lat", "lon")
-    repeated = duplicate_keys(stacked, "seed_id").select("seed_id")
-    single = stacked
-    if not repeated.isEmpty():
-        single = stacked.join(repeated, "seed_id", "left_anti")
-    stats = seed_statistics(pixel_stats(single, params), params.min_obs, params.size)
+    points = seeds.select("seed_id", "lat", "lon").distinct()
+    stats = seed_statistics(
+        pixel_stats(stacked, params, spread), params.min_obs, params.size, spread=spread
+    )
+    inside = F.exists("dates", lambda d: in_interval(d, params.start_date, params.end_date))
+    present = with_dates(stacked).filter(F.coalesce(inside, F.lit(False))).select("seed_id")
     errors = error_table(
         points,
         [
@@ -70,12 +72,13 @@ def seed_features(stacked: DataFrame, seeds: DataFrame, params: Params) -> SeedR
             duplicate_errors(points),
             duplicate_stack_errors(stacked),
             stack_errors(stacked, len(params.bands)),
-            missing_errors(points, stacked),
+            missing_errors(points, present),
             grid_errors(stats.select("seed_id", "in_grid")),
         ],
     )
     located = points.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull())
     sound = without_errors(located, duplicate_errors(points))
+    sound = without_errors(sound, duplicate_stack_errors(stacked))
     rows = sound.join(stats.filter("in_grid"), "seed_id")
     features = with_run_metadata(rows, params).select(*seed_columns(params.bands))
-    return SeedRun(features, errors, sound.join(single.select("seed_id"), "seed_id", "left_semi"))
+    return SeedRun(features, errors, sound.join(present, "seed_id", "left_semi"))

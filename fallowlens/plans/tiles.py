@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from fallowlens.operators.quality import require_bands, shape_errors
+from fallowlens.operators.quality import band_errors, raster_errors, require_bands, shape_errors
 from fallowlens.operators.scenes import time_range
 from fallowlens.operators.tiles import explode_pixels, last_of_day_tiles
 from fallowlens.plans.batch import SeedRun, consolidate, pixel_stats
@@ -24,9 +25,17 @@ def daily_from_tiles(tiles: DataFrame, params: Params, order: str | None = None)
 def seed_features(
     tiles: DataFrame, seeds: DataFrame, params: Params, order: str | None = None
 ) -> SeedRun:
-    """Features and errors; seeds whose tiles differ in shape are errors."""
+    """Features and errors.
+
+    Seeds whose tiles differ in shape or lack a band are errors, and so are those with a
+    raster that ``read_rasters`` could not decode or date.
+    """
+    failed = []
+    if "error" in tiles.columns:
+        failed.append(raster_errors(tiles))
+        tiles = tiles.filter(F.col("error").isNull()).drop("error")
     chosen = time_range(tiles, params.start_date, params.end_date, "date")
     pixels = pixel_stats(daily_from_tiles(tiles, params, order), params)
     observed = chosen.select("seed_id").distinct()
-    failed = [shape_errors(chosen, with_data=False)]
+    failed += [band_errors(chosen, params.bands), shape_errors(chosen, with_data=False)]
     return consolidate(pixels, seeds, observed, params, failed)

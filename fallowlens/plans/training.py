@@ -24,4 +24,9 @@ def training_errors(features: DataFrame, survey: DataFrame) -> DataFrame:
 
 
 def _unique(df: DataFrame) -> DataFrame:
-    return df.join(duplicate_keys(df, "seed_id").select("seed_id"), "seed_id", "left_anti")
+    """Rows whose id occurs once. Counted and carried by one aggregate, whose
+    partitioning also serves the join."""
+    counted = df.groupBy("seed_id").agg(
+        F.count("*").alias("_n"), F.first(F.struct(*df.columns)).alias("_row")
+    )
+    return counted.filter((F.col("_n") == 1) & F.col("seed_id").isNotNull()).select("_row.*")

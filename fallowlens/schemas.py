@@ -55,13 +55,13 @@ STACKED_TILES = T.StructType(
 class Params:
     """Settings of one feature run.
 
-    ``size`` is (width, height) of a seed's pixel grid. It bounds the pixels a
-    seed can have, which is what lets spatial medians run as plain aggregates.
+    A seed's grid is as large as its rasters. ``size`` (width, height) declares it
+    where that is known; pixels outside a declared grid are then errors.
     """
 
     window_m: float = 100.0
     dst_epsg: int = 32632
-    size: tuple[int, int] = (10, 10)
+    size: tuple[int, int] | None = None
     start_date: str = "2024-06-01"
     end_date: str = "2024-06-30"
     bands: tuple[str, ...] = BANDS

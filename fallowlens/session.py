@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -31,16 +29,13 @@ def local_session(cpus: int | str = "*", app: str = "fallowlens", **conf: str) -
 def materialize(df: DataFrame) -> DataFrame:
     """Store ``df`` reliably and cut its lineage.
 
-    The folder is the shared one named by ``spark.checkpoint.dir``. Only a local
-    session without that setting gets a folder of its own.
+    The folder is the shared one named by ``spark.checkpoint.dir``, which must be set.
     """
     spark = df.sparkSession
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
-            if not sc.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="spark-")
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         sc.setCheckpointDir(folder)
     return df.checkpoint(eager=True)

@@ -21,6 +21,7 @@ POINT_IN_PATH = r"/(point_[^/]+)/"
 RASTERS = T.StructType(
     [T.StructField("path", T.StringType()), T.StructField("date", T.DateType())]
     + [TILES[f] for f in ("width", "height", "transform", "bands", "data")]
+    + [T.StructField("error", T.StringType())]
 )
 
 
@@ -30,8 +31,8 @@ def _files(spark: SparkSession, path: str, glob: str) -> DataFrame:
 
 
 def file_date(path: str = "path"):
-    """Day in a file name; NULL when it names none."""
-    return F.to_date(F.nullif(F.regexp_extract(path, DATE_IN_NAME, 1), F.lit("")))
+    """Day in a file name; NULL when it names none, or none that exists."""
+    return F.regexp_extract(path, DATE_IN_NAME, 1).try_cast("date")
 
 
 def discover(spark: SparkSession, path: str, glob: str = "*.tif") -> DataFrame:
@@ -52,13 +53,22 @@ def read_rasters(
     """Decode each file into a tile row.
 
     ``decoder`` turns file contents into ``width, height, transform, bands`` and
-    ``data`` (flat, band-major). It runs in the tasks, one file at a time.
+    ``data`` (flat, band-major). It runs in the tasks, one file at a time. A file it
+    fails on keeps its row: no raster, and what went wrong as ``error``.
     """
+    empty = dict.fromkeys(("width", "height", "transform", "bands", "data"))
+
+    def decoded(content: bytes) -> dict:
+        try:
+            return {**decoder(content), "error": None}
+        except Exception as e:
+            return {**empty, "error": f"{type(e).__name__}: {e}"}
+
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for path, date, content in zip(batch["path"], batch["date"], batch["content"]):
-                yield pd.DataFrame([{"path": path, "date": date, **decoder(content)}])[
+                yield pd.DataFrame([{"path": path, "date": date, **decoded(content)}], dtype=object)[
                     RASTERS.fieldNames()
                 ]
 

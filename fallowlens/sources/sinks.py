@@ -9,26 +9,46 @@ from fallowlens.schemas import Params
 
 
 def _parquet(df: DataFrame, path: str, *partitions: str, mode: str = "overwrite") -> None:
+    """Overwriting replaces only the partitions that ``df`` has rows for."""
     writer = df.write.mode(mode)
-    (writer.partitionBy(*partitions) if partitions else writer).parquet(path)
+    if partitions:
+        writer = writer.partitionBy(*partitions).option("partitionOverwriteMode", "dynamic")
+    writer.parquet(path)
+
+
+def run_partitions(df: DataFrame, params: Params) -> DataFrame:
+    """The partition columns of a run: whole window metres and the interval's ends."""
+    return df.withColumns({
+        "window": F.lit(int(params.window_m)),
+        "start_date": F.lit(params.start_date),
+        "end_date": F.lit(params.end_date),
+    })
+
+
+def of_run(stored: DataFrame, params: Params) -> DataFrame:
+    """The rows of one run, read by its partition only."""
+    return stored.filter(
+        (F.col("window") == int(params.window_m))
+        & (F.col("start_date") == params.start_date)
+        & (F.col("end_date") == params.end_date)
+    )
 
 
 def write_timeseries(df: DataFrame, path: str, params: Params, mode: str = "overwrite") -> None:
     """Per-pixel time series, clustered so that a seed lies in few files.
 
-    Ranges over the pixel split a large seed over several tasks and files.
+    Ranges over the pixel split a large seed over several tasks and files. Runs of
+    other windows or intervals in the same folder stay.
     """
     clustered = df.repartitionByRange("seed_id", "row", "col").sortWithinPartitions(
         "seed_id", "row", "col", "date"
     )
-    dated = clustered.withColumns(
-        {"start_date": F.lit(params.start_date), "end_date": F.lit(params.end_date)}
-    )
-    _parquet(dated, path, "start_date", "end_date", mode=mode)
+    _parquet(run_partitions(clustered, params), path, "window", "start_date", "end_date", mode=mode)
 
 
-def write_pixel_features(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    _parquet(df, path, mode=mode)
+def write_pixel_features(df: DataFrame, path: str, params: Params, mode: str = "overwrite") -> None:
+    """Pixel table of a run, beside those of other windows and intervals."""
+    _parquet(run_partitions(df, params), path, "window", "start_date", "end_date", mode=mode)
 
 
 def write_seed_features(
@@ -69,12 +89,9 @@ def write_tiles(tiles: DataFrame, path: str, mode: str = "overwrite") -> None:
     _parquet(tiles.repartitionByRange("date", "seed_id"), path, "date", mode=mode)
 
 
-def write_pixels(pixels: DataFrame, path: str) -> None:
-    _parquet(pixels, path)
-
-
-def write_grids(grids: DataFrame, path: str) -> None:
-    _parquet(grids, path)
+def write_table(df: DataFrame, path: str) -> None:
+    """Pixel tables and grids."""
+    _parquet(df, path)
 
 
 def write_mosaic(

@@ -10,28 +10,30 @@ from pyspark.sql import types as T
 
 from fallowlens.operators.quality import require_columns
 
-# monotonically_increasing_id() keeps the row number in its low 33 bits
-_ROW_BITS = 33
-
-
 def number_rows(df: DataFrame, name: str = "position") -> DataFrame:
     """Append the 0-based row position of a frame read straight from files.
 
-    Rows are numbered inside their partition, then shifted by the sizes of the
-    partitions before. Only one row per partition is ever brought together.
+    Rows follow the files' paths, then their place in the file, however the scan packs
+    files into partitions. A block of a file lies in one partition, so rows are numbered
+    inside their block and shifted by the sizes of the blocks before. Only one row per
+    block is ever brought together.
     """
-    marked = df.withColumn("_m", F.monotonically_increasing_id())
-    part = F.shiftright("_m", _ROW_BITS)
-    local = F.col("_m").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    block = ["_file", "_start"]
+    marked = df.select(
+        *df.columns,
+        F.monotonically_increasing_id().alias("_m"),
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_start"),
+    )
+    before = Window.orderBy(*block).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        marked.groupBy(part.alias("_part"))
-        .agg(F.count("*").alias("_rows"))
-        .select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
+        marked.groupBy(*block)
+        .agg(F.count("*").alias("_rows"), F.min("_m").alias("_first"))
+        .select(*block, "_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
     )
-    # bounded: as many rows as the scan has partitions
-    placed = marked.withColumn("_part", part).join(F.broadcast(offsets), "_part")
-    return placed.select(*df.columns, (F.col("_offset") + local).alias(name))
+    # bounded: as many rows as the scan has blocks
+    placed = marked.join(F.broadcast(offsets), block)
+    return placed.select(*df.columns, (F.col("_offset") + F.col("_m") - F.col("_first")).alias(name))
 
 
 def with_seed_ids(df: DataFrame) -> DataFrame:
@@ -59,7 +61,8 @@ def read_seeds(spark: SparkSession, path: str, has_id: bool = True) -> DataFrame
 
 
 def read_survey(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.option("header", True).schema(schema).csv(path)
+    """Survey rows with ``seq``, their order in the files, which look-ups go by."""
+    return number_rows(spark.read.option("header", True).schema(schema).csv(path), "seq")
 
 
 def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:

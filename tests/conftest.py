@@ -9,7 +9,7 @@ from fallowlens.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(8, "tests")
+def spark(tmp_path_factory):
+    session = local_session(8, "tests", spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")))
     yield session
     session.stop()

@@ -104,7 +104,7 @@ def test_large_grids_give_the_same_statistics(spark):
     ]
     df = spark.createDataFrame(rows, PIXELS)
     a = seed_statistics(df, 2, (40, 40)).orderBy("seed_id").collect()
-    b = seed_statistics(df, 2, (40, 40), gather_limit=100).orderBy("seed_id").collect()
+    b = seed_statistics(df, 2, spread=True).orderBy("seed_id").collect()
     assert a[0].__fields__ == b[0].__fields__
     for x, y in zip(a, b):
         for name in x.__fields__:
@@ -132,7 +132,7 @@ def test_run_end_to_end(spark):
             ("outside", 10, 0, 1, 1, 10, BARE),
         ],
     )
-    run = batch.seed_features(data, seeds(spark, "a", "green", "outside", "absent"), Params())
+    run = batch.seed_features(data, seeds(spark, "a", "green", "outside", "absent"), Params(size=(10, 10)))
     got = by_seed(run)
     assert set(got) == {"a", "green"}
     assert (got["a"]["n_pixels"], got["a"]["n_pixels_with_min_obs"]) == (2, 1)
@@ -146,13 +146,29 @@ def test_run_end_to_end(spark):
     assert run.features.columns == seed_columns()
 
 
+def test_rasters_of_any_size_give_full_rows(spark):
+    data = obs(spark, [(s, r, c, d, 1, 10, BARE) for s, n in (("a", 11), ("b", 3)) for r in range(n) for c in range(n) for d in (1, 2)])
+    run = batch.seed_features(data, seeds(spark, "a", "b"), Params())
+    assert {k: r["n_pixels_with_min_obs"] for k, r in by_seed(run).items()} == {"a": 121, "b": 9}
+    assert run.errors.isEmpty()
+
+
+def test_unknown_scene_order_is_an_error(spark):
+    data = obs(spark, [("a", 0, 0, 1, None, 10, BARE), ("b", 0, 0, 1, 1, 10, BARE)])
+    run = batch.seed_features(data, seeds(spark, "a", "b"), Params())
+    assert [(r["seed_id"], r["error"]) for r in run.errors.collect()] == [("a", "scene order missing")]
+    assert set(by_seed(run)) == {"b"}
+
+
 def test_unusable_seeds_are_set_apart(spark):
-    data = obs(spark, [(s, 0, 0, 1, 1, 10, BARE) for s in ("a", "nowhere", "twice")])
-    listed = seeds(spark, "a", "twice", "twice").unionByName(
-        spark.createDataFrame([("nowhere", None, 9.0, T0)], SEEDS)
+    data = obs(spark, [(s, 0, 0, 1, 1, 10, BARE) for s in ("a", "nowhere", "twice", "same")])
+    listed = seeds(spark, "a", "twice", "same", "same").unionByName(
+        spark.createDataFrame([("nowhere", None, 9.0, T0), ("twice", 1.5, 9.0, T0)], SEEDS)
     )
     run = batch.seed_features(data, listed, Params())
-    assert set(by_seed(run)) == {"a"}
+    assert set(by_seed(run)) == {"a", "same"} and run.features.count() == 2
+    daily = batch.daily_pixels(data, Params())
+    assert batch.pixel_timeseries(daily, listed, Params()).filter("seed_id = 'same'").count() == 1
     errors = sorted((r["seed_id"], r["error"]) for r in run.errors.collect())
     assert errors == [
         ("nowhere", "missing coordinates"),

@@ -20,9 +20,9 @@ def test_stored_run_equals_the_lazy_plan(spark, tmp_path):
     params, out = Params(), str(tmp_path)
     assert batch.run_batch(obs, seeds, params, out) == {"features": True, "errors": True}
     series = spark.read.parquet(f"{out}/pixel_timeseries")
-    assert series.columns == timeseries_columns() + ["start_date", "end_date"]
+    assert series.columns == timeseries_columns() + ["window", "start_date", "end_date"]
     px = read_results(spark, f"{out}/pixel_features")
-    assert px.columns == ["seed_id", "seed_lat", "seed_lon", *pixel_columns()]
+    assert px.columns == ["seed_id", "seed_lat", "seed_lon", *pixel_columns(), "window", "start_date", "end_date"]
     stored = read_results(spark, f"{out}/seed_features").orderBy("seed_id")
     assert stored.columns == seed_columns()
     want = batch.seed_features(obs, seeds, params).features.orderBy("seed_id").collect()
@@ -35,6 +35,32 @@ def test_stored_run_equals_the_lazy_plan(spark, tmp_path):
     assert [(r["seed_id"], r["error"]) for r in errors] == [("absent", "no tiles")]
 
 
+def test_runs_stand_beside_each_other(spark, tmp_path):
+    obs, seeds, out = derived.scene_obs(spark, SF), derived.seeds(spark, SF), str(tmp_path)
+    first, second = Params(end_date="2024-06-10"), Params(start_date="2024-06-11")
+    wider = Params(end_date="2024-06-10", window_m=200.0)
+    counts = {}
+    for params in (first, second, wider, first):
+        batch.run_batch(obs, seeds, params, out)
+        for name in ("pixel_timeseries", "pixel_features"):
+            counts[params, name] = sinks.of_run(spark.read.parquet(f"{out}/{name}"), params).count()
+    for name in ("pixel_timeseries", "pixel_features"):
+        assert spark.read.parquet(f"{out}/{name}").count() == sum(n for (_, k), n in counts.items() if k == name)
+    assert counts[first, "pixel_features"] == counts[wider, "pixel_features"] > 0
+
+
+def test_rows_are_numbered_in_file_order(spark, tmp_path):
+    from fallowlens.sources.tables import read_seeds, with_seed_ids
+
+    for name, n in (("a", 2), ("b", 3000), ("c", 5)):
+        lines = [f"{1 + k / 1e4},{ord(name)}" for k in range(n)]
+        (tmp_path / f"{name}.csv").write_text("lat,lon\n" + "\n".join(lines) + "\n")
+    got = [(r["lon"], r["lat"]) for r in read_seeds(spark, str(tmp_path), has_id=False).orderBy(F.expr("cast(substr(seed_id, 6) as int)")).collect()]
+    assert got == sorted(got) and len(got) == 3007
+    seq = read_survey(spark, str(tmp_path), spark.read.option("header", True).csv(str(tmp_path)).schema)
+    assert sorted(r["seq"] for r in seq.collect()) == list(range(3007)) and with_seed_ids is not None
+
+
 def test_nothing_is_written_for_empty_results(spark, tmp_path):
     empty = spark.createDataFrame([], "seed_id string, error string")
     assert not sinks.write_errors(empty, str(tmp_path / "e"))
@@ -57,8 +83,8 @@ def test_survey_tiles_grids_and_mosaics_round_trip(spark, tmp_path):
 
     daily = batch.daily_pixels(derived.scene_obs(spark, SF), Params())
     px = batch.pixel_features(daily, derived.seeds(spark, SF), Params())
-    sinks.write_pixels(px, str(tmp_path / "px"))
-    sinks.write_grids(grids.qa_grids(spark.read.parquet(str(tmp_path / "px")), (10, 10)), str(tmp_path / "g"))
+    sinks.write_table(px, str(tmp_path / "px"))
+    sinks.write_table(grids.qa_grids(spark.read.parquet(str(tmp_path / "px")), (10, 10)), str(tmp_path / "g"))
     assert spark.read.parquet(str(tmp_path / "g")).count() == px.select("seed_id").distinct().count()
 
     mosaic = scenes.median_mosaic(derived.scene_obs(spark, SF), ["B04"])

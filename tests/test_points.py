@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fallowlens.functions import geo
-from fallowlens.functions.naming import day_of, mosaic_name, point_name
+from fallowlens.functions.naming import mosaic_name, point_name
 from fallowlens.operators.windows import window_join
 from fallowlens.schemas import Params
 from fallowlens.sources.tables import number_rows, read_seeds, with_seed_ids
@@ -56,9 +56,8 @@ def test_names(spark):
             F.array(F.lit("B02"), F.lit("B03")), F.lit(512), F.lit(256), F.lit("ndvi"),
         ).alias("a"),
         mosaic_name(F.lit("s2"), F.lit("2024-06-01"), F.lit("2024-06-30"), None, F.lit(0), F.lit(5)).alias("b"),
-        day_of(F.lit("2024-06-01T10:00:00Z")).cast("string").alias("d"),
     ).first()
-    assert tuple(one) == ("s2_2024-06-01_2024-06-30_B02-B03_512x256_ndvi", "s2_2024-06-01_2024-06-30", "2024-06-01")
+    assert tuple(one) == ("s2_2024-06-01_2024-06-30_B02-B03_512x256_ndvi", "s2_2024-06-01_2024-06-30")
 
 
 def test_finished_points_are_skipped(spark):

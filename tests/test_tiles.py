@@ -130,7 +130,7 @@ PX = "seed_id string, row int, col int, B04_median_bs double, NDVI_median_bs dou
 
 def test_grids_fill_gaps(spark):
     df = spark.createDataFrame(
-        [("a", 0, 1, 0.5, 0.1, 0.2, 3), ("a", 1, 0, None, None, None, 1), ("a", 7, 7, 1.0, 1.0, 1.0, 9)], PX
+        [("a", 0, 1, 0.5, 0.1, 0.2, 3), ("a", 1, 0, None, None, None, 1)], PX
     )
     points = spark.createDataFrame([("a",), ("b",)], "seed_id string")
     comp = {r["seed_id"]: r for r in grids.composite_grids(df, (2, 3), ["B04"], points).collect()}
@@ -141,9 +141,50 @@ def test_grids_fill_gaps(spark):
     assert len(qa) == 1 and qa[0]["n_obs"] == [[0, 3], [1, 0], [0, 0]]
     assert qa[0]["ndvi"][0] == [None, pytest.approx(0.1)] and qa[0]["ndvi"][1] == [None, None]
     assert grids.grid_cells(grids.qa_grids(df, (2, 3)), ["n_obs"]).count() == 6
+    with pytest.raises(Exception, match="outside the grid of a"):
+        grids.qa_grids(df, (1, 3)).collect()
+    # without a declared size a grid is as large as its seed's raster, or its pixels
+    assert grids.qa_grids(df).first()["n_obs"] == [[0, 3], [1, 0]]
+    shapes = spark.createDataFrame([("a", 3, 2), ("b", 1, 1)], "seed_id string, width int, height int")
+    own = {r["seed_id"]: r["n_obs"] for r in grids.qa_grids(df, seeds=shapes).collect()}
+    assert own == {"a": [[0, 3, 0], [1, 0, 0]], "b": [[0]]}
 
 
-def test_stack_plan_reports_and_agrees_with_exploded_pixels(spark, monkeypatch):
+def test_stamps_files_and_bands_that_fail_are_set_apart(spark, tmp_path):
+    from fallowlens.plans import stacks
+    from fallowlens.plans import tiles as plan
+    from fallowlens.schemas import BANDS, Params
+    from fallowlens.sources.rasters import attach_seeds, discover, read_rasters
+
+    bare = (0.05, 0.07, 0.10, 0.14, 0.25, 0.20)
+    stamped = lambda s, *days: (s, '{"acquisition_dates": "[' + ", ".join(f'\\"{d}\\"' for d in days) + ']"}')
+    rows = [(*stamped(s, *days), 1, 1, T0, [v for _ in days for v in bare]) for s, *days in (
+        ("a", "2024-06-01", "2024-06-02"), ("bad", "garbage", "2024-06-02"), ("late", "2024-07-01"))]
+    stacked = spark.createDataFrame(rows, "seed_id string, userdata string, width int, height int, transform array<double>, data array<float>")
+    seeds = spark.createDataFrame([(s, 45.0, 9.0) for s in ("a", "bad", "late")], "seed_id string, lat double, lon double")
+    run = stacks.seed_features(stacked, seeds, Params(min_obs=1))
+    assert {r["seed_id"]: r["error"] for r in run.errors.collect()} == {"bad": "acquisition dates missing", "late": "no tiles"}
+    assert [(r["seed_id"], r["n_pixels"]) for r in run.features.collect()] == [("a", 1)]
+
+    points = spark.createDataFrame([("ok", 1.0, 2.0), ("corrupt", 3.0, 4.0), ("undated", 5.0, 6.0), ("poor", 7.0, 8.0)], "seed_id string, lat double, lon double")
+    for lat, lon, name, content in ((1, 2, "2024-06-01", "ok"), (3, 4, "2024-06-01", "x"), (5, 6, "2024-13-45", "ok"), (7, 8, "2024-06-01", "poor")):
+        folder = tmp_path / f"point_{lat}p000000_{lon}p000000"
+        folder.mkdir()
+        (folder / f"{name}.tif").write_text(content)
+
+    def decoder(content):
+        names = {b"ok": list(BANDS), b"poor": list(BANDS[:3])}[content]
+        return {"width": 1, "height": 1, "transform": T0, "bands": names, "data": list(bare[: len(names)])}
+
+    assert discover(spark, str(tmp_path)).filter("date is null").count() == 1
+    tiles = attach_seeds(read_rasters(spark, str(tmp_path), decoder), points)
+    run = plan.seed_features(tiles, points, Params(min_obs=1))
+    assert {r["seed_id"]: r["error"] for r in run.errors.collect()} == {
+        "corrupt": "corrupt raster", "undated": "corrupt raster", "poor": "bands missing"}
+    assert [(r["seed_id"], r["n_pixels"]) for r in run.features.collect()] == [("ok", 1)]
+
+
+def test_stack_plan_reports_and_agrees_with_exploded_pixels(spark):
     from fallowlens.plans import stacks
     from fallowlens.schemas import Params
     from fallowlens.sources import derived
@@ -159,8 +200,7 @@ def test_stack_plan_reports_and_agrees_with_exploded_pixels(spark, monkeypatch):
     assert errors == {"seed_0001": "duplicate stack", "seed_0002": "band count mismatch"}
     rows = {r["seed_id"]: r for r in run.features.collect()}
     assert len(rows) == 8 and min(r["n_pixels"] for r in rows.values()) == 0
-    monkeypatch.setattr(stacks, "MAX_GATHERED_PIXELS", 10)
-    exploded = stacks.seed_features(given, derived.seeds(spark, sf), params).features.collect()
+    exploded = stacks.seed_features(given, derived.seeds(spark, sf), params, spread=True).features.collect()
     assert len(exploded) == len(rows)
     for r in exploded:
         for name in r.__fields__:
