@@ -5,6 +5,7 @@ from oracle import connect, differences
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from fallowlens import catalog
 
 SF = "/root/testdata/sf0.001"
 SKEWED = (
@@ -18,7 +19,7 @@ def con():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_query_equals_sql(spark, con, name):
     df = entry.queries()[name](spark, SF)
     sql = entry.oracle_sql().get(name)
