@@ -80,9 +80,14 @@ def band_errors(tiles: DataFrame, bands: Sequence[str]) -> DataFrame:
     return _reason(tiles.filter(lacking), "bands missing")
 
 
-def order_errors(observed: DataFrame) -> DataFrame:
-    """Seeds with an observation whose place among its day's acquisitions is unknown."""
-    return _reason(observed.filter("unordered"), "scene order missing")
+def observation_errors(seeds: DataFrame, observed: DataFrame) -> DataFrame:
+    """Seeds without observations, or with one whose place among its day's acquisitions
+    is unknown (``unordered``). Both come from one pass over the observations."""
+    found = seeds.select("seed_id").join(observed.select("seed_id", "unordered"), "seed_id", "left")
+    reason = F.when(F.col("unordered").isNull(), REASONS.index("no tiles")).when(
+        F.col("unordered"), REASONS.index("scene order missing")
+    )
+    return found.select("seed_id", reason.alias("reason")).filter(F.col("reason").isNotNull())
 
 
 def missing_errors(seeds: DataFrame, data: DataFrame) -> DataFrame:

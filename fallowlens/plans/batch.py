@@ -23,7 +23,7 @@ from fallowlens.operators.quality import (
     error_table,
     grid_errors,
     missing_errors,
-    order_errors,
+    observation_errors,
     require_bands,
     unique_points,
     without_errors,
@@ -103,26 +103,29 @@ def consolidate(
     params: Params,
     failed: Sequence[DataFrame] = (),
 ) -> SeedRun:
-    """Seed rows from pixel rows. ``observed`` holds the ids of seeds with data,
-    ``failed`` the findings of further checks.
+    """Seed rows from pixel rows. ``observed`` holds the ids of seeds with data, and
+    ``unordered`` if their observations have an order; ``failed`` are the findings of
+    further checks. Only a declared grid makes the errors read the pixels.
 
     Equal rows of one seed count once; a seed listed with different rows is an error.
     """
     points = seeds.select("seed_id", "lat", "lon").distinct()
     stats = seed_statistics(pixels, params.min_obs, params.size)
+    ordered = "unordered" in observed.columns
     errors = error_table(
         points,
         [
             coordinate_errors(points),
             duplicate_errors(points),
-            missing_errors(points, observed),
-            grid_errors(stats.select("seed_id", "in_grid")),
+            observation_errors(points, observed) if ordered else missing_errors(points, observed),
+            *([grid_errors(stats.select("seed_id", "in_grid"))] if params.size else []),
             *failed,
         ],
     )
     # The same rules again as filters: the features must not wait for the errors.
     located = points.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull())
-    sound = without_errors(located, duplicate_errors(points)).join(observed, "seed_id", "left_semi")
+    usable = observed.filter(~F.col("unordered")) if ordered else observed
+    sound = without_errors(located, duplicate_errors(points)).join(usable, "seed_id", "left_semi")
     for found in failed:
         sound = without_errors(sound, found)
     rows = attach_to_seeds(sound, stats).filter(F.coalesce(F.col("in_grid"), F.lit(True)))
@@ -130,13 +133,17 @@ def consolidate(
     return SeedRun(features, errors, sound)
 
 
+def observed_seeds(obs: DataFrame, params: Params) -> DataFrame:
+    """Seeds with selected observations, and whether one of those lacks its scene number."""
+    chosen = select_scenes(obs, params.start_date, params.end_date, params.max_cloud)
+    return chosen.groupBy("seed_id").agg(F.bool_or(F.col("scene_idx").isNull()).alias("unordered"))
+
+
 def seed_features(obs: DataFrame, seeds: DataFrame, params: Params) -> SeedRun:
     """Features and errors of all seeds, straight from observations."""
-    chosen = select_scenes(obs, params.start_date, params.end_date, params.max_cloud)
-    unordered = F.bool_or(F.col("scene_idx").isNull()).alias("unordered")
-    observed = chosen.groupBy("seed_id").agg(unordered)
+    observed = observed_seeds(obs, params)
     pixels = pixel_stats(daily_pixels(obs, params), params)
-    return consolidate(pixels, seeds, observed, params, [order_errors(observed)])
+    return consolidate(pixels, seeds, observed, params)
 
 
 def store_run(run: SeedRun, out: str) -> dict[str, bool]:
@@ -174,13 +181,10 @@ def run_batch(obs: DataFrame, seeds: DataFrame, params: Params, out: str) -> dic
         pixel_features(series, seeds, params), f"{out}/pixel_features", params
     )
     stored = sinks.of_run(spark.read.parquet(f"{out}/pixel_features"), params)
-    chosen = select_scenes(obs, params.start_date, params.end_date, params.max_cloud)
-    unordered = chosen.filter(F.col("scene_idx").isNull()).select("seed_id", F.lit(True).alias("unordered")).distinct()
     run = consolidate(
         stored.select(*PIXEL_KEYS, *pixel_columns(params.bands)[4:]),
         seeds,
-        series.select("seed_id").distinct(),
+        observed_seeds(obs, params),
         params,
-        [order_errors(unordered)],
     )
     return store_run(run, out)

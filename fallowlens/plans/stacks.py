@@ -73,7 +73,7 @@ def seed_features(
             duplicate_stack_errors(stacked),
             stack_errors(stacked, len(params.bands)),
             missing_errors(points, present),
-            grid_errors(stats.select("seed_id", "in_grid")),
+            *([grid_errors(stats.select("seed_id", "in_grid"))] if params.size else []),
         ],
     )
     located = points.filter(F.col("lat").isNotNull() & F.col("lon").isNotNull())

@@ -47,6 +47,17 @@ def test_feature_plan_shuffles_three_times(stored):
     assert plan(seeds).count("Exchange hashpartitioning") == 3
 
 
+def test_whole_plans_scan_the_observations_once_or_twice(spark, stored):
+    from fallowlens.plans.training import training_table
+
+    seeds = derived.seeds(spark, SF)
+    run = batch.seed_features(stored, seeds, Params())
+    scans = lambda df: len(re.findall(r"Scan parquet[^\n]*B08|Scan parquet[^\n]*scene_idx", plan(df)))
+    assert scans(run.features) == 2 and scans(run.errors) == 1
+    survey = seeds.select("seed_id", "lat", "lon")
+    assert scans(training_table(run.features, survey)) == 2
+
+
 def test_row_local_operators_do_not_shuffle(spark, stored):
     from fallowlens.operators import tiles as t
     from fallowlens.schemas import BANDS, STACKED_TILES
