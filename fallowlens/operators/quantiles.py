@@ -3,19 +3,24 @@
 ``percentile`` holds every distinct value of a group in one task. Here a bounded
 sketch first brackets each quantile, then only the values inside the bracket are
 ranked: about six parts in ten thousand of a large group. Both passes combine on
-the map side, so a group may hold any share of the rows.
+the map side, so a group may hold any share of the rows. A bracket is ranked in
+parts, each a range of its values with the count of all smaller ones, so that even a
+whole table's quantile is spread over tasks.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Sketch accuracy: ranks are off by at most group size / ACCURACY.
 ACCURACY = 10000
 
+# Ranges of values into which a bracket is divided.
+PARTS = 64
+
 
 def grouped_quantiles(
     df: DataFrame,
@@ -62,6 +67,11 @@ def grouped_quantiles(
         ]
     bounded = sketched.select(*keys, *bounds)
 
+    def part(c: str, t: int) -> Column:
+        lo, hi = F.col(f"_lo{t}"), F.col(f"_hi{t}")
+        share = F.when(hi > lo, (F.col(c) - lo) / (hi - lo) * PARTS).otherwise(F.lit(0.0))
+        return F.when(F.col(c) >= lo, F.least(F.floor(share), F.lit(PARTS - 1))).otherwise(-1).cast("int")
+
     # Below the bracket only the number of rows matters: those share a NULL value
     # and collapse in the partial aggregate.
     cells = F.array(
@@ -72,6 +82,7 @@ def grouped_quantiles(
                     F.lit(t).alias("target"),
                     F.when(F.col(c) >= F.col(f"_lo{t}"), F.col(c)).alias("value"),
                     F.col(f"_size{t}").alias("size"),
+                    part(c, t).alias("part"),
                 ),
             )
             for t, (c, _, _) in enumerate(targets)
@@ -80,17 +91,21 @@ def grouped_quantiles(
     joined = data.join(bounded.withColumnsRenamed({k: f"_k_{k}" for k in keys}), _same(keys))
     counts = (
         joined.select(*keys, F.inline(F.filter(cells, lambda s: s.isNotNull())))
-        .groupBy(*keys, "target", "size", "value")
+        .groupBy(*keys, "target", "size", "part", "value")
         .agg(F.count("*").alias("n"))
     )
 
-    ranked = counts.withColumn(
-        "upto",
-        F.sum("n").over(
-            Window.partitionBy(*keys, "target")
-            .orderBy(F.col("value").asc_nulls_first())
-            .rowsBetween(Window.unboundedPreceding, 0)
-        ),
+    # as many rows as a group has parts
+    smaller = Window.partitionBy(*keys, "target").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = (
+        counts.groupBy(*keys, "target", "part").agg(F.sum("n").alias("n"))
+        .withColumn("before", F.coalesce(F.sum("n").over(smaller), F.lit(0)))
+        .select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("target").alias("_t"), F.col("part").alias("_p"), "before")
+    )
+    within = Window.partitionBy(*keys, "target", "part").orderBy(F.col("value").asc_nulls_first())
+    same_part = _same(keys) & (F.col("target") == F.col("_t")) & (F.col("part") == F.col("_p"))
+    ranked = counts.join(before, same_part).withColumn(
+        "upto", F.col("before") + F.sum("n").over(within.rowsBetween(Window.unboundedPreceding, 0))
     )
     prob = F.element_at(
         F.array(*[F.lit(float(p)) for _, _, p in targets]), F.col("target") + 1
