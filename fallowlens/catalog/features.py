@@ -195,43 +195,35 @@ def merged_runs(spark: SparkSession, sf: str) -> DataFrame:
     return round_columns(merged, _SPATIAL + _COUNT_STATS)
 
 
-_ONE = "(select min(seed_id) from seeds)"
 _POINT_CTES = (
     q.OBS, q.SEEDS, q.selected(PARAMS.max_cloud), q.daily("chosen"), q.indexed(), q.pixels(0.2), q.seed_stats(2),
 )
 
 
-def _point(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Selected observations and the row of the seed with the smallest id."""
-    seeds = derived.seeds(spark, sf)
-    one = seeds.join(seeds.agg(F.min("seed_id").alias("seed_id")), "seed_id", "left_semi")
-    return derived.scene_obs(spark, sf).join(one.select("seed_id"), "seed_id", "left_semi"), one
-
-
 def _point_run(spark: SparkSession, sf: str) -> single_point.PointRun:
-    obs, one = _point(spark, sf)
-    return single_point.aggregate_point(batch.daily_pixels(obs, PARAMS), one, PARAMS)
+    """The single-point form of every point."""
+    daily = batch.daily_pixels(derived.scene_obs(spark, sf), PARAMS)
+    return single_point.aggregate_point(daily, derived.seeds(spark, sf), PARAMS)
 
 
 @query(
     "single_point_series",
     q.with_(*_POINT_CTES)
     + f'select acq_date as date, "row", col, x, y, {", ".join(BANDS)}, {_INDEX_COLS} '
-    + f"from indexed where seed_id = {_ONE}",
+    + "from indexed where seed_id in (select seed_id from seeds)",
     date="date",
 )
 def single_point_series(spark: SparkSession, sf: str) -> DataFrame:
-    """The 17-column series of one point."""
+    """The 17-column series of each point."""
     return round_columns(_point_run(spark, sf).series, INDICES)
 
 
 @query(
     "single_point_pixels",
-    _pixel_sql(True).replace("select p.seed_id, lat as seed_lat, lon as seed_lon, ", "select ")
-    + f" where p.seed_id = {_ONE}",
+    _pixel_sql(True).replace("select p.seed_id, lat as seed_lat, lon as seed_lon, ", "select "),
 )
 def single_point_pixels(spark: SparkSession, sf: str) -> DataFrame:
-    """Pixel features of one point; under-observed pixels lose their count too."""
+    """Pixel features of each point; under-observed pixels lose their count too."""
     df = round_columns(_point_run(spark, sf).pixels, _TEMPORAL)
     return df.withColumn("n_obs_baresoil", F.col("n_obs_baresoil").cast("double"))
 
@@ -243,11 +235,11 @@ def single_point_pixels(spark: SparkSession, sf: str) -> DataFrame:
     "2 as min_obs_baresoil, coalesce(n_pixels, 0) as n_pixels, "
     "coalesce(n_pixels_with_min_obs, 0) as n_pixels_with_min_obs, "
     + ", ".join(sql_rounded(f'"{c}"', c) for c in _COUNT_STATS + _SPATIAL)
-    + f" from seeds s left join stats t on s.seed_id = t.seed_id where s.seed_id = {_ONE}",
+    + " from seeds s left join stats t on s.seed_id = t.seed_id where s.seed_id in (select seed_id from chosen)",
 )
 def single_point_row(spark: SparkSession, sf: str) -> DataFrame:
-    """The 118-column row of one point."""
-    run = batch.seed_features(*_point(spark, sf), PARAMS)
+    """The 118-column row of each point."""
+    run = _seed_run(spark, sf, PARAMS)
     return round_columns(single_point.point_row(run.features, PARAMS), _COUNT_STATS + _SPATIAL)
 
 

@@ -149,12 +149,13 @@ def raster_min_max(tiles: DataFrame) -> DataFrame:
 
 
 def stack_dimensions(tiles: DataFrame) -> DataFrame:
-    """Dates, bands, height and width of each seed's stack, and its first corner."""
+    """Dates, bands, height and width of each seed's stack, and its first tile's corner."""
+    first = F.min_by("transform", "date")
     return tiles.groupBy("seed_id").agg(
         F.count_distinct("date").alias("n_dates"),
         F.max(F.size("bands")).alias("n_bands"),
         F.max("height").alias("height"),
         F.max("width").alias("width"),
-        F.min(F.get("transform", F.lit(2))).alias("x0"),
-        F.max(F.get("transform", F.lit(5))).alias("y0"),
+        F.get(first, F.lit(2)).alias("x0"),
+        F.get(first, F.lit(5)).alias("y0"),
     )
