@@ -4,14 +4,14 @@ A source's rate is its target share of the bytes put out over its share of the b
 read. A document's copies follow a Poisson distribution with that mean: a uniform
 number made from a hash of the seed and the document is looked up in the source's
 cumulative probabilities. The copies are then dealt by a hash, so they end up in
-random order over all partitions. Only built-in functions are used.
+random order over all partitions. Only built-in functions are used. Rates have no bound.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fallowlens.llm.common import maybe_broadcast, stored
@@ -26,25 +26,30 @@ def uniform(*parts: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, DIGITS), 16, 10).cast("double") / F.lit(float(RANGE))
 
 
-def cumulative(rate: Column) -> Column:
-    """P(X <= 0), P(X <= 1), ... of a Poisson variable, up to where the rest is below 1e-12.
+def with_cumulative(per_source: DataFrame) -> DataFrame:
+    """(source, rate, first, cdf): P(X <= first), P(X <= first + 1), ... of a Poisson variable of each positive rate.
 
-    The last entry, ``rate + 12 sqrt(rate) + 20`` terms on, bounds the number of copies.
+    ``first`` is 0 or 12 deviations and 20 below the rate, and the last entry, 1, as far above it; less than 1e-12
+    lies outside. Chances are summed in logarithms from ``first`` on, since exp(-rate) is 0 in doubles above 745, and
+    divided by their sum. A table has about ``24 sqrt(rate)`` entries.
     """
-    last = F.ceil(rate + 12 * F.sqrt(rate) + 20).cast("int")
-    steps = F.aggregate(
-        F.sequence(F.lit(1), last),
-        F.struct(F.exp(-rate).alias("p"), F.array(F.exp(-rate)).alias("c")),
-        lambda acc, k: F.struct(
-            (acc["p"] * rate / k).alias("p"),
-            F.concat(acc["c"], F.array(F.element_at(acc["c"], -1) + acc["p"] * rate / k)).alias("c"),
-        ),
+    rate, reach = F.col("rate"), 12 * F.sqrt("rate") + 20
+    terms = per_source.where("rate > 0").withColumn("first", F.greatest(F.lit(0), F.floor(rate - reach)).cast("int"))
+    terms = terms.withColumn("k", F.explode(F.sequence("first", F.ceil(rate + reach).cast("int"))))
+    every = Window.partitionBy("source")
+    upto = every.orderBy("k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    terms = (
+        terms.withColumn("log", F.sum(F.when(F.col("k") > F.col("first"), F.log(rate / F.col("k"))).otherwise(0.0)).over(upto))
+        .withColumn("log", F.col("log") - F.max("log").over(every))
+        .withColumn("c", F.sum(F.exp("log")).over(upto))
+    )
+    return terms.groupBy("source", "rate", "first").agg(
+        F.transform(F.sort_array(F.collect_list("c")), lambda c: c / F.max("c")).alias("cdf")
     )
-    return steps["c"]
 
 
 def rates(docs: DataFrame, source: str, text: str, weights: Mapping[str, float] | None, total: float) -> DataFrame:
-    """(source, rate, cdf), a row per source; null is a source of its own.
+    """(source, rate, first, cdf), a row per source with copies; null is a source of its own.
 
     ``weights`` are relative targets by source, 0 for a source they leave out; without
     them all sources weigh alike. ``total`` is the output's bytes over the input's.
@@ -65,8 +70,7 @@ def rates(docs: DataFrame, source: str, text: str, weights: Mapping[str, float]
         F.col("weight") / F.col("all_weight") * F.lit(float(total)) * F.col("all_bytes") / F.col("bytes"),
     ).otherwise(0.0)
     return stored(
-        sizes.join(F.broadcast(whole)).select("source", rate.alias("rate")).withColumn("cdf", cumulative(F.col("rate"))),
-        "mixing-rates",
+        with_cumulative(sizes.join(F.broadcast(whole)).select("source", rate.alias("rate"))), "mixing-rates"
     )
 
 
@@ -92,10 +96,10 @@ def mix_sources(
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "copy")).alias("row")
     draw = uniform(F.lit(seed), F.col(doc_id))
     packed = docs.select(row, F.col(source).alias("own_source"), draw.alias("draw"))
-    copies = F.size(F.filter("cdf", lambda c: c <= F.col("draw")))
+    copies = F.col("first") + F.size(F.filter("cdf", lambda c: c <= F.col("draw")))
     copied = (
         packed.join(per_source, packed["own_source"].eqNullSafe(per_source["source"]))
-        .withColumn("copies", F.least(copies, F.size("cdf") - 1))
+        .withColumn("copies", copies)
         .where("copies > 0")
         .select("row", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"))
         .withColumn("place", F.xxhash64(F.lit(seed), F.lit("place"), F.col(f"row.`{doc_id}`"), "copy"))

@@ -188,6 +188,26 @@ def test_poisson_copies_have_the_target_mean(spark):
     assert sorted(mixed.collect()) == sorted(mixing.mix_sources(docs.repartition(3), weights={"big": 1.0, "small": 3.0}).collect())
 
 
+def test_poisson_copies_at_large_rates(spark):
+    n, rates = 300, {"a": 100, "b": 1000, "c": 5000}
+    source = F.element_at(F.array(*map(F.lit, rates)), (F.col("id") % 3 + 1).cast("int"))
+    docs = spark.range(3 * n).select(F.col("id").alias("doc_id"), F.lit("some text").alias("text"), source.alias("source"))
+    counts = mixing.mix_sources(docs, weights=rates, total=sum(rates.values()) / 3).groupBy("source", "doc_id").count()
+    found = counts.groupBy("source").agg(
+        F.count("count").alias("n"), F.avg("count").alias("mean"), F.variance("count").alias("var")
+    ).collect()
+    assert len(found) == 3
+    for r in found:
+        rate = rates[r.source]
+        assert r.n == n and abs(r["mean"] - rate) < 5 * (rate / n) ** 0.5 and abs(r["var"] / rate - 1) < 5 * (2 / n) ** 0.5
+    wide = spark.createDataFrame([("a", 0.25), ("b", 80.0), ("c", 745.0), (None, 5000.0), ("e", 1e6), ("none", 0.0)], "source string, rate double")
+    tables = {r.source: r for r in mixing.with_cumulative(wide).collect()}
+    assert set(tables) == {"a", "b", "c", None, "e"}
+    for r in tables.values():
+        p = [math.exp(k * math.log(r.rate) - r.rate - math.lgamma(k + 1)) for k in range(r["first"], r["first"] + len(r.cdf))]
+        assert np.allclose(np.cumsum(p), r.cdf, rtol=0, atol=1e-8) and r.cdf[-1] == 1.0
+
+
 def test_archive_round_trip_and_damage(spark, tmp_path):
     import base64
     import hashlib
