@@ -142,6 +142,27 @@ def test_paraphrases_are_found_and_unrelated_texts_left(spark):
     assert sum(r.doc_id == r.item_id for r in got) >= 27
 
 
+def test_excerpts_across_piece_borders_are_found(spark):
+    rng = random.Random(6)
+    text = lambda n: [f"w{rng.randrange(10**5)}" for _ in range(n)]
+    long, short, tiny = text(144), text(40), text(10)
+    changed = [w if k % 8 else f"x{k}" for k, w in enumerate(long[30:90])]
+    parts = [long[16:80], long[40:104], long[70:83], short[:28], short[3:17], changed, long[70:82], short[:12]]
+    docs = [(i, " ".join(text(60) + part + text(60))) for i, part in enumerate(parts)]
+    docs += [(8, " ".join(w for k in range(0, 144, 12) for w in [*long[k : k + 12], f"y{k}a", f"y{k}b"][:6]))]
+    docs += [(9, " ".join(short[:7])), (10, " ".join(short[7:14]))]
+    taken = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(long)), (2, " ".join(short)), (3, " ".join(tiny))], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r for r in decontaminate.contaminated(taken, bench).collect()}
+    assert set(got) == {(0, 1), (1, 1), (2, 1), (3, 2), (4, 2), (5, 1)}
+    for i in (2, 3, 4):
+        r = next(r for (d, _), r in got.items() if d == i)
+        assert docs[i][1][r.span_start : r.span_end] == " ".join(parts[i])
+    assert {r.doc_id for r in decontaminate.keep_clean(taken, bench).collect()} == {6, 7, 8, 9, 10}
+    only_tiny = decontaminate.contaminated(taken, bench.where("item_id = 3"))
+    assert only_tiny.isEmpty()
+
+
 def test_common_subsequence():
     rng = random.Random(5)
     for _ in range(200):
