@@ -278,6 +278,13 @@ def confirmed_edges(grouped: DataFrame, params: Params) -> DataFrame:
     return grouped.mapInArrow(run, "a long, b long")
 
 
+def clash_edges(named: DataFrame, classes: DataFrame) -> DataFrame:
+    """(a, b): ids that several different texts share, joined to the classes of all of them."""
+    clashing = named.groupBy("id").agg(F.min("digest").alias("low"), F.max("digest").alias("high")).where("low <> high").select("id")
+    own = named.select("id", "digest").join(clashing, "id").join(classes, "digest")
+    return own.where("id <> cid").select(F.col("id").alias("a"), F.col("cid").alias("b"))
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", params: Params | None = None) -> DataFrame:
     """One row per document: id, ``n_shingles``, ``component_id``, ``kept``.
 
@@ -286,7 +293,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     is one shingle. ``component_id`` is the smallest id that links reach, and ``kept``
     says that it is the document's own. Documents without words, and rows with a null id,
     are linked with nothing: they are kept, a null id with a null component. Rows that
-    share an id are one node; other columns are left out; an empty table gives an empty
+    share an id are one node, which has the links of all their texts; other columns are left out; an empty table gives an empty
     result.
     """
     params = params or Params()
@@ -297,12 +304,13 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     )
     heads = stored(
         named.join(classes.select(F.col("digest").alias("d"), "cid"), (F.col("digest") == F.col("d")) & (F.col("id") == F.col("cid")))
-        .select("id", "n_shingles", "sig", "bands").dropDuplicates(["id"]),
+        .select("id", "digest", "n_shingles", "sig", "bands").dropDuplicates(["id", "digest"])
+        .withColumn("head", F.monotonically_increasing_id()).drop("digest"),
         "near-heads",
     )
-    keyed = heads.select("id", F.explode("bands").alias("key"))
+    keyed = heads.select("head", F.explode("bands").alias("key"))
     sizes = keyed.groupBy("key").count().where("count > 1")
-    shared = keyed.join(sizes, "key").join(heads.select("id", "sig"), "id").select("key", "count", "id", "sig")
+    shared = keyed.join(sizes, "key").join(heads.select("head", "id", "sig"), "head").select("key", "count", "id", "sig")
     buckets = blocked(shared, "key", F.ceil(F.col("count") / params.bucket_block))
     probable = components(bucket_edges(buckets, params).distinct())
     members = stored(
@@ -312,11 +320,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     )
     load = members.groupBy("gid").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("total"))
     blocks = F.ceil(F.greatest(F.col("n") / params.group_block, F.col("total") / params.block_shingles))
-    sized = members.join(load.select("gid", blocks.alias("parts")), "gid").select("id", "gid", "parts")
+    sized = members.join(load.select("gid", blocks.alias("parts")), "gid").select("id", "gid", "parts").distinct()
     texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
     # members grow with the documents, so they are joined alike at every size, never broadcast
     groups = blocked(texts.join(sized.hint("merge"), "id").select("gid", "parts", "id", "text"), "gid", F.col("parts"))
-    linked = components(confirmed_edges(groups, params).distinct())
+    linked = components(confirmed_edges(groups, params).union(clash_edges(named, classes)).distinct())
     labelled = classes.join(linked, classes["cid"] == linked["id"], "left").select(
         F.col("digest").alias("d"), F.coalesce("label", "cid").alias("label")
     )

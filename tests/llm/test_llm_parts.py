@@ -105,6 +105,17 @@ def test_large_groups_in_blocks_lose_no_link(spark):
     assert got == brute({i: shingles(t) for i, t in enumerate(texts)}, 85)
 
 
+def test_rows_that_share_an_id_have_the_links_of_all_their_texts(spark):
+    rng = random.Random(8)
+    a, b, c, d, e = ([f"w{rng.randrange(10**6)}" for _ in range(150)] for _ in range(5))
+    docs = [(3, a), (9, a), (9, b), (12, b)]  # equal texts
+    docs += [(21, edited(c, 2, rng).split()), (22, edited(d, 2, rng).split()), (25, c), (25, d), (25, e), (27, edited(e, 2, rng).split())]
+    docs += [(30, edited(e, 2, rng).split()), (40, [f"v{k}" for k in range(60)]), (40, [f"u{k}" for k in range(60)])]
+    taken = spark.createDataFrame([(i, " ".join(t)) for i, t in docs], "doc_id long, text string")
+    got = near_dedup.near_duplicates(taken, params=near_dedup.Params(percent=80)).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == sorted((i, 3 if i < 20 else 21 if i < 40 else 40) for i, _ in docs)
+
+
 def test_components_of_paths_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, k) for k in range(101, 130)] + [(500, 400)]
     got = {r.id: r.label for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
