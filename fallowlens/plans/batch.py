@@ -31,6 +31,7 @@ from fallowlens.operators.quality import (
 from fallowlens.operators.scenes import last_of_day, select_scenes
 from fallowlens.operators.spatial import attach_to_seeds, seed_statistics
 from fallowlens.schemas import PIXEL_KEYS, Params, pixel_columns, seed_columns, timeseries_columns
+from fallowlens.session import materialize
 from fallowlens.sources import sinks
 
 
@@ -110,7 +111,9 @@ def consolidate(
     Equal rows of one seed count once; a seed listed with different rows is an error.
     """
     points = seeds.select("seed_id", "lat", "lon").distinct()
-    stats = seed_statistics(pixels, params.min_obs, params.size)
+    if params.spread:
+        pixels = materialize(pixels)
+    stats = seed_statistics(pixels, params.min_obs, params.size, spread=params.spread)
     ordered = "unordered" in observed.columns
     errors = error_table(
         points,

@@ -59,6 +59,7 @@ def seed_features(
     Seeds with several stacks are errors. Looking for them reads the id column
     alone, and their rows are dropped after the statistics, so no raster is shuffled.
     """
+    spread = spread or params.spread
     points = seeds.select("seed_id", "lat", "lon").distinct()
     stats = seed_statistics(
         pixel_stats(stacked, params, spread), params.min_obs, params.size, spread=spread

@@ -57,6 +57,8 @@ class Params:
 
     A seed's grid is as large as its rasters. ``size`` (width, height) declares it
     where that is known; pixels outside a declared grid are then errors.
+    ``spread`` finds a seed's statistics without gathering its pixels in one task, for
+    rasters of any size; the pixel table is then stored in ``spark.checkpoint.dir``.
     """
 
     window_m: float = 100.0
@@ -68,6 +70,7 @@ class Params:
     ndvi_threshold: float = 0.2
     min_obs: int = 2
     max_cloud: int = 80
+    spread: bool = False
 
     @property
     def targets(self) -> tuple[str, ...]:

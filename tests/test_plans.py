@@ -1,6 +1,7 @@
 """Plan shape: what is read, pushed down and shuffled."""
 
 import re
+from dataclasses import replace
 
 import pytest
 
@@ -81,3 +82,17 @@ def test_stored_flag_filters_at_the_scan(spark, tmp_path):
     assert "is_baresoil" in re.search(r"PushedFilters: \[([^]]*)", text).group(1)
     schema = re.search(r"ReadSchema: (\S+)", text).group(1)
     assert "EVI" not in schema and "seed_lat" not in schema
+
+
+def test_spread_reaches_the_seed_plan(spark, stored):
+    params, seeds = Params(ndvi_threshold=0.2), derived.seeds(spark, SF)
+    gathered = batch.seed_features(stored, seeds, params).features
+    spread = batch.seed_features(stored, seeds, replace(params, spread=True)).features
+    assert "_px#" in plan(gathered) and "_px#" not in plan(spread)
+    rows = {r["seed_id"]: r for r in spread.collect()}
+    found = gathered.collect()
+    assert found and len(found) == len(rows)
+    for r in found:
+        for name in r.__fields__:
+            other = rows[r["seed_id"]][name]
+            assert r[name] == (pytest.approx(other) if isinstance(other, float) else other), name
