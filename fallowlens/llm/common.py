@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -86,6 +87,16 @@ def pieces(values: list[str], size: int) -> Iterator[tuple[int, int]]:
         yield start, len(values)
 
 
+def stretches(values: pa.Array, size: int) -> Iterator[tuple[int, int]]:
+    """As ``pieces``, for an Arrow column of texts or bytes and its bytes, without making Python values."""
+    sizes = pc.fill_null(pc.binary_length(values), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    start = 0
+    while start < len(sizes):
+        stop = start + 1 + int(np.searchsorted(np.cumsum(sizes[start:]), size))
+        yield start, min(stop, len(sizes))
+        start = min(stop, len(sizes))
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit integers."""
     x = x.astype(np.uint64, copy=True)

@@ -175,3 +175,33 @@ def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fallowlens.llm import mixing
 
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
+
+
+FIM_SQL = """
+with t as (
+  select doc_id, coalesce(text, '') as text, length(coalesce(text, '')) as n,
+         sha256('1:' || coalesce(doc_id::varchar, '')) as h from documents
+), g as (
+  select *, [('0x' || substr(h, 1 + 8 * k, 8))::ubigint for k in range(4)] as d from t
+), c as (
+  select doc_id, text, n, least(d[1] % (n + 1), d[2] % (n + 1))::bigint as a, greatest(d[1] % (n + 1), d[2] % (n + 1))::bigint as b,
+    case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or d[3] % 100 >= 90 then 'plain'
+         when d[4] % 100 < 20 then 'spm' else 'psm' end as form
+  from g
+), o as (
+  select *, substr(text, 1, a) as prefix, substr(text, a + 1, b - a) as middle, substr(text, b + 1) as suffix from c
+)
+select doc_id, n::bigint as n, form, case when form <> 'plain' then a end as prefix_chars,
+  case when form <> 'plain' then b - a end as middle_chars,
+  sha256(case form when 'plain' then text when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+  sha256(text) as restored_sha256
+from o
+"""
+
+
+@query("op12_fill_in_middle", FIM_SQL)
+def _op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fallowlens.llm import fill_in_middle
+
+    return fill_in_middle.digests(table(spark, sf_dir, "documents"))
