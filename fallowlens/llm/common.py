@@ -43,6 +43,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Removes a folder of ``fresh_path`` that nothing reads any more."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def maybe_broadcast(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
     """``df`` with a broadcast hint if it has at most ``limit`` rows. ``df`` should be stored."""
     return F.broadcast(df) if len(df.limit(limit + 1).collect()) <= limit else df

@@ -205,3 +205,10 @@ def _op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fallowlens.llm import fill_in_middle
 
     return fill_in_middle.digests(table(spark, sf_dir, "documents"))
+
+
+@query("op13_vector_codes")
+def _op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fallowlens.llm import vector_codes
+
+    return vector_codes.vector_codes(table(spark, sf_dir, "embeddings"))
