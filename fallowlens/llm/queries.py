@@ -177,6 +177,13 @@ def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(table(spark, sf_dir, "documents"))
 
 
+@query("op11_quality_classifier")
+def _op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fallowlens.llm import quality_trees
+
+    return quality_trees.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 FIM_SQL = """
 with t as (
   select doc_id, coalesce(text, '') as text, length(coalesce(text, '')) as n,

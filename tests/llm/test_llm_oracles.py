@@ -36,7 +36,7 @@ def test_equal_to_sql(spark, con, name):
 
 def test_every_operator_is_registered():
     names = [re.match(r"op(\d+)_", n) for n in entry.queries()]
-    assert {int(m[1]) for m in names if m} == set(range(1, 11)) and "pipeline" in entry.queries()
+    assert {int(m[1]) for m in names if m} == set(range(1, 14)) and "pipeline" in entry.queries()
 
 
 def test_token_counts_equal_the_library(spark, documents):
