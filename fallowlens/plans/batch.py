@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fallowlens.functions.geo import with_pixel_centres
 from fallowlens.functions.indices import add_indices, clean_bands, ndvi
@@ -30,9 +31,20 @@ from fallowlens.operators.quality import (
 )
 from fallowlens.operators.scenes import last_of_day, select_scenes
 from fallowlens.operators.spatial import attach_to_seeds, seed_statistics
-from fallowlens.schemas import PIXEL_KEYS, Params, pixel_columns, seed_columns, timeseries_columns
+from fallowlens.schemas import (
+    ERRORS,
+    PIXEL_KEYS,
+    Params,
+    pixel_columns,
+    pixel_schema,
+    seed_columns,
+    seed_schema,
+    timeseries_columns,
+    timeseries_schema,
+)
 from fallowlens.session import materialize
 from fallowlens.sources import sinks
+from fallowlens.streaming import runs
 
 
 def daily_pixels(obs: DataFrame, params: Params) -> DataFrame:
@@ -149,12 +161,17 @@ def seed_features(obs: DataFrame, seeds: DataFrame, params: Params) -> SeedRun:
     return consolidate(pixels, seeds, observed, params)
 
 
-def store_run(run: SeedRun, out: str) -> dict[str, bool]:
-    """Write both outcomes below ``out``; tells which of them had rows."""
-    return {
-        "features": sinks.write_seed_features(run.features, f"{out}/seed_features", run.processed),
-        "errors": sinks.write_errors(run.errors, f"{out}/errors"),
-    }
+def store_run(found: SeedRun, run: runs.Run) -> dict[str, bool]:
+    """Write both outcomes below the run's own number; tells which of them had rows."""
+    spark = found.features.sparkSession
+    done = sinks.write_seed_features(conform(found.features, seed_schema(run.params.bands)), run.path("seed_features"), found.processed)
+    sinks.write_table(runs.outcomes(run.stored(spark, "seed_features"), found.errors), run.path("outcomes"))
+    failed = run.stored(spark, "outcomes").filter(F.col("error").isNotNull())
+    return {"features": done, "errors": sinks.write_errors(failed.select(*ERRORS.names), run.path("errors"))}
+
+
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
 
 
 def run_one_seed(
@@ -169,25 +186,33 @@ def run_one_seed(
     return seed_features(obs.filter(F.col("seed_id") == seed_id), seed, params)
 
 
-def run_batch(obs: DataFrame, seeds: DataFrame, params: Params, out: str) -> dict[str, bool]:
-    """Write time series, pixel features, seed features and errors below ``out``.
+def run_batch(
+    obs: DataFrame, seeds: DataFrame, params: Params, out: str, resume: bool = False
+) -> dict[str, bool]:
+    """Write time series, pixel features, seed features and errors below ``out``, and publish them.
 
     Each stage starts from the stored result of the one before, so nothing is
-    computed twice and a lost executor costs one stage at most.
+    computed twice and a lost executor costs one stage at most. Read the tables with
+    ``runs.published``: a seed's rows are those of the last published run that had it.
+    ``resume`` leaves out the seeds that such a run has finished with the same parameters.
     """
     spark = obs.sparkSession
-    sinks.write_timeseries(
-        pixel_timeseries(daily_pixels(obs, params), seeds, params), f"{out}/pixel_timeseries", params
-    )
-    series = sinks.of_run(spark.read.parquet(f"{out}/pixel_timeseries"), params)
-    sinks.write_pixel_features(
-        pixel_features(series, seeds, params), f"{out}/pixel_features", params
-    )
-    stored = sinks.of_run(spark.read.parquet(f"{out}/pixel_features"), params)
-    run = consolidate(
-        stored.select(*PIXEL_KEYS, *pixel_columns(params.bands)[4:]),
+    if resume:
+        seeds = materialize(runs.pending(seeds, out, params))
+        if seeds.isEmpty():
+            return {"features": False, "errors": False}
+        obs = obs.join(seeds.select("seed_id").distinct(), "seed_id", "left_semi")
+    run = runs.start(out, params)
+    series = pixel_timeseries(daily_pixels(obs, params), seeds, params)
+    sinks.write_timeseries(conform(series, timeseries_schema(params.bands)), run.path("pixel_timeseries"), params)
+    pixels = pixel_features(run.stored(spark, "pixel_timeseries"), seeds, params)
+    sinks.write_pixel_features(conform(pixels, pixel_schema(params.bands)), run.path("pixel_features"), params)
+    found = consolidate(
+        run.stored(spark, "pixel_features").select(*PIXEL_KEYS, *pixel_columns(params.bands)[4:]),
         seeds,
         observed_seeds(obs, params),
         params,
     )
-    return store_run(run, out)
+    wrote = store_run(found, run)
+    runs.publish(spark, run)
+    return wrote

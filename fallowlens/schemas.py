@@ -111,3 +111,24 @@ def seed_columns(bands: tuple[str, ...] = BANDS) -> list[str]:
         "ndvi_threshold",
         "max_cloud_coverage",
     ]
+
+
+def _fields(names: list[str], kinds: dict[str, T.DataType]) -> T.StructType:
+    """Doubles, but for the columns in ``kinds``."""
+    return T.StructType([T.StructField(n, kinds.get(n, T.DoubleType())) for n in names])
+
+
+def timeseries_schema(bands: tuple[str, ...] = BANDS) -> T.StructType:
+    kinds = {"seed_id": T.StringType(), "date": T.DateType(), "row": T.IntegerType(), "col": T.IntegerType(), "is_baresoil": T.BooleanType()}
+    return _fields(timeseries_columns(bands), kinds)
+
+
+def pixel_schema(bands: tuple[str, ...] = BANDS) -> T.StructType:
+    kinds = {"seed_id": T.StringType(), "row": T.IntegerType(), "col": T.IntegerType(), "n_obs_baresoil": T.LongType()}
+    return _fields([*SEED_KEYS, *pixel_columns(bands)], kinds)
+
+
+def seed_schema(bands: tuple[str, ...] = BANDS) -> T.StructType:
+    kinds = {"seed_id": T.StringType(), "n_pixels": T.LongType(), "n_pixels_with_min_obs": T.LongType(), "start_date": T.StringType(),
+             "end_date": T.StringType(), "max_cloud_coverage": T.IntegerType()}
+    return _fields(seed_columns(bands), kinds)

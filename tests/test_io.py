@@ -8,6 +8,7 @@ from fallowlens.schemas import Params, pixel_columns, seed_columns, timeseries_c
 from fallowlens.session import materialize
 from fallowlens.sources import derived, sinks
 from fallowlens.sources.tables import read_csv_inferred, read_results, read_survey
+from fallowlens.streaming import runs
 
 SF = "/root/testdata/sf0.001"
 
@@ -19,11 +20,11 @@ def test_stored_run_equals_the_lazy_plan(spark, tmp_path):
     seeds = seeds.unionByName(absent)
     params, out = Params(), str(tmp_path)
     assert batch.run_batch(obs, seeds, params, out) == {"features": True, "errors": True}
-    series = spark.read.parquet(f"{out}/pixel_timeseries")
+    series = runs.published(spark, out, "pixel_timeseries")
     assert series.columns == timeseries_columns() + ["window", "start_date", "end_date"]
-    px = read_results(spark, f"{out}/pixel_features")
+    px = runs.published(spark, out, "pixel_features")
     assert px.columns == ["seed_id", "seed_lat", "seed_lon", *pixel_columns(), "window", "start_date", "end_date"]
-    stored = read_results(spark, f"{out}/seed_features").orderBy("seed_id")
+    stored = runs.published(spark, out, "seed_features").orderBy("seed_id")
     assert stored.columns == seed_columns()
     want = batch.seed_features(obs, seeds, params).features.orderBy("seed_id").collect()
     got = stored.collect()
@@ -43,9 +44,9 @@ def test_runs_stand_beside_each_other(spark, tmp_path):
     for params in (first, second, wider, first):
         batch.run_batch(obs, seeds, params, out)
         for name in ("pixel_timeseries", "pixel_features"):
-            counts[params, name] = sinks.of_run(spark.read.parquet(f"{out}/{name}"), params).count()
+            counts[params, name] = sinks.of_run(runs.published(spark, out, name), params).count()
     for name in ("pixel_timeseries", "pixel_features"):
-        assert spark.read.parquet(f"{out}/{name}").count() == sum(n for (_, k), n in counts.items() if k == name)
+        assert runs.published(spark, out, name).count() == sum(n for (_, k), n in counts.items() if k == name)
     assert counts[first, "pixel_features"] == counts[wider, "pixel_features"] > 0
 
 

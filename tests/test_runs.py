@@ -1,0 +1,116 @@
+"""Runs become visible as a whole; a seed's tables come from one run."""
+
+from dataclasses import replace
+
+import pytest
+from pyspark.sql import functions as F
+
+from fallowlens.plans import batch
+from fallowlens.schemas import Params
+from fallowlens.sources import derived, folders
+from fallowlens.streaming import runs
+
+SF = "/root/testdata/sf0.001"
+TABLES = ("pixel_timeseries", "pixel_features", "seed_features", "errors")
+
+
+@pytest.fixture(scope="module")
+def obs(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("obs") / "obs")
+    derived.scene_obs(spark, SF).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def seen(spark, out):
+    """For each table, its rows a seed."""
+    counted = {t: runs.published(spark, out, t).groupBy("seed_id").count().collect() for t in TABLES}
+    return {t: {r["seed_id"]: r["count"] for r in rows} for t, rows in counted.items()}
+
+
+def test_a_rerun_replaces_all_outcomes_of_its_seeds(spark, obs, tmp_path):
+    seeds, out = derived.seeds(spark, SF), str(tmp_path)
+    batch.run_batch(obs, seeds, Params(max_cloud=80), out)
+    first = seen(spark, out)
+    assert first["seed_features"] and not first["errors"]
+    # now only some seeds were seen clearly
+    strict, obs = Params(max_cloud=2), obs.filter("cloud_cover > 2 or seed_id < 'seed_0005'")
+    batch.run_batch(obs, seeds, strict, out)
+    want = batch.seed_features(obs, seeds, strict)
+    second = seen(spark, out)
+    done = {r["seed_id"] for r in want.features.select("seed_id").collect()}
+    failed = {r["seed_id"] for r in want.errors.select("seed_id").collect()}
+    assert done and failed
+    assert set(second["seed_features"]) == done and set(second["errors"]) == failed
+    assert set(second["pixel_timeseries"]) == done and not failed & set(second["pixel_features"])
+    assert {r["max_cloud_coverage"] for r in runs.published(spark, out, "seed_features").collect()} == {2}
+
+
+def test_a_run_without_any_data_leaves_errors_only(spark, obs, tmp_path):
+    seeds, out = derived.seeds(spark, SF), str(tmp_path)
+    batch.run_batch(obs, seeds, Params(), out)
+    assert batch.run_batch(obs, seeds, Params(max_cloud=-1), out) == {"features": False, "errors": True}
+    last = seen(spark, out)
+    assert not last["seed_features"] and not last["pixel_features"] and not last["pixel_timeseries"]
+    assert set(last["errors"]) == {r["seed_id"] for r in seeds.collect()}
+    assert {r["error"] for r in runs.published(spark, out, "errors").collect()} == {"no tiles"}
+
+
+def test_nothing_is_seen_before_it_is_published(spark, obs, tmp_path, monkeypatch):
+    seeds, out = derived.seeds(spark, SF), str(tmp_path)
+
+    def lost(*_):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(runs, "publish", lost)
+        with pytest.raises(RuntimeError):
+            batch.run_batch(obs, seeds, Params(), out)
+    assert folders.exists(spark, f"{out}/seed_features") and seen(spark, out) == {t: {} for t in TABLES}
+    batch.run_batch(obs, seeds, Params(), out)
+    before = seen(spark, out)
+    with monkeypatch.context() as m:
+        m.setattr(runs, "publish", lost)
+        with pytest.raises(RuntimeError):
+            batch.run_batch(obs, seeds, Params(max_cloud=2), out)
+    assert seen(spark, out) == before
+
+
+def test_resume_runs_what_is_not_finished(spark, obs, tmp_path):
+    seeds, out, params = derived.seeds(spark, SF), str(tmp_path), Params()
+    absent = seeds.limit(1).withColumns({"seed_id": F.lit("absent"), "lat": F.lit(1.5)})
+    ids = sorted(r["seed_id"] for r in seeds.select("seed_id").collect())
+    some = seeds.filter(F.col("seed_id").isin(ids[:4])).unionByName(absent)
+    batch.run_batch(obs, some, params, out)
+    every = seeds.unionByName(absent)
+    left = {r["seed_id"] for r in runs.pending(every, out, params).collect()}
+    assert left == {*ids[4:], "absent"}
+    # other parameters, or a point that moved, are not finished
+    assert runs.pending(some, out, replace(params, ndvi_threshold=0.3)).count() == 5
+    moved = some.withColumn("lat", F.col("lat") + 0.1)
+    assert runs.pending(moved, out, params).count() == 5
+    assert batch.run_batch(obs, every, params, out, resume=True) == {"features": True, "errors": True}
+    rows = runs.manifest(spark, out).orderBy("published_ns").collect()
+    assert [(r.n_features, r.n_errors) for r in rows] == [(4, 1), (len(ids) - 4, 1)]
+    whole = seen(spark, out)
+    assert set(whole["seed_features"]) == set(ids) and whole["errors"] == {"absent": 1}
+    done = every.filter("seed_id <> 'absent'")
+    assert batch.run_batch(obs, done, params, out, resume=True) == {"features": False, "errors": False}
+
+
+def test_superseded_runs_are_removed(spark, obs, tmp_path):
+    seeds, out = derived.seeds(spark, SF), str(tmp_path)
+    for params in (Params(max_cloud=80), Params(window_m=200.0), Params(max_cloud=60)):
+        batch.run_batch(obs, seeds, params, out)
+    before = {t: runs.published(spark, out, t).count() for t in TABLES}
+    first, other, last = runs.manifest(spark, out).orderBy("published_ns").collect()
+    assert runs.remove_superseded(spark, out) == [first.run_id]
+    assert not folders.exists(spark, f"{out}/seed_features/run_id={first.run_id}")
+    assert folders.exists(spark, f"{out}/seed_features/run_id={other.run_id}")
+    assert {t: runs.published(spark, out, t).count() for t in TABLES} == before
+    assert before["seed_features"] == 2 * seeds.count() and last.window == 100
+
+
+def test_owners_are_found_in_hash_buffers(spark, obs, tmp_path):
+    batch.run_batch(obs, derived.seeds(spark, SF), Params(), str(tmp_path))
+    text = runs.owners(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in text and "partial_max" in text
