@@ -42,42 +42,42 @@ def require_bands(bands: Sequence[str]) -> None:
         raise ValueError(f"missing bands: {missing}")
 
 
-def _reason(ids: DataFrame, reason: str) -> DataFrame:
+def fault_rows(ids: DataFrame, reason: str) -> DataFrame:
     return ids.select("seed_id", F.lit(REASONS.index(reason)).alias("reason"))
 
 
 def coordinate_errors(seeds: DataFrame) -> DataFrame:
-    return _reason(seeds.filter(F.col("lat").isNull() | F.col("lon").isNull()), "missing coordinates")
+    return fault_rows(seeds.filter(F.col("lat").isNull() | F.col("lon").isNull()), "missing coordinates")
 
 
 def duplicate_errors(seeds: DataFrame) -> DataFrame:
     counted = seeds.groupBy("seed_id").agg(F.count("*").alias("n"))
-    return _reason(counted.filter(F.col("n") > 1), "duplicate seed_id")
+    return fault_rows(counted.filter(F.col("n") > 1), "duplicate seed_id")
 
 
 def duplicate_stack_errors(stacked: DataFrame) -> DataFrame:
-    return _reason(duplicate_keys(stacked, "seed_id"), "duplicate stack")
+    return fault_rows(duplicate_keys(stacked, "seed_id"), "duplicate stack")
 
 
 def stack_errors(stacked: DataFrame, n_bands: int) -> DataFrame:
     """Stacks without dates or with a raster count other than dates x bands."""
     dated = with_dates(stacked)
-    return _reason(dated.filter(~dates_ok()), "acquisition dates missing").unionByName(
-        _reason(dated.filter(dates_ok() & ~band_count_ok(n_bands)), "band count mismatch")
+    return fault_rows(dated.filter(~dates_ok()), "acquisition dates missing").unionByName(
+        fault_rows(dated.filter(dates_ok() & ~band_count_ok(n_bands)), "band count mismatch")
     )
 
 
 def raster_errors(tiles: DataFrame) -> DataFrame:
     """Seeds with a file that could not be decoded, or whose name holds no date."""
     bad = F.col("error").isNotNull() | F.col("date").isNull()
-    return _reason(tiles.filter(bad), "corrupt raster")
+    return fault_rows(tiles.filter(bad), "corrupt raster")
 
 
 def band_errors(tiles: DataFrame, bands: Sequence[str]) -> DataFrame:
     """Seeds with a tile that lacks a band."""
     wanted = F.array(*[F.lit(b) for b in bands])
     lacking = F.coalesce(F.size(F.array_except(wanted, "bands")) > 0, F.lit(True))
-    return _reason(tiles.filter(lacking), "bands missing")
+    return fault_rows(tiles.filter(lacking), "bands missing")
 
 
 def observation_errors(seeds: DataFrame, observed: DataFrame) -> DataFrame:
@@ -93,7 +93,7 @@ def observation_errors(seeds: DataFrame, observed: DataFrame) -> DataFrame:
 def missing_errors(seeds: DataFrame, data: DataFrame) -> DataFrame:
     """Seeds without any row in ``data``."""
     present = data.select("seed_id").distinct()
-    return _reason(seeds.join(present, "seed_id", "left_anti"), "no tiles")
+    return fault_rows(seeds.join(present, "seed_id", "left_anti"), "no tiles")
 
 
 def shape_errors(tiles: DataFrame, with_data: bool = True) -> DataFrame:
@@ -107,12 +107,12 @@ def shape_errors(tiles: DataFrame, with_data: bool = True) -> DataFrame:
     if with_data:
         mixed.append(F.bool_or(F.size("data") != n * F.col("width") * F.col("height")))
     shaped = tiles.groupBy("seed_id").agg(reduce(lambda a, b: a | b, mixed).alias("mixed"))
-    return _reason(shaped.filter(F.col("mixed")), "shape mismatch")
+    return fault_rows(shaped.filter(F.col("mixed")), "shape mismatch")
 
 
 def grid_errors(stats: DataFrame) -> DataFrame:
     """Seeds with pixels outside the declared grid, see ``seed_statistics``."""
-    return _reason(stats.filter(~F.col("in_grid")), "shape mismatch")
+    return fault_rows(stats.filter(~F.col("in_grid")), "shape mismatch")
 
 
 def error_table(seeds: DataFrame, found: Sequence[DataFrame]) -> DataFrame:

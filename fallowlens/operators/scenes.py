@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fallowlens.functions.indices import clean_bands
 from fallowlens.operators.quantiles import grouped_quantiles
@@ -121,6 +122,32 @@ def median_mosaic(
     return grouped_quantiles(df, keys, {b: {b: 0.5} for b in bands})
 
 
+_WHOLE = (T.ByteType, T.ShortType, T.IntegerType)
+
+
+def clearest_first(df: DataFrame, ts: str, scene: str, cloud: str = "cloud_cover") -> Column:
+    """A key that orders acquisitions: least cloud, then latest, then highest scene number.
+
+    Whole cloud percentages, days and scene numbers are packed into one decimal number, which
+    aggregates keep in fixed-width hash buffers. Other types are compared as a struct. A
+    missing cloud cover counts as the cloudiest, a missing day or number as the earliest.
+    """
+    kinds = {c: df.schema[c].dataType for c in (cloud, ts, scene)}
+    if not (
+        isinstance(kinds[cloud], _WHOLE) and isinstance(kinds[ts], T.DateType) and isinstance(kinds[scene], (*_WHOLE, T.LongType))
+    ):
+        recency = -F.unix_micros(F.col(ts).cast("timestamp"))
+        parts = {"cloud": F.col(cloud).cast("double"), "recency": recency.cast("double"), "scene": -F.col(scene).cast("double")}
+        return F.struct(*[F.coalesce(v, F.lit(float("inf"))).alias(k) for k, v in parts.items()])
+    # eight digits of days and twenty of scene numbers, each turned round and made positive
+    days = F.coalesce(F.lit(40_000_000) - F.unix_date(F.col(ts)), F.lit(99_999_999))
+    cover = F.coalesce(F.col(cloud).cast("long"), F.lit(2**31))
+    number = F.expr("10000000000000000000BD") - F.col(scene).cast("decimal(19,0)")
+    number = F.coalesce(number, F.expr("99999999999999999999BD"))
+    ahead = (cover * 10**8 + days).cast("decimal(18,0)") * F.expr("100000000000000000000BD")
+    return (ahead + number).cast("decimal(38,0)")
+
+
 def least_cloud_mosaic(
     df: DataFrame,
     bands: Sequence[str] = BANDS,
@@ -129,12 +156,9 @@ def least_cloud_mosaic(
     scene: str = "scene_idx",
 ) -> DataFrame:
     """Values of the clearest acquisition; the latest one among equals."""
-    recency = F.when(F.col(ts).isNotNull(), -F.unix_micros(F.col(ts).cast("timestamp")))
-    order = F.struct(F.col("cloud_cover"), recency.alias("recency"), (-F.col(scene)).alias("s"))
-    best = clean_bands(df, bands).groupBy(*keys).agg(
-        F.min_by(F.struct("cloud_cover", ts, *bands), order).alias("best")
-    )
-    return best.select(*keys, "best.*")
+    keyed = clean_bands(df, bands).withColumn("_key", clearest_first(df, ts, scene))
+    values = ["cloud_cover", ts, *bands]
+    return keyed.groupBy(*keys).agg(*[F.min_by(c, "_key").alias(c) for c in values])
 
 
 def resample_nearest(

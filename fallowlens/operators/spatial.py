@@ -30,6 +30,7 @@ def seed_statistics(
     size: tuple[int, int] | None = None,
     features: Sequence[str] | None = None,
     spread: bool = False,
+    marked: bool = False,
 ) -> DataFrame:
     """One row per seed: pixel counts, and median, mean and population deviation
     of each feature over the pixels with at least ``min_obs`` observations.
@@ -38,7 +39,8 @@ def seed_statistics(
     and enters no statistic.
 
     ``in_grid`` is false for a seed with a pixel outside a declared ``size`` (width,
-    height): such a seed fails, like one whose rasters differ in shape.
+    height): such a seed fails, like one whose rasters differ in shape. With ``marked``
+    a pixel without a place makes it false too.
 
     A seed's pixels meet in one array, as many as its raster has. ``spread`` finds the
     same statistics without gathering them, for rasters of any size; it reads
@@ -46,6 +48,8 @@ def seed_statistics(
     """
     feats = list(features) if features is not None else feature_columns(pixels)
     inside = _inside(size)
+    if marked:
+        inside = F.col("row").isNotNull() & inside
     valid = inside & (F.col("n_obs_baresoil") >= min_obs)
     counts = [
         F.count("n_obs_baresoil").alias("n_pixels"),

@@ -83,17 +83,32 @@ def last_of_day_tiles(tiles: DataFrame, order: str = "scene_idx") -> DataFrame:
     return tiles.join(winners, ["seed_id", "date", order], "left_semi")
 
 
-def with_first_transform(tiles: DataFrame) -> DataFrame:
-    """Use the geometry of a seed's earliest tile for all its dates."""
+def with_first_transform(tiles: DataFrame, most: int = 500_000) -> DataFrame:
+    """Use the geometry of a seed's earliest tile for all its dates.
+
+    The geometries of up to ``most`` seeds, some 60 bytes each, are broadcast, so that no
+    raster is shuffled; they are counted first, by their ids alone. Those of more seeds are
+    joined by a shuffle.
+    """
     first = tiles.groupBy("seed_id").agg(F.min_by("transform", "date").alias("transform"))
-    return tiles.drop("transform").join(first, "seed_id").select(*tiles.columns)
+    few = tiles.select("seed_id").distinct().limit(most + 1).count() <= most
+    return tiles.drop("transform").join(F.broadcast(first) if few else first, "seed_id").select(*tiles.columns)
+
 
+def raster_whole() -> Column:
+    """Whether a tile's array holds all values of its bands and shape."""
+    return F.coalesce(F.size("data") == F.size("bands") * F.col("width") * F.col("height"), F.lit(False))
 
-def explode_pixels(tiles: DataFrame, bands: Sequence[str], by_name: bool = False) -> DataFrame:
+
+def explode_pixels(
+    tiles: DataFrame, bands: Sequence[str], by_name: bool = False, marked: bool = False
+) -> DataFrame:
     """One row per pixel: every other column, ``row, col, x, y`` and the bands.
 
     Bands go by position, and a shorter list takes a prefix. ``by_name`` looks
-    each one up in the tile's own ``bands`` column instead.
+    each one up in the tile's own ``bands`` column instead. With ``marked`` a tile
+    whose array is too short or too long gives one row without place and values, which
+    tells of the fault; the array is read here anyway.
     """
     plane = F.col("width") * F.col("height")
     zipped = []
@@ -106,11 +121,14 @@ def explode_pixels(tiles: DataFrame, bands: Sequence[str], by_name: bool = False
             values = F.slice("data", i * plane + 1, plane)
         zipped.append(values.alias(b))
     kept = [c for c in tiles.columns if c not in ("data", "bands", "width", "height", "transform")]
-    flat = tiles.select(
-        *kept, "width", "transform", F.posexplode(F.arrays_zip(*zipped)).alias("_pos", "_px")
-    )
+    cells = F.arrays_zip(*zipped)
+    if marked:
+        cells = F.when(raster_whole(), cells).otherwise(F.array(F.lit(None)))
+    flat = tiles.select(*kept, "width", "transform", F.posexplode(cells).alias("_pos", "_px"))
     row = F.floor(F.col("_pos") / F.col("width")).cast("int")
     col = (F.col("_pos") % F.col("width")).cast("int")
+    if marked:
+        row, col = (F.when(F.col("_px").isNotNull(), c) for c in (row, col))
     placed = flat.select(*kept, "transform", row.alias("row"), col.alias("col"), "_px")
     x, y = pixel_centre(F.col("transform"), F.col("row"), F.col("col"))
     return placed.select(

@@ -63,11 +63,16 @@ def pixel_timeseries(daily: DataFrame, seeds: DataFrame, params: Params) -> Data
     return flagged.select(*timeseries_columns(params.bands))
 
 
-def pixel_stats(daily: DataFrame, params: Params) -> DataFrame:
-    """Statistics of bare pixels over time, before any masking."""
+def pixel_stats(daily: DataFrame, params: Params, marked: bool = False) -> DataFrame:
+    """Statistics of bare pixels over time, before any masking.
+
+    With ``marked`` rows without a place, which tell of a fault in their seed, stay.
+    """
     # a stored time series carries the flag, which then filters at the scan
     flagged = "is_baresoil" in daily.columns
     is_bare = F.col("is_baresoil") if flagged else ndvi() < params.ndvi_threshold
+    if marked:
+        is_bare = is_bare | F.col("row").isNull()
     bare = daily.filter(is_bare).select(*PIXEL_KEYS, *params.bands)
     # Only band values travel; indices are computed where they are aggregated.
     spread = bare.repartition(*PIXEL_KEYS)
@@ -115,17 +120,21 @@ def consolidate(
     observed: DataFrame,
     params: Params,
     failed: Sequence[DataFrame] = (),
+    marked: bool = False,
+    told: Sequence[DataFrame] = (),
 ) -> SeedRun:
     """Seed rows from pixel rows. ``observed`` holds the ids of seeds with data, and
     ``unordered`` if their observations have an order; ``failed`` are the findings of
-    further checks. Only a declared grid makes the errors read the pixels.
+    further checks. Only a declared grid makes the errors read the pixels. ``marked``
+    pixels without a place keep their seed from the features; ``told`` are the same
+    faults for the error table.
 
     Equal rows of one seed count once; a seed listed with different rows is an error.
     """
     points = seeds.select("seed_id", "lat", "lon").distinct()
     if params.spread:
         pixels = materialize(pixels)
-    stats = seed_statistics(pixels, params.min_obs, params.size, spread=params.spread)
+    stats = seed_statistics(pixels, params.min_obs, params.size, spread=params.spread, marked=marked)
     ordered = "unordered" in observed.columns
     errors = error_table(
         points,
@@ -135,6 +144,7 @@ def consolidate(
             observation_errors(points, observed) if ordered else missing_errors(points, observed),
             *([grid_errors(stats.select("seed_id", "in_grid"))] if params.size else []),
             *failed,
+            *told,
         ],
     )
     # The same rules again as filters: the features must not wait for the errors.

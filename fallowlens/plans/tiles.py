@@ -14,12 +14,13 @@ from fallowlens.schemas import Params
 
 def daily_from_tiles(tiles: DataFrame, params: Params, order: str | None = None) -> DataFrame:
     """Pixels of the run's dates. ``order`` numbers the tiles of a seed and day;
-    without it there must be one tile per seed and day."""
+    without it there must be one tile per seed and day. A tile with too few or too many
+    values gives one row without place and bands."""
     require_bands(params.bands)
     chosen = time_range(tiles, params.start_date, params.end_date, "date")
     if order is not None:
         chosen = last_of_day_tiles(chosen, order)
-    return explode_pixels(chosen, params.bands, by_name=True).withColumnRenamed("date", "acq_date")
+    return explode_pixels(chosen, params.bands, by_name=True, marked=True).withColumnRenamed("date", "acq_date")
 
 
 def seed_features(
@@ -27,15 +28,16 @@ def seed_features(
 ) -> SeedRun:
     """Features and errors.
 
-    Seeds whose tiles differ in shape or lack a band are errors, and so are those with a
-    raster that ``read_rasters`` could not decode or date.
+    Seeds whose tiles differ in shape, lack a band or hold too few or too many values are
+    errors, and so are those with a raster that ``read_rasters`` could not decode or date.
     """
     failed = []
     if "error" in tiles.columns:
         failed.append(raster_errors(tiles))
         tiles = tiles.filter(F.col("error").isNull()).drop("error")
     chosen = time_range(tiles, params.start_date, params.end_date, "date")
-    pixels = pixel_stats(daily_from_tiles(tiles, params, order), params)
+    pixels = pixel_stats(daily_from_tiles(tiles, params, order), params, marked=True)
     observed = chosen.select("seed_id").distinct()
     failed += [band_errors(chosen, params.bands), shape_errors(chosen, with_data=False)]
-    return consolidate(pixels, seeds, observed, params, failed)
+    # for the features the marked pixels tell of rasters of a wrong length, without a second scan
+    return consolidate(pixels, seeds, observed, params, failed, marked=True, told=[shape_errors(chosen)])

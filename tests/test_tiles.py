@@ -141,8 +141,10 @@ def test_grids_fill_gaps(spark):
     assert len(qa) == 1 and qa[0]["n_obs"] == [[0, 3], [1, 0], [0, 0]]
     assert qa[0]["ndvi"][0] == [None, pytest.approx(0.1)] and qa[0]["ndvi"][1] == [None, None]
     assert grids.grid_cells(grids.qa_grids(df, (2, 3)), ["n_obs"]).count() == 6
-    with pytest.raises(Exception, match="outside the grid of a"):
-        grids.qa_grids(df, (1, 3)).collect()
+    # a seed with a pixel outside its grid is set apart; the others get theirs
+    assert [r["seed_id"] for r in grids.qa_grids(df, (1, 3), points).collect()] == ["b"]
+    assert [r["seed_id"] for r in grids.grid_faults(df, (1, 3), points).collect()] == ["a"]
+    assert grids.grid_faults(df, (2, 3), points).isEmpty()
     # without a declared size a grid is as large as its seed's raster, or its pixels
     assert grids.qa_grids(df).first()["n_obs"] == [[0, 3], [1, 0]]
     shapes = spark.createDataFrame([("a", 3, 2), ("b", 1, 1)], "seed_id string, width int, height int")
