@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from fallowlens.catalog.registry import query, round_columns, sql_rounded
 from fallowlens.functions.indices import add_indices
 from fallowlens.operators.bare_soil import bare_soil_only, flag_bare_soil
 from fallowlens.operators.quality import error_table, missing_errors
+from fallowlens.operators.scenes import last_of_day
 from fallowlens.operators.spatial import pixel_coverage, seed_statistics
 from fallowlens.plans import batch, points, single_point
 from fallowlens.schemas import (
@@ -22,6 +25,7 @@ from fallowlens.schemas import (
     temporal_names,
 )
 from fallowlens.sources import derived
+from fallowlens.streaming import runs
 from fallowlens.streaming.incremental import merge_runs
 
 PARAMS = Params(size=(10, 10))
@@ -280,6 +284,75 @@ def seed_features_from_windows(spark: SparkSession, sf: str) -> DataFrame:
     return round_columns(run.features, _SPATIAL + _COUNT_STATS)
 
 
+# B11 and B12 as pixels of 20 m: the smallest values of each square of four.
+_COARSE = """
+joined as (
+  select * replace (
+    min(B11) over (partition by seed_id, acq_date, "row" // 2, col // 2) as B11,
+    min(B12) over (partition by seed_id, acq_date, "row" // 2, col // 2) as B12)
+  from daily)"""
+
+
+@query(
+    "seed_features_two_resolutions",
+    q.with_(q.OBS, q.SEEDS, q.daily(), _COARSE, q.indexed("joined"), q.pixels(0.2), q.seed_stats(2))
+    + "select s.seed_id, coalesce(n_pixels, 0) as n_pixels, coalesce(n_pixels_with_min_obs, 0) as n_pixels_with_min_obs, "
+    + ", ".join(sql_rounded(f'"{c}"', c) for c in _COUNT_STATS + _SPATIAL)
+    + " from seeds s left join stats t on s.seed_id = t.seed_id where s.seed_id in (select seed_id from obs)",
+)
+def seed_features_two_resolutions(spark: SparkSession, sf: str) -> DataFrame:
+    """20 m bands brought to the 10 m grid of the windows and joined with the others."""
+    daily = last_of_day(derived.scene_obs(spark, sf))
+    k = F.regexp_extract("seed_id", r"(\d+)$", 1).cast("bigint")
+    scene = [F.lit(1).alias("scene_idx"), F.lit(0).alias("cloud_cover"), "acq_date"]
+    x0 = 500000 + 1000 * k
+    fine = daily.select(
+        *scene, (10 * (F.col("col") + 0.5) + x0).alias("x"), (4970000 - 10 * (F.col("row") + 0.5)).alias("y"), *BANDS[:4]
+    )
+    half = lambda c: F.floor(F.col(c) / 2)
+    coarse = daily.groupBy("seed_id", "acq_date", half("row").alias("r"), half("col").alias("c")).agg(
+        *[F.min(b).alias(b) for b in BANDS[4:]]
+    )
+    coarse = coarse.select(
+        *scene, (20 * (F.col("c") + 0.5) + x0).alias("x"), (4970000 - 20 * (F.col("r") + 0.5)).alias("y"), *BANDS[4:]
+    )
+    windows = derived.seeds(spark, sf).select(
+        "seed_id", "lat", "lon", x0.cast("double").alias("minx"), F.lit(4969900.0).alias("miny"),
+        (x0 + F.lit(100.0)).alias("maxx"), F.lit(4970000.0).alias("maxy"),
+    )
+    run = points.features_from_resolutions({10.0: fine, 20.0: coarse}, windows, Params())
+    shown = run.features.select("seed_id", "n_pixels", "n_pixels_with_min_obs", *_COUNT_STATS, *_SPATIAL)
+    return round_columns(shown, _SPATIAL + _COUNT_STATS)
+
+
+# A shift of many digits: no value of few decimals comes to lie on a border of rounding.
+_LONG_SHIFT = "1.2345678917e-7"
+_OFFSET = ", ".join(f'round("{c}" + {_LONG_SHIFT}, 6) as "{c}"' for c in _SPATIAL + _COUNT_STATS)
+
+# The second run has other parameters and sees the seeds of one parity only.
+_RERUN = Params(max_cloud=40)
+_FIRST, _SECOND = (f"select * from ({_seed_sql(p)})" for p in (Params(), _RERUN))
+_EVEN = "cast(substr(seed_id, 6) as bigint) % 2 = 0"
+
+
+@query(
+    "rerun_features",
+    f"select * replace ({_OFFSET}) from ({_FIRST} where not ({_EVEN}) union all {_SECOND} where {_EVEN})",
+)
+def rerun_features(spark: SparkSession, sf: str) -> DataFrame:
+    """What readers see after a second run over half of the seeds: each seed's last run."""
+    out = f"{spark.conf.get('spark.checkpoint.dir')}/rerun-{uuid.uuid4().hex}"
+    obs, seeds = derived.scene_obs(spark, sf), derived.seeds(spark, sf)
+    even = F.regexp_extract("seed_id", r"(\d+)$", 1).cast("bigint") % 2 == 0
+    batch.run_batch(obs, seeds, Params(), out)
+    batch.run_batch(obs.filter(even), seeds.filter(even), _RERUN, out)
+    seen = runs.published(spark, out, "seed_features")
+    chosen = {*_SPATIAL, *_COUNT_STATS}
+    return seen.selectExpr(
+        *[f"round(`{c}` + {_LONG_SHIFT}D, 6) as `{c}`" if c in chosen else f"`{c}`" for c in seen.columns]
+    )
+
+
 @query(
     "seeds_without_clear_scenes",
     q.with_(q.OBS, q.SEEDS)

@@ -79,26 +79,62 @@ windows as (
     from supplier))"""
 
 
-@query(
-    "window_join",
-    q.with_(q.OBS, _WINDOWS)
-    + 'select w.seed_id, o."row", o.col, o.scene_idx, o.x, o.y, o.B08 '
-    "from obs o join windows w on o.x >= w.minx and o.x < w.maxx and o.y >= w.miny and o.y < w.maxy",
-)
-def window_join_query(spark: SparkSession, sf: str) -> DataFrame:
-    """Overlapping windows, some shared, with edges on pixel centres."""
+def _windows(spark: SparkSession, sf: str) -> DataFrame:
     k = F.col("s_suppkey")
     cx = F.lit(500050.0) + 1000 * (k - k % 4) + 20 * (k % 3)
     cy = F.lit(4969950.0) - 20 * (k % 2)
-    windows = derived.table(spark, sf, "supplier").select(
+    return derived.table(spark, sf, "supplier").select(
         derived.seed_name(k).alias("seed_id"),
         (cx - 35).alias("minx"),
         (cy - 35).alias("miny"),
         (cx + 35).alias("maxx"),
         (cy + 35).alias("maxy"),
     )
+
+
+@query(
+    "window_join",
+    q.with_(q.OBS, _WINDOWS)
+    + 'select w.seed_id, o."row", o.col, o.scene_idx, o.x, o.y, o.B08 '
+    "from obs o join windows w on o.x >= w.minx and o.x < w.maxx and o.y >= w.miny and o.y < w.maxy",
+)
+def window_join_query(spark: SparkSession, sf: str) -> DataFrame:
+    """Overlapping windows, some shared, with edges on pixel centres."""
     obs = derived.placed_obs(spark, sf).select("row", "col", "scene_idx", "x", "y", "B08")
-    return window_join(obs, windows, 70.0)
+    return window_join(obs, _windows(spark, sf), 70.0)
+
+
+_BOTH_ZONES = (
+    "select seed_id, minx, miny, maxx, maxy, epsg from ("
+    + q.with_(q.SEEDS, _utm_sql(9.0)) + f"select seed_id, {_EDGES}, 32632 as epsg from utm"
+    + ") union all select seed_id, minx, miny, maxx, maxy, epsg from ("
+    + q.with_(q.SEEDS, _utm_sql(15.0)) + f"select seed_id, {_EDGES}, 32633 as epsg from utm)"
+)
+
+
+@query("utm_windows_in_zones", _BOTH_ZONES)
+def utm_windows_in_zones(spark: SparkSession, sf: str) -> DataFrame:
+    """Windows in the zones of the rasters that a point may lie in; the third one is too far."""
+    df = geo.windows_in_zones(derived.seeds(spark, sf).select("seed_id", "lat", "lon"), 100.0, [32632, 32633, 32635, 32732])
+    return round_columns(df.drop("lat", "lon"), ["minx", "miny", "maxx", "maxy"], 4)
+
+
+@query(
+    "window_join_two_zones",
+    q.with_(q.OBS, _WINDOWS)
+    + 'select w.seed_id, z as epsg, o.scene_idx, o.x, o.y, o.B08 from obs o '
+    "join (select *, unnest([32632, 32633]) as z from windows) w "
+    "on z = 32632 + o.scene_idx % 2 and (z = 32632 or cast(substr(w.seed_id, 6) as bigint) % 3 > 0) "
+    "and o.x >= w.minx and o.x < w.maxx and o.y >= w.miny and o.y < w.maxy",
+)
+def window_join_two_zones(spark: SparkSession, sf: str) -> DataFrame:
+    """Rasters of two zones with the same coordinates; a third of the points has a window in one only."""
+    both = _windows(spark, sf).withColumn("epsg", F.explode(F.array(F.lit(32632), F.lit(32633))))
+    third = F.regexp_extract("seed_id", r"(\d+)$", 1).cast("bigint") % 3 == 0
+    windows = both.filter(~third | (F.col("epsg") == 32632))
+    obs = derived.placed_obs(spark, sf).withColumn("epsg", (32632 + F.col("scene_idx") % 2).cast("int"))
+    cut = window_join(obs.select("epsg", "scene_idx", "x", "y", "B08"), windows, 70.0, zone="epsg")
+    return cut.select("seed_id", "epsg", "scene_idx", "x", "y", "B08")
 
 
 @query(

@@ -14,6 +14,7 @@ from fallowlens.operators.bare_soil import flag_bare_soil
 from fallowlens.plans import batch, stacks
 from fallowlens.plans import tiles as tile_plans
 from fallowlens.schemas import BANDS, Params, spatial_names, temporal_names
+from fallowlens.session import materialize
 from fallowlens.sources import derived
 
 PARAMS = Params(size=(10, 10))
@@ -229,6 +230,64 @@ def error_quarantine(spark: SparkSession, sf: str) -> DataFrame:
     return quality.error_table(seeds, found)
 
 
+@query(
+    "truncated_tiles",
+    q.with_(q.OBS, q.SEEDS, q.daily(), _CELLS, q.indexed("cells"), q.pixels(0.2), q.seed_stats(2))
+    + f"""select s.seed_id, case when {_sql_within(CUT_DATA)} then 'shape mismatch' end as error,
+  case when not {_sql_within(CUT_DATA)} then coalesce(n_pixels, 0) end as n_pixels,
+  {sql_rounded(f'case when not {_sql_within(CUT_DATA)} then B08_median_bs_space_mean end', 'B08_median_bs_space_mean')}
+from seeds s left join stats t on s.seed_id = t.seed_id where s.seed_id in (select seed_id from cells)""",
+)
+def truncated_tiles(spark: SparkSession, sf: str) -> DataFrame:
+    """Seeds with a raster cut short end as errors, the others finish."""
+    tiles = derived.tiles(spark, sf).join(_balances(spark, sf), "seed_id")
+    short = F.slice("data", 1, 598 + F.dayofmonth("date") % 2)
+    broken = tiles.withColumn("data", F.when(_within(CUT_DATA), short).otherwise(F.col("data"))).drop("balance")
+    run = tile_plans.seed_features(broken, derived.seeds(spark, sf), PARAMS)
+    done = run.features.select("seed_id", F.lit(None).cast("string").alias("error"), "n_pixels", "B08_median_bs_space_mean")
+    failed = run.errors.select("seed_id", "error")
+    return round_columns(done.unionByName(failed, allowMissingColumns=True), ["B08_median_bs_space_mean"])
+
+
+@query(
+    "stray_pixels",
+    q.with_(q.OBS, q.SEEDS, q.selected(PARAMS.max_cloud), q.daily("chosen"), q.indexed(), q.pixels(0.2))
+    + f"""select s.seed_id, case when {_sql_within(UNEVEN)} then 'shape mismatch' end as error,
+  case when not {_sql_within(UNEVEN)} then sum(n_obs_baresoil)::bigint end as n_obs,
+  case when not {_sql_within(UNEVEN)} then 100 end as n_cells
+from seeds s join pixels p on s.seed_id = p.seed_id group by s.seed_id, balance""",
+)
+def stray_pixels(spark: SparkSession, sf: str) -> DataFrame:
+    """Grids in blocks of four cells; a seed with a pixel outside its grid has an error in their place."""
+    pixels = materialize(_pixel_features(spark, sf)).join(_balances(spark, sf), "seed_id")
+    moved = pixels.withColumn("row", F.when(_within(UNEVEN), F.col("row") + 10).otherwise(F.col("row"))).drop("balance")
+    cells = grids.grid_cells(grids.qa_grids(moved, PARAMS.size, block=4), ["n_obs"])
+    drawn = cells.groupBy("seed_id").agg(F.sum("n_obs").alias("n_obs"), F.count("*").cast("int").alias("n_cells"))
+    faults = quality.error_table(derived.seeds(spark, sf), [grids.grid_faults(moved, PARAMS.size)]).select("seed_id", "error")
+    return drawn.select("seed_id", F.lit(None).cast("string").alias("error"), "n_obs", "n_cells").unionByName(
+        faults, allowMissingColumns=True
+    )
+
+
+@query(
+    "stack_geometry",
+    q.with_(q.OBS)
+    + "select seed_id, count(distinct acq_date) as n_dates, 6 as n_bands, 10 as height, 10 as width, "
+    "cast(32632 + cast(substr(seed_id, 6) as bigint) % 2 as int) as epsg, 10e0 as a, 0e0 as b, "
+    "500000e0 + 1000 * cast(substr(seed_id, 6) as bigint) as c, 0e0 as d, -10e0 as e, 4970000e0 as f, "
+    "count(distinct acq_date) > 1 and cast(substr(seed_id, 6) as bigint) % 3 = 0 as mixed "
+    "from obs group by seed_id",
+)
+def stack_geometry(spark: SparkSession, sf: str) -> DataFrame:
+    """Coordinate system and transform of each stack; every third seed's later tiles lie elsewhere."""
+    number = F.regexp_extract("seed_id", r"(\d+)$", 1).cast("bigint")
+    tiles = derived.tiles(spark, sf).withColumn("epsg", (32632 + number % 2).cast("int"))
+    first = tiles.groupBy("seed_id").agg(F.min("date").alias("first"))
+    later = (F.col("date") > F.col("first")) & (number % 3 == 0)
+    moved = F.transform("transform", lambda v: F.when(later, v + 30.0).otherwise(v))
+    return t.stack_geometry(tiles.join(first, "seed_id").withColumn("transform", moved).drop("first"))
+
+
 def _pixel_features(spark: SparkSession, sf: str) -> DataFrame:
     daily = batch.daily_pixels(derived.scene_obs(spark, sf), PARAMS)
     return batch.pixel_features(daily, derived.seeds(spark, sf), PARAMS)

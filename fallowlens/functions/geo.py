@@ -24,8 +24,22 @@ def utm_zone(epsg: int) -> tuple[float, float]:
 
 
 def to_utm(lat: Column, lon: Column, epsg: int) -> tuple[Column, Column]:
-    """Easting and northing by the Krueger series to third order."""
+    """Easting and northing in one zone."""
     meridian, northing0 = utm_zone(epsg)
+    return _krueger(lat, lon, F.lit(meridian), F.lit(northing0))
+
+
+def to_zone(lat: Column, lon: Column, epsg: Column) -> tuple[Column, Column]:
+    """Easting and northing in the zone that each row names; NULL where it names none."""
+    zone = epsg % 100
+    known = F.floor(epsg / 100).isin(326, 327) & zone.between(1, 60)
+    northing0 = F.when(epsg >= 32700, F.lit(UTM_SOUTH_NORTHING)).otherwise(F.lit(0.0))
+    x, y = _krueger(lat, lon, zone * F.lit(6.0) - F.lit(183.0), northing0)
+    return F.when(known, x), F.when(known, y)
+
+
+def _krueger(lat: Column, lon: Column, meridian: Column, northing0: Column) -> tuple[Column, Column]:
+    """Transverse Mercator by the Krueger series to third order."""
     n = WGS84_F / (2 - WGS84_F)
     radius = WGS84_A / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
     alpha = (
@@ -81,6 +95,37 @@ def window_around(
     )
 
 
+def windows_in_zones(
+    points: DataFrame, size_m: float, zones: list[int], lat: str = "lat", lon: str = "lon"
+) -> DataFrame:
+    """A square window around each point in every listed zone it may lie in.
+
+    ``zones`` are the systems of the rasters (EPSG 326zz, 327zz). A point gets a window in
+    those of its own hemisphere whose zone is its own or a neighbour's, as rasters reach
+    over zone borders.
+    """
+    for zone in zones:
+        utm_zone(zone)
+    own = F.floor((F.col(lon) + 180) / 6).cast("int") % 60
+    apart = lambda z: F.pmod(z % 100 - 1 - own, F.lit(60))
+    south = F.col(lat) < 0
+    near = F.filter(
+        F.array(*[F.lit(z) for z in zones]), lambda z: apart(z).isin(0, 1, 59) & ((z >= 32700) == south)
+    )
+    placed = points.select("*", F.explode(near).alias("epsg"))
+    x, y = to_zone(F.col(lat), F.col(lon), F.col("epsg"))
+    half = size_m / 2.0
+    centred = placed.select("*", x.alias("_cx"), y.alias("_cy"))
+    return centred.select(
+        *points.columns,
+        (F.col("_cx") - half).alias("minx"),
+        (F.col("_cy") - half).alias("miny"),
+        (F.col("_cx") + half).alias("maxx"),
+        (F.col("_cy") + half).alias("maxy"),
+        "epsg",
+    )
+
+
 def pixel_centre(transform: Column, row: Column, col: Column) -> tuple[Column, Column]:
     """Centre of a pixel under the affine ``[a, b, c, d, e, f]``."""
     a, b, c, d, e, f = (F.get(transform, F.lit(i)) for i in range(6))

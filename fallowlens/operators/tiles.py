@@ -177,3 +177,19 @@ def stack_dimensions(tiles: DataFrame) -> DataFrame:
         F.get(first, F.lit(2)).alias("x0"),
         F.get(first, F.lit(5)).alias("y0"),
     )
+
+
+def stack_geometry(tiles: DataFrame) -> DataFrame:
+    """Each seed's stack by its first tile: coordinate system and affine transform.
+
+    Beside ``stack_dimensions``: ``epsg``, the six numbers of the transform ``a`` to ``f``,
+    and ``mixed`` if a later tile has another system or transform.
+    """
+    place = F.struct("epsg", "transform")
+    first = tiles.groupBy("seed_id").agg(
+        F.min_by(place, "date").alias("p"), (F.count_distinct(F.coalesce("epsg", F.lit(0)), "transform") > 1).alias("mixed")
+    )
+    numbers = [F.get("p.transform", F.lit(i)).alias(n) for i, n in enumerate("abcdef")]
+    return stack_dimensions(tiles).drop("x0", "y0").join(
+        first.select("seed_id", "p.epsg", *numbers, "mixed"), "seed_id"
+    )

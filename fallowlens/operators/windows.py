@@ -9,21 +9,23 @@ from fallowlens.functions.geo import cell_of
 from fallowlens.operators.scenes import in_box
 
 
-def window_join(obs: DataFrame, windows: DataFrame, cell: float) -> DataFrame:
+def window_join(obs: DataFrame, windows: DataFrame, cell: float, zone: str | None = None) -> DataFrame:
     """Observations (``x, y``) inside each window (``minx..maxy``), half-open.
 
     An equi-join on grid cells replaces the nested-loop join a range condition
     alone would get. With ``cell`` near the window size a window covers at most
     four cells. A cell that draws much of the data is split by Spark's skew-join
-    handling, since both sides are shuffled on the cell.
+    handling, since both sides are shuffled on the cell. ``zone`` names a column of both
+    sides, their coordinate system, which then is a part of the cell.
     """
+    zones = [] if zone is None else [zone]
     edges = ["minx", "miny", "maxx", "maxy"]
     kept = [c for c in obs.columns if c != "seed_id"]
 
     def covered(lo: str, hi: str):
         return F.explode(F.sequence(cell_of(F.col(lo), cell), cell_of(F.col(hi), cell)))
 
-    cells = windows.select("seed_id", *edges, covered("minx", "maxx").alias("_cx")).select(
+    cells = windows.select("seed_id", *edges, *zones, covered("minx", "maxx").alias("_cx")).select(
         "*", covered("miny", "maxy").alias("_cy")
     )
     placed = obs.select(
@@ -32,4 +34,4 @@ def window_join(obs: DataFrame, windows: DataFrame, cell: float) -> DataFrame:
         cell_of(F.col("y"), cell).alias("_cy"),
     )
     box = in_box(F.col("x"), F.col("y"), *[F.col(e) for e in edges])
-    return placed.join(cells, ["_cx", "_cy"]).filter(box).select("seed_id", *kept)
+    return placed.join(cells, [*zones, "_cx", "_cy"]).filter(box).select("seed_id", *kept)

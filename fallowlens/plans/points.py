@@ -6,10 +6,14 @@ grid, anchored at its upper-left corner, and the seed run follows.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fallowlens.functions.geo import window_around
+from fallowlens.functions.indices import clean_bands
 from fallowlens.operators.quality import unique_points
 from fallowlens.operators.scenes import select_scenes
 from fallowlens.operators.windows import window_join
@@ -39,13 +43,8 @@ def on_window_grid(cut: DataFrame, windows: DataFrame, src_res: float, dst_res:
     )
 
 
-def features_from_windows(
-    scenes: DataFrame, windows: DataFrame, params: Params, src_res: float = 10.0, dst_res: float = 10.0
-) -> SeedRun:
-    """``scenes``: pixels of all acquisitions with ``x, y`` and no seed; ``windows``:
-    ``seed_id, lat, lon`` and the edges ``minx, miny, maxx, maxy`` in the same system."""
-    chosen = select_scenes(scenes, params.start_date, params.end_date, params.max_cloud)
-    edges = unique_points(windows)
+def _cut(chosen: DataFrame, edges: DataFrame, window_m: float, src_res: float, dst_res: float) -> DataFrame:
+    """Pixels of one resolution on the grids of the windows they reach into."""
     half = src_res / 2
     # source pixels whose area reaches into the window, also where their centre does not
     wider = edges.select(
@@ -55,13 +54,59 @@ def features_from_windows(
         (F.col("maxx") + half).alias("maxx"),
         (F.col("maxy") + half).alias("maxy"),
     )
-    cut = window_join(chosen, wider, max(params.window_m, src_res))
-    obs = on_window_grid(cut, edges, src_res, dst_res)
+    return on_window_grid(window_join(chosen, wider, max(window_m, src_res)), edges, src_res, dst_res)
+
+
+def _with_transform(windows: DataFrame, dst_res: float) -> DataFrame:
     transform = F.array(
         F.lit(dst_res), F.lit(0.0), F.col("minx"), F.lit(0.0), F.lit(-dst_res), F.col("maxy")
     )
-    seeds = windows.select("seed_id", "lat", "lon", transform.alias("transform"))
-    return seed_features(obs, seeds, params)
+    return windows.select("seed_id", "lat", "lon", transform.alias("transform"))
+
+
+def features_from_windows(
+    scenes: DataFrame, windows: DataFrame, params: Params, src_res: float = 10.0, dst_res: float = 10.0
+) -> SeedRun:
+    """``scenes``: pixels of all acquisitions with ``x, y`` and no seed; ``windows``:
+    ``seed_id, lat, lon`` and the edges ``minx, miny, maxx, maxy`` in the same system."""
+    chosen = select_scenes(scenes, params.start_date, params.end_date, params.max_cloud)
+    obs = _cut(chosen, unique_points(windows), params.window_m, src_res, dst_res)
+    return seed_features(obs, _with_transform(windows, dst_res), params)
+
+
+SCENE = ("acq_date", "scene_idx", "cloud_cover")
+
+
+def on_one_grid(
+    sources: Mapping[float, DataFrame], windows: DataFrame, params: Params, dst_res: float = 10.0
+) -> DataFrame:
+    """Bands of several resolutions side by side, one row per target cell and acquisition.
+
+    ``sources`` maps a resolution in metres to pixels with ``x, y``, the scene columns and the
+    bands that resolution has; a band has one resolution only. Every source is cut and brought
+    to the windows' grid by itself. The pieces of a cell then meet in one aggregate, combined
+    on the map side. A band that a cell's acquisition lacks is missing there.
+    """
+    named = [b for df in sources.values() for b in params.bands if b in df.columns]
+    if sorted(named) != sorted(params.bands):
+        raise ValueError(f"each band needs one resolution, given {named}")
+    edges = unique_points(windows)
+    pieces = []
+    for res, df in sources.items():
+        bands = [b for b in params.bands if b in df.columns]
+        chosen = select_scenes(df, params.start_date, params.end_date, params.max_cloud)
+        kept = clean_bands(chosen.select("x", "y", *SCENE, *bands), bands)
+        pieces.append(_cut(kept, edges, params.window_m, res, dst_res))
+    whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), pieces)
+    return whole.groupBy("seed_id", "row", "col", *SCENE).agg(*[F.max(b).alias(b) for b in params.bands])
+
+
+def features_from_resolutions(
+    sources: Mapping[float, DataFrame], windows: DataFrame, params: Params, dst_res: float = 10.0
+) -> SeedRun:
+    """As ``features_from_windows``, from scenes whose bands come in several resolutions."""
+    obs = on_one_grid(sources, windows, params, dst_res)
+    return seed_features(obs, _with_transform(windows, dst_res), params)
 
 
 def features_from_scenes(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fallowlens.functions.naming import point_name
+from fallowlens.operators.tiles import in_interval
 from fallowlens.schemas import TILES
 
 # Fixed value: acquisition day in front of the extension, e.g. 2024-06-01.tif
@@ -21,7 +22,7 @@ POINT_IN_PATH = r"/(point_[^/]+)/"
 RASTERS = T.StructType(
     [T.StructField("path", T.StringType()), T.StructField("date", T.DateType())]
     + [TILES[f] for f in ("width", "height", "transform", "bands", "data")]
-    + [T.StructField("error", T.StringType())]
+    + [T.StructField("error", T.StringType()), T.StructField("epsg", T.IntegerType())]
 )
 
 
@@ -49,22 +50,25 @@ def read_rasters(
     path: str,
     decoder: Callable[[bytes], dict],
     glob: str = "*.tif",
+    start: str | None = None,
+    end: str | None = None,
 ) -> DataFrame:
     """Decode each file into a tile row.
 
     ``decoder`` turns file contents into ``width, height, transform, bands`` and
-    ``data`` (flat, band-major). It runs in the tasks, one file at a time. A file it
-    fails on keeps its row: no raster, and what went wrong as ``error``.
+    ``data`` (flat, band-major), and ``epsg`` if it knows the coordinate system. It runs in
+    the tasks, one file at a time. A file it fails on keeps its row: no raster, and what
+    went wrong as ``error``. Files named after a day before ``start`` or after ``end``
+    are left out by their names, while files are listed; they are never opened.
     """
-    empty = dict.fromkeys(("width", "height", "transform", "bands", "data"))
+    empty = dict.fromkeys(("width", "height", "transform", "bands", "data", "epsg"))
 
     def decoded(content: bytes) -> dict:
         try:
-            return {**decoder(content), "error": None}
+            return {"epsg": None, **decoder(content), "error": None}
         except Exception as e:
             return {**empty, "error": f"{type(e).__name__}: {e}"}
 
-
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for path, date, content in zip(batch["path"], batch["date"], batch["content"]):
@@ -72,8 +76,11 @@ def read_rasters(
                     RASTERS.fieldNames()
                 ]
 
-    files = _files(spark, path, glob).select("path", file_date().alias("date"), "content")
-    return files.mapInPandas(decode, RASTERS)
+    files = _files(spark, path, glob)
+    # a condition on the file's own metadata is met by the listing, before any task
+    named = file_date("_metadata.file_name")
+    files = files.filter(named.isNull() | in_interval(named, start, end))
+    return files.select("path", file_date().alias("date"), "content").mapInPandas(decode, RASTERS)
 
 
 def attach_seeds(rasters: DataFrame, seeds: DataFrame) -> DataFrame:

@@ -98,3 +98,50 @@ def test_seed_tables(spark, tmp_path):
     assert [tuple(r) for r in plain] == [("seed_0000", 45.5, 9.5), ("seed_0001", 45.6, 9.6)]
     with pytest.raises(ValueError, match="lon"):
         with_seed_ids(spark.createDataFrame([(1.0,)], "lat double"))
+
+
+def test_only_files_of_the_interval_are_opened(spark, tmp_path):
+    from fallowlens.sources.rasters import read_rasters
+
+    names = ["2024-05-31", "2024-06-01", "2024-06-30", "2024-07-01", "2023-06-15", "2024-06-31", "nodate"]
+    for n in names:
+        (tmp_path / f"{n}.tif").write_bytes(n.encode())
+    found = {"width": 1, "height": 1, "transform": [1.0] * 6, "bands": ["B04"], "data": [1.0]}
+    rasters = read_rasters(spark, str(tmp_path), lambda raw: {**found, "epsg": 32632}, start="2024-06-01", end="2024-06-30")
+    assert sorted(str(r["date"]) for r in rasters.collect()) == ["2024-06-01", "2024-06-30", "None", "None"]
+    scan = rasters._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+    assert scan.metrics().apply("numFiles").value() == 4
+    assert {r["epsg"] for r in rasters.collect()} == {32632}
+    every = read_rasters(spark, str(tmp_path), lambda raw: found)
+    assert every.count() == len(names) and every.filter("epsg is not null").isEmpty()
+
+
+def test_windows_in_zones_and_resolutions(spark):
+    from fallowlens.functions import geo
+    from fallowlens.plans.points import on_one_grid
+    from fallowlens.schemas import BANDS
+
+    points = spark.createDataFrame(
+        [("a", 45.0, 9.0), ("border", 45.0, 11.99), ("south", -33.0, 18.0), ("west", 10.0, -179.5)], "seed_id string, lat double, lon double"
+    )
+    zones = [32632, 32633, 32634, 32660, 32601, 32734]
+    got = {}
+    for r in geo.windows_in_zones(points, 100.0, zones).collect():
+        got.setdefault(r["seed_id"], set()).add(r["epsg"])
+        assert r["maxx"] - r["minx"] == pytest.approx(100) and r["maxy"] - r["miny"] == pytest.approx(100)
+    assert got == {"a": {32632, 32633}, "border": {32632, 32633}, "south": {32734}, "west": {32660, 32601}}
+    one = geo.window_around(points, 100.0, 32633).filter("seed_id = 'a'").first()
+    same = geo.windows_in_zones(points, 100.0, [32633]).filter("seed_id = 'a'").first()
+    assert tuple(one) == tuple(same)
+
+    window = spark.createDataFrame([("a", 45.0, 9.0, 0.0, 0.0, 40.0, 40.0)], "seed_id string, lat double, lon double, minx double, miny double, maxx double, maxy double")
+    when = ["date'2024-06-02' as acq_date", "1 as scene_idx", "3 as cloud_cover"]
+    fine = spark.range(16).selectExpr("5 + 10D * (id % 4) as x", "35 - 10D * (id div 4) as y", *when, *(f"id + 0D as {b}" for b in BANDS[:4]))
+    coarse = spark.range(4).selectExpr("10 + 20D * (id % 2) as x", "30 - 20D * (id div 2) as y", *when, *(f"100D + id as {b}" for b in BANDS[4:]))
+    rows = on_one_grid({10.0: fine, 20.0: coarse.filter("x < 20")}, window, Params()).collect()
+    assert len(rows) == 16
+    for r in rows:
+        assert r["B02"] == 4 * r["row"] + r["col"]
+        assert r["B11"] == (100 + 2 * (r["row"] // 2) if r["col"] < 2 else None)
+    with pytest.raises(ValueError, match="one resolution"):
+        on_one_grid({10.0: fine}, window, Params())
