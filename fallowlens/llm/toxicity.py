@@ -56,15 +56,46 @@ def features(word: str, p: Params) -> tuple[int, list[int]]:
     return zlib.crc32(raw) % p.word_buckets, grams or [zlib.crc32(raw) % p.gram_buckets]
 
 
+def _crc_table() -> np.ndarray:
+    """What each byte adds to the usual 32-bit checksum."""
+    table = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        table = np.where(table & 1, (table >> 1) ^ np.uint32(0xEDB88320), table >> 1).astype(np.uint32)
+    return table
+
+
+_CRC = _crc_table()
+
+
+def checksums(raw: np.ndarray, n: int) -> np.ndarray:
+    """``zlib.crc32`` of the ``n`` bytes from every place of ``raw`` on, as far as they reach."""
+    count = max(0, len(raw) - n + 1)
+    crc = np.full(count, 0xFFFFFFFF, np.uint32)
+    for k in range(n):
+        crc = _CRC[(crc ^ raw[k : k + count]) & 255] ^ (crc >> 8)
+    return ~crc
+
+
 class Features:
-    """Feature buckets of a list of distinct words, flat."""
+    """Feature buckets of a list of distinct words, flat; those of ``features`` in their order."""
 
     def __init__(self, words: list[str], p: Params):
-        found = [features(w, p) for w in words]
-        self.word = np.array([w for w, _ in found], np.int64)
-        self.sizes = np.array([len(g) for _, g in found], np.int64)
-        self.gram = np.array([x for _, g in found for x in g], np.int64)
+        raws = [b"<%b>" % w.encode("utf-8", "replace") for w in words]
+        self.word = np.array([zlib.crc32(r) for r in raws], np.int64) % p.word_buckets
+        length = np.array([len(r) for r in raws], np.int64)
+        first = np.cumsum(length) - length
+        raw = np.frombuffer(b"".join(raws), np.uint8)
+        # a word has its grams of three bytes first, then those of four
+        threes = length - 2
+        self.sizes = threes + np.maximum(length - 3, 0)
         self.starts = np.cumsum(self.sizes) - self.sizes
+        at = np.arange(int(self.sizes.sum())) - np.repeat(self.starts, self.sizes)
+        ahead = np.repeat(threes, self.sizes)
+        short = at < ahead
+        place = np.repeat(first, self.sizes) + np.where(short, at, at - ahead)
+        four = np.append(checksums(raw, 4), np.uint32(0))
+        grams = np.where(short, checksums(raw, 3)[place], four[np.minimum(place, len(four) - 1)])
+        self.gram = grams.astype(np.int64) % p.gram_buckets
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -391,7 +422,9 @@ def sample(docs: DataFrame, labels: DataFrame, p: Params) -> tuple[list[str], np
         per_doc.where(F.col("toxic") == y).orderBy(draw, "id").limit(n) for y, n in ((1, p.max_toxic), (0, p.max_clean))
     ]
     chosen = F.broadcast(parts[0].union(parts[1]))
-    found = docs.join(chosen, "id").where(F.length("text") <= p.max_chars).select("text", "toxic").limit(p.max_toxic + p.max_clean).collect()
+    near = docs.join(chosen, "id").where(F.length("text") <= p.max_chars)
+    # one row an id, so that repeated ids neither add rows nor leave them to chance
+    found = near.groupBy("id").agg(F.min("text").alias("text"), F.min("toxic").alias("toxic")).select("text", "toxic").collect()
     found.sort(key=lambda r: (r.toxic, r.text))
     return [r.text for r in found], np.array([r.toxic for r in found], np.int64), prior
 
