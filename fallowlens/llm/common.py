@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -15,21 +14,26 @@ from pyspark.sql import functions as F
 #: Rows of a side that may be broadcast; more rows are joined by a shuffle.
 SMALL_ROWS = 10_000
 
+#: Bytes of its files.
+SMALL_BYTES = 16_000_000
+
 
 def shared_dir(spark: SparkSession) -> str:
     """A folder that the driver and all executors see.
 
-    ``spark.checkpoint.dir`` if the session names it. Otherwise a local session gets
-    a folder of its own and a cluster its warehouse.
+    ``spark.checkpoint.dir`` if the session names it, else the context's own checkpoint
+    folder. Where neither is set it is a folder in the warehouse, which on a cluster must not
+    lie on one machine's disk.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        if spark.sparkContext.master.startswith("local["):
-            folder = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-        else:
-            folder = spark.conf.get("spark.sql.warehouse.dir") + "/_shared"
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if named is None:
+        warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        if warehouse.startswith("file:") and not context.master.startswith("local"):
+            raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
+        context.setCheckpointDir(f"{warehouse}/_shared")
+        named = context.getCheckpointDir()
+    return named
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
@@ -38,9 +42,14 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read again, so that its lineage ends there."""
+    return stored_at(df, name)[0]
+
+
+def stored_at(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """As ``stored``, with the folder, for ``discard`` when nothing reads it any more."""
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
 def discard(spark: SparkSession, path: str) -> None:
@@ -49,9 +58,14 @@ def discard(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
-def maybe_broadcast(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if it has at most ``limit`` rows. ``df`` should be stored."""
-    return F.broadcast(df) if len(df.limit(limit + 1).collect()) <= limit else df
+def maybe_broadcast(df: DataFrame, limit: int = SMALL_ROWS, most_bytes: int = SMALL_BYTES) -> DataFrame:
+    """``df``, a stored frame, with a broadcast hint if it is small in rows and in bytes.
+
+    The bytes are those of its files, which are read as they are.
+    """
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    small = int(str(size)) <= most_bytes and len(df.limit(limit + 1).collect()) <= limit
+    return F.broadcast(df) if small else df
 
 
 def fold(doc_id: str, parts: int) -> Column:

@@ -40,26 +40,26 @@ class Params:
 
 
 @cache
-def letters() -> np.ndarray:
-    """True for every code point that is a letter or a mark."""
-    return np.fromiter(
-        (unicodedata.category(chr(c))[0] in "LM" for c in range(sys.maxunicode + 1)), bool, sys.maxunicode + 1
-    )
+def kinds() -> np.ndarray:
+    """For every code point: 2 a letter, 1 a mark, 0 anything else."""
+    first = (unicodedata.category(chr(c))[0] for c in range(sys.maxunicode + 1))
+    return np.fromiter(({"L": 2, "M": 1}.get(x, 0) for x in first), np.uint8, sys.maxunicode + 1)
 
 
 def grams(texts: list[str], sizes: tuple[int, ...]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """For each n: text numbers and 64-bit hashes of the n-grams of letters and single blanks.
+    """For each n: text numbers and 64-bit hashes of the n-grams of letters, marks and single blanks.
 
-    Texts are lower-cased and what is no letter is a blank. The third item has the
-    number of letters in each text.
+    Texts are lower-cased and what is neither letter nor mark is a blank. The third item has
+    the number of letters in each text.
     """
     lowered = [f" {t.lower()} " for t in texts]
     codes = np.frombuffer("".join(lowered).encode("utf-32-le", "replace"), np.uint32)
     owner = np.repeat(np.arange(len(texts)), [len(t) for t in lowered])
-    is_letter = letters()[codes]
-    n_letters = np.bincount(owner[is_letter], minlength=len(texts))
-    codes = np.where(is_letter, codes, 32)
-    keep = is_letter | np.concatenate([[True], is_letter[:-1] | (owner[1:] != owner[:-1])])
+    kind = kinds()[codes]
+    n_letters = np.bincount(owner[kind == 2], minlength=len(texts))
+    part = kind > 0
+    codes = np.where(part, codes, 32)
+    keep = part | np.concatenate([[True], part[:-1] | (owner[1:] != owner[:-1])])
     codes, owner = codes[keep].astype(np.uint64), owner[keep]
     for n in sizes:
         if len(codes) < n:
@@ -198,8 +198,8 @@ def language_id(
     """One row per document: id, ``held_out``, ``lang_pred``, ``score``.
 
     Learns from rows with a language whose crc32(id) modulo ``parts`` is not
-    ``held_out``; a null id counts as empty text. A null text, or one without letters,
-    is ``und`` with score 0, and so is every text if no language was learnt. A text
+    ``held_out``; a null id counts as empty text. A null text, or one without letters
+    (marks alone are none), is ``und`` with score 0, and so is every text if no language was learnt. A text
     with letters but no hit gets the first language with score 1 / languages; ties go
     to the alphabetically first. Repeated rows are predicted each; other columns are
     left out.

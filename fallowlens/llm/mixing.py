@@ -102,6 +102,7 @@ def mix_sources(
         .withColumn("copies", copies)
         .where("copies > 0")
         .select("row", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)).alias("copy"))
-        .withColumn("place", F.xxhash64(F.lit(seed), F.lit("place"), F.col(f"row.`{doc_id}`"), "copy"))
+        # the text counts too, so that texts without an id, or with one id, do not meet in one place
+        .withColumn("place", F.xxhash64(F.lit(seed), F.lit("place"), F.col(f"row.`{doc_id}`"), F.col(f"row.`{text}`"), "copy"))
     )
     return copied.repartition("place").sortWithinPartitions("place").select("row.*", "copy")

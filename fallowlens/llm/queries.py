@@ -100,7 +100,8 @@ from runs where run_words >= 20
 def _op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fallowlens.llm import repeats
 
-    return repeats.repeated_units(table(spark, sf_dir, "documents"))
+    # passages only: clean documents hold common lines that are no copies
+    return repeats.repeated_units(table(spark, sf_dir, "documents"), params=repeats.PASSAGES)
 
 
 @query("op4_token_counts")

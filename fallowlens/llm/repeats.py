@@ -3,9 +3,9 @@
 A text is divided into units, which end after a line break or after a full stop,
 question or exclamation mark with a blank. A unit is normalised (A-Z lower-cased, white
 space collapsed) and hashed. The digests are grouped over all documents; the occurrence
-in the smallest doc_id, and there the first, is kept. Others are removed where they
-stand in a run of repeated units with ``min_words`` words or more, so that short
-sentences which coincide stay. Offsets are those of the original text.
+in the smallest doc_id, and there the first, is kept, and all others are removed. With
+``min_words`` only those go that stand in a run of repeated units with so many words, so that
+short lines and sentences which coincide stay. Offsets are those of the original text.
 """
 
 from __future__ import annotations
@@ -26,7 +26,13 @@ _ENDS = re.compile(r"(?<=[.!?] )|(?<=\n)")
 
 @dataclass(frozen=True)
 class Params:
-    min_words: int = 20
+    """``min_words``: words of a run of repeated units from which on it is removed; 1 is every unit."""
+
+    min_words: int = 1
+
+
+#: For corpora in which common lines are no copies.
+PASSAGES = Params(min_words=20)
 
 
 def units(text: str) -> Iterator[tuple[bytes, int, int, int]]:

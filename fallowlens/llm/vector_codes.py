@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fallowlens.llm.common import discard, fresh_path, maybe_broadcast
+from fallowlens.llm.common import discard, fresh_path, maybe_broadcast, stored
 
 #: Larger components are held at this, so that distances fit in 64 bits.
 MOST = 1 << 27
@@ -408,6 +408,6 @@ def vector_codes(
     found = compress(vectors, vec_id, vector, label, params)
     sums = found.rows.groupBy(F.col("label").alias("of")).agg(F.sum("error").alias("label_error"))
     # labels are as many as the rows say: a broadcast only if they are few
-    sums = maybe_broadcast(sums)
+    sums = maybe_broadcast(stored(sums, "vector-labels"))
     joined = found.rows.join(sums, found.rows["label"].eqNullSafe(sums["of"]))
     return joined.select(F.col("id").alias(vec_id), "code", "error", "label_error", F.lit(found.digest()).alias("codebooks_sha256"))

@@ -9,6 +9,7 @@ whole records. Only built-in functions are used.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,8 @@ from fallowlens.llm.common import fresh_path, stored
 
 #: WARC profile of a revisit with an equal payload (fixed value).
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+#: Extension field with a URL's bytes as hex digits.
+EXACT_URI = "X-Target-URI-Hex"
 RFC4648 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 CONV32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
 
@@ -34,20 +37,33 @@ def sha1_base32(payload: Column) -> Column:
     return F.translate(F.concat(*parts), CONV32, RFC4648)
 
 
-def header(record: str = "response") -> Column:
-    """Header text of a record with columns id, url, type, refers_to, sha1, bytes."""
+def record_urn(page: Column, row: Column) -> Column:
+    """A record's own name: the page and which of its repeated rows it is."""
+    return F.concat(F.lit("<urn:page:"), F.coalesce(page.cast("string"), F.lit("")), F.lit(":"), row.cast("string"), F.lit(">"))
+
+
+def header() -> Column:
+    """Header text of a record with columns id, row, url, date, type, refers_to, first, sha1, bytes.
+
+    ``row`` differs between all records, so that repeated rows have names of their own.
+    The block is the page as the table has it, without the protocol's header.
+    """
     line = lambda name, value: F.coalesce(F.concat(F.lit(f"{name}: "), value, F.lit("\r\n")), F.lit(""))
     revisit = F.col("type") == "revisit"
     only = lambda value: F.when(revisit, value)
-    clean = F.regexp_replace(F.col("url"), "[\\r\\n]", "")
+    url = F.replace(F.replace(F.col("url"), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
+    legal = F.when(F.trim(url) == "", F.lit("urn:empty")).otherwise(F.trim(url))
     return F.concat(
         F.lit("WARC/1.1\r\n"),
         line("WARC-Type", F.col("type")),
-        line("WARC-Record-ID", F.concat(F.lit("<urn:page:"), F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit(">"))),
-        line("WARC-Target-URI", clean),
+        line("WARC-Record-ID", record_urn(F.col("id"), F.col("row"))),
+        line("WARC-Date", F.col("date")),
+        line("WARC-Target-URI", legal),
+        # the URL itself where no header line can hold it
+        line(EXACT_URI, F.when(legal != F.col("url"), F.hex(F.encode("url", "UTF-8")))),
         line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("sha1"))),
         line("WARC-Profile", only(F.lit(PROFILE))),
-        line("WARC-Refers-To", only(F.concat(F.lit("<urn:page:"), F.col("refers_to").cast("string"), F.lit(">")))),
+        line("WARC-Refers-To", only(record_urn(F.col("refers_to"), F.col("first")))),
         line("Content-Type", F.lit("text/html; charset=utf-8")),
         line("Content-Length", F.when(revisit, F.lit("0")).otherwise(F.col("bytes").cast("string"))),
         F.lit("\r\n"),
@@ -61,13 +77,17 @@ def header_field(name: str, text: Column | str = "header") -> Column:
     return F.when(found != "", found)
 
 
-def records(pages: DataFrame, page_id: str, url: str, html: str, min_revisit_bytes: int = 0) -> tuple[DataFrame, DataFrame]:
+def records(
+    pages: DataFrame, page_id: str, url: str, html: str, min_revisit_bytes: int = 0, date: str | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Payload rows (digest, payload) and header rows (digest, header) of the pages.
 
     Of records with equal payloads of at least ``min_revisit_bytes`` bytes the one with
     the largest id is the response, the others revisit it. Among repeated rows with that
-    id, one is the response. Smaller payloads are responses all.
+    id, one is the response. Smaller payloads are responses all. ``date`` is when the pages
+    were captured, by default the time of writing.
     """
+    date = date or datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
     payload = F.coalesce(F.encode(F.col(html), "UTF-8"), F.lit(b""))
     taken = pages.select(F.col(page_id).alias("id"), F.col(url).cast("string").alias("url"), payload.alias("payload"))
     digest = F.unhex(F.sha2("payload", 256)).alias("digest")
@@ -88,7 +108,7 @@ def records(pages: DataFrame, page_id: str, url: str, html: str, min_revisit_byt
         .groupBy("digest", "best").agg(F.min("row").alias("first"))
         .select("digest", F.col("best").alias("refers_to"), "first")
     )
-    typed = light.join(first, "digest", "left").withColumn(
+    typed = light.join(first, "digest", "left").withColumn("date", F.lit(date)).withColumn(
         "type", F.when(F.col("first") != F.col("row"), "revisit").otherwise("response")
     )
     heads = typed.select("digest", F.encode(header(), "UTF-8").alias("header"))
@@ -97,11 +117,11 @@ def records(pages: DataFrame, page_id: str, url: str, html: str, min_revisit_byt
 
 
 def write(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html",
-          min_revisit_bytes: int = 0, folder: str | None = None) -> Archive:
+          min_revisit_bytes: int = 0, folder: str | None = None, date: str | None = None) -> Archive:
     """Archive the pages below ``folder``, by default a new one in the shared folder."""
     spark = pages.sparkSession
     folder = folder or fresh_path(spark, "warc")
-    payloads, heads = records(pages, page_id, url, html, min_revisit_bytes)
+    payloads, heads = records(pages, page_id, url, html, min_revisit_bytes, date)
     archive = Archive(f"{folder}/payloads", f"{folder}/headers")
     payloads.write.parquet(archive.payloads)
     heads.write.parquet(archive.headers)
@@ -141,14 +161,16 @@ def page_records(pages: DataFrame, page_id: str = "page_id", url: str = "url", h
     ``refers_to``, ``url``. A null html is the empty payload, which is shared like any
     other; a null url leaves its header out; a null id is smaller than any other. A
     group whose ids are all null has one response, to which its revisits name no id.
-    Repeated rows are records each. Other columns are left out; an empty table gives an
-    empty archive.
+    Repeated rows are records each, under names of their own. URLs come back as they were,
+    line breaks included, and payloads of any length as a whole. Other columns are left
+    out; an empty table gives an empty archive.
     """
     found = read(pages.sparkSession, write(pages, page_id, url, html, min_revisit_bytes))
-    number = lambda name: F.regexp_extract(header_field(name), "<urn:page:(-?\\d*)>", 1)
+    number = lambda name: F.regexp_extract(header_field(name), "<urn:page:(.*):\\d+>", 1)
     as_id = lambda name: F.when(number(name) != "", number(name)).cast(pages.schema[page_id].dataType)
     return found.select(
         as_id("WARC-Record-ID").alias(page_id), "payload_bytes", "payload_digest",
         header_field("WARC-Type").alias("record_type"), as_id("WARC-Refers-To").alias("refers_to"),
-        header_field("WARC-Target-URI").alias("url"),
+        F.coalesce(F.decode(F.unhex(header_field(EXACT_URI)), "UTF-8"), F.when(
+            header_field("WARC-Target-URI") == "urn:empty", F.lit("")).otherwise(header_field("WARC-Target-URI"))).alias("url"),
     )

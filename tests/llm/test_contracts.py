@@ -1,0 +1,121 @@
+"""Contracts of earlier operators at their edges: token counts by code point, letters, headers, lines, folders."""
+
+import random
+import unicodedata
+
+import pytest
+from tokenizers import Tokenizer
+
+from fallowlens.llm import common, language_id, repeats, token_counts, warc
+
+
+@pytest.fixture(scope="module")
+def path():
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@pytest.fixture(scope="module")
+def library(path):
+    return Tokenizer.from_file(path)
+
+
+def equal(library, counting, texts):
+    want = [len(e.ids) for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert [(t, counting.count(t)) for t in texts] == list(zip(texts, want))
+
+
+def test_token_counts_around_every_code_point(path, library):
+    counting = token_counts.Counting(open(path).read(), {}, token_counts.Params())
+    low = [chr(c) for c in range(0x250)]
+    forms = ("{}", "{}'s", "a{}b", " {}", "{} ", "1{}2", "\n{}\n ", "!{}?", "{0}{0}")
+    equal(library, counting, [f.format(c) for c in low for f in forms])
+    high = [chr(c) for c in [*range(0x250, 0x3000), *range(0x3000, 0x110000, 23), 0x88F, 0xC5C, 0xA7CE, 0x16EA0] if not 0xD800 <= c < 0xE000]
+    equal(library, counting, [f.format(c) for c in high for f in ("{}'s", " {}a")])
+
+
+def test_token_counts_of_mixed_texts_with_added_tokens(path, library):
+    rng = random.Random(0)
+    parts = ["<|endoftext|>", "<|endof", " ", "  ", "\n", "it's", "Größe", "日本", "ࢯ", "́", "12", "...", "’s", " 'll", "\x85", " ", "\x1c"]
+    texts = ["".join(rng.choices(parts, k=rng.randrange(1, 12))) for _ in range(4000)]
+    counting = token_counts.Counting(open(path).read(), {}, token_counts.Params())
+    equal(library, counting, texts)
+    small = token_counts.Counting(open(path).read(), {"it": 9}, token_counts.Params(cache_size=3, cache_chars=10))
+    small.lengths.frequent.clear()
+    small.lengths.clear()
+    equal(library, small, texts[:500])
+    assert len(small.lengths) <= 4 and small.lengths.chars <= 10
+
+
+def test_frequent_pre_tokens_come_from_all_rows(spark, path):
+    docs = spark.createDataFrame([(i, ("early " if i < 900 else "late ") * 5) for i in range(1800)], "doc_id long, text string")
+    found = token_counts.frequent_lengths(docs, open(path).read(), "doc_id", "text", token_counts.Params(sample_rows=100))
+    assert " early" in found and " late" in found
+
+
+def test_marks_are_no_letters(spark):
+    docs = spark.createDataFrame([(1, "́̀ ्"), (2, "é"), (3, "é"), (4, "ै1"), *((k, "le chat") for k in range(10, 60))], "doc_id long, text string").selectExpr(
+        "*", "'fr' as lang"
+    )
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language_id.language_id(docs).collect()}
+    assert got[1] == got[4] == ("und", 0.0) and got[2][0] == got[3][0] == "fr"
+    kinds = language_id.kinds()
+    assert all((kinds[c] == 2) == unicodedata.category(chr(c)).startswith("L") for c in range(0, 0x110000, 97))
+
+
+def test_hits_equal_plain_lookups():
+    """Bit-sliced lookups against sets: every n-gram of a text, all languages at once, false positives taken off."""
+    p = language_id.Params(bits=12, hashes=2)
+    texts = ["The quick brown fox", "der schnelle braune Fuchs", "a1b2 c"]
+    members = [{int(h) for _, hashes, _ in language_id.grams([t], p.sizes) for h in hashes} for t in texts[:2]]
+    import numpy as np
+
+    filters = language_id.Filters.build(["en", "de"], [np.array(sorted(m), np.uint64) for m in members], p)
+    hits, letters = filters.hits(texts)
+    slots = [{tuple(int(x[0]) for x in language_id.positions(np.array([h], np.uint64), p)) for h in m} for m in members]
+    held = [[{s[k] for s in lang} for k in range(p.hashes)] for lang in slots]
+    for i, t in enumerate(texts):
+        assert letters[i] == sum(c.isalpha() for c in t)
+        codes = [h for _, hashes, _ in language_id.grams([t], p.sizes) for h in hashes.tolist()]
+        for lang in range(2):
+            found = sum(
+                all(int(x[0]) in held[lang][k] for k, x in enumerate(language_id.positions(np.array([h], np.uint64), p))) for h in codes
+            )
+            wrong = filters.fills[lang] ** p.hashes
+            assert hits[i, lang] == pytest.approx(max(0, (found - len(codes) * wrong) / (1 - wrong)))
+
+
+def test_headers_are_whole_and_urls_exact(spark):
+    urls = ["http://a/x?y=%20z", "http://b/\r\nWARC-Type: fake\r\n", " http://c ", "", None, "http://d/ü", "http://a/x?y=%20z"]
+    rows = [(i % 6, u, "same" if i % 2 else "x" * i) for i, u in enumerate(urls)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = warc.page_records(df).collect()
+    assert sorted((r.page_id, str(r.url)) for r in got) == sorted((i, str(u)) for i, u, _ in rows)
+    assert {r.record_type for r in got} == {"response", "revisit"}
+    names = set()
+    for r in warc.read(spark, warc.write(df, date="2024-06-01T00:00:00Z")).collect():
+        first, *lines = r.header.decode().split("\r\n")
+        assert first == "WARC/1.1" and lines[-2:] == ["", ""]
+        fields = dict(line.split(": ", 1) for line in lines[:-2])
+        assert len(fields) == len(lines) - 2 and fields["WARC-Date"] == "2024-06-01T00:00:00Z"
+        assert {"WARC-Type", "WARC-Record-ID", "Content-Length", "WARC-Payload-Digest"} <= set(fields)
+        names.add(fields["WARC-Record-ID"])
+    assert len(names) == len(rows)
+
+
+def test_every_later_occurrence_of_a_unit_goes(spark):
+    docs = spark.createDataFrame([(1, "Short line.\nOwn one.\n"), (2, "Short line.\nOther.\nshort  LINE.\n")], "doc_id long, text string")
+    got = {(r.doc_id, r.unit_start, r.unit_end, r.kept_doc_id) for r in repeats.repeated_units(docs).collect()}
+    assert got == {(2, 0, 12, 1), (2, 19, 32, 1)}
+    assert {r.text for r in repeats.remove_repeats(docs).collect()} == {"Short line.\nOwn one.\n", "Other.\n"}
+    assert repeats.repeated_units(docs, params=repeats.PASSAGES).isEmpty()
+
+
+def test_shared_folder_is_the_named_one(spark):
+    assert common.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+    stored, at = common.stored_at(spark.range(5).toDF("n"), "five")
+    assert stored.count() == 5 and at.startswith(common.shared_dir(spark))
+    common.discard(spark, at)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(at)

@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from fallowlens.llm import (
-    decontaminate, language_id, language_model, mixing, near_dedup, quality, repeats, token_counts, toxicity, warc,
+    decontaminate, fill_in_middle, language_id, language_model, mixing, near_dedup, quality, quality_trees, repeats, token_counts, toxicity,
+    warc,
 )
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id string, row int, label double, n int, copy string, m int"
@@ -45,6 +46,8 @@ ROW_FOR_ROW = {
     "model": lambda d, l, b: language_model.score_texts(d),
     "near": lambda d, l, b: near_dedup.near_duplicates(d),
     "toxicity": lambda d, l, b: toxicity.toxicity(d, l),
+    "trees": lambda d, l, b: quality_trees.quality_scores(d, l),
+    "fim": lambda d, l, b: fill_in_middle.fill_in_middle(d),
     "warc": lambda d, l, b: warc.page_records(d, "doc_id", "lang", "text"),
 }
 OTHERS = {

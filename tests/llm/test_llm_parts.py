@@ -248,7 +248,7 @@ def test_archive_round_trip_and_damage(spark, tmp_path):
     df = spark.createDataFrame(pages, "page_id long, url string, html string")
     archive = warc.write(df, folder=str(tmp_path / "a"))
     assert spark.read.parquet(archive.payloads).count() == 3
-    found = {r.header.decode().split("<urn:page:")[1].split(">")[0]: r for r in warc.read(spark, archive).collect()}
+    found = {r.header.decode().split("<urn:page:")[1].split(":")[0]: r for r in warc.read(spark, archive).collect()}
     for i, _, html in pages:
         payload = (html or "").encode()
         r = found[str(i)]
