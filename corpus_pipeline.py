@@ -27,7 +27,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_units(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return repeats.remove_repeats(docs)
+    return repeats.remove_repeats(docs, params=repeats.PASSAGES)
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
