@@ -11,7 +11,7 @@ from fallowlens.catalog import fragments as q
 from fallowlens.catalog.registry import query, round_columns, sql_rounded
 from fallowlens.functions import geo
 from fallowlens.functions.naming import mosaic_name, point_name
-from fallowlens.operators.windows import window_join
+from fallowlens.operators.windows import dealt_window_join, window_join
 from fallowlens.schemas import Params
 from fallowlens.sources import derived
 from fallowlens.sources.tables import with_seed_ids
@@ -104,6 +104,18 @@ def window_join_query(spark: SparkSession, sf: str) -> DataFrame:
     return window_join(obs, _windows(spark, sf), 70.0)
 
 
+@query(
+    "dealt_window_join",
+    q.with_(q.OBS, _WINDOWS)
+    + 'select w.seed_id, o."row", o.col, o.scene_idx, o.x, o.y, o.B08 '
+    "from obs o join windows w on o.x >= w.minx and o.x < w.maxx and o.y >= w.miny and o.y < w.maxy",
+)
+def dealt_window_join_query(spark: SparkSession, sf: str) -> DataFrame:
+    """The range join on cells along a curve, dense ones in parts of 50 observations."""
+    obs = derived.placed_obs(spark, sf).select("row", "col", "scene_idx", "x", "y", "B08")
+    return dealt_window_join(obs, _windows(spark, sf), 70.0, 50)
+
+
 _BOTH_ZONES = (
     "select seed_id, minx, miny, maxx, maxy, epsg from ("
     + q.with_(q.SEEDS, _utm_sql(9.0)) + f"select seed_id, {_EDGES}, 32632 as epsg from utm"

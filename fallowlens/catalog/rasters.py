@@ -41,6 +41,16 @@ def tile_explode(spark: SparkSession, sf: str) -> DataFrame:
     return t.explode_pixels(derived.tiles(spark, sf), BANDS)
 
 
+@query(
+    "strips_to_pixels",
+    q.with_(q.OBS, q.daily(), _CELLS) + f'select seed_id, date, "row", col, x, y, {_BANDS} from cells',
+    date="date",
+)
+def strips_to_pixels(spark: SparkSession, sf: str) -> DataFrame:
+    """Rasters kept as strips of three lines: the same pixels."""
+    return t.explode_pixels(t.strips(derived.tiles(spark, sf), 200), BANDS)
+
+
 @query(
     "tile_explode_by_name",
     q.with_(q.OBS, q.daily(), _CELLS) + 'select seed_id, date, "row", col, x, y, B08, B04 from cells',

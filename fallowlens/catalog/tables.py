@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fallowlens.catalog import fragments as q
 from fallowlens.catalog.registry import query, round_columns, sql_rounded
-from fallowlens.operators import quality
+from fallowlens.operators import profiles, quality
 from fallowlens.schemas import BANDS
 from fallowlens.sources import derived
 
@@ -49,6 +49,29 @@ def table_profile(spark: SparkSession, sf: str) -> DataFrame:
     return round_columns(typed, ["low", "high", "mean", "std", "median"], 3)
 
 
+_MERGED = (("cloud_cover", "cloud_cover"), ("clear", "case when cloud_cover <= 60 then B08 end"), ("B04", "B04"))
+
+
+@query(
+    "merged_profile",
+    q.with_(q.OBS)
+    + " union all ".join(
+        f"select '{c}' as \"column\", count(*) as n_rows, count(*) - count({e}) as nulls, "
+        + ", ".join(sql_rounded(f"{f}(cast({e} as double))", n, 6) for f, n in (("min", "low"), ("max", "high"), ("avg", "mean"), ("stddev_samp", "std")))
+        + " from obs"
+        for c, e in _MERGED
+    ),
+)
+def merged_profile(spark: SparkSession, sf: str) -> DataFrame:
+    """Exact facts of a profile that was added up from the sketches of each day's rows."""
+    obs = derived.scene_obs(spark, sf).select(
+        "acq_date", "cloud_cover", F.when(F.col("cloud_cover") <= 60, F.col("B08")).alias("clear"), "B04"
+    )
+    found = profiles.merged_profile(profiles.profile_sketches(obs, ["acq_date"]))
+    facts = found.select("column", F.col("rows").alias("n_rows"), "nulls", "low", "high", "mean", "std")
+    return round_columns(facts, ["low", "high", "mean", "std"], 6)
+
+
 @query(
     "top_values",
     q.with_(q.OBS)

@@ -95,6 +95,40 @@ def with_first_transform(tiles: DataFrame, most: int = 500_000) -> DataFrame:
     return tiles.drop("transform").join(F.broadcast(first) if few else first, "seed_id").select(*tiles.columns)
 
 
+def strips(tiles: DataFrame, most: int) -> DataFrame:
+    """Tiles as rows of whole raster lines, each with about ``most`` values of all bands at most.
+
+    ``row0`` is a strip's first line, ``height`` its number of lines. A stack of any number
+    of dates and any area so never is one array; a reader may hand in strips to begin with.
+    """
+    plane = F.col("width") * F.col("height")
+    lines = F.greatest(F.lit(1), F.floor(F.lit(most) / (F.size("bands") * F.col("width")))).cast("int")
+    cut = tiles.withColumn("_lines", lines).withColumn(
+        "row0", F.explode(F.when(F.col("height") > 0, F.sequence(F.lit(0), F.col("height") - 1, F.col("_lines"))))
+    )
+    held = F.greatest(F.lit(0), F.least(F.col("_lines"), F.col("height") - F.col("row0")))
+    band = lambda i: F.slice(F.col("data"), i * plane + F.col("row0") * F.col("width") + 1, held * F.col("width"))
+    data = F.flatten(F.transform(F.sequence(F.lit(0), F.size("bands") - 1), band))
+    kept = [c for c in tiles.columns if c not in ("height", "data")]
+    made = cut.select(*kept, "row0", held.alias("_held"), F.when(raster_whole(), data).alias("data"))
+    return made.withColumnRenamed("_held", "height")
+
+
+def strip_errors(strips: DataFrame, heights: DataFrame) -> DataFrame:
+    """Seeds and days whose strips do not make up their raster: gaps, overlaps, or arrays of a wrong length.
+
+    ``heights`` has ``seed_id, date, height`` of the whole rasters. Only the shapes are
+    aggregated; values stay where they are.
+    """
+    per_day = strips.groupBy("seed_id", "date").agg(
+        F.sum("height").alias("_lines"), F.count_distinct("row0").alias("_starts"), F.count("*").alias("_n"),
+        F.max(F.col("row0") + F.col("height")).alias("_end"), F.bool_and(raster_whole()).alias("_whole"),
+    )
+    met = heights.join(per_day, ["seed_id", "date"], "left")
+    sound = F.col("_whole") & (F.col("_lines") == F.col("height")) & (F.col("_end") == F.col("height")) & (F.col("_starts") == F.col("_n"))
+    return met.filter(~F.coalesce(sound, F.lit(False))).select("seed_id", "date")
+
+
 def raster_whole() -> Column:
     """Whether a tile's array holds all values of its bands and shape."""
     return F.coalesce(F.size("data") == F.size("bands") * F.col("width") * F.col("height"), F.lit(False))
@@ -108,7 +142,8 @@ def explode_pixels(
     Bands go by position, and a shorter list takes a prefix. ``by_name`` looks
     each one up in the tile's own ``bands`` column instead. With ``marked`` a tile
     whose array is too short or too long gives one row without place and values, which
-    tells of the fault; the array is read here anyway.
+    tells of the fault; the array is read here anyway. Strips, which have a ``row0``,
+    give the pixels of their lines.
     """
     plane = F.col("width") * F.col("height")
     zipped = []
@@ -120,12 +155,16 @@ def explode_pixels(
         else:
             values = F.slice("data", i * plane + 1, plane)
         zipped.append(values.alias(b))
-    kept = [c for c in tiles.columns if c not in ("data", "bands", "width", "height", "transform")]
+    striped = "row0" in tiles.columns
+    kept = [c for c in tiles.columns if c not in ("data", "bands", "width", "height", "transform", "row0")]
     cells = F.arrays_zip(*zipped)
     if marked:
         cells = F.when(raster_whole(), cells).otherwise(F.array(F.lit(None)))
-    flat = tiles.select(*kept, "width", "transform", F.posexplode(cells).alias("_pos", "_px"))
+    first = ["row0"] if striped else []
+    flat = tiles.select(*kept, *first, "width", "transform", F.posexplode(cells).alias("_pos", "_px"))
     row = F.floor(F.col("_pos") / F.col("width")).cast("int")
+    if striped:
+        row = row + F.col("row0")
     col = (F.col("_pos") % F.col("width")).cast("int")
     if marked:
         row, col = (F.when(F.col("_px").isNotNull(), c) for c in (row, col))

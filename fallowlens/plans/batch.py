@@ -63,10 +63,11 @@ def pixel_timeseries(daily: DataFrame, seeds: DataFrame, params: Params) -> Data
     return flagged.select(*timeseries_columns(params.bands))
 
 
-def pixel_stats(daily: DataFrame, params: Params, marked: bool = False) -> DataFrame:
+def pixel_stats(daily: DataFrame, params: Params, marked: bool = False, dealt: bool = False) -> DataFrame:
     """Statistics of bare pixels over time, before any masking.
 
     With ``marked`` rows without a place, which tell of a fault in their seed, stay.
+    ``dealt`` tells that the rows already lie by seed, as in ``sinks.write_bucketed``.
     """
     # a stored time series carries the flag, which then filters at the scan
     flagged = "is_baresoil" in daily.columns
@@ -75,7 +76,7 @@ def pixel_stats(daily: DataFrame, params: Params, marked: bool = False) -> DataF
         is_bare = is_bare | F.col("row").isNull()
     bare = daily.filter(is_bare).select(*PIXEL_KEYS, *params.bands)
     # Only band values travel; indices are computed where they are aggregated.
-    spread = bare.repartition(*PIXEL_KEYS)
+    spread = bare if dealt else bare.repartition(*PIXEL_KEYS)
     return pixel_statistics(add_indices(spread), PIXEL_KEYS, params.targets)
 
 

@@ -83,6 +83,43 @@ def read_rasters(
     return files.select("path", file_date().alias("date"), "content").mapInPandas(decode, RASTERS)
 
 
+STRIPS = T.StructType(RASTERS.fields + [T.StructField("row0", T.IntegerType())])
+
+
+def read_strips(
+    spark: SparkSession,
+    path: str,
+    decoder: Callable[[bytes], Iterator[dict]],
+    glob: str = "*.tif",
+    start: str | None = None,
+    end: str | None = None,
+) -> DataFrame:
+    """Decode each file into rows of a few raster lines, see ``operators.tiles.strips``.
+
+    ``decoder`` yields strips one after another: ``width, transform, bands, row0``, the
+    number of lines as ``height``, and their ``data``; a raster of any size so never is one
+    array. A stack of several acquisitions may add the ``date`` of each strip. A file that
+    fails gives one row with its ``error`` after the strips that were read.
+    """
+    fields = [f.name for f in STRIPS if f.name not in ("path", "date", "error")]
+
+    def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for path, date, content in zip(batch["path"], batch["date"], batch["content"]):
+                row = {"path": path, "date": date, "error": None, **dict.fromkeys(fields)}
+                try:
+                    for strip in decoder(content):
+                        yield pd.DataFrame([{**row, **strip}], dtype=object)[STRIPS.fieldNames()]
+                except Exception as e:
+                    failed = {**row, "error": f"{type(e).__name__}: {e}"}
+                    yield pd.DataFrame([failed], dtype=object)[STRIPS.fieldNames()]
+
+    files = _files(spark, path, glob)
+    named = file_date("_metadata.file_name")
+    files = files.filter(named.isNull() | in_interval(named, start, end))
+    return files.select("path", file_date().alias("date"), "content").mapInPandas(decode, STRIPS)
+
+
 def attach_seeds(rasters: DataFrame, seeds: DataFrame) -> DataFrame:
     """Give each raster the ``seed_id`` of the points its folder is named after.
 

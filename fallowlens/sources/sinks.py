@@ -102,3 +102,16 @@ def write_mosaic(
         {"collection": F.lit(collection), "aoi": F.lit(aoi), "mosaic": F.lit(name)}
     )
     _parquet(tagged, path, "collection", "aoi", "mosaic", mode=mode)
+
+
+def write_bucketed(df: DataFrame, table: str, path: str, buckets: int, mode: str = "overwrite") -> None:
+    """A table of pixels in buckets by seed, sorted by pixel, as the session's table ``table``.
+
+    All rows of a seed lie in one bucket, so that whoever groups or joins them by seed, or by
+    seed and pixel, reads them where they lie, without a shuffle. ``buckets`` should keep
+    a bucket near 200 MB.
+    """
+    order = ["seed_id", *[c for c in ("row", "col", "date", "acq_date") if c in df.columns]]
+    dealt = df.repartition(buckets, "seed_id")
+    writer = dealt.write.mode(mode).bucketBy(buckets, "seed_id").sortBy(*order)
+    writer.option("path", path).saveAsTable(table)
