@@ -10,8 +10,11 @@
    once, full shingle sets are compared, and confirmed links put out one edge per class.
 5. The components of the confirmed links are the result.
 
-Buckets and groups beyond a size are cut into blocks, and every pair of blocks is compared
-by a task of its own, so no task holds more than two blocks and no pair is left out.
+Buckets beyond a size are cut into blocks, and every pair of blocks is compared by a task of
+its own. A group beyond a size is cut too, but its texts meet block by block first; then
+one text stands for all that a block linked. Only where these leave a group in several
+pieces are all its pairs of blocks compared, so a large group of copies moves its texts once
+and no link is lost. No task holds more than two blocks.
 """
 
 from __future__ import annotations
@@ -60,11 +63,12 @@ class Params:
         return self.lanes * self.bits // 64
 
     @property
-    def least_matches(self) -> int:
-        """Equal lanes that a candidate needs: the expectation at the threshold less the slack."""
+    def least_similarity(self) -> float:
+        """The estimate that a candidate needs: the threshold less the slack."""
         chance = 2.0**-self.bits
         match = chance + (1 - chance) * self.percent / 100
-        return math.floor(self.lanes * match - self.slack * math.sqrt(self.lanes * match * (1 - match)))
+        lanes = math.floor(self.lanes * match - self.slack * math.sqrt(self.lanes * match * (1 - match)))
+        return (lanes / self.lanes - chance) / (1 - chance) - 1e-9
 
 
 def similarity(matches: np.ndarray, params: Params) -> np.ndarray:
@@ -210,7 +214,10 @@ def least_connected(adjacent: np.ndarray) -> np.ndarray:
 def bucket_edges(bucketed: DataFrame, params: Params) -> DataFrame:
     """(a, b): within each bucket, classes joined to the smallest one their estimates connect them with."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-    least = params.least_matches
+    least = params.least_similarity
+
+    def near(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return similarity(matches(a, b, params), params) >= least
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, bounds in whole_groups(batches, ["key", "i", "j"]):
@@ -218,14 +225,14 @@ def bucket_edges(bucketed: DataFrame, params: Params) -> DataFrame:
             sigs = table.column("sig").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(ids), -1)
             sizes = np.diff(bounds)
             twos = bounds[:-1][sizes == 2]
-            good = twos[matches(sigs[twos], sigs[twos + 1], params) >= least]
+            good = twos[near(sigs[twos], sigs[twos + 1])]
             a, b = [ids[good]], [ids[good + 1]]
             for start, end in zip(bounds[:-1][sizes > 2], bounds[1:][sizes > 2]):
                 order = start + np.argsort(ids[start:end])
                 own = sigs[order]
                 adjacent = np.empty((len(own), len(own)), bool)
                 for k in range(0, len(own), 128):
-                    adjacent[k : k + 128] = matches(own[k : k + 128, None, :], own[None, :, :], params) >= least
+                    adjacent[k : k + 128] = near(own[k : k + 128, None, :], own[None, :, :])
                 label = least_connected(adjacent)
                 far = np.flatnonzero(label != np.arange(len(label)))
                 a.append(ids[order[far]]), b.append(ids[order[label[far]]])
@@ -278,6 +285,42 @@ def confirmed_edges(grouped: DataFrame, params: Params) -> DataFrame:
     return grouped.mapInArrow(run, "a long, b long")
 
 
+def sized_groups(members: DataFrame, params: Params) -> DataFrame:
+    """(id, gid, parts): members with the number of blocks that their group takes."""
+    load = members.groupBy("gid").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("total"))
+    blocks = F.ceil(F.greatest(F.col("n") / params.group_block, F.col("total") / params.block_shingles))
+    return members.join(load.select("gid", blocks.cast("int").alias("parts")), "gid").select("id", "gid", "parts").distinct()
+
+
+def group_edges(texts: DataFrame, members: DataFrame, params: Params) -> DataFrame:
+    """Confirmed links (a, b) of all groups; ``members`` is (id, gid, n_shingles), ``texts`` (id, text).
+
+    Members grow with the documents, so they are joined alike at every size, never broadcast.
+    """
+    sized = stored(sized_groups(members, params), "near-sized")
+    own = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
+    met = texts.join(sized.select("id", "gid", own.alias("i")).hint("merge"), "id").select("gid", "i", F.col("i").alias("j"), "id", "text")
+    inside = met.repartition("gid", "i", "j").sortWithinPartitions("gid", "i", "j")
+    edges = stored(confirmed_edges(inside, params).distinct(), "near-inside")
+    large = sized.where("parts > 1")
+    if large.isEmpty():
+        return edges
+
+    def across(chosen: DataFrame) -> DataFrame:
+        joined = texts.join(chosen.hint("merge"), "id").select("gid", "parts", "id", "text")
+        return confirmed_edges(blocked(joined, "gid", F.col("parts")), params)
+
+    # one text for all that its block linked; their links connect what they stand for
+    label = components(edges)
+    standing = large.join(label, "id", "left").where(F.coalesce("label", "id") == F.col("id")).select("id", "gid")
+    alone = sized_groups(standing.join(members.select("id", "n_shingles").distinct(), "id"), params)
+    edges = stored(edges.union(across(alone)).distinct(), "near-standing")
+    name = large.join(components(edges), "id", "left").select("gid", F.coalesce("label", "id").alias("name"))
+    apart = name.groupBy("gid").agg(F.min("name").alias("low"), F.max("name").alias("high")).where("low <> high").select("gid")
+    rest = stored(large.join(apart, "gid").select("id", "gid", "parts"), "near-apart")
+    return edges if rest.isEmpty() else edges.union(across(rest))
+
+
 def clash_edges(named: DataFrame, classes: DataFrame) -> DataFrame:
     """(a, b): ids that several different texts share, joined to the classes of all of them."""
     clashing = named.groupBy("id").agg(F.min("digest").alias("low"), F.max("digest").alias("high")).where("low <> high").select("id")
@@ -318,13 +361,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         .select("id", F.col("label").alias("gid"), "n_shingles"),
         "near-members",
     )
-    load = members.groupBy("gid").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("total"))
-    blocks = F.ceil(F.greatest(F.col("n") / params.group_block, F.col("total") / params.block_shingles))
-    sized = members.join(load.select("gid", blocks.alias("parts")), "gid").select("id", "gid", "parts").distinct()
     texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
-    # members grow with the documents, so they are joined alike at every size, never broadcast
-    groups = blocked(texts.join(sized.hint("merge"), "id").select("gid", "parts", "id", "text"), "gid", F.col("parts"))
-    linked = components(confirmed_edges(groups, params).union(clash_edges(named, classes)).distinct())
+    links = group_edges(texts, members, params)
+    linked = components(links.union(clash_edges(named, classes)).distinct())
     labelled = classes.join(linked, classes["cid"] == linked["id"], "left").select(
         F.col("digest").alias("d"), F.coalesce("label", "cid").alias("label")
     )
