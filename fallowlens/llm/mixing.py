@@ -90,7 +90,7 @@ def mix_sources(
     only on the rows and the seed. A null source is a source of its own; rows with equal
     ids (a null id included) draw alike, so repeated rows are repeated alike. A source
     whose texts are all null or empty has no bytes to weigh and is left out. An empty
-    table gives an empty result.
+    table gives an empty result. Texts of any length are copied whole.
     """
     per_source = maybe_broadcast(rates(docs, source, text, weights, total))
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "copy")).alias("row")

@@ -336,8 +336,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     is one shingle. ``component_id`` is the smallest id that links reach, and ``kept``
     says that it is the document's own. Documents without words, and rows with a null id,
     are linked with nothing: they are kept, a null id with a null component. Rows that
-    share an id are one node, which has the links of all their texts; other columns are left out; an empty table gives an empty
-    result.
+    share an id are one node, which has the links of all their texts. Whole texts of any
+    length are compared, and a similarity of just ``percent`` links. Other columns are left
+    out; an empty table gives an empty result.
     """
     params = params or Params()
     sig = stored(signatures(docs, doc_id, text, params), "near-signatures")
@@ -378,7 +379,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 def keep_one_each(docs: DataFrame, params: Params | None = None) -> DataFrame:
     """One document of each group of near duplicates, with its own columns.
 
-    Rows with a null id stay all; of rows that share an id, all stay if it is kept.
+    Rows with a null id stay all; of rows that share an id, all stay if it is kept, and texts
+    without words are copies of nothing. Extra columns, whatever their names, stay; an empty
+    table gives an empty one.
     """
     gone = near_duplicates(docs, params=params).where("not kept").select(F.col("doc_id").alias("gone_id")).distinct()
     return docs.join(gone.hint("merge"), docs["doc_id"] == gone["gone_id"], "left_anti")

@@ -189,7 +189,9 @@ def quality_rules(
     A null or empty text has no words and fails the base rule. A null stratum is the
     stratum ``-``; a null id matches no label. Repeated rows are judged each, and a
     document labelled twice counts once in its stratum's evidence. Without labels no
-    rule gets a cutoff, so the base rule alone decides. Extra columns are left out.
+    rule gets a cutoff, so the base rule alone decides. Whole texts are measured, of any
+    length. A signal that equals its cutoff rejects, and of cutoffs that pass the strictest
+    is taken. Extra columns are left out; an empty table gives an empty result.
     """
     params = params or Params()
     measured = stored(features(docs, doc_id, text, stratum), "quality-features")
@@ -206,6 +208,9 @@ def keep_good(
 ) -> DataFrame:
     """The documents that pass, with their own columns; every row is judged by itself.
 
+    Null and empty texts fail the base rule and go; repeated rows go or stay alike. Extra
+    columns, whatever their names, stay; an empty table gives an empty one.
+
     Only measures are gathered for the cutoffs. The texts are measured again where they
     are filtered, which is cheaper than moving them to their verdicts.
     """

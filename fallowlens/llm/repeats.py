@@ -80,8 +80,9 @@ def repeated_units(
 
     Documents with a null or empty text, or a null id, have no units and none are
     removed from them. Rows that share an id count as one document's: their units are
-    never repeats of each other across rows. Repeated rows give their units once. Other
-    columns are left out. ``keyed`` adds a hash of the text that the offsets belong to.
+    never repeats of each other across rows. Repeated rows give their units once. Whole
+    texts are divided, of any length; equal units of one text count in their order. Other
+    columns are left out, and an empty table gives an empty result. ``keyed`` adds a hash of the text that the offsets belong to.
     """
     params = params or Params()
     found = _unit_rows(docs, doc_id, text)
@@ -119,7 +120,9 @@ def remove_repeats(
     """The documents without their repeated units, with their own columns.
 
     ``n_chars``, if the table has it, is set to the new text's length where units were
-    removed. A document of which nothing is left keeps its row with an empty text.
+    removed. A document of which nothing is left keeps its row with an empty text, and so
+    does every row with a null text or id. Extra columns, whatever their names, and repeated
+    rows stay; an empty table gives an empty one.
     """
     spans = (
         repeated_units(docs, doc_id, text, params, keyed=True)

@@ -445,8 +445,9 @@ def toxicity(
     Learns from labels of ids whose crc32 modulo ``parts`` is not ``held_out`` (a null id
     counts as empty text). A null text, or one without a word, gets the share of toxic
     labels as its score; without labels of both kinds every text does. A document
-    labelled twice is toxic if one label says so. Repeated rows are scored each; other
-    columns are left out.
+    labelled twice is toxic if one label says so. All windows of a text of any length are
+    scored, and equal texts score alike, so repeated rows do. Other columns are left out; an
+    empty table gives an empty result.
     """
     p = params or Params()
     taken = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))

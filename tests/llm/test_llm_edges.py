@@ -113,3 +113,17 @@ def test_sources_without_bytes_are_left_out(spark):
     docs, *_ = tables(spark, "odd")
     mixed = OTHERS["mixing"](docs.withColumn("source", F.lit("s")).where("coalesce(text, '') = ''"), None, None)
     assert mixed.count() == 0 and mixed.columns[-1] == "copy"
+
+
+@pytest.mark.parametrize("kind", ["odd", "empty"])
+def test_the_pipeline_runs_on_odd_and_empty_tables(spark, tmp_path, kind):
+    import corpus_pipeline
+
+    docs, labels, bench = tables(spark, kind)
+    for name, df in (("documents", docs), ("labels", labels), ("benchmark", bench)):
+        df.write.parquet(str(tmp_path / f"{name}.parquet"))
+    out = corpus_pipeline.run(spark, str(tmp_path))
+    # the input's own "copy" column gives way to the number of the copy
+    assert set(out.columns) == set(docs.columns)
+    texts = {r.text for r in out.collect()}
+    assert texts <= {r.text for r in docs.collect()} and (kind == "odd" or not texts)
