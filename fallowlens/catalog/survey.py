@@ -151,6 +151,24 @@ def lookup_describe(spark: SparkSession, sf: str) -> DataFrame:
     return round_columns(s.describe(_lookup(spark, sf), ["GPS_LAT", "GPS_LONG"]), _DESCRIBED)
 
 
+_TEXTS = {"status": "o_orderstatus", "priority": "case when o_custkey % 4 <> 0 then o_orderpriority end", "customer": "o_custkey"}
+
+
+@query(
+    "describe_texts",
+    " union all ".join(
+        f"select '{c}' as \"column\", count(v)::bigint as count, count(distinct v)::bigint as \"unique\", "
+        f"(select v from (select cast({e} as varchar) as v from orders) where v is not null group by v order by count(*) desc, v limit 1) as top, "
+        f"(select count(*)::bigint from (select cast({e} as varchar) as v from orders) where v is not null group by v order by count(*) desc, v limit 1) as freq "
+        f"from (select cast({e} as varchar) as v from orders)"
+        for c, e in _TEXTS.items()
+    ),
+)
+def describe_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """Count, unique, top and freq of text columns, one with missing values."""
+    return s.describe_texts(derived.table(spark, sf, "orders").selectExpr(*(f"{e} as {c}" for c, e in _TEXTS.items())), list(_TEXTS))
+
+
 @query(
     "training_table",
     q.with_(

@@ -107,3 +107,20 @@ def describe(df: DataFrame, columns: list[str]) -> DataFrame:
             "q25", "q50", "q75", "max",
         )
     )
+
+
+def describe_texts(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Summary of columns as texts, one row each: ``count, unique, top, freq``.
+
+    ``top`` is the most frequent value, the smallest among equals. Values are counted
+    before anything is compared, with combining on the map side; a column without any value
+    has no top.
+    """
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("value")) for c in columns])
+    freq = df.select(F.inline(pairs)).groupBy("column", "value").agg(F.count("value").alias("n"))
+    # fewer rows than values: more occurrences sort first, then the smaller value
+    return freq.groupBy("column").agg(
+        F.sum("n").alias("count"),
+        F.count("value").alias("unique"),
+        F.min(F.when(F.col("value").isNotNull(), F.struct((-F.col("n")).alias("less"), "value"))).alias("best"),
+    ).select("column", "count", "unique", F.col("best.value").alias("top"), (-F.col("best.less")).alias("freq"))

@@ -65,3 +65,12 @@ def test_training_table_is_one_to_one(spark):
     lab = spark.createDataFrame([("a", 1.0), ("b", 2.0), ("b", 3.0), ("d", 4.0)], "seed_id string, OC double")
     assert [tuple(r) for r in training_table(features, lab).select("seed_id", "v", "OC").collect()] == [("a", 0.1, 1.0)]
     assert [tuple(r) for r in training_errors(features, lab).collect()] == [("b", "survey", 2)]
+
+
+def test_texts_are_described(spark):
+    from fallowlens.operators.survey import describe_texts
+
+    df = spark.createDataFrame([("b", None, 2), ("a", None, 2), ("b", None, 1), ("a", None, None), (None, None, 3)], "x string, y string, z int")
+    got = {r["column"]: tuple(r)[1:] for r in describe_texts(df, ["x", "y", "z"]).collect()}
+    assert got == {"x": (4, 2, "a", 2), "y": (0, 0, None, None), "z": (4, 3, "2", 2)}
+    assert describe_texts(df.limit(0), ["x"]).isEmpty()
