@@ -1,9 +1,11 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 The terms are the words of the benchmark, weighted by how rare they are in the passages of
-all documents. A randomised singular value decomposition of TF-IDF passages gives a latent
-space: tasks multiply their passages with random vectors and add up what comes back, so only
-sums of ``terms x rank`` numbers are gathered. Every passage of every document, overlapping
+all documents. Every text is split once; its words' term numbers are stored beside it, and all
+that follows reads those. A randomised singular value decomposition of the TF-IDF passages of
+all documents gives a latent space: tasks add up the products of the terms that stand in a
+passage together, these sums lie in a table, and its product with random vectors, ``terms x
+rank`` numbers, is what is gathered. Every passage of every document, overlapping
 windows of two widths, is then compared with all benchmark pieces by cosine. For candidates
 the longest common subsequence of words decides; where it is only fairly long, as in a
 paraphrase, the item's answer, its last words, must be there too. Besides, every run of
@@ -18,17 +20,18 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fallowlens.llm.common import mix64, rows, texts_of
+from fallowlens.llm.common import mix64, rows, stored
 
 _WORD = re.compile(r"\w+")
 
@@ -37,9 +40,9 @@ _WORD = re.compile(r"\w+")
 class Params:
     """``step``: words between passages; ``widths``: a passage's length in steps. ``piece``:
     words of an item that are looked for together; a piece starts every ``stride`` words.
-    ``run``: words in a row that make a verbatim excerpt. ``fit_docs``: documents, on average,
-    whose passages the decomposition is fitted on besides the benchmark's own; all
-    documents are counted and searched. ``cosine`` and ``held`` (the part of a piece's vector
+    ``run``: words in a row that make a verbatim excerpt. ``fit_docs``: as many documents
+    as all documents together weigh at most in the decomposition beside the benchmark's own
+    pieces; all of them are fitted, counted and searched. ``cosine`` and ``held`` (the part of a piece's vector
     that a passage has) make a candidate; ``strong``, ``fair``, ``answer``: shares of words
     in order that make a copy, a paraphrase, and an answer found."""
 
@@ -53,6 +56,7 @@ class Params:
     oversample: int = 8
     fit_docs: int = 2000
     fit_tasks: int = 12
+    held_bytes: int = 256_000_000
     cosine: float = 0.4
     held: float = 0.5
     strong: float = 0.8
@@ -111,20 +115,18 @@ class Passages:
 
     @staticmethod
     def of(texts: list[list[str]], terms: dict[str, int], step: int) -> Passages:
-        get = terms.get
-        sizes = [-(-len(ws) // step) for ws in texts]
+        return Passages.numbered([np.array([terms.get(w, -1) for w in ws], np.int64) for ws in texts], step)
+
+    @staticmethod
+    def numbered(found: list[np.ndarray], step: int) -> Passages:
+        sizes = [-(-len(t) // step) for t in found]
         starts = np.cumsum([0, *sizes])
-        found = [np.array([get(w, -1) for w in ws], np.int64) for ws in texts]
         block = [start + np.flatnonzero(t >= 0) // step for start, t in zip(starts, found)]
-        doc = np.repeat(np.arange(len(texts)), sizes)
+        doc = np.repeat(np.arange(len(found)), sizes)
         first, last = starts[:-1][doc], starts[1:][doc]
         block = np.concatenate(block) if block else np.zeros(0, np.int64)
         return Passages(found, np.concatenate([t[t >= 0] for t in found]) if found else np.zeros(0, np.int64), block, doc, first, last)
 
-    def sums(self, vectors: np.ndarray) -> np.ndarray:
-        """Sums of each block's term vectors."""
-        return _block_sums(self.term, self.block, len(self.doc), vectors)
-
     def joined(self, vectors: np.ndarray, starts: dict[int, np.ndarray]) -> dict[int, np.ndarray]:
         """For each width, sums over the passages of so many blocks from each start; other blocks are left out."""
         wanted = np.zeros(len(self.doc) + 1, np.int64)
@@ -132,16 +134,22 @@ class Passages:
             np.add.at(wanted, at, 1)
             np.add.at(wanted, np.minimum(at + width, self.last[at]), -1)
         wanted = np.cumsum(wanted[:-1]) > 0
-        place = np.cumsum(wanted) - 1
+        # empty blocks after each run of wanted ones, so that neighbours are added without a look at the bounds
+        gap = max(starts) - 1
+        fresh = wanted.copy()
+        fresh[1:] &= ~wanted[:-1] | (self.doc[1:] != self.doc[:-1])
+        place = np.cumsum(wanted) - 1 + gap * (np.cumsum(fresh) - 1)
+        n = int(wanted.sum() + gap * fresh.sum())
         mine = wanted[self.block]
-        single = _block_sums(self.term[mine], place[self.block[mine]], int(wanted.sum()), vectors)
-        out = {}
-        for width, at in starts.items():
-            sums = single[place[at]]
-            for k in range(1, width):
-                inside = np.flatnonzero(at + k < self.last[at])
-                sums[inside] += single[place[at[inside] + k]]
-            out[width] = sums
+        single = _block_sums(self.term[mine], place[self.block[mine]], n + gap, vectors)
+        out, total, added = {}, single[:n].copy(), 1
+        for width, at in sorted(starts.items()):
+            for low in range(0, n, 1024):
+                part = total[low : low + 1024]
+                for k in range(added, width):
+                    part += single[low + k : low + k + len(part)]
+            added = width
+            out[width] = total[place[at]]
         return out
 
     def held(self, weights: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
@@ -161,24 +169,45 @@ def _block_sums(term: np.ndarray, block: np.ndarray, blocks: int, vectors: np.nd
     """Sums of the term vectors of each of ``blocks`` blocks; ``block`` does not fall.
 
     Blocks are ordered by how many terms they hold, so that the k-th terms of all
-    blocks that have one are added to a leading run of rows at once.
+    blocks that have one are added to a leading run of rows at once, few enough to stay in
+    the processor's cache.
     """
     counts = np.bincount(block, minlength=blocks)
     order = np.argsort(-counts, kind="stable")
-    starts = (np.cumsum(counts) - counts)[order]
-    out = np.zeros((len(counts), vectors.shape[1]), vectors.dtype)
-    for k in range(int(counts.max(initial=0))):
-        have = int(np.searchsorted(-counts[order], -k, side="left"))
-        out[:have] += vectors[term[starts[:have] + k]]
-    back = np.empty_like(order)
-    back[order] = np.arange(len(order))
-    return out[back]
-
-
-def _grouped(texts: list[str], p: Params) -> Iterator[tuple[int, list[list[str]]]]:
-    held, size, start = [], 0, 0
-    for i, t in enumerate(texts):
-        held.append(split_words(t))
+    starts, counts = (np.cumsum(counts) - counts)[order], counts[order]
+    out = np.zeros((blocks, vectors.shape[1]), vectors.dtype)
+    for low in range(0, int(np.count_nonzero(counts)), 256):
+        size, start = counts[low : low + 256], starts[low : low + 256]
+        part = np.zeros((len(size), vectors.shape[1]), vectors.dtype)
+        for k in range(int(size[0])):
+            have = int(np.searchsorted(-size, -k, side="left"))
+            part[:have] += vectors[term[start[:have] + k]]
+        out[order[low : low + 256]] = part
+    return out
+
+
+def _kind(terms: int) -> str:
+    """The bytes of a stored term number."""
+    return "<i2" if terms < 1 << 15 else "<i4"
+
+
+def numbers_of(column: Column, vocabulary: dict[str, int]) -> Column:
+    """The numbers of a text's words in the vocabulary, -1 for others, packed; null is an empty text."""
+    context = SparkSession.active().sparkContext
+    shared, kind = context.broadcast(vocabulary), _kind(len(vocabulary))
+
+    def number(texts: pd.Series) -> pd.Series:
+        get = shared.value.get
+        return pd.Series([np.fromiter(map(get, split_words(t or ""), repeat(-1)), kind).tobytes() for t in texts])
+
+    return F.pandas_udf(number, "binary")(column)
+
+
+def _grouped(packed: list[bytes], own: np.ndarray, p: Params) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """Runs of texts of about ``chunk_words`` words: where one starts and its texts' terms, numbered as in ``own``."""
+    kind, held, size, start = _kind(len(own) - 1), [], 0, 0
+    for i, value in enumerate(packed):
+        held.append(own[np.frombuffer(value, kind)])
         size += len(held[-1])
         if size >= p.chunk_words:
             yield start, held
@@ -187,28 +216,27 @@ def _grouped(texts: list[str], p: Params) -> Iterator[tuple[int, list[list[str]]
         yield start, held
 
 
-def term_counts(docs: DataFrame, terms: dict[str, int], p: Params) -> tuple[np.ndarray, int, int]:
-    """In how many passages of all documents each term stands; passages; documents."""
-    shared = docs.sparkSession.sparkContext.broadcast(terms)
+def term_counts(numbered: DataFrame, own: np.ndarray, terms: int, p: Params) -> tuple[np.ndarray, int, int]:
+    """In how many passages of all documents each of a block's terms stands; passages; documents."""
+    shared = numbered.sparkSession.sparkContext.broadcast(own)
     schema = pa.schema([("term", pa.int64()), ("n", pa.int64())])
     width = p.widths[-1]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms = shared.value
-        total, passages, texts = np.zeros(len(terms), np.int64), 0, 0
+        total, passages, texts = np.zeros(terms, np.int64), 0, 0
         for batch in batches:
             texts += batch.num_rows
-            for _, held in _grouped(texts_of(batch), p):
+            for _, held in _grouped(batch.column("terms").to_pylist(), shared.value, p):
                 # passages that do not overlap: whole runs of ``width`` blocks of each text
-                found = Passages.of(held, terms, p.step * width)
-                pairs = np.unique(found.block * len(terms) + found.term)
-                total += np.bincount(pairs % len(terms), minlength=len(terms))
+                found = Passages.numbered(held, p.step * width)
+                pairs = np.unique(found.block * terms + found.term)
+                total += np.bincount(pairs % terms, minlength=terms)
                 passages += len(found.doc)
         at = np.flatnonzero(total)
         yield rows(schema, term=[*at.tolist(), -1, -2], n=[*total[at].tolist(), passages, texts])
 
-    counted = docs.select("text").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
-    total, passages, texts = np.zeros(len(terms), np.int64), 0, 0
+    counted = numbered.select("terms").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
+    total, passages, texts = np.zeros(terms, np.int64), 0, 0
     for r in counted:
         if r.term >= 0:
             total[r.term] = r.n
@@ -219,45 +247,108 @@ def term_counts(docs: DataFrame, terms: dict[str, int], p: Params) -> tuple[np.n
     return total, passages, texts
 
 
-def weighted(found: Passages, idf: np.ndarray, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Products of the blocks' TF-IDF rows with ``vectors``, and the rows' lengths."""
+def lengthened(found: Passages, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Block, term and value of every entry of the blocks' TF-IDF rows, each row of length 1."""
     unique, tf = np.unique(found.block * len(idf) + found.term, return_counts=True)
-    squares = (tf * idf[unique % len(idf)]) ** 2
-    length = np.sqrt(np.bincount(unique // len(idf), weights=squares, minlength=len(found.doc)))
-    return found.sums(idf[:, None] * vectors), length
+    block, term = unique // len(idf), unique % len(idf)
+    value = tf * idf[term]
+    length = np.sqrt(np.bincount(block, weights=value**2, minlength=len(found.doc)))
+    return block, term, value / length[block]
 
 
-def latent_space(docs: DataFrame, own: list[list[str]], terms: dict[str, int], idf: np.ndarray, share: float, p: Params) -> np.ndarray:
-    """Leading right singular vectors (terms, rank) of the TF-IDF matrix of sampled and benchmark passages."""
+class Products:
+    """Sums over passages of the products of two terms' values, for first terms from ``low`` to ``high``.
+
+    The second term is not before the first.
+    """
+
+    def __init__(self, terms: int, low: int, high: int):
+        self.low, self.high = low, min(high, terms)
+        self.sums = np.zeros((self.high - low, terms - low))
+
+    def add(self, block: np.ndarray, term: np.ndarray, value: np.ndarray) -> None:
+        """Entries in the order of block and term."""
+        flat, wide = self.sums.reshape(-1), self.sums.shape[1]
+        at = np.flatnonzero((term >= self.low) & (term < self.high))
+        for k in range(len(block)):
+            at = at[: np.searchsorted(at, len(block) - k)]
+            at = at[block[at + k] == block[at]]
+            if not len(at):
+                break
+            np.add.at(flat, (term[at] - self.low) * wide + term[at + k] - self.low, value[at] * value[at + k])
+
+    def strips(self) -> Iterator[tuple[int, pa.Array]]:
+        """Rows of ``STRIP`` terms from their diagonal on, as one list, with their first term."""
+        for k in range(0, len(self.sums), STRIP):
+            part = self.sums[k : k + STRIP, k:]
+            if part.any():
+                yield self.low + k, pa.ListArray.from_arrays(pa.array([0, part.size], pa.int32()), pa.array(part.astype(np.float32).ravel()))
+
+
+#: Terms whose sums of products travel together.
+STRIP = 16
+
+
+def term_products(numbered: DataFrame, own: np.ndarray, idf: np.ndarray, p: Params) -> DataFrame:
+    """(first, part): strips of the ``Products`` of the normalised TF-IDF passages of all documents, stored.
+
+    A task holds sums of ``held_bytes``; for more terms the numbers are read several times.
+    """
+    shared = numbered.sparkSession.sparkContext.broadcast((own, idf))
+    schema = pa.schema([("first", pa.int64()), ("part", pa.list_(pa.float32()))])
+    size = max(STRIP, p.held_bytes // (8 * len(idf)) // STRIP * STRIP)
+
+    def of(low: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            own, idf = shared.value
+            sums = Products(len(idf), low, low + size)
+            for batch in batches:
+                for _, held in _grouped(batch.column("terms").to_pylist(), own, p):
+                    sums.add(*lengthened(Passages.numbered(held, p.step * p.widths[-1]), idf))
+            for first, part in sums.strips():
+                yield rows(schema, first=[first], part=part)
+
+        return numbered.select("terms").mapInArrow(run, "first long, part array<float>")
+
+    def add(key, table):
+        return table.iloc[:1][["first"]].assign(part=[np.sum(np.stack(table["part"].to_numpy()), axis=0, dtype=np.float64)])
+
+    found = reduce(DataFrame.unionByName, [of(low) for low in range(0, len(idf), size)])
+    return stored(found.groupBy("first").applyInPandas(add, "first long, part array<float>"), "contamination-products")
+
+
+def latent_space(products: DataFrame, pieces: list[list[str]], terms: dict[str, int], idf: np.ndarray, share: float, p: Params) -> np.ndarray:
+    """Leading right singular vectors (terms, rank) of the TF-IDF matrix of the passages of all documents and the pieces.
+
+    ``products`` are sums over all documents' passages; they weigh by ``share``.
+    """
     rank = min(p.rank + p.oversample, len(terms))
-    width, chunk = p.widths[-1], 256
-    context = docs.sparkSession.sparkContext
-    draw = F.pmod(F.xxhash64(F.lit(p.seed), "id", "text"), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    # few tasks hold the sample, whatever the table's partitions, so that few sums meet
-    chosen = docs.where(draw < share).select("text").repartition(p.fit_tasks)
-
-    def back(texts: list[list[str]], terms: dict, idf: np.ndarray, basis: np.ndarray) -> np.ndarray:
-        """A' A basis of these texts' normalised passages A."""
-        found = Passages.of(texts, terms, p.step * width)
-        product, length = weighted(found, idf, basis)
-        scaled = np.divide(product, length[:, None] ** 2, out=np.zeros_like(product), where=length[:, None] > 0)
+    chunk = 256
+    context = products.sparkSession.sparkContext
+    # few tasks multiply, so that few sums meet
+    dealt = products.repartition(p.fit_tasks)
+    block, term, value = lengthened(Passages.of(pieces, terms, max(map(len, pieces))), idf)
+    bounds = np.searchsorted(block, np.arange(len(pieces)))
+
+    def pieces_times(basis: np.ndarray) -> np.ndarray:
+        along = np.add.reduceat(value[:, None] * basis[term], bounds)
         out = np.zeros_like(basis)
-        if len(found.term):
-            order = np.argsort(found.term, kind="stable")
-            term = found.term[order]
-            at = np.flatnonzero(np.diff(term, prepend=-1))
-            out[term[at]] = np.add.reduceat(scaled[found.block[order]], at) * idf[term[at]][:, None]
+        np.add.at(out, term, value[:, None] * along[block])
         return out
 
     def summed(basis: np.ndarray) -> np.ndarray:
-        shared = context.broadcast((terms, idf, basis))
+        shared = context.broadcast(basis)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            terms, idf, basis = shared.value
+            basis = shared.value
             total = np.zeros_like(basis)
             for batch in batches:
-                for _, held in _grouped(texts_of(batch), p):
-                    total += back(held, terms, idf, basis)
+                for low, part in zip(batch.column("first").to_pylist(), batch.column("part")):
+                    upper = part.values.to_numpy().astype(np.float64).reshape(-1, len(basis) - low)
+                    total[low : low + len(upper)] += upper @ basis[low:]
+                    # what lies below the diagonal equals what lies above it
+                    np.fill_diagonal(upper, 0)
+                    total[low:] += upper.T @ basis[low : low + len(upper)]
             schema = pa.schema([("at", pa.int64()), ("part", pa.list_(pa.float64()))])
             for k in range(0, len(total), chunk):
                 if total[k : k + chunk].any():
@@ -266,12 +357,12 @@ def latent_space(docs: DataFrame, own: list[list[str]], terms: dict[str, int], i
         def add(key, table):
             return table.iloc[:1][["at"]].assign(part=[np.sum(np.stack(table["part"].to_numpy()), axis=0)])
 
-        # the benchmark's passages weigh as much as all sampled ones, so its directions lead
-        total = back(own, terms, idf, basis) * max(1.0, p.fit_docs / max(1, len(own)))
-        found = chosen.mapInArrow(run, "at long, part array<double>").groupBy("at").applyInPandas(add, "at long, part array<double>")
+        # the benchmark's pieces weigh as much as all documents, so its directions lead
+        total = pieces_times(basis) * max(1.0, p.fit_docs / len(pieces))
+        found = dealt.mapInArrow(run, "at long, part array<double>").groupBy("at").applyInPandas(add, "at long, part array<double>")
         for r in found.collect():
-            block = np.array(r.part).reshape(-1, basis.shape[1])
-            total[r.at : r.at + len(block)] += block
+            part = np.array(r.part).reshape(-1, basis.shape[1])
+            total[r.at : r.at + len(part)] += share * part
         return total
 
     rng = np.random.default_rng(p.seed)
@@ -363,6 +454,7 @@ class Space:
     weight: dict[str, float]
     idf: np.ndarray
     runs: Runs
+    own: np.ndarray
 
     @property
     def least(self) -> float:
@@ -371,22 +463,31 @@ class Space:
         return self.params.fair * lightest * (1 - 1e-6) - 1e-6
 
 
-def fit(docs: DataFrame, items: list[tuple[int, str]], p: Params) -> Space | None:
+def fit(numbered: DataFrame, vocabulary: dict[str, int], items: list[tuple[int, str]], p: Params) -> Space | None:
+    """The space of a block of items, fitted on all rows of ``numbered``, whose ``terms`` are numbers in the vocabulary."""
     found = pieces_of(items, p)
     if not found:
         return None
     terms = {w: i for i, w in enumerate(dict.fromkeys(w for x in found for w in x.words))}
-    df, passages, texts = term_counts(docs, terms, p)
+    # the last entry, which -1 finds, is that of other words
+    own = np.full(len(vocabulary) + 1, -1, np.int64)
+    own[[vocabulary[w] for w in terms]] = np.arange(len(terms))
+    df, passages, texts = term_counts(numbered, own, len(terms), p)
+    # common terms first, so that most sums of products and vectors lie together in memory
+    order = np.argsort(-df, kind="stable")
+    words = list(terms)
+    terms, df = {words[k]: i for i, k in enumerate(order.tolist())}, df[order]
+    own[[vocabulary[w] for w in terms]] = np.arange(len(terms))
     # squared, so that what nearly every passage holds counts for nearly nothing
     idf = np.log((passages + 2.0) / (df + 1.0)) ** 2 + 1e-3
-    own = [list(x.words) for x in found]
-    latent = latent_space(docs, own, terms, idf, min(1.0, p.fit_docs / max(1, texts)), p)
+    products = term_products(numbered, own, idf, p)
+    latent = latent_space(products, [list(x.words) for x in found], terms, idf, min(1.0, p.fit_docs / max(1, texts)), p)
     vectors = (idf[:, None] * latent).astype(np.float32)
     targets = np.stack([vectors[[terms[w] for w in x.words]].sum(0) for x in found])
     lengths = np.maximum(np.linalg.norm(targets, axis=1), 1e-12)
     targets /= lengths[:, None]
     weight = dict(zip(terms, idf.tolist()))
-    return Space(p, terms, vectors, found, targets.astype(np.float32), lengths.astype(np.float32), weight, idf, Runs.of(items, terms, p.run))
+    return Space(p, terms, vectors, found, targets.astype(np.float32), lengths.astype(np.float32), weight, idf, Runs.of(items, terms, p.run), own)
 
 
 def common_subsequence(words: tuple[str, ...], text: list[str]) -> int:
@@ -427,10 +528,13 @@ def candidates(space: Space, found: Passages) -> Iterator[tuple[int, int, int, i
     for width, at in starts.items():
         sums = joined[width]
         length = np.maximum(np.linalg.norm(sums, axis=1), 1e-12)
+        # no passage reaches farther along a piece than its own vector is long
+        far = np.flatnonzero(length >= p.held * space.lengths.min() * (1 - 1e-5))
+        at, sums, length = at[far], sums[far], length[far]
         for k in range(0, len(at), 4096):
             along = sums[k : k + 4096] @ space.targets.T
             # a passage that holds much of a piece reaches far along the piece's vector
-            a, b = np.nonzero(along >= p.held * space.lengths)
+            a, b = np.divmod(np.flatnonzero(along >= p.held * space.lengths), along.shape[1])
             cosine = along[a, b] / length[k + a]
             for row, piece, value in zip(*(x[cosine >= p.cosine].tolist() for x in (k + a, b, cosine))):
                 start = at[row]
@@ -439,9 +543,14 @@ def candidates(space: Space, found: Passages) -> Iterator[tuple[int, int, int, i
 
 def hits(space: Space, texts: list[list[str]]) -> dict[tuple[int, int], tuple]:
     """(text, item) to (cosine, common share, answer share, first word, end word) of what is contaminated."""
+    return hits_in(space, Passages.of(texts, space.terms, space.params.step), texts.__getitem__)
+
+
+def hits_in(space: Space, found: Passages, words_of: Callable[[int], list[str]]) -> dict[tuple[int, int], tuple]:
+    """As ``hits``; ``words_of`` gives the words of a text, asked for only where something is near."""
     p = space.params
     out: dict[tuple[int, int], tuple] = {}
-    found = Passages.of(texts, space.terms, p.step)
+    texts = Kept(words_of)
     for doc, piece, start, size, cosine in candidates(space, found):
         x = space.pieces[piece]
         low, high = max(0, start - p.step), start + size + p.step
@@ -466,6 +575,18 @@ def hits(space: Space, texts: list[list[str]]) -> dict[tuple[int, int], tuple]:
     return out
 
 
+class Kept(dict):
+    """Words of the texts asked for."""
+
+    def __init__(self, words_of: Callable[[int], list[str]]):
+        super().__init__()
+        self.words_of = words_of
+
+    def __missing__(self, doc: int) -> list[str]:
+        self[doc] = self.words_of(doc)
+        return self[doc]
+
+
 def excerpt(space: Space, text: list[str], words: np.ndarray, item: int, first: int, end: int) -> tuple:
     """The values of ``hits`` for the words ``first`` to ``end``, by the item's piece that has most of them."""
     sums = space.vectors[words[first:end]].sum(0)
@@ -486,11 +607,12 @@ def search(docs: DataFrame, space: Space) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         space = shared.value
         for batch in batches:
-            texts = texts_of(batch)
+            texts = batch.column("text")
             at, out = [], []
-            for first, held in _grouped(texts, space.params):
-                for (i, item), (share, cosine, answer, low, high) in sorted(hits(space, held).items()):
-                    spans = word_spans(texts[first + i])
+            for first, found in numbered_passages(batch.column("terms").to_pylist(), space):
+                got = hits_in(space, found, lambda i: split_words(texts[first + i].as_py() or ""))
+                for (i, item), (share, cosine, answer, low, high) in sorted(got.items()):
+                    spans = word_spans(texts[first + i].as_py())
                     at.append(first + i)
                     out.append((item, cosine, share, answer, spans[low][0], spans[high - 1][1]))
             columns = list(zip(*out)) or [[]] * len(names)
@@ -500,21 +622,44 @@ def search(docs: DataFrame, space: Space) -> DataFrame:
 
     kind = docs.schema["id"].dataType.simpleString()
     ddl = f"id {kind}, item_id long, cosine double, common_share double, answer_share double, span_start long, span_end long"
-    return docs.select("id", "text").mapInArrow(run, ddl)
+    return docs.select("id", "text", "terms").mapInArrow(run, ddl)
+
+
+def numbered_passages(packed: list[bytes], space: Space) -> Iterator[tuple[int, Passages]]:
+    """Runs of texts: where one starts, and its passages."""
+    for first, held in _grouped(packed, space.own, space.params):
+        yield first, Passages.numbered(held, space.params.step)
 
 
 def spaces(docs: DataFrame, benchmark: DataFrame, item_id: str, item_text: str, p: Params) -> list[Space]:
-    """The latent space of every block of the benchmark; ``docs`` has id and text."""
+    """The latent space of every block of the benchmark; ``docs`` has a text."""
+    return prepared(docs, "text", benchmark, item_id, item_text, p)[1]
+
+
+def prepared(docs: DataFrame, text: str, benchmark: DataFrame, item_id: str, item_text: str, p: Params) -> tuple[DataFrame, list[Space]]:
+    """``docs`` with their packed ``terms``, stored, and the latent space of every block of the benchmark.
+
+    The vocabulary, all distinct words of the benchmark, is numbered on the driver.
+    """
     items = (
         benchmark.select(F.col(item_id).cast("long").alias("item"), F.col(item_text).alias("text"))
         .where("item is not null and text is not null").distinct()
     )
     blocks = -(-items.count() // p.block_items)
-    found = []
+
+    def block(b: int) -> list[tuple[int, str]]:
+        return sorted((r.item, r.text) for r in items.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == b).collect())
+
+    vocabulary: dict[str, int] = {}
     for b in range(blocks):
-        own = items.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == b).collect()
-        found.append(fit(docs, sorted((r.item, r.text) for r in own), p))
-    return [x for x in found if x is not None]
+        for _, value in block(b):
+            for w in split_words(value):
+                vocabulary.setdefault(w, len(vocabulary))
+    if not vocabulary:
+        return docs, []
+    numbered = stored(docs.withColumn("terms", numbers_of(F.col(text), vocabulary)), "contamination-terms")
+    found = [fit(numbered, vocabulary, block(b), p) for b in range(blocks)]
+    return numbered, [x for x in found if x is not None]
 
 
 def contaminated(
@@ -537,7 +682,8 @@ def contaminated(
     left out, and an empty table gives an empty result.
     """
     taken = docs.select(F.col(doc_id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    found = [search(taken, x) for x in spaces(taken, benchmark, item_id, item_text, params or Params())]
+    numbered, every = prepared(taken, "text", benchmark, item_id, item_text, params or Params())
+    found = [search(numbered, x) for x in every]
     if not found:
         found = [taken.where(F.lit(False)).select(
             "id", F.lit(0).cast("long").alias("item_id"), *(F.lit(0.0).alias(c) for c in ("cosine", "common_share", "answer_share")),
@@ -554,17 +700,22 @@ def keep_clean(
     empty. Extra columns, whatever their names, and repeated rows stay; an empty table gives
     an empty one.
     """
-    taken = docs.select(F.col(doc_id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    for space in spaces(taken, benchmark, "item_id", "text", params or Params()):
-        docs = docs.where(~_holds_item(docs.sparkSession.sparkContext.broadcast(space))(F.col(text)))
-    return docs
+    place = next(i for i, c in enumerate(docs.columns) if c.lower() == text.lower())
+    plain = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
+    numbered, every = prepared(plain, f"c{place}", benchmark, "item_id", "text", params or Params())
+    if not every:
+        return docs
+    for space in every:
+        numbered = numbered.where(~_holds_item(docs.sparkSession.sparkContext.broadcast(space))(F.col(f"c{place}"), F.col("terms")))
+    return numbered.select(*plain.columns).toDF(*docs.columns)
 
 
 def _holds_item(shared):
-    def found(texts: pd.Series) -> pd.Series:
-        out = np.zeros(len(texts), bool)
-        for first, held in _grouped([t or "" for t in texts], shared.value.params):
-            out[[first + i for i, _ in hits(shared.value, held)]] = True
+    def found(texts: pd.Series, packed: pd.Series) -> pd.Series:
+        out, space = np.zeros(len(texts), bool), shared.value
+        for first, passages in numbered_passages(packed.tolist(), space):
+            got = hits_in(space, passages, lambda i: split_words(texts.iloc[first + i] or ""))
+            out[[first + i for i, _ in got]] = True
         return pd.Series(out)
 
     return F.pandas_udf(found, "boolean")

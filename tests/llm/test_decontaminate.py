@@ -84,3 +84,39 @@ def test_spans_lie_in_the_text_itself():
     assert len(spans) == len(dc.split_words(text))
     assert all(0 <= a < b <= len(text) for a, b in spans) and [text[a:b] for a, b in spans][-1] == "wοrd"
     assert dc.word_spans("Two words, Three") == [(0, 3), (4, 9), (11, 16)]
+
+
+def test_the_latent_space_is_fitted_on_all_documents(spark):
+    """Leading directions of all documents' passages, computed in one matrix; ``fit_docs`` is far below the table."""
+    rng = np.random.default_rng(4)
+    items = [(i, " ".join(f"w{k}" for k in rng.integers(0, 90, 30))) for i in range(6)]
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 120, rng.integers(0, 200))) for _ in range(300)]
+    p = dc.Params(rank=5, fit_docs=3, held_bytes=20_000)
+    numbered, (space,) = dc.prepared(
+        spark.createDataFrame([(t,) for t in texts], "text string").repartition(5), "text",
+        spark.createDataFrame(items, "item_id long, text string"), "item_id", "text", p,
+    )
+    assert numbered.count() == len(texts) and len(space.terms) * 8 * dc.STRIP < 20_000 < len(space.terms) ** 2 * 8
+
+    def matrix(passages):
+        out = np.zeros((len(passages), len(space.terms)))
+        for row, words in zip(out, passages):
+            for w in words:
+                if w in space.terms:
+                    row[space.terms[w]] += space.idf[space.terms[w]]
+        return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-300)
+
+    cut = [words[k : k + 64] for words in map(dc.split_words, texts) for k in range(0, len(words), 64)]
+    a, own = matrix(cut), matrix([x.words for x in space.pieces])
+    gram = a.T @ a
+    passes = list(dc.term_products(numbered, space.own, space.idf, p).toLocalIterator())
+    got = np.zeros_like(gram)
+    for r in passes:
+        part = np.array(r.part).reshape(-1, len(gram) - r.first)
+        got[r.first : r.first + len(part), r.first :] = part
+    assert np.allclose(got, np.triu(gram), atol=1e-4)
+    whole = own.T @ own + gram * 3 / len(texts)
+    # one round of the randomised method finds less than the best directions hold, and more than a sample's would
+    latent = space.vectors / space.idf[:, None]
+    best = np.sort(np.linalg.eigvalsh(whole))[::-1][:5].sum()
+    assert np.trace(latent.T @ whole @ latent) > 0.97 * best
