@@ -10,10 +10,9 @@ are softmaxes over all their targets, so the probabilities of all tokens sum to
 
 What is learnt covers all training texts. Word counts, and counts of class triples, at most
 ``classes ** 3`` numbers, are sums in Spark; from the triples the driver trains the classes.
-Word vectors are trained in the tasks that read the texts: each starts from the relative
-frequencies, learns from a share of its texts, drawn by a hash, and the tasks' vectors are
-averaged by the tokens they saw. Training so grows with the input, and no task or driver
-holds more than the vectors.
+Word vectors are trained in the tasks that read the texts for the triples: each starts from the
+relative frequencies, learns from all its texts, and the tasks' vectors are averaged by the tokens
+they saw. Training so grows with the input, and no task or driver holds more than the vectors.
 
 A scoring task knows the words above the threshold, ``1 / hot_share`` at most. Other words
 meet their counts in one join.
@@ -27,6 +26,7 @@ import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +43,7 @@ class Params:
     """``classes`` counts words of their own, ``rest`` classes, end and begin. ``hot_share``:
     words at least so common have vectors, ``1 / hot_share`` at most. ``dim``, ``steps``,
     ``batch``, ``noise``, ``rate``: size and training of the classes' model; ``word_...`` of the
-    words', which learn from the part ``learn`` of all training texts."""
+    words', which learn from the part ``learn`` of all training texts, by default from all."""
 
     classes: int = 128
     rest: int = 24
@@ -53,7 +53,7 @@ class Params:
     batch: int = 2048
     noise: int = 64
     rate: float = 0.15
-    learn: float = 0.15
+    learn: float = 1.0
     word_dim: int = 16
     word_noise: int = 8
     word_batch: int = 1024
@@ -100,7 +100,7 @@ class Classes:
     def of(self, found: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
         """Number and class of every word, and the words without a number."""
         get = self.number.get
-        number = np.array([get(w, -1) for w in found], np.int64)
+        number = np.fromiter(map(get, found, repeat(-1)), np.int64, len(found))
         unknown = number < 0
         others = [w for w, u in zip(found, unknown.tolist()) if u]
         found_class = self.own[number]
@@ -137,30 +137,6 @@ def word_counts(texts: DataFrame, params: Params) -> DataFrame:
     return texts.mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def triple_counts(texts: DataFrame, top: list[bytes], params: Params) -> DataFrame:
-    """(code, n) over all texts."""
-    schema = pa.schema([("code", pa.int64()), ("n", pa.int64())])
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        classes = Classes(top, params)
-        total = np.zeros(params.classes**3, np.int64)
-        for batch in batches:
-            held: list[np.ndarray] = []
-            size = 0
-            for value in batch.column("text"):
-                held.append(classes.of(lowered_words(value.as_py()))[1])
-                size += len(held[-1])
-                if size > 500_000:
-                    total += np.bincount(triples(held, params)[0], minlength=len(total))
-                    held, size = [], 0
-            if held:
-                total += np.bincount(triples(held, params)[0], minlength=len(total))
-        code = np.flatnonzero(total)
-        yield rows(schema, code=code, n=total[code])
-
-    return texts.mapInArrow(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
-
-
 class WordModel:
     """Words within the classes of the rest.
 
@@ -215,52 +191,75 @@ class WordModel:
         return self.context[first] * self.position[0] + self.context[last] * self.position[1]
 
     def log10(self, first: np.ndarray, last: np.ndarray, target: np.ndarray) -> np.ndarray:
-        """Normalised log10 probabilities of targets within their classes."""
-        out = np.zeros(len(target))
-        order = np.argsort(self.kind[target], kind="stable")
+        """Normalised log10 probabilities of targets within their classes; equal contexts are normalised once."""
+        mine = np.einsum("bd,bd->b", self.target[target], self.predicted(first, last)) + self.bias[target]
+        whole = np.zeros(len(target))
+        order = np.argsort(self.kind[target].astype(np.int16), kind="stable")
         ends = np.searchsorted(self.kind[target][order], np.arange(self.params.rest + 1))
         for e in range(self.params.rest):
             own = self.members[self.bounds[e] : self.bounds[e + 1]]
             vectors, bias = self.target[own].T, self.bias[own]
-            for k in range(int(ends[e]), int(ends[e + 1]), 8192):
-                at = order[k : min(k + 8192, int(ends[e + 1]))]
-                scores = self.predicted(first[at], last[at]) @ vectors + bias
-                scores -= scores.max(1, keepdims=True)
-                mine = scores[np.arange(len(at)), self.local[target[at]]]
-                out[at] = (mine - np.log(np.exp(scores).sum(1))) / math.log(10)
-        return out
+            at = order[ends[e] : ends[e + 1]]
+            context, place = np.unique(first[at] * (self.begin + 1) + last[at], return_inverse=True)
+            total = np.zeros(len(context))
+            for k in range(0, len(context), 8192):
+                before, after = np.divmod(context[k : k + 8192], self.begin + 1)
+                scores = self.predicted(before, after) @ vectors + bias
+                top = scores.max(1)
+                total[k : k + 8192] = top + np.log(np.exp(scores - top[:, None]).sum(1))
+            whole[at] = total[place]
+        return (mine - whole) / math.log(10)
 
     def learn(self, first: np.ndarray, last: np.ndarray, target: np.ndarray, squares: list[np.ndarray], rng: np.random.Generator) -> None:
-        """One step of NCE: each target against words drawn from its own class by frequency; Adagrad on what was met."""
-        k, dim = self.params.word_noise, self.params.word_dim
-        drawn = self.kind[target][:, None] + rng.random((len(target), k))
-        found = np.minimum(np.searchsorted(self.upto, drawn, "right"), self.bounds[self.kind[target] + 1][:, None] - 1)
-        every = np.concatenate([target[:, None], self.members[found]], 1)
+        """One step of NCE; Adagrad on what was met.
+
+        Each target meets words drawn from its own class by frequency; the targets of one class in a step
+        share their draws, so that all products are those of three matrices.
+        """
+        k, rest = self.params.word_noise, self.params.rest
+        kind, at = self.kind[target], np.arange(len(target))
+        drawn = np.arange(rest)[:, None] + rng.random((rest, k))
+        found = np.minimum(np.searchsorted(self.upto, drawn, "right"), self.bounds[1:, None] - 1)
+        noise = self.members[found].ravel()
         r1, r2 = self.context[first], self.context[last]
         q = r1 * self.position[0] + r2 * self.position[1]
-        vectors = self.target[every]
+        vectors, others = self.target[target], self.target[noise]
         # frequencies are the noise and the bias, so they cancel
-        pull = sigmoid(np.einsum("bkd,bd->bk", vectors, q) - np.float32(math.log(k)))
-        pull[:, 0] -= 1
-        back = np.einsum("bk,bkd->bd", pull, vectors)
+        shift = np.float32(math.log(k))
+        good = sigmoid(np.einsum("bd,bd->b", vectors, q) - shift) - 1
+        bad = np.zeros((len(target), rest, k), np.float32)
+        bad[at, kind] = sigmoid((q @ others.T).reshape(bad.shape)[at, kind] - shift)
+        bad = bad.reshape(len(target), -1)
+        back = good[:, None] * vectors + bad @ others
         steps = (
-            (self.target, every.ravel(), (pull[:, :, None] * q[:, None, :]).reshape(-1, dim), squares[0]),
+            (self.target, np.concatenate([target, noise]), np.concatenate([good[:, None] * q, bad.T @ q]), squares[0]),
             (self.context, np.concatenate([first, last]), np.concatenate([back * self.position[0], back * self.position[1]]), squares[1]),
-            (self.position, np.repeat([0, 1], len(first)), np.concatenate([back * r1, back * r2]), squares[2]),
         )
-        for values, at, gradient, square in steps:
-            met, place = np.unique(at, return_inverse=True)
-            g = np.zeros((len(met), dim), np.float32)
-            np.add.at(g, place, gradient.astype(np.float32))
-            square[met] += g * g
-            values[met] -= np.float32(self.params.word_rate) * g / np.sqrt(square[met])
+        position = np.stack([(back * r1).sum(0), (back * r2).sum(0)])
+        for values, met, gradient, square in steps:
+            # numbers that fit are sorted digit by digit
+            met = met.astype(np.int16) if len(values) < 1 << 15 else met
+            order = np.argsort(met, kind="stable")
+            met = met[order]
+            start = np.flatnonzero(np.diff(met, prepend=-1))
+            self._step(values, met[start], np.add.reduceat(gradient[order], start), square)
+        self._step(self.position, np.arange(2), position, squares[2])
+
+    def _step(self, values: np.ndarray, met: np.ndarray, gradient: np.ndarray, square: np.ndarray) -> None:
+        square[met] += gradient * gradient
+        values[met] -= np.float32(self.params.word_rate) * gradient / np.sqrt(square[met])
 
     def parts(self) -> list[np.ndarray]:
         return [self.target, self.context, self.position]
 
 
 def trained_words(texts: DataFrame, known: list[bytes], words: WordModel, params: Params) -> WordModel:
-    """The word vectors after one pass over a share of the texts, averaged over the tasks that read them."""
+    """The word vectors after one pass over the texts, averaged over the tasks that read them."""
+    return learnt(texts, known, words, params)[2]
+
+
+def learnt(texts: DataFrame, known: list[bytes], words: WordModel, params: Params) -> tuple[np.ndarray, np.ndarray, WordModel]:
+    """Codes of the class triples of all texts, their counts, and the trained word vectors, in one pass."""
     shared = texts.sparkSession.sparkContext.broadcast((known, words))
     chunk = 4096
     schema = pa.schema([("at", pa.int64()), ("n", pa.float64()), ("part", pa.list_(pa.float64()))])
@@ -270,22 +269,29 @@ def trained_words(texts: DataFrame, known: list[bytes], words: WordModel, params
         words = copy.deepcopy(words)
         classes, rng = Classes(known, params), np.random.default_rng(params.seed + 3)
         squares = [np.full_like(x, 0.1) for x in words.parts()]
-        seen = 0
+        total, seen = np.zeros(params.classes**3, np.int64), 0
         for batch in batches:
             held, size, last = [], 0, batch.num_rows - 1
-            for i, value in enumerate(batch.column("text")):
+            for i, (value, learns) in enumerate(zip(batch.column("text"), batch.column("learns").to_pylist())):
                 number, found_class, _ = classes.of(lowered_words(value.as_py()))
-                held.append(words.tokens(number, found_class))
+                held.append((found_class, words.tokens(number, found_class), learns))
                 size += len(number)
                 if size < 200_000 and i < last:
                     continue
-                first, before, target, _ = words.examples(held)
+                code = triples([c for c, _, _ in held], params)[0]
+                total += np.bincount(code, minlength=len(total))
+                first, before, target, _ = words.examples([t for _, t, learns in held if learns])
                 order = rng.permutation(len(target))
                 for k in range(0, len(order), params.word_batch):
                     at = order[k : k + params.word_batch]
                     words.learn(first[at], before[at], target[at], squares, rng)
                 seen += len(target)
                 held, size = [], 0
+        # counts have places below 0
+        code = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(-1 - code), pa.array(total[code].astype(np.float64)), pa.nulls(len(code), schema.field("part").type)], schema=schema
+        )
         if seen:
             flat = np.concatenate([x.ravel() for x in words.parts()]).astype(np.float64) * seen
             for k in range(0, len(flat), chunk):
@@ -295,15 +301,16 @@ def trained_words(texts: DataFrame, known: list[bytes], words: WordModel, params
         total = np.sum(np.stack(table["part"].to_numpy()), axis=0) / table["n"].sum()
         return table.iloc[:1][["at"]].assign(part=[total])
 
-    share = F.pmod(F.xxhash64(F.lit(params.seed), "text"), F.lit(1 << 20)) < int(params.learn * (1 << 20))
-    found = texts.where(share).mapInArrow(run, "at long, n double, part array<double>")
+    learns = F.pmod(F.xxhash64(F.lit(params.seed), "text"), F.lit(1 << 20)) < int(params.learn * (1 << 20))
+    found = stored(texts.select("text", learns.alias("learns")).mapInArrow(run, "at long, n double, part array<double>"), "lm-learnt")
+    counted = found.where("at < 0").groupBy((-1 - F.col("at")).alias("code")).agg(F.sum("n").alias("n")).toPandas()
     flat = np.concatenate([x.ravel() for x in words.parts()])
-    for r in found.groupBy("at").applyInPandas(add, "at long, part array<double>").collect():
+    for r in found.where("at >= 0").groupBy("at").applyInPandas(add, "at long, part array<double>").collect():
         flat[r.at : r.at + len(r.part)] = r.part
     words = copy.deepcopy(words)
     for x in words.parts():
         x[:], flat = flat[: x.size].reshape(x.shape), flat[x.size :]
-    return words
+    return counted["code"].to_numpy(np.int64), counted["n"].to_numpy(np.float64), words
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -390,15 +397,13 @@ def train(texts: DataFrame, params: Params) -> tuple[Model, DataFrame]:
     mass = np.full(params.classes, SMOOTH)
     for r in others.groupBy(ending.cast("int").alias("e")).agg(F.sum(F.col("n") + SMOOTH).alias("m")).collect():
         mass[params.own + r.e] += r.m
-    found = triple_counts(texts, top, params).toPandas()
-    codes, n = found["code"].to_numpy(np.int64), found["n"].to_numpy(np.float64)
-    frequency = np.bincount(codes % params.classes, weights=n, minlength=params.classes) + 1e-3
-    frequency /= frequency.sum()
     classes = Classes(list(hot), params).own[:-1]
     smoothed = np.array(list(hot.values())) + SMOOTH
     held = np.bincount(classes, smoothed, params.classes) if len(classes) else np.zeros(params.classes)
     rest_mass = np.maximum(mass - held, SMOOTH)[params.own : params.own + params.rest]
-    words = trained_words(texts, list(hot), WordModel(classes, smoothed, rest_mass, params), params)
+    codes, n, words = learnt(texts, list(hot), WordModel(classes, smoothed, rest_mass, params), params)
+    frequency = np.bincount(codes % params.classes, weights=n, minlength=params.classes) + 1e-3
+    frequency /= frequency.sum()
     model = LogBilinear(params, frequency)
     if len(codes):
         model.train(codes, n, frequency, params)

@@ -111,3 +111,28 @@ def test_a_step_draws_from_the_target_s_class_only():
         words.learn(target * 0, target * 0 + 1, target, [np.full_like(x, 0.1) for x in words.parts()], rng)
     changed = np.flatnonzero((words.target != before).any(1))
     assert set(words.kind[changed].tolist()) == {2} and len(changed) == len(target)
+
+
+def test_all_texts_are_learnt_from(spark):
+    """Each text alone has a word; by default every such word's vector is changed, and every text's triples count."""
+    params = lm.Params(classes=12, rest=3, hot_share=1e-4, steps=20, word_dim=4, word_noise=1)
+    texts = [f"the of word{i:03d} paring taking the of" for i in range(200)]
+    known = [b"the", b"of", *(b"x%d" % i for i in range(5)), b"paring", b"taking", *(b"word%03d" % i for i in range(200))]
+    classes = lm.Classes(known, params).own[:-1]
+    before = lm.WordModel(classes, np.ones(len(known)), np.ones(params.rest), params)
+    frame = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    codes, n, after = lm.learnt(frame, known, before, params)
+    assert n.sum() == 8 * len(texts) and len(codes) == len(set(codes.tolist()))
+    assert (after.target[9 : len(known)] != before.target[9 : len(known)]).any(1).all()
+
+
+def test_equal_contexts_are_normalised_alike():
+    rng = np.random.default_rng(2)
+    classes = np.array([*range(P.own), *rng.integers(P.own, P.own + P.rest, 40)])
+    words = lm.WordModel(classes, rng.random(len(classes)) + 0.5, np.ones(P.rest), P)
+    words.target[:] = rng.normal(size=words.target.shape)
+    first, last = rng.integers(0, 3, 400), rng.integers(0, words.begin + 1, 400)
+    target = rng.choice(words.members, 400)
+    together = words.log10(first, last, target)
+    alone = [float(words.log10(first[k : k + 1], last[k : k + 1], target[k : k + 1])[0]) for k in range(400)]
+    assert np.allclose(together, alone, atol=1e-5)
