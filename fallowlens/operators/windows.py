@@ -17,10 +17,9 @@ def curve_cell(x: Column, y: Column, cell: float) -> Column:
     """
 
     def spread(v: Column) -> Column:
+        # binary digits read as those of base 4; the argument stands here once, so expressions stay small
         v = (cell_of(v, cell) + F.lit(1 << 30)).bitwiseAND(F.lit((1 << 31) - 1))
-        for shift, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555)):
-            v = v.bitwiseOR(F.shiftleft(v, shift)).bitwiseAND(F.lit(mask))
-        return v
+        return F.conv(F.bin(v), 4, 10).cast("bigint")
 
     return spread(x).bitwiseOR(F.shiftleft(spread(y), 1))
 
