@@ -188,28 +188,39 @@ def table_profile(df: DataFrame, approximate: bool = True) -> DataFrame:
     return wide.select(F.inline(rows))
 
 
-def exact_profile(df: DataFrame) -> DataFrame:
+def exact_profile(df: DataFrame, most: int = 100_000) -> DataFrame:
     """``column, distinct, median`` of every column, exactly.
 
     Values are counted before anything is gathered, so that each task holds a part of
-    the distinct values. Medians are those of the numbers.
+    the distinct values. Medians are those of the numbers: of columns with up to ``most``
+    distinct values they come from the counts, of others from ``grouped_quantiles``, which
+    reads those columns alone. The numbers of distinct values, one a column, are taken first.
     """
     numeric = lambda f: isinstance(f.dataType, T.NumericType)
-    cells = F.array(*[
-        F.struct(
-            F.lit(f.name).alias("column"),
-            F.col(f"`{f.name}`").cast("string").alias("text"),
-            (F.col(f"`{f.name}`") if numeric(f) else F.lit(None)).cast("double").alias("number"),
-        )
-        for f in df.schema
-    ])
-    values = df.select(F.inline(cells))
-    distinct = (
-        values.groupBy("column", "text").agg(F.count("*").alias("n"))
-        .groupBy("column").agg(F.count("text").alias("distinct"))
-    )
-    medians = grouped_quantiles(values, ["column"], {"number": {"median": 0.5}})
-    return distinct.join(medians, "column")
+
+    def values_of(fields: list[T.StructField]) -> DataFrame:
+        return df.select(F.inline(F.array(*[
+            F.struct(
+                F.lit(f.name).alias("column"),
+                F.col(f"`{f.name}`").cast("string").alias("text"),
+                (F.col(f"`{f.name}`") if numeric(f) else F.lit(None)).cast("double").alias("number"),
+            )
+            for f in fields
+        ])))
+
+    counted = values_of(list(df.schema)).groupBy("column", "text", "number").agg(F.count("*").alias("n"))
+    distinct = counted.groupBy("column").agg(F.count("text").alias("distinct"))
+    found = [(r["column"], r["distinct"]) for r in distinct.collect()]
+    facts = df.sparkSession.createDataFrame(found, "column string, distinct long")
+    large = [f for f in df.schema if numeric(f) and dict(found).get(f.name, 0) > most]
+    small = [f for f in df.schema if f not in large]
+    medians = []
+    if small:
+        own = values_of(small).groupBy("column", "text", "number").agg(F.count("*").alias("n"))
+        medians.append(own.groupBy("column").agg(F.expr("percentile(number, 0.5, n)").alias("median")))
+    if large:
+        medians.append(grouped_quantiles(values_of(large), ["column"], {"number": {"median": 0.5}}))
+    return facts.join(reduce(DataFrame.unionByName, medians), "column")
 
 
 def top_values(df: DataFrame, column: str, k: int) -> DataFrame:

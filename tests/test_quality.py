@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import statistics
 
 import pytest
 
@@ -63,3 +64,15 @@ def test_profile(spark):
     assert got["v"]["n_rows"] == 3 and got["v"]["std"] == pytest.approx(2**0.5)
     assert [tuple(r) for r in q.top_values(df, "a", 1).collect()] == [(3, 2)]
     assert [tuple(r) for r in q.duplicate_keys(df, "a").collect()] == [(3, 2)]
+
+
+def test_medians_of_few_and_of_many_distinct_values(spark):
+    """Columns with few values take their median from counts, others from ranked brackets; both are exact."""
+    rows = [(i % 7, None if i % 5 == 0 else i * 0.5, "ab"[i % 2], None) for i in range(501)]
+    df = spark.createDataFrame(rows, "few long, many double, name string, none double").repartition(4)
+    profile = q.exact_profile(df, most=50)
+    assert "percentile(number" in profile._jdf.queryExecution().toString()
+    got = {r["column"]: (r["distinct"], r["median"]) for r in profile.collect()}
+    middle = lambda c: statistics.median(v[c] for v in rows if v[c] is not None)
+    assert got == {"few": (7, middle(0)), "many": (400, middle(1)), "name": (2, None), "none": (0, None)}
+    assert {r["column"]: (r["distinct"], r["median"]) for r in q.exact_profile(df).collect()} == got
