@@ -146,29 +146,35 @@ def explode_pixels(
     give the pixels of their lines.
     """
     plane = F.col("width") * F.col("height")
-    zipped = []
-    for i, b in enumerate(bands):
-        if by_name:
-            at = F.array_position("bands", b) - 1
-            values = F.when(at >= 0, F.slice("data", F.greatest(at, F.lit(0)).cast("int") * plane + 1, plane))
-            values = F.coalesce(values, F.array().cast("array<float>"))
-        else:
-            values = F.slice("data", i * plane + 1, plane)
-        zipped.append(values.alias(b))
+    if by_name:
+        starts = [(F.array_position("bands", b) - 1).cast("int") * plane for b in bands]
+        starts = [F.when(at >= 0, at) for at in starts]
+    else:
+        starts = [i * plane for i in range(len(bands))]
     striped = "row0" in tiles.columns
     kept = [c for c in tiles.columns if c not in ("data", "bands", "width", "height", "transform", "row0")]
-    cells = F.arrays_zip(*zipped)
-    if marked:
-        cells = F.when(raster_whole(), cells).otherwise(F.array(F.lit(None)))
     first = ["row0"] if striped else []
-    flat = tiles.select(*kept, *first, "width", "transform", F.posexplode(cells).alias("_pos", "_px"))
+    # as many places as the longest band has values
+    ends = [F.least(F.size("data") - F.coalesce(at, F.size("data")), plane) for at in starts]
+    longest = F.when(F.col("data").isNotNull(), F.greatest(*ends, F.lit(0)))
+    places = F.when(longest > 0, F.sequence(F.lit(0), longest - 1))
+    if marked:
+        places = F.when(raster_whole(), places).otherwise(F.array(F.lit(None).cast("int")))
+    held = tiles.select(
+        *kept, *first, "width", "transform", "data", plane.alias("_plane"),
+        *[at.alias(f"_at{i}") for i, at in enumerate(starts)], F.explode(places).alias("_pos"),
+    )
+    # read from the raster in the stage that lists the places, without a copy of a band
+    value = lambda i: F.when(F.col("_pos") < F.col("_plane"), F.get("data", F.col(f"_at{i}") + F.col("_pos")))
+    flat = held.select(
+        *kept, *first, "width", "transform", "_pos", *[value(i).alias(f"_px{i}") for i in range(len(bands))]
+    )
     row = F.floor(F.col("_pos") / F.col("width")).cast("int")
     if striped:
         row = row + F.col("row0")
     col = (F.col("_pos") % F.col("width")).cast("int")
-    if marked:
-        row, col = (F.when(F.col("_px").isNotNull(), c) for c in (row, col))
-    placed = flat.select(*kept, "transform", row.alias("row"), col.alias("col"), "_px")
+    values = [f"_px{i}" for i in range(len(bands))]
+    placed = flat.select(*kept, "transform", row.alias("row"), col.alias("col"), *values)
     x, y = pixel_centre(F.col("transform"), F.col("row"), F.col("col"))
     return placed.select(
         *kept,
@@ -176,7 +182,7 @@ def explode_pixels(
         "col",
         x.alias("x"),
         y.alias("y"),
-        *[nan_to_null(F.col("_px")[b]).alias(b) for b in bands],
+        *[nan_to_null(F.col(f"_px{i}")).alias(b) for i, b in enumerate(bands)],
     )
 
 

@@ -2,13 +2,16 @@ import datetime as dt
 import json
 import struct
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fallowlens.operators import grids
 from fallowlens.operators import tiles as t
-from fallowlens.schemas import STACKED_TILES, TILES
+from fallowlens.operators.scenes import last_of_day
+from fallowlens.schemas import BANDS, STACKED_TILES, TILES
+from fallowlens.sources import derived
 from fallowlens.sources.rasters import attach_seeds, discover, first_file, read_rasters
 
 T0 = [10.0, 0.0, 500000.0, 0.0, -10.0, 4970000.0]
@@ -235,3 +238,52 @@ def test_tile_plan_orders_scenes_and_sets_mixed_shapes_apart(spark):
     got = run.features.collect()
     assert [(r["seed_id"], r["n_pixels"], r["mean_n_obs_baresoil"]) for r in got] == [("a", 1, 1.0)]
     assert [(r["seed_id"], r["error"]) for r in run.errors.collect()] == [("b", "shape mismatch")]
+
+
+def test_rasters_are_built_and_read_without_copies_of_bands(spark):
+    sf = "/root/testdata/sf0.001"
+    for df in (
+        t.explode_pixels(derived.tiles(spark, sf), BANDS),
+        t.explode_pixels(derived.tiles(spark, sf), BANDS, by_name=True, marked=True),
+        t.explode_pixels(t.unstack_dates(derived.stacked_tiles(spark, sf), BANDS), BANDS),
+    ):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "arrays_zip" not in plan and "map_from_entries" not in plan
+        # seeds are joined, and dates gathered, while a group still is a list of cells
+        assert plan.index("ArrowEvalPython") < plan.index("Join") < plan.index("Exchange")
+
+
+@pytest.mark.parametrize("size", [(10, 10), (13, 11)])
+def test_derived_rasters_hold_each_pixel_at_its_place(spark, monkeypatch, size):
+    monkeypatch.setattr(derived, "CELLS_AT_ONCE", 7)
+    sf, (width, height) = "/root/testdata/sf0.001", size
+    wanted = {}
+    for r in last_of_day(derived.scene_obs(spark, sf)).collect():
+        raster = wanted.setdefault((r["seed_id"], r["acq_date"]), np.zeros((6, height, width), np.float32))
+        raster[:, r["row"], r["col"]] = [r[b] for b in BANDS]
+    tiles = derived.tiles(spark, sf, size).collect()
+    assert len(tiles) == len(wanted)
+    for r in tiles:
+        assert np.array_equal(np.float32(r["data"]), wanted[r["seed_id"], r["date"]].reshape(-1))
+    stacked = derived.stacked_tiles(spark, sf, size).collect()
+    assert {r["seed_id"] for r in stacked} == {s for s, _ in wanted}
+    for r in stacked:
+        days = sorted(d for s, d in wanted if s == r["seed_id"])
+        assert json.loads(json.loads(r["userdata"])["acquisition_dates"]) == [f"{d}T10:00:00Z" for d in days]
+        assert np.array_equal(np.float32(r["data"]), np.concatenate([wanted[r["seed_id"], d].reshape(-1) for d in days]))
+
+
+def test_short_arrays_and_empty_planes_explode_as_far_as_they_go(spark):
+    day = dt.date(2024, 6, 1)
+    df = tile(spark, [
+        ("short", day, 2, 2, T0, ["B04", "B08"], [1.0, 2.0, 3.0, 4.0, 5.0]),
+        ("first", day, 2, 2, T0, ["B04", "B08"], [1.0]),
+        ("empty", day, 0, 2, T0, ["B04", "B08"], []),
+        ("none", day, 2, 2, T0, ["B04", "B08"], None),
+    ])
+    by_place = [(r["seed_id"], r["B04"], r["B08"]) for r in t.explode_pixels(df, ["B04", "B08"]).orderBy("seed_id", "row", "col").collect()]
+    assert by_place == [("first", 1.0, None), ("short", 1.0, 5.0), ("short", 2.0, None), ("short", 3.0, None), ("short", 4.0, None)]
+    by_name = t.explode_pixels(df, ["B08", "B12"], by_name=True).collect()
+    assert [(r["seed_id"], r["row"], r["col"], r["B08"], r["B12"]) for r in by_name] == [("short", 0, 0, 5.0, None)]
+    marked = t.explode_pixels(df, ["B04"], marked=True).collect()
+    assert sorted((r["seed_id"], r["row"], r["B04"]) for r in marked) == [("first", None, None), ("none", None, None), ("short", None, None)]
