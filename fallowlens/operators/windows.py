@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -63,14 +65,17 @@ def dealt_window_join(obs: DataFrame, windows: DataFrame, cell: float, most: int
     return placed.hint("merge").join(cells, [*key, "_part"]).filter(box).select("seed_id", *kept)
 
 
-def window_join(obs: DataFrame, windows: DataFrame, cell: float, zone: str | None = None) -> DataFrame:
+def window_join(
+    obs: DataFrame, windows: DataFrame, cell: float, zone: str | None = None, carried: Sequence[str] = ()
+) -> DataFrame:
     """Observations (``x, y``) inside each window (``minx..maxy``), half-open.
 
     An equi-join on grid cells replaces the nested-loop join a range condition
     alone would get. With ``cell`` near the window size a window covers at most
     four cells. A cell that draws much of the data is split by Spark's skew-join
     handling, since both sides are shuffled on the cell. ``zone`` names a column of both
-    sides, their coordinate system, which then is a part of the cell.
+    sides, their coordinate system, which then is a part of the cell. ``carried`` names further
+    columns of the windows, which come beside each observation.
     """
     zones = [] if zone is None else [zone]
     edges = ["minx", "miny", "maxx", "maxy"]
@@ -79,7 +84,7 @@ def window_join(obs: DataFrame, windows: DataFrame, cell: float, zone: str | Non
     def covered(lo: str, hi: str):
         return F.explode(F.sequence(cell_of(F.col(lo), cell), cell_of(F.col(hi), cell)))
 
-    cells = windows.select("seed_id", *edges, *zones, covered("minx", "maxx").alias("_cx")).select(
+    cells = windows.select("seed_id", *edges, *zones, *carried, covered("minx", "maxx").alias("_cx")).select(
         "*", covered("miny", "maxy").alias("_cy")
     )
     placed = obs.select(
@@ -88,4 +93,4 @@ def window_join(obs: DataFrame, windows: DataFrame, cell: float, zone: str | Non
         cell_of(F.col("y"), cell).alias("_cy"),
     )
     box = in_box(F.col("x"), F.col("y"), *[F.col(e) for e in edges])
-    return placed.join(cells, [*zones, "_cx", "_cy"]).filter(box).select("seed_id", *kept)
+    return placed.join(cells, [*zones, "_cx", "_cy"]).filter(box).select("seed_id", *kept, *carried)

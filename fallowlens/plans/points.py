@@ -21,13 +21,18 @@ from fallowlens.plans.batch import SeedRun, seed_features
 from fallowlens.schemas import Params
 
 
-def on_window_grid(cut: DataFrame, windows: DataFrame, src_res: float, dst_res: float) -> DataFrame:
+EDGES = ("minx", "miny", "maxx", "maxy")
+
+
+def on_window_grid(cut: DataFrame, src_res: float, dst_res: float) -> DataFrame:
     """Source pixels (centre ``x, y``) as ``row, col`` of their window's grid.
 
+    ``_window`` holds the edges of the window, so that no pixel is moved to look them up.
+
     A target pixel takes the source pixel that holds its centre. Each source row
     generates its own target pixels; what lies outside the window is not generated.
     """
-    placed = cut.join(windows.select("seed_id", "minx", "miny", "maxx", "maxy"), "seed_id")
+    minx, miny, maxx, maxy = (F.col(f"_window.{e}") for e in EDGES)
 
     def targets(offset: Column, extent: Column) -> Column:
         near, far = offset - src_res / 2, offset + src_res / 2
@@ -35,10 +40,10 @@ def on_window_grid(cut: DataFrame, windows: DataFrame, src_res: float, dst_res:
         hi = F.least(F.ceil(far / dst_res - 0.5), F.round(extent / dst_res)).cast("int") - 1
         return F.when(lo <= hi, F.sequence(lo, F.greatest(lo, hi)))
 
-    rows = targets(F.col("maxy") - F.col("y"), F.col("maxy") - F.col("miny"))
-    cols = targets(F.col("x") - F.col("minx"), F.col("maxx") - F.col("minx"))
-    kept = [c for c in cut.columns if c not in ("row", "col", "x", "y")]
-    return placed.select(*kept, cols.alias("_cols"), F.explode(rows).alias("row")).select(
+    rows = targets(maxy - F.col("y"), maxy - miny)
+    cols = targets(F.col("x") - minx, maxx - minx)
+    kept = [c for c in cut.columns if c not in ("row", "col", "x", "y", "_window")]
+    return cut.select(*kept, cols.alias("_cols"), F.explode(rows).alias("row")).select(
         *kept, "row", F.explode("_cols").alias("col")
     )
 
@@ -47,14 +52,16 @@ def _cut(chosen: DataFrame, edges: DataFrame, window_m: float, src_res: float, d
     """Pixels of one resolution on the grids of the windows they reach into."""
     half = src_res / 2
     # source pixels whose area reaches into the window, also where their centre does not
-    wider = edges.select(
+    wider = edges.filter(F.col("seed_id").isNotNull()).select(
         "seed_id",
         (F.col("minx") - half).alias("minx"),
         (F.col("miny") - half).alias("miny"),
         (F.col("maxx") + half).alias("maxx"),
         (F.col("maxy") + half).alias("maxy"),
+        F.struct(*EDGES).alias("_window"),
     )
-    return on_window_grid(window_join(chosen, wider, max(window_m, src_res)), edges, src_res, dst_res)
+    cut = window_join(chosen, wider, max(window_m, src_res), carried=["_window"])
+    return on_window_grid(cut, src_res, dst_res)
 
 
 def _with_transform(windows: DataFrame, dst_res: float) -> DataFrame:

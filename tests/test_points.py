@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from fallowlens.functions import geo
 from fallowlens.functions.naming import mosaic_name, point_name
 from fallowlens.operators.windows import window_join
+from fallowlens.plans import points
 from fallowlens.schemas import Params
 from fallowlens.sources.tables import number_rows, read_seeds, with_seed_ids
 from fallowlens.streaming.incremental import merge_runs, skip_done, with_work_key
@@ -145,3 +146,12 @@ def test_windows_in_zones_and_resolutions(spark):
         assert r["B11"] == (100 + 2 * (r["row"] // 2) if r["col"] < 2 else None)
     with pytest.raises(ValueError, match="one resolution"):
         on_one_grid({10.0: fine}, window, Params())
+
+
+def test_pixels_are_gridded_without_a_second_join_with_the_windows(spark):
+    scenes = spark.createDataFrame([(5.0, 15.0, 0.25), (15.0, 5.0, 0.5), (25.0, 5.0, 0.75)], "x double, y double, B04 double")
+    windows = spark.createDataFrame([("a", 0.0, 0.0, 20.0, 20.0), (None, 0.0, 0.0, 20.0, 20.0)], "seed_id string, minx double, miny double, maxx double, maxy double")
+    cut = points._cut(scenes, windows, 20.0, 10.0, 10.0)
+    assert cut.columns == ["seed_id", "B04", "row", "col"]
+    assert sorted(tuple(r) for r in cut.collect()) == [("a", 0.25, 0, 0), ("a", 0.5, 1, 1)]
+    assert cut._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
