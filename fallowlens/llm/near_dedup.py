@@ -298,8 +298,10 @@ def group_edges(texts: DataFrame, members: DataFrame, params: Params) -> DataFra
     Members grow with the documents, so they are joined alike at every size, never broadcast.
     """
     sized = stored(sized_groups(members, params), "near-sized")
+    # the only pass over all documents: what follows reads the texts of members alone
+    held = stored(texts.join(sized.hint("merge"), "id").select("gid", "parts", "id", "text"), "near-texts")
     own = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
-    met = texts.join(sized.select("id", "gid", own.alias("i")).hint("merge"), "id").select("gid", "i", F.col("i").alias("j"), "id", "text")
+    met = held.select("gid", own.alias("i"), own.alias("j"), "id", "text")
     inside = met.repartition("gid", "i", "j").sortWithinPartitions("gid", "i", "j")
     edges = stored(confirmed_edges(inside, params).distinct(), "near-inside")
     large = sized.where("parts > 1")
@@ -307,7 +309,8 @@ def group_edges(texts: DataFrame, members: DataFrame, params: Params) -> DataFra
         return edges
 
     def across(chosen: DataFrame) -> DataFrame:
-        joined = texts.join(chosen.hint("merge"), "id").select("gid", "parts", "id", "text")
+        own_texts = held.where("parts > 1").select("id", "text")
+        joined = own_texts.join(chosen.hint("merge"), "id").select("gid", "parts", "id", "text")
         return confirmed_edges(blocked(joined, "gid", F.col("parts")), params)
 
     # one text for all that its block linked; their links connect what they stand for

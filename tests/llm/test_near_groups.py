@@ -63,3 +63,25 @@ def test_a_large_group_of_copies_moves_its_texts_twice_at_most(spark, monkeypatc
     params = near_dedup.Params(percent=80, group_block=4)
     found = near_dedup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), params=params).collect()
     assert {r.component_id for r in found} == {0} and moved[0] == 60 and sum(moved) < 2.5 * 60
+
+
+def test_large_groups_read_the_documents_no_more_often_than_small_ones(spark):
+    """Once for the signatures, once for the texts of members, whatever the groups' sizes."""
+    def read(block):
+        rng, star = random.Random(9), [f"w{k}" for k in range(100)]
+        docs = [(k, " ".join(star[:k] + [f"x{k}"] + star[k + 1 :])) for k in range(40)]
+        docs += [(1000 + k, " ".join(f"y{rng.randrange(10**6)}" for _ in range(40))) for k in range(50)]
+        seen = spark.sparkContext.accumulator(0)
+
+        def counted(batches):
+            for batch in batches:
+                seen.add(batch.num_rows)
+                yield batch
+
+        frame = spark.createDataFrame(docs, "doc_id long, text string").mapInArrow(counted, "doc_id long, text string")
+        params = near_dedup.Params(percent=80, group_block=block)
+        found = near_dedup.near_duplicates(frame, params=params).collect()
+        assert len({r.component_id for r in found}) == 51
+        return seen.value
+
+    assert read(4) == read(512) == 2 * 90
