@@ -219,7 +219,7 @@ def exact_profile(df: DataFrame, most: int = 100_000) -> DataFrame:
         own = values_of(small).groupBy("column", "text", "number").agg(F.count("*").alias("n"))
         medians.append(own.groupBy("column").agg(F.expr("percentile(number, 0.5, n)").alias("median")))
     if large:
-        medians.append(grouped_quantiles(values_of(large), ["column"], {"number": {"median": 0.5}}))
+        medians.append(grouped_quantiles(values_of(large), ["column"], {"number": {"median": 0.5}}, gathered=0))
     return facts.join(reduce(DataFrame.unionByName, medians), "column")
 
 

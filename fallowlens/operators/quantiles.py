@@ -1,6 +1,7 @@
 """Exact quantiles of groups of any size.
 
-``percentile`` holds every distinct value of a group in one task. Here a bounded
+``percentile`` holds every distinct value of a group in one task. Here only groups of a
+bounded number of values meet in one place and are sorted there. Of the others a bounded
 sketch first brackets each quantile, then only the values inside the bracket are
 ranked: about six parts in ten thousand of a large group. Both passes combine on
 the map side, so a group may hold any share of the rows. A bracket is ranked in
@@ -21,22 +22,57 @@ ACCURACY = 10000
 # Ranges of values into which a bracket is divided.
 PARTS = 64
 
+# Values of a group, of all columns together, that one task may sort.
+GATHERED = 1_000_000
+
 
 def grouped_quantiles(
     df: DataFrame,
     keys: Sequence[str],
     columns: Mapping[str, Mapping[str, float]],
+    gathered: int = GATHERED,
 ) -> DataFrame:
     """Interpolated quantiles per group, one output row per group.
 
     ``columns`` maps each input column to its outputs, ``{name: probability}``.
-    NULLs are skipped; a column without values gives NULL. ``df`` is read twice,
-    so hand in stored data when it is costly to compute.
+    NULLs are skipped; a column without values gives NULL. Groups with up to ``gathered``
+    values in all are sorted whole, of the others each quantile is bracketed first; the rows
+    are the same for any limit. With 0, for a few groups that are whole columns, none is
+    gathered and ``df`` is read twice, else up to four times (twice without large groups): hand
+    in stored data when it is costly to compute.
     """
-    targets = [(c, name, p) for c, outs in columns.items() for name, p in outs.items()]
-    margin = 3.0 / ACCURACY
     data = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in columns])
+    if not gathered:
+        return _bracketed(data, keys, columns)
+    # at most one row for so many values of the input, hence broadcast
+    sizes = data.groupBy(*keys).agg(F.count("*").alias("_n"))
+    names = [F.col(k).alias(f"_k_{k}") for k in keys]
+    large = F.broadcast(sizes.filter(F.col("_n") * len(columns) > gathered).select(*names))
+    small = _sorted(data.join(large, _same(keys), "left_anti"), keys, columns)
+    return small.unionByName(_bracketed(data.join(large, _same(keys), "left_semi"), keys, columns))
+
+
+def _sorted(data: DataFrame, keys: Sequence[str], columns: Mapping[str, Mapping[str, float]]) -> DataFrame:
+    """Quantiles of groups whose values one task can sort."""
+    held = data.groupBy(*keys).agg(
+        *[F.sort_array(F.collect_list(c)).alias(f"_s{i}") for i, c in enumerate(columns)]
+    )
+
+    def value(s: Column, p: float) -> Column:
+        position = F.lit(float(p)) * (F.size(s) - 1)
+        a, b = F.get(s, F.floor(position).cast("int")), F.get(s, F.ceil(position).cast("int"))
+        return a + (b - a) * (position - F.floor(position))
 
+    return held.select(
+        *keys,
+        *[value(F.col(f"_s{i}"), p).alias(name) for i, c in enumerate(columns) for name, p in columns[c].items()],
+    )
+
+
+def _bracketed(data: DataFrame, keys: Sequence[str], columns: Mapping[str, Mapping[str, float]]) -> DataFrame:
+    """Quantiles of groups of any size; reads ``data`` twice."""
+    targets = [(c, name, p) for c, outs in columns.items() for name, p in outs.items()]
+    margin = 3.0 / ACCURACY
     sketches = []
     for i, c in enumerate(columns):
         probs = [

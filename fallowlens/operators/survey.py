@@ -97,7 +97,7 @@ def describe(df: DataFrame, columns: list[str]) -> DataFrame:
         F.max("n").alias("freq"),
     )
     quartiles = grouped_quantiles(
-        values, ["column"], {"value": {"q25": 0.25, "q50": 0.5, "q75": 0.75}}
+        values, ["column"], {"value": {"q25": 0.25, "q50": 0.5, "q75": 0.75}}, gathered=0
     )
     return (
         moments.join(top, "column")
