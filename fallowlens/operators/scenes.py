@@ -1,7 +1,7 @@
 """Scene selection, mosaics, resampling and same-day overwrite.
 
-Every reduction here is a map-side combining aggregate with constant state per
-group, so one pixel or one day holding much of the data costs no more than others.
+Every reduction here combines before its shuffle, with constant state per group, so one
+pixel or one day holding much of the data costs no more than others.
 """
 
 from __future__ import annotations
@@ -155,10 +155,19 @@ def least_cloud_mosaic(
     ts: str = "acq_date",
     scene: str = "scene_idx",
 ) -> DataFrame:
-    """Values of the clearest acquisition; the latest one among equals."""
-    keyed = clean_bands(df, bands).withColumn("_key", clearest_first(df, ts, scene))
+    """Values of the clearest acquisition; the latest one among equals.
+
+    Acquisitions of a pixel meet before they are reduced, in parts of about equal size: a
+    part of the input may hold as many pixels as rows, and each takes a wide buffer. A pixel
+    that holds much of the data is divided by adaptive execution, so its parts are combined
+    once more.
+    """
     values = ["cloud_cover", ts, *bands]
-    return keyed.groupBy(*keys).agg(*[F.min_by(c, "_key").alias(c) for c in values])
+    keyed = clean_bands(df, bands).select(
+        *keys, *values, clearest_first(df, ts, scene).alias("_key"), F.xxhash64(*keys).alias("_place")
+    )
+    met = keyed.hint("rebalance", "_place")
+    return met.groupBy(*keys).agg(*[F.min_by(c, "_key").alias(c) for c in values])
 
 
 def resample_nearest(

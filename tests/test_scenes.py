@@ -88,3 +88,26 @@ def test_series_is_ordered_by_day(spark):
     series = scenes.pixel_series(df, ["B04"]).first()["series"]
     assert [s["B04"] for s in series] == [0.1, 0.3, 0.5]
     assert scenes.orbit_dates(df).count() == 3 and scenes.orbit_stack(df, ["B04"]).count() == 3
+
+
+def test_clearest_scenes_are_reduced_where_pixels_met(spark, tmp_path):
+    """No buffers per pixel at the scan; a pixel with a third of the rows is still divided."""
+    path = str(tmp_path / "o")
+    spark.range(0, 90_000, 1, 6).selectExpr("id", "if(id % 3 = 0, 0, id % 7001) as k",
+        "cast(id * 7919 % 101 as int) as cloud_cover", "date'2024-06-01' as acq_date", "id as scene_idx", "id / 4 as B04").write.parquet(path)
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "64k")
+    try:
+        found = scenes.least_cloud_mosaic(spark.read.parquet(path), ["B04"], ["k"])
+        got = {r["k"]: (r["cloud_cover"], r["B04"]) for r in found.collect()}
+    finally:
+        spark.conf.set(size, before)
+    best = {}
+    for i in range(90_000):
+        k, rank = (0 if i % 3 == 0 else i % 7001), (i * 7919 % 101, -i)
+        best[k] = min(best.get(k, rank), rank)
+    assert got == {k: (cloud, -i / 4) for k, (cloud, i) in best.items()}
+    ran = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    reduced, met = ran.split("REBALANCE_PARTITIONS_BY_COL")
+    assert "partial_min_by" in reduced and "Aggregate" not in met and "skewed" in reduced
