@@ -70,7 +70,7 @@ def _sorted(data: DataFrame, keys: Sequence[str], columns: Mapping[str, Mapping[
 
 
 def _bracketed(data: DataFrame, keys: Sequence[str], columns: Mapping[str, Mapping[str, float]]) -> DataFrame:
-    """Quantiles of groups of any size; reads ``data`` twice."""
+    """Quantiles of few groups of any size; reads ``data`` twice."""
     targets = [(c, name, p) for c, outs in columns.items() for name, p in outs.items()]
     margin = 3.0 / ACCURACY
     sketches = []
@@ -124,7 +124,9 @@ def _bracketed(data: DataFrame, keys: Sequence[str], columns: Mapping[str, Mappi
             for t, (c, _, _) in enumerate(targets)
         ]
     )
-    joined = data.join(bounded.withColumnsRenamed({k: f"_k_{k}" for k in keys}), _same(keys))
+    # a row per large group: a join by key would bring all rows of a group to one task
+    brackets = F.broadcast(bounded.withColumnsRenamed({k: f"_k_{k}" for k in keys}))
+    joined = data.join(brackets, _same(keys))
     counts = (
         joined.select(*keys, F.inline(F.filter(cells, lambda s: s.isNotNull())))
         .groupBy(*keys, "target", "size", "part", "value")

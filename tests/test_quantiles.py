@@ -68,3 +68,19 @@ def test_small_groups_are_neither_sketched_nor_counted_by_value(spark, tmp_path)
     assert {r["k"]: r["mid"] for r in found.collect()} == {k: 0.5 * (k + 50 * 29.5) for k in range(50)}
     ran = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert "collect_list" in ran and "percentile_approx" not in ran and "Generate" not in ran
+
+
+def test_rows_of_a_large_group_meet_in_no_task(spark, tmp_path):
+    spark.range(0, 40_000, 1, 4).selectExpr("id % 2 as k", "id * 0.5 as v").write.parquet(str(tmp_path / "v"))
+    found = grouped_quantiles(spark.read.parquet(str(tmp_path / "v")), ["k"], {"v": {"mid": 0.5}}, gathered=1000)
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")
+    try:
+        assert {r["k"]: r["mid"] for r in found.collect()} == {0: 9999.5, 1: 10000.0}
+    finally:
+        spark.conf.set(limit, before)
+    ran = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    # rows that are still to be counted by value were not shuffled before
+    counted = ran[ran.index("Generate inline") :].split("Generate")[1]
+    assert "BroadcastHashJoin" in counted.split("Exchange")[0]
