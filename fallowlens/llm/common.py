@@ -83,6 +83,37 @@ def lowered_words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "replace").lower().split() if text else []
 
 
+def cut_words(texts: pa.Array, table: bytes) -> tuple[pa.Array, np.ndarray]:
+    """The words of an Arrow column of UTF-8 texts, one after another as bytes, and how many each text has.
+
+    ``table`` translates bytes, and what it makes a blank stands between words. No Python value is
+    made of a word. A null text has none.
+    """
+    texts = pc.fill_null(texts.cast(pa.binary()), b"")
+    bounds = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    held = texts.buffers()[2]
+    data = memoryview(held)[bounds[0] : bounds[-1]].tobytes().translate(table) if held is not None else b""
+    bounds -= bounds[0]
+    inside = np.frombuffer(data, np.uint8) != 32
+    # a word begins after a blank or at its text's begin, and ends before a blank or at its text's end
+    begins, ends = inside.copy(), inside.copy()
+    begins[1:] &= ~inside[:-1]
+    ends[:-1] &= ~inside[1:]
+    filled = np.flatnonzero(np.diff(bounds))
+    begins[bounds[filled]] = inside[bounds[filled]]
+    ends[bounds[filled + 1] - 1] = inside[bounds[filled + 1] - 1]
+    first = np.flatnonzero(begins)
+    sizes = np.zeros(len(first) + 1, np.int32)
+    np.cumsum(np.flatnonzero(ends) + 1 - first, out=sizes[1:])
+    words = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(sizes), pa.py_buffer(data.translate(None, b" "))])
+    return words, np.diff(np.searchsorted(first, bounds))
+
+
+def numbers_in(words: pa.Array, known: pa.Array) -> np.ndarray:
+    """The place of every word in ``known``, -1 for others."""
+    return pc.fill_null(pc.index_in(words, value_set=known), -1).to_numpy(zero_copy_only=False)
+
+
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     """The batch's texts; null becomes the empty text."""
     return [t or "" for t in batch.column(column).to_pylist()]

@@ -23,15 +23,15 @@ from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
-from itertools import repeat
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fallowlens.llm.common import mix64, rows, stored
+from fallowlens.llm.common import cut_words, mix64, numbers_in, rows, stored, stretches
 
 _WORD = re.compile(r"\w+")
 
@@ -42,7 +42,8 @@ class Params:
     words of an item that are looked for together; a piece starts every ``stride`` words.
     ``run``: words in a row that make a verbatim excerpt. ``fit_docs``: as many documents
     as all documents together weigh at most in the decomposition beside the benchmark's own
-    pieces; all of them are fitted, counted and searched. ``cosine`` and ``held`` (the part of a piece's vector
+    pieces; all of them are fitted, counted and searched. ``scans``: parts of the scan that one
+    task adds products up over, where there are more than cores. ``cosine`` and ``held`` (the part of a piece's vector
     that a passage has) make a candidate; ``strong``, ``fair``, ``answer``: shares of words
     in order that make a copy, a paraphrase, and an answer found."""
 
@@ -56,6 +57,7 @@ class Params:
     oversample: int = 8
     fit_docs: int = 2000
     fit_tasks: int = 12
+    scans: int = 8
     held_bytes: int = 256_000_000
     cosine: float = 0.4
     held: float = 0.5
@@ -71,6 +73,50 @@ def split_words(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
+#: ASCII characters as words have them, blanks for those that no word has; other bytes as they are.
+_ASCII_WORDS = bytes((ord(chr(b).lower()) if _WORD.match(chr(b)) else 32) if b < 128 else b for b in range(256))
+
+_ASCII = bytes(range(128))
+
+
+def plain_texts(texts: pa.Array) -> pa.Array:
+    """The texts with characters beyond ASCII in lower case, and blanks for those that no word has.
+
+    Characters are replaced by as many bytes, all texts at once. Where lower-casing needs more or
+    fewer, or looks at neighbours, the texts are made of their words one by one.
+    """
+    texts = pc.fill_null(texts.cast(pa.string()), "")
+    low, high = (int(np.frombuffer(texts.buffers()[1], np.int32)[texts.offset + k]) for k in (0, len(texts)))
+    held = texts.buffers()[2]
+    data = memoryview(held)[low:high].tobytes() if held is not None else b""
+    replaced = {}
+    for c in set(data.translate(None, _ASCII).decode()):
+        lower = c.lower()
+        new = lower.encode() if _WORD.fullmatch(lower) else b" " * len(c.encode())
+        if c == "Σ" or len(new) != len(c.encode()) or lower.lower() != lower or (len(lower) > 1 and not _WORD.fullmatch(lower)):
+            return pa.array([" ".join(split_words(t)) for t in texts.to_pylist()], pa.string())
+        if new != c.encode():
+            replaced[c.encode()] = new
+    if not replaced:
+        return texts
+    for old, new in replaced.items():
+        data = data.replace(old, new)
+    bounds = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1] - np.int32(low)
+    return pa.Array.from_buffers(pa.string(), len(texts), [None, pa.py_buffer(bounds), pa.py_buffer(data)])
+
+
+def numbered_texts(texts: pa.Array, known: pa.Array) -> pa.Array:
+    """The places of each text's words in ``known``, -1 for others, packed."""
+    kind, out = _kind(len(known)), []
+    for low, high in stretches(texts, 1 << 21):
+        words, sizes = cut_words(plain_texts(texts.slice(low, high - low)), _ASCII_WORDS)
+        packed = numbers_in(words, known).astype(kind)
+        bounds = np.zeros(len(sizes) + 1, np.int32)
+        np.cumsum(sizes * packed.itemsize, out=bounds[1:])
+        out.append(pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(bounds), pa.py_buffer(packed)]))
+    return pa.concat_arrays(out) if out else pa.array([], pa.binary())
+
+
 def word_spans(text: str) -> list[tuple[int, int]]:
     """Where in the text itself the words of ``split_words`` stand. Lower-casing may lengthen a text."""
     lowered = text.lower()
@@ -193,14 +239,15 @@ def _kind(terms: int) -> str:
 
 def numbers_of(column: Column, vocabulary: dict[str, int]) -> Column:
     """The numbers of a text's words in the vocabulary, -1 for others, packed; null is an empty text."""
-    context = SparkSession.active().sparkContext
-    shared, kind = context.broadcast(vocabulary), _kind(len(vocabulary))
+    shared = SparkSession.active().sparkContext.broadcast([w.encode() for w in vocabulary])
 
-    def number(texts: pd.Series) -> pd.Series:
-        get = shared.value.get
-        return pd.Series([np.fromiter(map(get, split_words(t or ""), repeat(-1)), kind).tobytes() for t in texts])
+    def number(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        known = pa.array(shared.value, pa.binary())
+        for texts in batches:
+            yield numbered_texts(texts, known)
 
-    return F.pandas_udf(number, "binary")(column)
+    number.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return F.arrow_udf(number, "binary")(column)
 
 
 def _grouped(packed: list[bytes], own: np.ndarray, p: Params) -> Iterator[tuple[int, list[np.ndarray]]]:
@@ -259,15 +306,39 @@ def lengthened(found: Passages, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray
 class Products:
     """Sums over passages of the products of two terms' values, for first terms from ``low`` to ``high``.
 
-    The second term is not before the first.
+    The second term is not before the first. Terms are numbered by how common they are: the
+    ``LEAD`` commonest are columns of a matrix, whose products with all terms are sums of rows.
+    Only products of two rarer terms are added one by one.
     """
 
     def __init__(self, terms: int, low: int, high: int):
         self.low, self.high = low, min(high, terms)
+        self.lead = 0 if low else min(LEAD, self.high)
         self.sums = np.zeros((self.high - low, terms - low))
 
     def add(self, block: np.ndarray, term: np.ndarray, value: np.ndarray) -> None:
         """Entries in the order of block and term."""
+        leading = term < self.lead
+        rarer = ~leading
+        if leading.any():
+            # blocks are a run of passages, so the matrix holds few more rows than have terms
+            common = np.zeros((int(block[-1]) + 1, self.lead), np.float32)
+            common[block[leading], term[leading]] = value[leading]
+            self.sums[: self.lead, : self.lead] += np.triu(common.T @ common)
+            self._met(common, block[rarer], term[rarer], value[rarer])
+        self._paired(block[rarer], term[rarer], value[rarer])
+
+    def _met(self, common: np.ndarray, block: np.ndarray, term: np.ndarray, value: np.ndarray) -> None:
+        """Products of rarer terms with the leading ones."""
+        order = np.argsort(term, kind="stable")
+        term = term[order]
+        for low in range(0, len(order), 1 << 14):
+            part = order[low : low + (1 << 14)]
+            start = np.flatnonzero(np.diff(term[low : low + (1 << 14)], prepend=-1))
+            sums = np.add.reduceat(common[block[part]] * value[part, None].astype(np.float32), start)
+            self.sums[: self.lead, term[low + start]] += sums.T
+
+    def _paired(self, block: np.ndarray, term: np.ndarray, value: np.ndarray) -> None:
         flat, wide = self.sums.reshape(-1), self.sums.shape[1]
         at = np.flatnonzero((term >= self.low) & (term < self.high))
         for k in range(len(block)):
@@ -288,12 +359,19 @@ class Products:
 #: Terms whose sums of products travel together.
 STRIP = 16
 
+#: Commonest terms, about half of all entries.
+LEAD = 96
+
 
 def term_products(numbered: DataFrame, own: np.ndarray, idf: np.ndarray, p: Params) -> DataFrame:
     """(first, part): strips of the ``Products`` of the normalised TF-IDF passages of all documents, stored.
 
-    A task holds sums of ``held_bytes``; for more terms the numbers are read several times.
+    A task holds sums of ``held_bytes``; for more terms the numbers are read several times. Sums
+    weigh the same however little a task reads, so a task reads several parts of the scan, of
+    which the numbers are a small column.
     """
+    read = numbered.select("terms")
+    read = read.coalesce(max(read.sparkSession.sparkContext.defaultParallelism, read.rdd.getNumPartitions() // p.scans))
     shared = numbered.sparkSession.sparkContext.broadcast((own, idf))
     schema = pa.schema([("first", pa.int64()), ("part", pa.list_(pa.float32()))])
     size = max(STRIP, p.held_bytes // (8 * len(idf)) // STRIP * STRIP)
@@ -308,7 +386,7 @@ def term_products(numbered: DataFrame, own: np.ndarray, idf: np.ndarray, p: Para
             for first, part in sums.strips():
                 yield rows(schema, first=[first], part=part)
 
-        return numbered.select("terms").mapInArrow(run, "first long, part array<float>")
+        return read.mapInArrow(run, "first long, part array<float>")
 
     def add(key, table):
         return table.iloc[:1][["first"]].assign(part=[np.sum(np.stack(table["part"].to_numpy()), axis=0, dtype=np.float64)])

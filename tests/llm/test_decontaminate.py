@@ -1,6 +1,7 @@
 """Decontamination: left-out passages can be no hits, spans in the text itself, recall of the candidates."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from fallowlens.llm import decontaminate as dc
@@ -120,3 +121,41 @@ def test_the_latent_space_is_fitted_on_all_documents(spark):
     latent = space.vectors / space.idf[:, None]
     best = np.sort(np.linalg.eigvalsh(whole))[::-1][:5].sum()
     assert np.trace(latent.T @ whole @ latent) > 0.97 * best
+
+
+def test_numbers_of_words_are_those_of_the_words_one_by_one():
+    """Characters beyond ASCII, also ones that change in length or by their neighbours when lower-cased."""
+    rng = np.random.default_rng(5)
+    known = ["aé", "é", "ñ9", "_b", "σς", "i", "日本", "ß", "k"]
+    signs = [*'aB_ 9.,-\n\t\x1c\x85éÉßÑ“”日本😀½́ǆ', *known], [*'aB_ .éÉΣσςİıKǅẞ']
+    for group in signs:
+        texts = [None, "", *("".join(rng.choice(group, rng.integers(0, 12))) for _ in range(400)), "É", "Ñ9 É"]
+        column = pa.array(["before", *texts], pa.string()).slice(1)
+        got = dc.numbered_texts(column, pa.array([w.encode() for w in known], pa.binary())).to_pylist()
+        assert [np.frombuffer(x, "<i2").tolist() for x in got] == [[known.index(w) if w in known else -1 for w in dc.split_words(t or "")] for t in texts]
+
+
+def test_products_of_common_terms_are_those_of_all_pairs():
+    """Few tasks hold sums, however many parts are read; leading and rarer terms are added up alike."""
+    rng = np.random.default_rng(6)
+    terms = 3 * dc.LEAD
+    rows = np.where(rng.random((500, terms)) < 0.05, rng.random((500, terms)), 0)
+    block, term = np.nonzero(rows)
+    for low, high in ((0, terms), (0, dc.LEAD // 2), (dc.LEAD // 2, terms)):
+        sums = dc.Products(terms, low, high)
+        sums.add(block, term, rows[block, term])
+        assert np.allclose(sums.sums, np.triu(rows.T @ rows)[low:high, low:], atol=1e-5)
+
+
+def test_few_tasks_hold_sums_of_products(spark, monkeypatch):
+    """As many strips leave the tasks as few of them make, not one set for each part of the scan."""
+    items = [(0, " ".join(f"w{k}" for k in range(60)))]
+    docs = spark.createDataFrame([(" ".join(f"w{(i + k) % 60}" for k in range(70)),) for i in range(640)], "text string").repartition(160)
+    met = []
+    real = dc.stored
+    monkeypatch.setattr(dc, "stored", lambda df, name: met.append((name, df)) or real(df, name))
+    dc.prepared(docs, "text", spark.createDataFrame(items, "item_id long, text string"), "item_id", "text", dc.Params(rank=5))
+    cores = spark.sparkContext.defaultParallelism
+    plan = dict(met)["contamination-products"]._jdf.queryExecution().executedPlan().toString()
+    parts = int(plan.split("Coalesce ")[1].split()[0].strip("(),"))
+    assert cores <= parts <= max(cores, 160 // dc.Params().scans)
