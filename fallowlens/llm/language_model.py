@@ -23,17 +23,17 @@ from __future__ import annotations
 import copy
 import math
 import zlib
-from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import repeat
+from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fallowlens.llm.common import fold, lowered_words, rows, stored
+from fallowlens.llm.common import cut_words, fold, lowered_words, numbers_in, rows, stored, stretches  # noqa: F401
 
 SMOOTH = 0.1
 
@@ -43,7 +43,9 @@ class Params:
     """``classes`` counts words of their own, ``rest`` classes, end and begin. ``hot_share``:
     words at least so common have vectors, ``1 / hot_share`` at most. ``dim``, ``steps``,
     ``batch``, ``noise``, ``rate``: size and training of the classes' model; ``word_...`` of the
-    words', which learn from the part ``learn`` of all training texts, by default from all."""
+    words', which learn from the part ``learn`` of all training texts, by default from all. ``piece``:
+    bytes of texts that are counted or scored together; ``lesson``: that are learnt from in
+    one random order."""
 
     classes: int = 128
     rest: int = 24
@@ -58,7 +60,8 @@ class Params:
     word_noise: int = 8
     word_batch: int = 1024
     word_rate: float = 0.05
-    flush: int = 200_000
+    piece: int = 4_000_000
+    lesson: int = 1_250_000
     seed: int = 11
 
     @property
@@ -74,16 +77,15 @@ class Params:
         return self.classes - 1
 
 
-class Endings(dict):
-    """Class of the words of the rest: the crc32 of their last two bytes."""
+#: Bytes as words have them, A-Z lower-cased; white space is a blank.
+_WORDS = bytes(32 if b in b"\t\n\r\v\f " else b + 32 if 65 <= b <= 90 else b for b in range(256))
 
-    def __init__(self, params: Params):
-        super().__init__()
-        self.first, self.rest = params.own, params.rest
 
-    def __missing__(self, last: bytes) -> int:
-        c = self[last] = self.first + zlib.crc32(last) % self.rest
-        return c
+@cache
+def ending_classes(rest: int) -> np.ndarray:
+    """crc32 modulo ``rest`` of every two bytes, in their order, then of every single byte."""
+    endings = chain((bytes((a, b)) for a in range(256) for b in range(256)), (bytes((b,)) for b in range(256)))
+    return np.fromiter((zlib.crc32(e) % rest for e in endings), np.int64, 257 * 256)
 
 
 class Classes:
@@ -93,50 +95,69 @@ class Classes:
     """
 
     def __init__(self, known: list[bytes], params: Params):
-        self.number = {w: i for i, w in enumerate(known)}
-        self.endings = Endings(params)
-        self.own = np.array([i if i < params.own else self.endings[w[-2:]] for i, w in enumerate(known)] + [-1], np.int64)
-
-    def of(self, found: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-        """Number and class of every word, and the words without a number."""
-        get = self.number.get
-        number = np.fromiter(map(get, found, repeat(-1)), np.int64, len(found))
-        unknown = number < 0
-        others = [w for w, u in zip(found, unknown.tolist()) if u]
+        self.known, self.params = pa.array(known, pa.binary()), params
+        self.own = np.append(self._of_endings(self.known), -1)
+        self.own[: min(params.own, len(known))] = np.arange(min(params.own, len(known)))
+
+    def _of_endings(self, found: pa.Array) -> np.ndarray:
+        """The rest classes of words, by the crc32 of their last two bytes."""
+        ends = np.frombuffer(found.buffers()[1], np.int32)[found.offset : found.offset + len(found) + 1]
+        if not len(found):
+            return np.zeros(0, np.int64)
+        data = np.frombuffer(found.buffers()[2], np.uint8)
+        last, before = data[ends[1:] - 1].astype(np.int64), data[ends[1:] - 2]
+        return self.params.own + ending_classes(self.params.rest)[np.where(np.diff(ends) > 1, before * np.int64(256), 65536) + last]
+
+    def of(self, found: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Number and class of every word."""
+        number = numbers_in(found, self.known)
         found_class = self.own[number]
-        found_class[unknown] = [self.endings[w[-2:]] for w in others]
-        return number, found_class, others
+        unknown = number < 0
+        found_class[unknown] = self._of_endings(found)[unknown]
+        return number, found_class
+
+
+def after_two(flat: np.ndarray, sizes: np.ndarray, begin: int, tail: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """The texts' values with two times ``begin`` before each text and ``tail`` more after it, and where their own stand."""
+    starts = np.arange(len(sizes)) * (2 + tail) + 2
+    at = np.arange(len(flat)) + np.repeat(starts, sizes)
+    out = np.full(len(flat) + len(sizes) * (2 + tail), begin, np.int64)
+    out[at] = flat
+    return out, at
 
 
-def triples(sequences: list[np.ndarray], params: Params) -> tuple[np.ndarray, np.ndarray]:
-    """Codes of (before last, last, token) for every token and end, and their text's number."""
-    begin, end = np.array([params.begin, params.begin]), np.array([params.end])
-    flat = np.concatenate([x for s in sequences for x in (begin, s, end)]).astype(np.int64)
-    sizes = np.array([len(s) + 3 for s in sequences], np.int64)
-    owner = np.repeat(np.arange(len(sequences)), sizes)
-    place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    at = np.flatnonzero(place >= 2)
-    return (flat[at - 2] * params.classes + flat[at - 1]) * params.classes + flat[at], owner[at]
+def triples(found_class: np.ndarray, sizes: np.ndarray, params: Params) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of (before last, last, token) for every token and end, and their text's number.
+
+    Texts of ``sizes`` words stand one after another.
+    """
+    flat, at = after_two(found_class, sizes, params.begin, 1)
+    ends = np.cumsum(sizes + 3) - 1
+    flat[ends] = params.end
+    at, texts = np.concatenate([at, ends]), np.arange(len(sizes))
+    return (flat[at - 2] * params.classes + flat[at - 1]) * params.classes + flat[at], np.concatenate([np.repeat(texts, sizes), texts])
 
 
 def word_counts(texts: DataFrame, params: Params) -> DataFrame:
-    """(word, n) over all texts: summed within tasks, then over tasks."""
+    """(word, n) over all texts: counted piece by piece, then summed."""
     schema = pa.schema([("word", pa.binary()), ("n", pa.int64())])
-    flush = params.flush
+    piece = params.piece
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter[bytes] = Counter()
         for batch in batches:
-            for value in batch.column("text"):
-                seen.update(lowered_words(value.as_py()))
-                if len(seen) > flush:
-                    yield rows(schema, word=list(seen.keys()), n=list(seen.values()))
-                    seen = Counter()
-        yield rows(schema, word=list(seen.keys()), n=list(seen.values()))
+            for words, _ in pieces_of(batch.column("text"), piece):
+                counted = words.value_counts()
+                yield pa.RecordBatch.from_arrays([counted.field(0), counted.field(1)], schema=schema)
 
     return texts.mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def pieces_of(texts: pa.Array, size: int) -> Iterator[tuple[pa.Array, np.ndarray]]:
+    """Words of consecutive texts of about ``size`` bytes, and how many each text has."""
+    for low, high in stretches(texts, size):
+        yield cut_words(texts.slice(low, high - low), _WORDS)
+
+
 class WordModel:
     """Words within the classes of the rest.
 
@@ -176,16 +197,13 @@ class WordModel:
         """Targets of the words of a text."""
         return np.where(number >= 0, number, self.words + found_class - self.params.own)
 
-    def examples(self, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def examples(self, tokens: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(before last, last, target, text) of all words that are no class of their own."""
-        begin = np.array([self.begin, self.begin])
-        flat = np.concatenate([x for t in texts for x in (begin, t)]).astype(np.int64)
-        sizes = np.array([len(t) + 2 for t in texts], np.int64)
-        owner = np.repeat(np.arange(len(texts)), sizes)
-        place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        at = np.flatnonzero(place >= 2)
-        at = at[self.kind[flat[at]] >= 0]
-        return flat[at - 2], flat[at - 1], flat[at], owner[at]
+        flat, at = after_two(tokens, sizes, self.begin)
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        taken = self.kind[tokens] >= 0
+        at, owner = at[taken], owner[taken]
+        return flat[at - 2], flat[at - 1], flat[at], owner
 
     def predicted(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
         return self.context[first] * self.position[0] + self.context[last] * self.position[1]
@@ -202,11 +220,15 @@ class WordModel:
             at = order[ends[e] : ends[e + 1]]
             context, place = np.unique(first[at] * (self.begin + 1) + last[at], return_inverse=True)
             total = np.zeros(len(context))
-            for k in range(0, len(context), 8192):
-                before, after = np.divmod(context[k : k + 8192], self.begin + 1)
-                scores = self.predicted(before, after) @ vectors + bias
+            # so many that their scores stay in the processor's cache
+            size = max(64, (1 << 16) // max(1, len(own)))
+            for k in range(0, len(context), size):
+                before, after = np.divmod(context[k : k + size], self.begin + 1)
+                scores = self.predicted(before, after) @ vectors
+                scores += bias
                 top = scores.max(1)
-                total[k : k + 8192] = top + np.log(np.exp(scores - top[:, None]).sum(1))
+                scores -= top[:, None]
+                total[k : k + size] = top + np.log(np.exp(scores, out=scores).sum(1))
             whole[at] = total[place]
         return (mine - whole) / math.log(10)
 
@@ -217,22 +239,31 @@ class WordModel:
         share their draws, so that all products are those of three matrices.
         """
         k, rest = self.params.word_noise, self.params.rest
-        kind, at = self.kind[target], np.arange(len(target))
         drawn = np.arange(rest)[:, None] + rng.random((rest, k))
         found = np.minimum(np.searchsorted(self.upto, drawn, "right"), self.bounds[1:, None] - 1)
         noise = self.members[found].ravel()
+        # targets of one class stand together, and meet the words drawn from it only
+        kind = self.kind[target].astype(np.int16)
+        order = np.argsort(kind, kind="stable")
+        first, last, target = first[order], last[order], target[order]
+        ends = np.searchsorted(kind[order], np.arange(rest + 1)).tolist()
+        classes = [(e, slice(a, b)) for e, (a, b) in enumerate(zip(ends, ends[1:])) if b > a]
         r1, r2 = self.context[first], self.context[last]
         q = r1 * self.position[0] + r2 * self.position[1]
-        vectors, others = self.target[target], self.target[noise]
+        vectors, others = self.target[target], self.target[noise].reshape(rest, k, -1)
         # frequencies are the noise and the bias, so they cancel
         shift = np.float32(math.log(k))
         good = sigmoid(np.einsum("bd,bd->b", vectors, q) - shift) - 1
-        bad = np.zeros((len(target), rest, k), np.float32)
-        bad[at, kind] = sigmoid((q @ others.T).reshape(bad.shape)[at, kind] - shift)
-        bad = bad.reshape(len(target), -1)
-        back = good[:, None] * vectors + bad @ others
+        bad = np.zeros((len(target), k), np.float32)
+        for e, of in classes:
+            np.matmul(q[of], others[e].T, out=bad[of])
+        bad = sigmoid(bad - shift)
+        back, met = good[:, None] * vectors, np.zeros_like(others)
+        for e, of in classes:
+            back[of] += bad[of] @ others[e]
+            np.matmul(bad[of].T, q[of], out=met[e])
         steps = (
-            (self.target, np.concatenate([target, noise]), np.concatenate([good[:, None] * q, bad.T @ q]), squares[0]),
+            (self.target, np.concatenate([target, noise]), np.concatenate([good[:, None] * q, met.reshape(len(noise), -1)]), squares[0]),
             (self.context, np.concatenate([first, last]), np.concatenate([back * self.position[0], back * self.position[1]]), squares[1]),
         )
         position = np.stack([(back * r1).sum(0), (back * r2).sum(0)])
@@ -241,13 +272,18 @@ class WordModel:
             met = met.astype(np.int16) if len(values) < 1 << 15 else met
             order = np.argsort(met, kind="stable")
             met = met[order]
-            start = np.flatnonzero(np.diff(met, prepend=-1))
+            fresh = np.ones(len(met), bool)
+            np.not_equal(met[1:], met[:-1], out=fresh[1:])
+            start = np.flatnonzero(fresh)
             self._step(values, met[start], np.add.reduceat(gradient[order], start), square)
         self._step(self.position, np.arange(2), position, squares[2])
 
     def _step(self, values: np.ndarray, met: np.ndarray, gradient: np.ndarray, square: np.ndarray) -> None:
-        square[met] += gradient * gradient
-        values[met] -= np.float32(self.params.word_rate) * gradient / np.sqrt(square[met])
+        total = square[met] + gradient * gradient
+        square[met] = total
+        gradient *= np.float32(self.params.word_rate)
+        gradient /= np.sqrt(total, out=total)
+        values[met] -= gradient
 
     def parts(self) -> list[np.ndarray]:
         return [self.target, self.context, self.position]
@@ -261,7 +297,7 @@ def trained_words(texts: DataFrame, known: list[bytes], words: WordModel, params
 def learnt(texts: DataFrame, known: list[bytes], words: WordModel, params: Params) -> tuple[np.ndarray, np.ndarray, WordModel]:
     """Codes of the class triples of all texts, their counts, and the trained word vectors, in one pass."""
     shared = texts.sparkSession.sparkContext.broadcast((known, words))
-    chunk = 4096
+    chunk, lesson = 4096, params.lesson
     schema = pa.schema([("at", pa.int64()), ("n", pa.float64()), ("part", pa.list_(pa.float64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -271,22 +307,19 @@ def learnt(texts: DataFrame, known: list[bytes], words: WordModel, params: Param
         squares = [np.full_like(x, 0.1) for x in words.parts()]
         total, seen = np.zeros(params.classes**3, np.int64), 0
         for batch in batches:
-            held, size, last = [], 0, batch.num_rows - 1
-            for i, (value, learns) in enumerate(zip(batch.column("text"), batch.column("learns").to_pylist())):
-                number, found_class, _ = classes.of(lowered_words(value.as_py()))
-                held.append((found_class, words.tokens(number, found_class), learns))
-                size += len(number)
-                if size < 200_000 and i < last:
-                    continue
-                code = triples([c for c, _, _ in held], params)[0]
-                total += np.bincount(code, minlength=len(total))
-                first, before, target, _ = words.examples([t for _, t, learns in held if learns])
+            learns, upto = batch.column("learns").to_numpy(zero_copy_only=False), 0
+            for found, sizes in pieces_of(batch.column("text"), lesson):
+                number, found_class = classes.of(found)
+                np.add.at(total, triples(found_class, sizes, params)[0], 1)
+                taken = learns[upto : upto + len(sizes)]
+                upto += len(sizes)
+                tokens = words.tokens(number, found_class)[np.repeat(taken, sizes)]
+                first, before, target, _ = words.examples(tokens, sizes[taken])
                 order = rng.permutation(len(target))
                 for k in range(0, len(order), params.word_batch):
                     at = order[k : k + params.word_batch]
                     words.learn(first[at], before[at], target[at], squares, rng)
                 seen += len(target)
-                held, size = [], 0
         # counts have places below 0
         code = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays(
@@ -442,57 +475,40 @@ def score_texts(
         log_rest = np.log10(m.words.weight[m.words.words :])
         total = math.log10(m.train_tokens + SMOOTH * (m.distinct + 1))
         end = math.log10(m.texts + SMOOTH) - total
-        missing: dict[bytes, list[int]] = defaultdict(list)
-        id_type = None
 
-        def put_out(word: list, docs: list, ids: pa.Array, **values) -> pa.RecordBatch:
+        def put_out(word: pa.Array, docs: pa.Array, ids: pa.Array, **values) -> pa.RecordBatch:
             filled = [pa.array(values[n], t) if n in values else pa.nulls(len(word), t) for n, t in numbers.items()]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(word, pa.binary()), pa.array(docs, pa.list_(pa.int64())), ids, *filled], names=["word", "docs", "id", *numbers]
-            )
+            return pa.RecordBatch.from_arrays([word, docs, ids, *filled], names=["word", "docs", "id", *numbers])
 
-        def words_out() -> pa.RecordBatch:
-            return put_out(list(missing.keys()), list(missing.values()), pa.nulls(len(missing), id_type))
+        def listed(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
+            return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)), pa.int32()), pa.array(values, pa.int64()))
 
         for batch in batches:
-            id_type = batch.schema.field("id").type
-            held, size, out = [], 0, defaultdict(list)
-
-            def scored() -> list[float]:
-                code, owner = triples([c for c, _ in held], p)
-                lm = np.bincount(owner, weights=m.table[code], minlength=len(held))
-                first, last, target, owner = m.words.examples([t for _, t in held])
-                lm += np.bincount(owner, weights=m.words.log10(first, last, target), minlength=len(held))
+            rows_of, ids, upto = batch.column("row").to_numpy(), batch.column("id"), 0
+            for found, sizes in pieces_of(batch.column("text"), p.piece):
+                n, row = len(sizes), rows_of[upto : upto + len(sizes)]
+                number, found_class = classes.of(found)
+                owner = np.repeat(np.arange(n), sizes)
+                # words without a number, each with the rows of its texts
+                unknown = np.flatnonzero(number < 0)
+                coded = found.take(pa.array(unknown)).dictionary_encode()
+                code = coded.indices.to_numpy()
+                met = row[owner[unknown[np.argsort(code, kind="stable")]]]
+                words = coded.dictionary
+                yield put_out(words, listed(met, np.bincount(code, minlength=len(words))), pa.nulls(len(words), ids.type))
+                base = np.bincount(owner, weights=log_hot[number], minlength=n) - total * sizes + end
+                triple, of = triples(found_class, sizes, p)
+                lm = np.bincount(of, weights=m.table[triple], minlength=n)
+                first, last, target, of = m.words.examples(m.words.tokens(number, found_class), sizes)
+                lm += np.bincount(of, weights=m.words.log10(first, last, target), minlength=n)
                 # of a word without a number: the logarithm of its count, met in the join, less that of all such words
                 unmet = np.flatnonzero(target >= m.words.words)
-                lm -= np.bincount(owner[unmet], weights=log_rest[target[unmet] - m.words.words], minlength=len(held))
-                return lm.tolist()
-
-            for row, value in zip(batch.column("row").to_pylist(), batch.column("text")):
-                found = lowered_words(value.as_py())
-                number, found_class, others = classes.of(found)
-                held.append((found_class, m.words.tokens(number, found_class)))
-                size += len(found)
-                for w in others:
-                    missing[w].append(row)
-                out["row"].append(row)
-                out["tokens"].append(len(found) + 1)
-                out["known"].append(len(found) - len(others) + (m.texts > 0))
-                out["base"].append(float(log_hot[number].sum()) - total * len(found) + end)
-                if size > 500_000:
-                    out["lm"] += scored()
-                    held, size = [], 0
-                if len(missing) > p.flush:
-                    yield words_out()
-                    missing.clear()
-            if held:
-                out["lm"] += scored()
-            # keys with a blank are no words, so these rows find no count and are spread evenly
-            yield put_out([b" %d" % r for r in out["row"]], [[r] for r in out["row"]], batch.column("id"), row=out["row"],
-                          tokens=out["tokens"], known=out["known"], base=out["base"],
-                          lm=out["lm"])
-        if missing:
-            yield words_out()
+                lm -= np.bincount(of[unmet], weights=log_rest[target[unmet] - m.words.words], minlength=n)
+                # keys with a blank are no words, so these rows find no count and are spread evenly
+                keys = pa.array([b" %d" % r for r in row.tolist()], pa.binary())
+                known = sizes - np.bincount(owner[unknown], minlength=n) + (m.texts > 0)
+                yield put_out(keys, listed(row, np.ones(n, np.int64)), ids.slice(upto, n), row=row, tokens=sizes + 1, known=known, base=base, lm=lm)
+                upto += n
 
     parts_of = taken.select(F.monotonically_increasing_id().alias("row"), "id", "text").mapInArrow(
         run, f"word binary, docs array<long>, id {kind}, row long, tokens long, known long, base double, lm double"

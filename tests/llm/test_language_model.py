@@ -3,8 +3,10 @@
 import math
 import zlib
 from collections import Counter
+from dataclasses import replace
 
 import numpy as np
+import pyarrow as pa
 
 from fallowlens.llm import language_model as lm
 
@@ -136,3 +138,57 @@ def test_equal_contexts_are_normalised_alike():
     together = words.log10(first, last, target)
     alone = [float(words.log10(first[k : k + 1], last[k : k + 1], target[k : k + 1])[0]) for k in range(400)]
     assert np.allclose(together, alone, atol=1e-5)
+
+
+def test_words_of_columns_have_the_numbers_and_classes_of_words_one_by_one():
+    texts = [None, "", "The the\tA\x0bab\x0c\x0db", "é ÉÀ  z\n", "日本 x\x1cy \x85", "a"]
+    known = [b"the", b"a", *(b"w%d" % i for i in range(P.own)), b"ab", b"z", "日本".encode()]
+    ((found, sizes),) = lm.pieces_of(pa.array(["left out", *texts], pa.string()).slice(1), 1 << 20)
+    words = [lm.lowered_words(t) for t in texts]
+    assert found.to_pylist() == [w for ws in words for w in ws] and sizes.tolist() == [len(ws) for ws in words]
+    number, found_class = lm.Classes(known, P).of(found)
+    expected = [known.index(w) if w in known else -1 for w in found.to_pylist()]
+    assert number.tolist() == expected
+    ending = [P.own + zlib.crc32(w[-2:]) % P.rest for w in found.to_pylist()]
+    assert found_class.tolist() == [n if 0 <= n < P.own else e for n, e in zip(expected, ending)]
+
+
+def test_a_step_of_classes_apart_is_that_of_all_pairs():
+    """The gradient with every noise word of a target's class, target by target."""
+    rng = np.random.default_rng(3)
+    classes = np.array([*range(P.own), *rng.integers(P.own, P.own + P.rest, 40)])
+    words = lm.WordModel(classes, rng.random(len(classes)) + 0.5, np.ones(P.rest), P)
+    words.target[:] = rng.normal(size=words.target.shape)
+    first, last = rng.integers(0, words.begin + 1, 300), rng.integers(0, words.begin + 1, 300)
+    target = rng.choice(words.members, 300)
+    before, squares = [x.astype(float) for x in words.parts()], [np.full(x.shape, 0.1) for x in words.parts()]
+    drawn = np.arange(P.rest)[:, None] + np.random.default_rng(9).random((P.rest, P.word_noise))
+    noise = words.members[np.minimum(np.searchsorted(words.upto, drawn, "right"), words.bounds[1:, None] - 1)]
+    gradients = [np.zeros_like(x) for x in before]
+    for a, b, t in zip(first, last, target):
+        q = before[1][a] * before[2][0] + before[1][b] * before[2][1]
+        back = 0
+        for w, label in [(t, 1), *((w, 0) for w in noise[words.kind[t]])]:
+            g = 1 / (1 + math.exp(math.log(P.word_noise) - before[0][w] @ q)) - label
+            gradients[0][w] += g * q
+            back = back + g * before[0][w]
+        gradients[2] += back * before[1][[a, b]]
+        gradients[1][a] += back * before[2][0]
+        gradients[1][b] += back * before[2][1]
+    words.learn(first, last, target, [s.astype(np.float32) for s in squares], np.random.default_rng(9))
+    for x, old, g, s in zip(words.parts(), before, gradients, squares):
+        assert np.allclose(x, old - P.word_rate * g / np.sqrt(s + g * g), atol=1e-4)
+
+
+def test_pieces_of_any_size_give_the_same_scores(spark, monkeypatch):
+    """One text in a piece, or all of them; the model is the same one."""
+    rows = corpus(80, 5)
+    docs = spark.createDataFrame([*rows, (900, None), (901, " \t"), (902, "laning Of")], "doc_id long, text string").coalesce(2)
+    model = lm.train(spark.createDataFrame([(t or "",) for _, t in rows], "text string").coalesce(1), P)
+    got = []
+    for piece in (1, 1 << 22):
+        own = replace(model[0], params=replace(P, piece=piece))
+        monkeypatch.setattr(lm, "train", lambda *a: (own, model[1]))
+        got.append({r.doc_id: (r.n_tokens, r.n_known, r.base_score, r.score) for r in lm.score_texts(docs, params=P).collect()})
+    assert len(got[0]) == 83 and got[0].keys() == got[1].keys()
+    assert all(a[:2] == got[1][k][:2] and np.allclose(a[2:], got[1][k][2:], atol=1e-4) for k, a in got[0].items())
