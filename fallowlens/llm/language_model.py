@@ -60,7 +60,7 @@ class Params:
     word_noise: int = 8
     word_batch: int = 1024
     word_rate: float = 0.05
-    piece: int = 4_000_000
+    piece: int = 2_000_000
     lesson: int = 1_250_000
     seed: int = 11
 
