@@ -160,10 +160,13 @@ def explode_pixels(
     places = F.when(longest > 0, F.sequence(F.lit(0), longest - 1))
     if marked:
         places = F.when(raster_whole(), places).otherwise(F.array(F.lit(None).cast("int")))
-    held = tiles.select(
+    # places and starts are found in a projection of their own: beside `explode` they would be found
+    # again for each pixel, and as often as a filter on the bands names them
+    listed = tiles.select(
         *kept, *first, "width", "transform", "data", plane.alias("_plane"),
-        *[at.alias(f"_at{i}") for i, at in enumerate(starts)], F.explode(places).alias("_pos"),
+        *[at.alias(f"_at{i}") for i, at in enumerate(starts)], places.alias("_places"),
     )
+    held = listed.select(*[c for c in listed.columns if c != "_places"], F.explode("_places").alias("_pos"))
     # read from the raster in the stage that lists the places, without a copy of a band
     value = lambda i: F.when(F.col("_pos") < F.col("_plane"), F.get("data", F.col(f"_at{i}") + F.col("_pos")))
     flat = held.select(

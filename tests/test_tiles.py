@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fallowlens.functions.indices import ndvi
 from fallowlens.operators import grids
 from fallowlens.operators import tiles as t
 from fallowlens.operators.scenes import last_of_day
@@ -287,3 +288,21 @@ def test_short_arrays_and_empty_planes_explode_as_far_as_they_go(spark):
     assert [(r["seed_id"], r["row"], r["col"], r["B08"], r["B12"]) for r in by_name] == [("short", 0, 0, 5.0, None)]
     marked = t.explode_pixels(df, ["B04"], marked=True).collect()
     assert sorted((r["seed_id"], r["row"], r["B04"]) for r in marked) == [("first", None, None), ("none", None, None), ("short", None, None)]
+
+
+def test_bands_are_looked_up_once_a_tile_not_once_a_pixel(spark):
+    day = dt.date(2024, 6, 1)
+    df = tile(spark, [
+        ("a", day, 2, 1, T0, ["B04", "B08"], [0.5, 0.1, 0.1, 0.5]),
+        ("b", day, 1, 3, T0, ["B08", "B04"], [0.1, 0.5, 0.2, 0.5, 0.1, 0.6]),
+        ("c", day, 2, 2, T0, ["B04"], [0.5, 0.1, 0.1, 0.5]),
+        ("d", day, 2, 2, T0, ["B04", "B08"], [0.5]),
+    ])
+    pixels = t.explode_pixels(df, ["B04", "B08"], by_name=True, marked=True)
+    bare = pixels.filter((ndvi() < 0.2) | F.col("row").isNull())
+    text = bare._jdf.queryExecution().executedPlan().toString()
+    # what lies above the explode is done for each pixel, a filter once for each time it names a band
+    assert "Generate explode(_places" in text and "array_position" in text
+    assert "array_position" not in text[: text.index("Generate explode")]
+    got = [(r["seed_id"], r["row"], r["col"]) for r in bare.orderBy("seed_id", "row").collect()]
+    assert got == [("a", 0, 0), ("b", 0, 0), ("b", 2, 0), ("d", None, None)]
