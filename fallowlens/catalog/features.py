@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fallowlens.catalog import fragments as q
@@ -18,6 +18,7 @@ from fallowlens.plans import batch, points, single_point
 from fallowlens.schemas import (
     BANDS,
     INDICES,
+    PIXEL_KEYS,
     Params,
     pixel_columns,
     seed_columns,
@@ -302,25 +303,36 @@ joined as (
 )
 def seed_features_two_resolutions(spark: SparkSession, sf: str) -> DataFrame:
     """20 m bands brought to the 10 m grid of the windows and joined with the others."""
-    daily = last_of_day(derived.scene_obs(spark, sf))
     k = F.regexp_extract("seed_id", r"(\d+)$", 1).cast("bigint")
-    scene = [F.lit(1).alias("scene_idx"), F.lit(0).alias("cloud_cover"), "acq_date"]
     x0 = 500000 + 1000 * k
-    fine = daily.select(
-        *scene, (10 * (F.col("col") + 0.5) + x0).alias("x"), (4970000 - 10 * (F.col("row") + 0.5)).alias("y"), *BANDS[:4]
-    )
-    half = lambda c: F.floor(F.col(c) / 2)
-    coarse = daily.groupBy("seed_id", "acq_date", half("row").alias("r"), half("col").alias("c")).agg(
-        *[F.min(b).alias(b) for b in BANDS[4:]]
-    )
-    coarse = coarse.select(
-        *scene, (20 * (F.col("c") + 0.5) + x0).alias("x"), (4970000 - 20 * (F.col("r") + 0.5)).alias("y"), *BANDS[4:]
+    # observations meet by squares of four cells, so that the pixels of both resolutions come from one shuffle
+    square = {"r": F.floor(F.col("row") / 2), "c": F.floor(F.col("col") / 2)}
+    met = derived.scene_obs(spark, sf).withColumns(square).repartition("seed_id", "acq_date", *square)
+    daily = last_of_day(met, keys=(*PIXEL_KEYS, *square))
+
+    def pixel(res: float, row: Column, col: Column, values: dict[str, str]) -> Column:
+        bands = [(F.col(values[b]) if b in values else F.lit(None).cast("double")).alias(b) for b in BANDS]
+        return F.struct((res * (col + 0.5) + x0).alias("x"), (4970000 - res * (row + 0.5)).alias("y"), F.lit(res).alias("res"), *bands)
+
+    # the four cells of a square as columns of fixed width, beside its smallest coarse values
+    cells = [(i, j, {b: f"{b}_{i}{j}" for b in BANDS[:4]}) for i in (0, 1) for j in (0, 1)]
+    at = lambda i, j: (F.col("row") % 2 == i) & (F.col("col") % 2 == j)
+    held = [F.max(F.when(at(i, j), F.col(b))).alias(name) for i, j, names in cells for b, name in names.items()]
+    squares = daily.groupBy("seed_id", "acq_date", *square).agg(*held, *[F.min(b).alias(b) for b in BANDS[4:]])
+    fine = [
+        F.when(F.coalesce(*names.values()).isNotNull(), pixel(10.0, 2 * F.col("r") + i, 2 * F.col("c") + j, names))
+        for i, j, names in cells
+    ]
+    coarse = pixel(20.0, F.col("r"), F.col("c"), {b: b for b in BANDS[4:]})
+    listed = squares.select("acq_date", F.array(coarse, *fine).alias("_pixels"))
+    pieces = listed.select(F.lit(1).alias("scene_idx"), F.lit(0).alias("cloud_cover"), "acq_date", F.inline("_pixels")).filter(
+        F.col("res").isNotNull()
     )
     windows = derived.seeds(spark, sf).select(
         "seed_id", "lat", "lon", x0.cast("double").alias("minx"), F.lit(4969900.0).alias("miny"),
         (x0 + F.lit(100.0)).alias("maxx"), F.lit(4970000.0).alias("maxy"),
     )
-    run = points.features_from_resolutions({10.0: fine, 20.0: coarse}, windows, Params())
+    run = points.features_from_pieces(pieces, 20.0, windows, Params())
     shown = run.features.select("seed_id", "n_pixels", "n_pixels_with_min_obs", *_COUNT_STATS, *_SPATIAL)
     return round_columns(shown, _SPATIAL + _COUNT_STATS)
 

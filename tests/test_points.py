@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from fallowlens.functions import geo
 from fallowlens.functions.naming import mosaic_name, point_name
 from fallowlens.operators.windows import window_join
-from fallowlens.plans import points
+from fallowlens.plans import batch, points
 from fallowlens.schemas import Params
 from fallowlens.sources.tables import number_rows, read_seeds, with_seed_ids
 from fallowlens.streaming.incremental import merge_runs, skip_done, with_work_key
@@ -155,3 +155,65 @@ def test_pixels_are_gridded_without_a_second_join_with_the_windows(spark):
     assert cut.columns == ["seed_id", "B04", "row", "col"]
     assert sorted(tuple(r) for r in cut.collect()) == [("a", 0.25, 0, 0), ("a", 0.5, 1, 1)]
     assert cut._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
+
+
+def _two_resolutions(spark, tmp_path):
+    """Stored sources over misaligned windows: several scenes a day, NaN, bright and unnumbered seeds."""
+    from fallowlens.schemas import BANDS
+
+    draw = random.Random(7)
+    windows = [(s, 45.0, 9.0, x, 3.0, x + 40.0, 43.0) for s, x in (("a", 2.0), ("bright", 1002.0), ("c", 2007.0), ("unnumbered", 3002.0), ("none", 9000.0))]
+    rows = {10: [], 20: []}
+    for s, _, _, x, *_ in windows[:4]:
+        for res, bands in ((10, BANDS[:4]), (20, BANDS[4:])):
+            for _ in range(600):
+                at = [res * (draw.randrange(-20 // res, 60 // res) + 0.5) for _ in range(2)]
+                scene = (f"2024-06-0{draw.randrange(1, 6)}", draw.randrange(1, 4), 3 if draw.random() < 0.9 else 99)
+                values = {b: draw.choice([0.1, 0.2, 0.3, float("nan")]) for b in bands}
+                if s == "bright" and res == 10:
+                    values |= {"B04": 0.1, "B08": 0.9}
+                if s == "unnumbered" and draw.random() < 0.01:
+                    scene = (scene[0], None, 3)
+                rows[res].append((1000.0 * (x // 1000) + at[0], at[1], *scene, *values.values()))
+    kinds = "x double, y double, acq_date string, scene_idx long, cloud_cover int, "
+    sources = {}
+    for res, bands in ((10, BANDS[:4]), (20, BANDS[4:])):
+        frame = spark.createDataFrame(rows[res], kinds + ", ".join(f"{b} double" for b in bands))
+        frame = frame.groupBy("x", "y", "acq_date", "scene_idx").agg(F.max("cloud_cover").alias("cloud_cover"), *[F.max(b).alias(b) for b in bands])
+        frame.withColumn("acq_date", F.col("acq_date").cast("date")).write.parquet(str(tmp_path / f"{res}"))
+        sources[float(res)] = spark.read.parquet(str(tmp_path / f"{res}"))
+    edges = "seed_id string, lat double, lon double, minx double, miny double, maxx double, maxy double"
+    return sources, spark.createDataFrame(windows, edges)
+
+
+def test_resolutions_read_their_sources_once_for_the_features(spark, tmp_path):
+    sources, windows = _two_resolutions(spark, tmp_path)
+    features = points.features_from_resolutions(sources, windows, Params()).features
+    plan = features._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan parquet") == 2
+    # pixels move once after their join with the windows: listed, met and reduced where their seed is
+    assert plan.count("REPARTITION_BY") == 1
+    joined = plan[: plan.index("REPARTITION_BY")]
+    assert joined.count("Generate explode") == 2 and "max_by" in joined
+    between = joined[joined.rindex("collect_list"):]
+    assert "Exchange hashpartitioning" not in between[: between.rindex("Exchange")]
+
+
+@pytest.mark.parametrize("spread", [False, True])
+def test_resolutions_give_the_features_of_the_plain_plan(spark, tmp_path, spread):
+    sources, windows = _two_resolutions(spark, tmp_path)
+    params = Params(spread=spread, size=(4, 4))
+    run = points.features_from_resolutions(sources, windows, params)
+    grid = points.on_one_grid(sources, windows, params)
+    plain = batch.seed_features(grid, points._with_transform(windows, 10.0), Params(size=(4, 4)))
+    wanted = {r["seed_id"]: r for r in plain.features.collect()}
+    got = {r["seed_id"]: r for r in run.features.collect()}
+    assert set(got) == set(wanted) == {"a", "bright", "c"}
+    assert got["bright"]["n_pixels"] == 0 and got["a"]["n_pixels_with_min_obs"] > 0
+    for seed, r in wanted.items():
+        for name in r.__fields__:
+            assert got[seed][name] == (pytest.approx(r[name]) if isinstance(r[name], float) else r[name]), (seed, name)
+    found = sorted((r["seed_id"], r["error"]) for r in run.errors.collect())
+    assert found == sorted((r["seed_id"], r["error"]) for r in plain.errors.collect())
+    assert found == [("none", "no tiles"), ("unnumbered", "scene order missing")]
+    assert {r["seed_id"] for r in run.processed.collect()} == set(wanted)
