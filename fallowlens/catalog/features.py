@@ -310,23 +310,24 @@ def seed_features_two_resolutions(spark: SparkSession, sf: str) -> DataFrame:
     met = derived.scene_obs(spark, sf).withColumns(square).repartition("seed_id", "acq_date", *square)
     daily = last_of_day(met, keys=(*PIXEL_KEYS, *square))
 
-    def pixel(res: float, row: Column, col: Column, values: dict[str, str]) -> Column:
+    def pixel(res: float, down: int, right: int, values: dict[str, str]) -> Column:
         bands = [(F.col(values[b]) if b in values else F.lit(None).cast("double")).alias(b) for b in BANDS]
-        return F.struct((res * (col + 0.5) + x0).alias("x"), (4970000 - res * (row + 0.5)).alias("y"), F.lit(res).alias("res"), *bands)
+        return F.struct(F.lit(res).alias("res"), F.lit(down).alias("down"), F.lit(right).alias("right"), *bands)
 
     # the four cells of a square as columns of fixed width, beside its smallest coarse values
     cells = [(i, j, {b: f"{b}_{i}{j}" for b in BANDS[:4]}) for i in (0, 1) for j in (0, 1)]
     at = lambda i, j: (F.col("row") % 2 == i) & (F.col("col") % 2 == j)
     held = [F.max(F.when(at(i, j), F.col(b))).alias(name) for i, j, names in cells for b, name in names.items()]
     squares = daily.groupBy("seed_id", "acq_date", *square).agg(*held, *[F.min(b).alias(b) for b in BANDS[4:]])
-    fine = [
-        F.when(F.coalesce(*names.values()).isNotNull(), pixel(10.0, 2 * F.col("r") + i, 2 * F.col("c") + j, names))
-        for i, j, names in cells
-    ]
-    coarse = pixel(20.0, F.col("r"), F.col("c"), {b: b for b in BANDS[4:]})
-    listed = squares.select("acq_date", F.array(coarse, *fine).alias("_pixels"))
-    pieces = listed.select(F.lit(1).alias("scene_idx"), F.lit(0).alias("cloud_cover"), "acq_date", F.inline("_pixels")).filter(
-        F.col("res").isNotNull()
+    fine = [F.when(F.coalesce(*names.values()).isNotNull(), pixel(10.0, i, j, names)) for i, j, names in cells]
+    coarse = pixel(20.0, 0, 0, {b: b for b in BANDS[4:]})
+    # places are computed after the pixels are listed, so that the code that lists them stays small
+    corner = [(x0 + 20 * F.col("c")).cast("double").alias("left"), (4970000 - 20 * F.col("r")).cast("double").alias("top")]
+    listed = squares.select("acq_date", *corner, F.inline(F.array(coarse, *fine))).filter(F.col("res").isNotNull())
+    pieces = listed.select(
+        F.lit(1).alias("scene_idx"), F.lit(0).alias("cloud_cover"), "acq_date",
+        (F.col("left") + F.col("res") * (F.col("right") + 0.5)).alias("x"),
+        (F.col("top") - F.col("res") * (F.col("down") + 0.5)).alias("y"), "res", *BANDS,
     )
     windows = derived.seeds(spark, sf).select(
         "seed_id", "lat", "lon", x0.cast("double").alias("minx"), F.lit(4969900.0).alias("miny"),
